@@ -253,6 +253,7 @@ def jaccard_join(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THR
         raise ValueError("the bands are laid out for thresholds of 0.5 to 1")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    # Joins of tables that grow with the input are sort-merge joins at every size; Spark splits their hot partitions.
     paths: list[str] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -266,22 +267,22 @@ def jaccard_join(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THR
     classes = keep(ids.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     member = salted_join(ids, classes.where("copies > 1"), ["k1", "k2"], F.col("doc_id")).select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
 
-    reps = signed.alias("s").join(classes.alias("c"), F.expr("s.doc_id = c.rep and s.k1 = c.k1 and s.k2 = c.k2")).select("rep", "copies", "n_sh", "sig", "bands", "s.k1").dropDuplicates(["rep"])
+    reps = signed.alias("s").hint("merge").join(classes.alias("c"), F.expr("s.doc_id = c.rep and s.k1 = c.k1 and s.k2 = c.k2")).select("rep", "copies", "n_sh", "sig", "bands", "s.k1").dropDuplicates(["rep"])
     reps = keep(reps, "reps")
     keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    hits = keys.join(shared, "key").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    hits = keys.hint("merge").join(shared, "key").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     tiles = hits.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
         "rep",
         "band",
         F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tile"),
         F.expr("case when chunk = other then 2 when chunk < other then 0 else 1 end").alias("side"),
     )
-    tiles = tiles.join(reps.select("rep", "copies", "n_sh", "sig", "k1"), "rep")
+    tiles = tiles.hint("merge").join(reps.select("rep", "copies", "n_sh", "sig", "k1"), "rep")
     least = least_matches(threshold, tolerance)
     survivors = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda it: _candidates(_groups(it, "tile"), threshold, least), "tile long, rep long, copies long, k1 long, partners array<long>")
     survivors = keep(survivors, "survivors")
-    needed = survivors.join(docs, survivors["rep"] == docs["doc_id"]).select("tile", "rep", "copies", "k1", "partners", "text")
+    needed = survivors.hint("merge").join(docs, survivors["rep"] == docs["doc_id"]).select("tile", "rep", "copies", "k1", "partners", "text")
     verified = needed.repartition("tile").sortWithinPartitions("tile", "rep").mapInArrow(lambda it: _verify(_groups(it, "tile"), n_words, threshold), "rep long, links long, root long")
     verified = keep(verified, "verified")
     links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
