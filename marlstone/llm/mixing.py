@@ -103,6 +103,17 @@ def hypergeometric(good: Column, bad: Column, draws: Column, u: Column) -> Colum
     return F.least(hi, lo + passed)
 
 
+def _draw(level: int):
+    """One source's quota for the left child, given those before it."""
+
+    def step(s: Column, x: Column) -> Column:
+        after = s["rest"] - x
+        got = F.when(after <= 0, s["draws"]).otherwise(hypergeometric(x, after, s["draws"], uniform(F.lit(level), s["place"], F.size(s["out"]))))
+        return F.struct(after.alias("rest"), (s["draws"] - got).alias("draws"), s["place"].alias("place"), F.concat(s["out"], F.array(got)).alias("out"))
+
+    return step
+
+
 def split(quotas: DataFrame, levels: int = LEVELS) -> DataFrame:
     """(k, quota) for each source k of 0, 1, ... -> (k, shard, first, n): each shard's stretch of the source's blocks.
 
@@ -117,13 +128,8 @@ def split(quotas: DataFrame, levels: int = LEVELS) -> DataFrame:
         odd = F.when(F.pmod(total, F.lit(2)) == 1, F.when(uniform(F.lit("odd"), F.lit(level), F.col("place")) < 0.5, 1).otherwise(0)).otherwise(0)
         node = node.withColumn("all", total).withColumn("half", (F.floor(total / 2) + odd).cast("long"))
 
-        def draw(s: Column, x: Column, level: int = level) -> Column:
-            after = s["rest"] - x
-            got = F.when(after <= 0, s["draws"]).otherwise(hypergeometric(x, after, s["draws"], uniform(F.lit(level), s["place"], F.size(s["out"]))))
-            return F.struct(after.alias("rest"), (s["draws"] - got).alias("draws"), s["place"].alias("place"), F.concat(s["out"], F.array(got)).alias("out"))
-
         start = F.struct(F.col("all").alias("rest"), F.col("half").alias("draws"), F.col("place").alias("place"), empty.alias("out"))
-        node = node.withColumn("left", F.aggregate("have", start, draw, lambda s: s["out"]))
+        node = node.withColumn("left", F.aggregate("have", start, _draw(level), lambda s: s["out"]))
         one = F.struct((F.col("place") * 2).alias("place"), F.col("from").alias("from"), F.col("left").alias("have"))
         two = F.struct((F.col("place") * 2 + 1).alias("place"), F.zip_with("from", "left", lambda a, b: a + b).alias("from"), F.zip_with("have", "left", lambda a, b: a - b).alias("have"))
         node = node.select(F.explode(F.array(one, two)).alias("n")).select("n.place", "n.from", "n.have")
