@@ -5,8 +5,8 @@ part of all words, at most MOST_REPEATS times its own size, with the excess resh
 
 1. The documents of a source are dealt by hash into blocks (at most BLOCKS; few documents to a block in a small one).
 2. A source's passes: whole ones while the target holds them, and one partial pass. Blocks of the partial pass are
-   taken in permuted order while they fit; the block at the edge is cut between documents, to the nearest word count.
-   So the words taken miss the target by half a document at most.
+   taken in permuted order while they fit; the block at the edge is cut between documents, as near to the word count
+   as one more document of it brings the sum.
 3. The block quotas of all sources are split over the output shards by a binary tree: at each node the left child's
    share of every source is drawn from the multivariate hypergeometric distribution (source after source, by the
    inverse of the distribution function). Quotas stay exact at each node, and shards differ by a block at most.
@@ -31,7 +31,7 @@ MOST_REPEATS = 3
 BLOCKS = 4096
 #: A source has a block for so many of its documents at least.
 BLOCK_DOCS = 16
-LEVELS = 6
+LEVELS = 4
 SEED = 20240131
 
 
@@ -170,9 +170,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     holder = lambda i: F.element_at(F.filter("ends", lambda e: e["end"] > number(i)), 1)["shard"]
     b = b.join(stretches, "k", "left").withColumn("shards", F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), holder)).otherwise(F.array().cast("array<int>")))
     d = d.join(b.select("k", "block", "room", "shards"), ["k", "block"])
-    # The block at the edge: documents in permuted order, while taking them brings the sum nearer to its room.
-    edge = Window.partitionBy("k", "block").orderBy(F.xxhash64(F.lit(SEED), F.lit("edge"), F.col("doc_id")), "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = d.where("room > 0").withColumn("sum", F.sum("size").over(edge)).withColumn("more", (F.col("sum") - F.col("size") / 2 <= F.col("room")).cast("int")).drop("sum")
+    # The block at the edge: documents in permuted order while they fit, then the one whose size is nearest to what is left.
+    block = Window.partitionBy("k", "block")
+    edge = block.orderBy(F.xxhash64(F.lit(SEED), F.lit("edge"), F.col("doc_id")), "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = d.where("room > 0").withColumn("sum", F.sum("size").over(edge)).withColumn("fits", F.col("sum") <= F.col("room"))
+    cut = cut.withColumn("gap", F.col("room") - F.coalesce(F.max(F.when(F.col("fits"), F.col("sum"))).over(block), F.lit(0)))
+    miss = F.when(~F.col("fits"), F.abs(F.col("size") - F.col("gap")))
+    cut = cut.withColumn("miss", miss).withColumn("nth", F.row_number().over(block.orderBy(F.col("miss").asc_nulls_last(), F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id")))
+    cut = cut.withColumn("more", (F.col("fits") | ((F.col("nth") == 1) & (F.col("miss") < F.col("gap")))).cast("int")).select(*d.columns, "more")
     d = cut.unionByName(d.where("room <= 0").withColumn("more", F.when(F.col("room") < 0, 1).otherwise(0)))
     count = (F.col("passes") + F.col("more")).cast("int")
     return d.select(
@@ -185,3 +190,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
         F.when(count > 0, F.slice("shards", F.lit(1), count)).otherwise(F.array().cast("array<int>")).alias("shards"),
         uniform(F.lit("place"), F.col("doc_id")).alias("place"),
     )
+
+
+def repeat(docs: DataFrame, **options) -> DataFrame:
+    """`docs` as the mix takes them: each row as often as its document is taken. Rows with a null doc_id go by their text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(F.col("text").cast("string"), 256)))
+    named = docs.withColumn("_key", key)
+    taken = mix(named.select(F.col("_key").alias("doc_id"), "text", "source"), **options)
+    times = taken.where("times > 0").groupBy(F.col("doc_id").alias("_key")).agg(F.max("times").alias("_times"))
+    rows = named.join(times, "_key")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
