@@ -30,7 +30,7 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 BLOCKS = 4096
 #: A source has a block for so many of its documents at least.
-BLOCK_DOCS = 16
+BLOCK_DOCS = 64
 LEVELS = 4
 SEED = 20240131
 
