@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def by_language(key: str) -> Column:
     """An ordering of text as a reader expects it: accents and case come after letters."""
-    return F.collate(F.col(key), F.lit("UNICODE"))
+    return F.collate(F.col(key), "UNICODE")
 
 
 def tally(df: DataFrame, field: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +23,12 @@ NODES = (
     "ancestors array<struct<pos:int,tag:string>>, outer string, is_image boolean, control int, control_tag string, control_role string, "
     "control_href string, name string, name_source string, around string, alt string, control_html string"
 )
+_INT, _TEXT = pa.int32(), pa.string()
+ARROW_NODES = [
+    ("page_id", pa.int64()), ("page_url", _TEXT), ("pos", _INT), ("parent", _INT), ("tag", _TEXT), ("attrs", pa.map_(_TEXT, _TEXT)), ("start", _INT), ("open_end", _INT), ("end", _INT),
+    ("ancestors", pa.list_(pa.struct([("pos", _INT), ("tag", _TEXT)]))), ("outer", _TEXT), ("is_image", pa.bool_()), ("control", _INT), ("control_tag", _TEXT), ("control_role", _TEXT),
+    ("control_href", _TEXT), ("name", _TEXT), ("name_source", _TEXT), ("around", _TEXT), ("alt", _TEXT), ("control_html", _TEXT),
+]
 #: Tags whose own markup later steps need.
 KEPT = frozenset(("svg", "symbol", "g", "defs", "path", "use"))
 SKIPS = ("noControl", "noName", "noImage", "spriteMissing", "duplicateOnPage")
@@ -42,7 +48,7 @@ def _rows(page_id: int, page_url: str, doc: str, tags: frozenset | None) -> list
             "pos": n.pos,
             "parent": n.parent.pos,
             "tag": n.tag,
-            "attrs": {k: v for k, v in n.attrs.items()},
+            "attrs": list(n.attrs.items()),
             "start": n.start,
             "open_end": n.open_end,
             "end": n.end,
@@ -69,20 +75,17 @@ def _rows(page_id: int, page_url: str, doc: str, tags: frozenset | None) -> list
 
 def explode_nodes(pages: DataFrame, tags: list[str] | None = None) -> DataFrame:
     """(page_id, url, html) -> a row of NODES for every element, or for those of `tags`."""
-    columns = [c.strip().split(" ")[0] for c in NODES.replace("array<struct<pos:int,tag:string>>", "x").replace("map<string,string>", "x").split(",")]
     only = frozenset(tags) if tags else None
+    schema = pa.schema(ARROW_NODES)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page_id, url, doc in zip(batch["page_id"], batch["url"], batch["html"], strict=True):
-                rows = _rows(page_id, url, doc or "", only)
+            for page_id, url, doc in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
+                rows = _rows(page_id.as_py(), url.as_py(), doc.as_py() or "", only)
                 for k in range(0, len(rows), 2000):
-                    part = pd.DataFrame(rows[k : k + 2000]).reindex(columns=columns)
-                    for c in ("control",):
-                        part[c] = part[c].astype("Int32")
-                    yield part
+                    yield pa.RecordBatch.from_pylist(rows[k : k + 2000], schema)
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), "html").mapInPandas(run, NODES)
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), "html").mapInArrow(run, NODES)
 
 
 def role_of(tag: Column, role: Column) -> Column:

@@ -41,7 +41,7 @@ def region_shape(region: Column) -> Column:
 
 def band(value: Column, extent: Column, names: tuple[str, str, str]) -> Column:
     third = F.least(F.lit(2), F.greatest(F.lit(0), F.floor(value / extent * 3)))
-    return F.element_at(F.array(*(F.lit(n) for n in names)), (third + 1).cast("int"))
+    return F.when(value.isNotNull() & extent.isNotNull(), F.element_at(F.array(*(F.lit(n) for n in names)), (third + 1).cast("int")))
 
 
 def region_note(shape: Column, width: Column, height: Column) -> Column:

@@ -209,7 +209,7 @@ def export_sizes(spark, sf_dir):
 
 @query("""
 SELECT doc_id, unnest(list_filter([CASE WHEN NOT regexp_matches(text, '^[A-Z]') THEN 'no_capital' END, CASE WHEN n_chars < 200 THEN 'short' END,
-  CASE WHEN NOT regexp_matches(source, '^src[0-9]$') THEN 'source_form' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'lang_value' END], x -> x IS NOT NULL)) AS problem
+  CASE WHEN NOT regexp_matches(source, '^src[0-9]$') THEN 'source_form' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'lang_value' END], lambda x: x IS NOT NULL)) AS problem
 FROM documents
 """)
 def check_problems(spark, sf_dir):
@@ -313,16 +313,16 @@ HOPS = [(f"u{k}", f"u{k + 1}" if k % 9 else None, None) for k in range(40)] + [(
 
 @query("""
 WITH RECURSIVE h(url, redirect, error) AS (VALUES """ + ", ".join(f"('{u}', {'NULL' if r is None else repr(r)}, {'NULL' if e is None else repr(e)})" for u, r, e in HOPS) + """),
-w(url, at, chain, error, done, hop) AS (
+w(url, place, chain, error, done, hop) AS (
   SELECT url, url, [url], NULL::VARCHAR, false, 0 FROM h
   UNION ALL
-  SELECT w.url, CASE WHEN h.redirect IS NOT NULL AND NOT list_contains(w.chain, h.redirect) THEN h.redirect ELSE w.at END,
+  SELECT w.url, CASE WHEN h.redirect IS NOT NULL AND NOT list_contains(w.chain, h.redirect) THEN h.redirect ELSE w.place END,
     CASE WHEN h.redirect IS NOT NULL AND NOT list_contains(w.chain, h.redirect) THEN list_append(w.chain, h.redirect) ELSE w.chain END,
     CASE WHEN h.url IS NULL THEN 'HTTP 404' WHEN h.error IS NOT NULL THEN h.error WHEN h.redirect IS NOT NULL AND list_contains(w.chain, h.redirect) THEN 'redirect loop' END,
     h.url IS NULL OR h.error IS NOT NULL OR h.redirect IS NULL OR list_contains(w.chain, h.redirect), w.hop + 1
-  FROM w LEFT JOIN h ON w.at = h.url WHERE NOT w.done AND w.hop < 6),
+  FROM w LEFT JOIN h ON w.place = h.url WHERE NOT w.done AND w.hop < 6),
 f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY hop DESC) AS k FROM w)
-SELECT url, CASE WHEN done AND error IS NULL THEN at END AS final, len(chain) AS hops, CASE WHEN NOT done THEN 'more than 5 redirects' ELSE error END AS error FROM f WHERE k = 1
+SELECT url, CASE WHEN done AND error IS NULL THEN place END AS final, len(chain) AS hops, CASE WHEN NOT done THEN 'more than 5 redirects' ELSE error END AS error FROM f WHERE k = 1
 """)
 def redirect_chain(spark, sf_dir):
     hops = spark.createDataFrame([(u, r, e, False) for u, r, e in HOPS], "url string, redirect string, error string, refused boolean")
