@@ -1,7 +1,7 @@
 """Toxicity scores of texts that are restored first from leetspeak, spacing and repetition.
 
 1. A character language model: trigram counts of the lower-case letters of all documents (a table of fixed size).
-2. A noisy channel: suspicious tokens (letters mixed with digits or signs, three equal characters in a row, single
+2. A noisy channel: suspicious tokens (letters mixed with digits or signs, three equal letters in a row, single
    letters set apart) become lattices; each piece may stand for some letters, for the boundary of a word, or, when
    repeated, for one or two of itself, each at a cost. Viterbi finds the cheapest reading under the language model.
 3. A logistic regression over the words of the restored text and their beginnings and ends, fitted to labelled rows
@@ -29,10 +29,10 @@ from .common import written
 
 THRESHOLD = 0.3
 #: Bound on the labelled rows that the classifier is fitted to.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 16_000
 #: Bound on the features of the model, and the fewest labelled documents that hold one.
 MOST_FEATURES, LEAST_DOCS = 16384, 4
-FEATURE_BITS = 22
+FEATURE_BITS = 20
 #: Symbols of the language model: a boundary, a-z, and all other letters as one.
 SYMBOLS = 28
 #: What a character may stand for.
@@ -43,15 +43,13 @@ LEET = {
 #: Costs in nats: a substitution, reading a sign as a boundary, dropping a separator, leaving out a repeated letter.
 SUBSTITUTE, AS_BOUNDARY, DROP, COLLAPSE, DOUBLE = 1.0, 2.0, 0.5, 0.2, 1.2
 #: Longest token that is decoded; a longer one is no disguised word.
-LONGEST = 48
-
-_SIGNS = re.escape("".join(LEET))
-SUSPECT = re.compile(
-    rf"(?:(?<=\s)|^)(?:[a-z{_SIGNS}][ .\-_*]){{2,}}[a-z{_SIGNS}](?=[\s.,;:!?]|$)"  # set apart
-    rf"|[a-z{_SIGNS}*\-_]*(?:[a-z][{_SIGNS}*\-_]+[a-z]|[{_SIGNS}][a-z]|[a-z][0134578@$](?![0-9a-z]))[a-z{_SIGNS}*\-_]*"  # mixed
-    r"|[a-z]*([a-z])\1\1[a-z]*"  # repeated
-)
+LONGEST = 24
+
 WORD = re.compile(r"[^\W\d_]+")
+REPEATED = re.compile(r"([^\W\d_])\1\1")
+APART = re.compile(r"(?:[^\W\d_][.\-_*']){2,}[^\W\d_]")
+AROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—"
+SIGNS = frozenset(LEET)
 
 
 def symbols() -> np.ndarray:
@@ -134,55 +132,86 @@ def decode(token: str, model: np.ndarray) -> str:
 
 @dataclass
 class Restorer:
-    """Restores texts; readings of tokens are remembered, up to a bound."""
+    """Reads texts as words; suspicious tokens are decoded. `then` is applied to a token's words, and what comes out is
+    remembered by token, up to a bound."""
 
     model: np.ndarray
-    known: dict[str, str] = field(default_factory=dict)
-
-    def token(self, m: re.Match) -> str:
-        t = m.group()
-        if len(t) > LONGEST:
-            return t
-        out = self.known.get(t)
-        if out is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            out = self.known[t] = decode(t, self.model)
-        return f" {out} "
-
-    def __call__(self, text: str) -> str:
-        """The text in lower case, with suspicious tokens replaced by their reading."""
-        return SUSPECT.sub(self.token, text.lower())
+    then: Callable[[tuple[str, ...]], tuple] = tuple
+    known: dict[str, tuple] = field(default_factory=dict)
+
+    def token(self, t: str) -> tuple[str, ...]:
+        """The words of one token in lower case."""
+        core = t.strip(AROUND)
+        if core.isalpha():
+            odd = REPEATED.search(core) or len(core) <= 2 < len(t) and SIGNS & {*t}
+            return tuple(decode(t if len(core) <= 2 else core, self.model).split()) if odd and len(t) <= LONGEST else (core,)
+        if not core or len(core) > LONGEST or not WORD.search(core):
+            return tuple(WORD.findall(core))
+        if SIGNS & {*core} or "*" in core or APART.search(core) or REPEATED.search(core):
+            return tuple(decode(core, self.model).split())
+        return tuple(WORD.findall(core))
+
+    def read(self, t: str, apart: bool = False) -> tuple:
+        if len(self.known) > 300_000:
+            self.known.clear()
+        out = self.known[t] = self.then(tuple(decode(t, self.model).split()) if apart else self.token(t))
+        return out
+
+    def apart(self, tokens: list[str]) -> Iterator[str]:
+        """Runs of three and more single characters in a row: what may be one word set apart."""
+        try:
+            lengths = bytes(map(len, tokens))
+        except ValueError:  # a token of more than 255
+            lengths = bytes(min(len(t), 255) for t in tokens)
+        at = lengths.find(b"\1\1\1")
+        while at >= 0:
+            end = at + 3
+            while end < len(lengths) and lengths[end] == 1:
+                end += 1
+            for k in range(at, end, LONGEST):
+                if end - k > 1 and len(set(tokens[k : k + LONGEST])) > 1:
+                    yield " ".join(tokens[k : min(end, k + LONGEST)])
+            at = lengths.find(b"\1\1\1", end)
+
+    def words(self, text: str) -> set:
+        """What `then` makes of the distinct words of the restored text."""
+        tokens = text.lower().split()
+        out: set = set()
+        known = self.known
+        for t in {*tokens}:
+            found = known.get(t)
+            if found is None:
+                found = self.read(t)
+            if found:
+                out.update(found)
+        for run in self.apart(tokens):
+            found = known.get(run)
+            out.update(self.read(run, apart=True) if found is None else found)
+        return out
 
 
 def feature(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(value, seed=ord(kind)) & ((1 << FEATURE_BITS) - 1)
 
 
-def features_of(word: str) -> list[int]:
-    out = [feature("w", word)]
-    if len(word) >= 4:
-        out += [feature("p", word[:4]), feature("s", word[-4:])]
-    if len(word) >= 6:
-        out += [feature("p", word[:6]), feature("s", word[-6:])]
-    return out
+def features_of(words: tuple[str, ...]) -> tuple[int, ...]:
+    out = []
+    for word in words:
+        out.append(feature("w", word))
+        for n in (4, 6):
+            if len(word) >= n:
+                out += [feature("p", word[:n]), feature("s", word[-n:])]
+    return tuple(out)
 
 
 def _features(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    restore, known = Restorer(shared.value), {}
+    restore = Restorer(shared.value, features_of)
     for b in batches:
         rows = []
         for text in b.column("text"):
-            have: set[int] = set()
-            for w in set(WORD.findall(restore(text.as_py() or ""))):
-                f = known.get(w)
-                if f is None:
-                    if len(known) > 500_000:
-                        known.clear()
-                    f = known[w] = features_of(w)
-                have.update(f)
-            rows.append(np.fromiter(have, np.int32, len(have)))
-        yield pa.record_batch([b.column("doc_id"), b.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "toxic", "features"])
+            have = restore.words(text.as_py() or "")
+            rows.append(np.fromiter(have, np.int32, len(have)).tobytes())
+        yield pa.record_batch([b.column("doc_id"), b.column("toxic"), pa.array(rows, pa.binary())], ["doc_id", "toxic", "features"])
 
 
 @dataclass
@@ -195,21 +224,29 @@ def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 1
     """Logistic regression on binary features; row i has those of flat[edges[i]:edges[i+1]]."""
     n = len(labels)
     if not n or labels.min() == labels.max():
-        share = float(labels.mean()) if n else 0.0
-        return Classifier({}, float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / np.clip(1 - share, 1e-6, 1 - 1e-6))))
-    row = np.repeat(np.arange(n), np.diff(edges))
+        share = float(np.clip(labels.mean() if n else 0.0, 1e-6, 1 - 1e-6))
+        return Classifier({}, float(np.log(share / (1 - share))))
     size = 1 << FEATURE_BITS
-    df = np.bincount(flat, minlength=size)
-    pos = np.bincount(flat, weights=labels[row], minlength=size)
+    df, pos = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for k in range(0, n, 512):
+        top = min(k + 512, n)
+        part = flat[edges[k] : edges[top]]
+        df += np.bincount(part, minlength=size)
+        pos += np.bincount(part[np.repeat(labels[k:top] > 0, np.diff(edges[k : top + 1]))], minlength=size)
     p = labels.mean()
     # Standardised difference between what toxic documents show and what the feature's frequency would give.
     z = np.abs(pos - df * p) / np.sqrt(np.maximum(df * p * (1 - p), 1e-9)) * (df >= LEAST_DOCS)
     chosen = np.flatnonzero(z > 2.5)
     chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:MOST_FEATURES]])
-    at = np.full(size, -1)
-    at[chosen] = np.arange(len(chosen))
-    use = at[flat] >= 0
-    col, row = at[flat[use]], row[use]
+    place = np.full(size, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    cols, rows = [], []
+    for i in range(n):
+        own = place[flat[edges[i] : edges[i + 1]]]
+        own = np.sort(own[own >= 0])
+        cols.append(own)
+        rows.append(np.full(len(own), i, np.int32))
+    col, row = np.concatenate(cols), np.concatenate(rows)
     w, bias = np.zeros(len(chosen)), float(np.log(p / (1 - p)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for k in range(1, rounds + 1):
@@ -232,35 +269,20 @@ def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column],
     if n > sample_rows:
         marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * (sample_rows / n) * 0.97))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marked, "doc_id").select("doc_id", "toxic", "text")
-    found = rows.mapInArrow(lambda it: _features(it, model), "doc_id long, toxic int, features array<int>").toArrow().sort_by("doc_id")
-    lists = found.column("features").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    found = rows.mapInArrow(lambda it: _features(it, model), "doc_id long, toxic int, features binary").orderBy("doc_id").toArrow()
     y = found.column("toxic").to_numpy().astype(float)
-    if not len(y):
-        return fit(y, np.zeros(0, np.int32), np.zeros(1, np.int64))
-    # Rows were sorted, so that sums agree between reruns.
-    edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    return fit(y, flat[edges[0] : edges[-1]], edges - edges[0])
+    parts = [np.frombuffer(x.as_py(), np.int32) for x in found.column("features")]
+    del found
+    edges = np.r_[0, np.cumsum([len(x) for x in parts], dtype=np.int64)]
+    return fit(y, np.concatenate(parts) if parts else np.zeros(0, np.int32), edges)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, weights) -> Iterator[pa.RecordBatch]:
-    restore, known = Restorer(model.value), {}
     weight, bias = weights.value
     have = set(weight)
+    restore = Restorer(model.value, lambda words: tuple(f for f in features_of(words) if f in have))
     for b in batches:
-        scores = []
-        for text in b.column("text"):
-            s = text.as_py()
-            found: set[int] = set()
-            for w in set(WORD.findall(restore(s))) if s else ():
-                f = known.get(w)
-                if f is None:
-                    if len(known) > 1_000_000:
-                        known.clear()
-                    f = known[w] = tuple(x for x in features_of(w) if x in have)
-                if f:
-                    found.update(f)
-            scores.append(bias + sum(weight[x] for x in sorted(found)))
+        scores = [bias + sum(weight[f] for f in sorted(restore.words(text.as_py() or ""))) for text in b.column("text")]
         out = 1 / (1 + np.exp(-np.clip(np.array(scores, float), -30, 30)))
         yield pa.record_batch([*(b.column(c) for c in b.schema.names if c != "text"), pa.array(out)], [*(c for c in b.schema.names if c != "text"), "score"])
 
