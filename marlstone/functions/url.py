@@ -12,6 +12,7 @@ from urllib.parse import quote, urljoin, urlsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, StringType
 
 PORTS = {"http": "80", "https": "443", "ftp": "21", "ws": "80", "wss": "443"}
 #: Links to files of these kinds are not pages.
@@ -101,7 +102,7 @@ def strip_hash(url: str) -> str:
     return url.split("#", 1)[0]
 
 
-def _over(f, returns: str):
+def _over(f, returns: DataType):
     @F.pandas_udf(returns)
     def column(s: pd.Series) -> pd.Series:
         return s.map(lambda x: f(x) if isinstance(x, str) else None).astype(object)
@@ -109,16 +110,16 @@ def _over(f, returns: str):
     return column
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def absolute_col(url: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([absolute(u, b) if isinstance(u, str) and isinstance(b, str) else None for u, b in zip(url, base, strict=True)], dtype=object)
 
 
-host_col = _over(host_of, "string")
-domain_col = _over(domain_of, "string")
-is_web_col = _over(is_web, "boolean")
-origin_col = _over(origin_of, "string")
-robots_path_col = _over(robots_path, "string")
+host_col = _over(host_of, StringType())
+domain_col = _over(domain_of, StringType())
+is_web_col = _over(is_web, BooleanType())
+origin_col = _over(origin_of, StringType())
+robots_path_col = _over(robots_path, StringType())
 
 
 def plain_host(url: Column) -> Column:
