@@ -1,3 +1,39 @@
 """DuckDB SQL over the same tables, for the queries that SQL can express on whole tables."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, octet_length(encode(payload)) AS n, sha1(payload) AS digest FROM p),
+w AS (SELECT page_id, n, digest, max(page_id) OVER (PARTITION BY digest, n) AS winner FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> winner THEN winner END AS refers_to
+FROM w
+"""
+
+ORACLES["op9_url_filter"] = """
+WITH r(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+a AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, coalesce(rest, '') AS rest, regexp_extract(coalesce(rest, ''), '^[^/?#]*') AS raw FROM a),
+c AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM b),
+m AS (SELECT page_id, host, path, h || p AS rule, v FROM c JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+best AS (SELECT page_id, rule, v FROM m QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule DESC) = 1)
+SELECT c.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM c LEFT JOIN best USING (page_id)
+"""
+
+# Links by exact counts of common shingles; groups by the smallest id that links lead to.
+ORACLES["op3_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+half AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE both >= 0.8 * (a.n + b.n - both) - 1e-9),
+link AS (SELECT x, y FROM half UNION ALL SELECT y, x FROM half),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON reach.other = link.x),
+grp AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
+cop AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY array_to_string(words, ' ')) END AS copy_id,
+  CASE WHEN len(words) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY array_to_string(words, ' ')) END AS n_copies FROM w),
+cnt AS (SELECT x AS doc_id, count(*) AS n_links FROM link GROUP BY x)
+SELECT doc_id, class_id, copy_id, n_copies, coalesce(n_links, 0) AS n_links FROM grp JOIN cop USING (doc_id) LEFT JOIN cnt USING (doc_id)
+"""

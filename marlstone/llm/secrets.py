@@ -86,43 +86,53 @@ def tail(z: Column) -> Column:
 def battery(run: Column) -> Column:
     """-log10(p) that `run` is spelt rather than drawn at random; 0 where the order of its symbols fails."""
     body = F.regexp_replace(run, "=+$", "")
-    n = F.length(body).cast("double")
     alphabet = None
     for pattern, letters in ENCODINGS:
         alphabet = F.when(run.rlike(pattern), F.lit(letters)) if alphabet is None else alphabet.when(run.rlike(pattern), F.lit(letters))
     alphabet = alphabet.otherwise(F.lit(UPPER + LOWER + DIGITS + "+/-_"))
-    chars = F.filter(F.split(body, ""), lambda c: c != "")
-    base = F.struct(body.alias("body"), alphabet.alias("abc"), chars.alias("chars"), n.alias("n"), F.transform(chars, lambda c: F.instr(alphabet, c).cast("double")).alias("at"))
-
-    def measure(x: Column) -> Column:
-        n, at, k = x["n"], x["at"], F.length(x["abc"]).cast("double")
-        squares = F.aggregate(F.transform(F.array_distinct(x["chars"]), lambda c: F.pow(n - F.length(F.replace(x["body"], c, F.lit(""))), F.lit(2.0))), F.lit(0.0), lambda a, b: a + b)
-        chi = k / n * squares - n
+    # Each step's values are computed once and handed to the next: an expression inside a lambda runs for every element.
+    once = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
+    but_last = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
+    but_first = lambda a: F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
+    changes = lambda a: total(F.zip_with(but_last(a), but_first(a), lambda u, v: F.when(u != v, 1.0).otherwise(0.0)))
+    base = F.struct(body.alias("body"), F.length(body).cast("double").alias("n"), alphabet.alias("abc"), F.filter(F.split(body, ""), lambda c: c != "").alias("chars"))
+
+    def places(x: Column) -> Column:
+        at = F.transform(x["chars"], lambda c: F.instr(x["abc"], c).cast("double"))
+        digit = F.transform(x["chars"], lambda c: F.when(c.between("0", "9"), 1).otherwise(0))
+        # How often each symbol comes, squared and summed: a symbol's count is what its removal takes away.
+        squares = total(F.transform(F.array_distinct(x["chars"]), lambda c: F.pow(x["n"] - F.length(F.replace(x["body"], c, F.lit(""))), F.lit(2.0))))
+        return F.struct(x["n"].alias("n"), F.length(x["abc"]).cast("double").alias("k"), at.alias("at"), digit.alias("digit"), squares.alias("squares"))
+
+    def means(x: Column) -> Column:
+        high = F.transform(x["at"], lambda v: F.when(v > x["k"] / 2, 1.0).otherwise(0.0))
+        return F.struct(x["n"].alias("n"), x["k"].alias("k"), x["at"].alias("at"), x["digit"].alias("digit"), x["squares"].alias("squares"), (total(x["at"]) / x["n"]).alias("mean"), high.alias("high"))
+
+    def moments(x: Column) -> Column:
+        from_mean = F.transform(x["at"], lambda v: v - x["mean"])
+        power = total(F.transform(from_mean, lambda d: d * d))
+        lagged = total(F.zip_with(but_last(from_mean), but_first(from_mean), lambda u, v: u * v))
+        mixed = F.array_contains(x["digit"], 1) & F.array_contains(x["digit"], 0)
+        fields = {"n": x["n"], "k": x["k"], "squares": x["squares"], "power": power, "lagged": lagged, "n1": total(x["high"]), "runs": changes(x["high"]) + 1, "switches": changes(x["digit"]), "mixed": mixed}
+        return F.struct(*(v.alias(k) for k, v in fields.items()))
+
+    def verdict(x: Column) -> Column:
+        n, k = x["n"], x["k"]
+        chi = k / n * x["squares"] - n
         # Spelling in k symbols is as uneven as in letters; hex has the unevenness of decimal numbers.
         more = n * F.when(k <= 16, 0.9).otherwise(k * SPELT - 1)
         z1 = (k - 1 + more - chi) / F.sqrt(2 * (k - 1) + 4 * more)
-        digit = F.transform(x["chars"], lambda c: F.when(c.between("0", "9"), 1).otherwise(0))
-        pairs = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
-        later = lambda a: F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
-        total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
-        changes = lambda a: total(F.zip_with(pairs(a), later(a), lambda u, v: F.when(u != v, 1.0).otherwise(0.0)))
-        z2 = (changes(digit) - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES))
-        high = F.transform(at, lambda v: F.when(v > k / 2, 1).otherwise(0))
-        n1 = F.aggregate(high, F.lit(0), lambda s, v: s + v).cast("double")
-        n2 = n - n1
-        expected = 2 * n1 * n2 / n + 1
+        z2 = (x["switches"] - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES))
+        n1, n2 = x["n1"], n - x["n1"]
         spread = F.sqrt(F.greatest(2 * n1 * n2 * (2 * n1 * n2 - n) / (n * n * F.greatest(n - 1, F.lit(1.0))), F.lit(1e-9)))
-        z_runs = F.when((n1 == 0) | (n2 == 0), 99.0).otherwise((changes(high) + 1 - expected) / spread)
-        mean = total(at) / n
-        power = total(F.transform(at, lambda v: (v - mean) * (v - mean)))
-        r = F.when(power > 0, total(F.zip_with(pairs(at), later(at), lambda u, v: (u - mean) * (v - mean))) / power).otherwise(1.0)
-        z_serial = r * F.sqrt(n)
+        z_runs = F.when((n1 == 0) | (n2 == 0), 99.0).otherwise((x["runs"] - 2 * n1 * n2 / n - 1) / spread)
+        z_serial = F.when(x["power"] > 0, x["lagged"] / x["power"]).otherwise(1.0) * F.sqrt(n)
         cap = lambda z: F.least(F.greatest(z, F.lit(-MOST_Z)), F.lit(MOST_Z))
         drawn = (F.abs(z_runs) <= ORDER_Z) & (F.abs(z_serial) <= ORDER_Z)
-        mixed = F.array_contains(digit, 1) & F.array_contains(digit, 0)
-        return F.when((n >= CLASSES[0]) & drawn & mixed, tail((cap(z1) + cap(z2)) / (2**0.5))).otherwise(0.0)
+        return F.when((n >= CLASSES[0]) & drawn & x["mixed"], tail((cap(z1) + cap(z2)) / (2**0.5))).otherwise(0.0)
 
-    return F.element_at(F.transform(F.array(base), measure), 1)
+    return once(once(once(once(base, places), means), moments), verdict)
 
 
 def length_class(n: Column) -> Column:
