@@ -29,7 +29,7 @@ from .common import written
 
 THRESHOLD = 0.3
 #: Bound on the labelled rows that the classifier is fitted to.
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS = 10_000
 #: Bound on the features of the model, and the fewest labelled documents that hold one.
 MOST_FEATURES, LEAST_DOCS = 16384, 4
 FEATURE_BITS = 20
