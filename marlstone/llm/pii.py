@@ -61,15 +61,33 @@ _NAMES = "|".join(
     rf"(?:{'|'.join(x for (s, _), names in GIVEN.items() if s == script for n in names for x in (n, n.upper()))}){{1}}\ +{CAPITAL[script]}{SMALL[script]}+" for script in CAPITAL
 )
 _TITLED = rf"(?:{'|'.join(TITLES)})\.?\ +(?:{'|'.join(f'{CAPITAL[s]}{SMALL[s]}+' for s in CAPITAL)})"
-ENTITY = re.compile(
-    rf"""(?P<email>[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
-    |(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){{3}})(?![\w]|\.\d)
-    |(?<![\w-])(?P<national>\d{{3}}-\d{{2}}-\d{{4}})(?![\w-])
-    |(?<![\w+.-])(?P<card>\d(?:[ -]?\d){{12,18}})(?![\w])
-    |(?<!\w)(?P<phone>(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]\d{{3,4}}[ .-]\d{{3,4}}|\+\d{{7,15}})(?!\w)
-    |\b(?P<name>{_TITLED}|{_NAMES})\b""",
-    re.X,
-)
+#: Patterns in order of precedence, and what a text must hold for each to be tried.
+PATTERNS = {
+    "email": r"(?<![A-Za-z0-9._%+-])(?P<email>[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+    "digits": r"""(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)
+    |(?<![\w-])(?P<national>\d{3}-\d{2}-\d{4})(?![\w-])
+    |(?<![\w+.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w])
+    |(?<!\w)(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\+\d{7,15})(?!\w)""",
+    "names": rf"\b(?P<name>{_TITLED}|{_NAMES})\b",
+}
+DIGIT = re.compile(r"\d")
+CAPITALISED = re.compile("(?:" + "|".join(CAPITAL.values()) + r")\w*")
+STARTS = frozenset([*TITLES, *(x for names in GIVEN.values() for n in names for x in (n, n.upper()))])
+
+
+_compiled: dict[tuple[str, ...], re.Pattern] = {}
+
+
+def pattern(kinds: tuple[str, ...]) -> re.Pattern:
+    if kinds not in _compiled:
+        _compiled[kinds] = re.compile("|".join(PATTERNS[k] for k in kinds), re.X)
+    return _compiled[kinds]
+
+
+def possible(text: str) -> tuple[str, ...]:
+    """The patterns that can match at all: most texts hold no @, few hold digits, and names begin with listed words."""
+    tests = {"email": "@" in text, "digits": DIGIT.search(text) is not None, "names": not STARTS.isdisjoint(CAPITALISED.findall(text))}
+    return tuple(k for k, found in tests.items() if found)
 
 
 def normal(kind: str, value: str) -> str:
@@ -183,8 +201,8 @@ def dressed(kind: str, value: str, made: str) -> str:
 
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, value) from left to right."""
-    if text:
-        for m in ENTITY.finditer(text):
+    if text and (kinds := possible(text)):
+        for m in pattern(kinds).finditer(text):
             yield m.start(), m.end(), m.lastgroup, m.group()
 
 
