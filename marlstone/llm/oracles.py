@@ -27,8 +27,8 @@ ORACLES["op3_ngram_jaccard_join"] = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
 g AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i FROM w WHERE len(words) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
-common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-half AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE both >= 0.8 * (a.n + b.n - both) - 1e-9),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_common FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+half AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE n_common >= 0.8 * (a.n + b.n - n_common) - 1e-9),
 link AS (SELECT x, y FROM half UNION ALL SELECT y, x FROM half),
 reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON reach.other = link.x),
 grp AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
