@@ -4,6 +4,7 @@ import glob
 import os
 import re
 
+import pandas as pd
 import pytest
 
 from marlstone.plans import catalog
@@ -22,7 +23,7 @@ def duck():
 
 
 def plain(frame):
-    text = lambda x: "-" if x is None or x != x else f"{x:.9g}" if isinstance(x, float) else re.sub(r"\.0$", "", str(x))
+    text = lambda x: "-" if pd.isna(x) else f"{x:.9g}" if isinstance(x, float) else re.sub(r"\.0$", "", str(x))
     return sorted(tuple(map(text, r)) for r in frame[sorted(frame.columns)].astype(object).values.tolist())
 
 
