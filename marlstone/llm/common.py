@@ -56,3 +56,8 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_by: Colu
 def fresh(df: DataFrame, want: list[str]) -> DataFrame:
     """Only the named columns, so that extra ones can't clash with those an operator adds."""
     return df.select(*want)
+
+
+def once(values: Column, f) -> Column:
+    """f(values) with `values` computed a single time, however often f refers to them."""
+    return F.element_at(F.transform(F.array(values), f), 1)

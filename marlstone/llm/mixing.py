@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import once, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -82,25 +82,40 @@ def hypergeometric(good: Column, bad: Column, draws: Column, u: Column) -> Colum
     Probabilities come from their ratios, starting at the mode; terms further from it than 40 standard deviations and
     40 are below any double's precision next to it.
     """
-    whole = good + bad
-    low = F.greatest(F.lit(0).cast("long"), draws - bad)
-    high = F.least(draws, good)
-    mode = F.least(high, F.greatest(low, F.floor((draws + 1.0) * (good + 1.0) / (whole + 2.0)).cast("long")))
-    p = good / F.greatest(whole, F.lit(1).cast("long"))
-    reach = F.ceil(40 * F.sqrt(draws * p * (1 - p)) + 40).cast("long")
-    lo, hi = F.greatest(low, mode - reach), F.least(high, mode + reach)
     d = lambda c: c.cast("double")
-    up = lambda k: d(good - k) * d(draws - k) / (d(k + 1) * d(bad - draws + k + 1))  # noqa: E731  P(k+1) / P(k)
-    none = F.array().cast("array<double>")
-    # Weights relative to the mode's, to the right and to the left of it.
-    walk = lambda steps, factor: F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), none.alias("all")), lambda s, k: F.struct((s["w"] * factor(k)).alias("w"), F.concat(s["all"], F.array(s["w"] * factor(k))).alias("all")), lambda s: s["all"])
-    nothing = F.array().cast("array<bigint>")
-    right = walk(F.when(hi > mode, F.sequence(mode, hi - 1)).otherwise(nothing), up)
-    left = walk(F.when(mode > lo, F.sequence(mode - 1, lo, F.lit(-1).cast("long"))).otherwise(nothing), lambda k: 1.0 / up(k))
-    terms = F.concat(F.reverse(left), F.array(F.lit(1.0)), right)
-    total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
-    passed = F.aggregate(terms, F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n")), lambda s, x: F.struct((s["sum"] + x).alias("sum"), (s["n"] + F.when(s["sum"] + x <= u * total, 1).otherwise(0)).cast("long").alias("n")), lambda s: s["n"])
-    return F.least(hi, lo + passed)
+    none, nothing = F.array().cast("array<double>"), F.array().cast("array<bigint>")
+
+    def support(x: Column) -> Column:
+        low, high = F.greatest(F.lit(0).cast("long"), x["draws"] - x["bad"]), F.least(x["draws"], x["good"])
+        mode = F.floor((x["draws"] + 1.0) * (x["good"] + 1.0) / (x["good"] + x["bad"] + 2.0)).cast("long")
+        p = x["good"] / F.greatest(x["good"] + x["bad"], F.lit(1).cast("long"))
+        reach = F.ceil(40 * F.sqrt(x["draws"] * p * (1 - p)) + 40).cast("long")
+        return F.struct(x["good"].alias("good"), x["bad"].alias("bad"), x["draws"].alias("draws"), x["u"].alias("u"), low.alias("low"), high.alias("high"), F.least(high, F.greatest(low, mode)).alias("mode"), reach.alias("reach"))
+
+    def terms(x: Column) -> Column:
+        lo, hi = F.greatest(x["low"], x["mode"] - x["reach"]), F.least(x["high"], x["mode"] + x["reach"])
+        up = lambda k: d(x["good"] - k) * d(x["draws"] - k) / (d(k + 1) * d(x["bad"] - x["draws"] + k + 1))  # noqa: E731  P(k+1) / P(k)
+
+        def walk(steps: Column, factor) -> Column:
+            """Weights relative to the mode's, step by step away from it."""
+            step = lambda s, k: once(s["w"] * factor(k), lambda w: F.struct(w.alias("w"), F.concat(s["all"], F.array(w)).alias("all")))
+            return F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), none.alias("all")), step, lambda s: s["all"])
+
+        right = walk(F.when(hi > x["mode"], F.sequence(x["mode"], hi - 1)).otherwise(nothing), up)
+        left = walk(F.when(x["mode"] > lo, F.sequence(x["mode"] - 1, lo, F.lit(-1).cast("long"))).otherwise(nothing), lambda k: 1.0 / up(k))
+        return F.struct(x["u"].alias("u"), lo.alias("lo"), hi.alias("hi"), F.concat(F.reverse(left), F.array(F.lit(1.0)), right).alias("terms"))
+
+    def inverse(x: Column) -> Column:
+        total = F.aggregate(x["terms"], F.lit(0.0), lambda a, t: a + t)
+        start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("n"))
+
+        def passed(bound: Column) -> Column:
+            return F.aggregate(x["terms"], start, lambda s, t: F.struct((s["sum"] + t).alias("sum"), (s["n"] + F.when(s["sum"] + t <= bound, 1).otherwise(0)).cast("long").alias("n")), lambda s: s["n"])
+
+        return F.least(x["hi"], x["lo"] + once(x["u"] * total, passed))
+
+    given = F.struct(good.alias("good"), bad.alias("bad"), draws.alias("draws"), u.alias("u"))
+    return once(once(once(given, support), terms), inverse)
 
 
 def _draw(level: int):
@@ -109,7 +124,7 @@ def _draw(level: int):
     def step(s: Column, x: Column) -> Column:
         after = s["rest"] - x
         got = F.when(after <= 0, s["draws"]).otherwise(hypergeometric(x, after, s["draws"], uniform(F.lit(level), s["place"], F.size(s["out"]))))
-        return F.struct(after.alias("rest"), (s["draws"] - got).alias("draws"), s["place"].alias("place"), F.concat(s["out"], F.array(got)).alias("out"))
+        return once(got, lambda n: F.struct(after.alias("rest"), (s["draws"] - n).alias("draws"), s["place"].alias("place"), F.concat(s["out"], F.array(n)).alias("out")))
 
     return step
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import once, written
 
 KINDS = ("assign", "access", "hex", "random")
 HEAD = r"""(?i)((?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
@@ -91,7 +91,6 @@ def battery(run: Column) -> Column:
         alphabet = F.when(run.rlike(pattern), F.lit(letters)) if alphabet is None else alphabet.when(run.rlike(pattern), F.lit(letters))
     alphabet = alphabet.otherwise(F.lit(UPPER + LOWER + DIGITS + "+/-_"))
     # Each step's values are computed once and handed to the next: an expression inside a lambda runs for every element.
-    once = lambda x, f: F.element_at(F.transform(F.array(x), f), 1)
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v)
     but_last = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
     but_first = lambda a: F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
