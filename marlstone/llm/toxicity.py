@@ -152,7 +152,7 @@ class Restorer:
         return tuple(WORD.findall(core))
 
     def read(self, t: str, apart: bool = False) -> tuple:
-        if len(self.known) > 300_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         out = self.known[t] = self.then(tuple(decode(t, self.model).split()) if apart else self.token(t))
         return out
