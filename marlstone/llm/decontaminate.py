@@ -1,10 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare word pairs join passages to test items, Smith-Waterman alignment scores them.
 
-Words are runs of letters and digits in lower case. Every n-gram of SEED_WORDS words of the items is counted over all
-documents. An item's seeds are those of its n-grams that are no more frequent than the median of its own, or occur in
-at most RARE_SHARE of the documents; so each item has seeds, however often it leaked. A document that holds a seed is
-aligned with the item around the seeds by words (local alignment: match 1, mismatch and gap -1). The score is that of
-the alignment over the item's number of words; SCORE and more is a leak. Edited copies lose 2 points a changed word.
+Words are runs of letters and digits in lower case. The score of a document is that of its best local alignment with
+the item by words (match 1, mismatch and gap -1), over the item's number of words; SCORE and more is a leak. Edited
+copies lose 2 points a changed word.
+
+Seeds lose none of them. An alignment of score s is made of runs of matches with an edit at least between two of them,
+so it holds s-1 of the item's m-1 pairs of neighbouring words. Any m-s+1 pairs of the item thus have one in every leak:
+the seeds are those that the fewest documents hold, and how often an item leaked doesn't matter. Where a seed stands,
+the passage around it is aligned if it holds s-1 of the pairs.
 
 The items are a stated query set: they are broadcast in blocks of at most BLOCK_BYTES of text, and each block is held
 against all documents. Results: one row for each document and leaked item, with score and the code points (start, end)
@@ -27,7 +30,6 @@ from . import words as W
 from .common import written
 
 SEED_WORDS = 3
-RARE_SHARE = 1e-4
 SCORE = 0.5
 BLOCK_BYTES = 8 << 20
 LEAKS = "doc_id long, item_id long, score double, start long, end long"
@@ -69,10 +71,20 @@ class Items:
         """For a broadcast, which needs nothing of this package to be read."""
         return self.ids, self.words, self.grams, self.item, self.place
 
+    def needed(self, n: int, least: float) -> np.ndarray:
+        """How many of its grams a leak of each item holds at least."""
+        size = np.array([len(w) for w in self.words], np.int64)
+        return np.where(size < n, 1, np.maximum(np.ceil(least * size - 1e-9).astype(np.int64) - 1, 0))
+
     def only(self, keep: np.ndarray) -> Items:
         return Items(self.ids, self.words, self.grams[keep], self.item[keep], self.place[keep])
 
 
+def _size(words: np.ndarray, n: int) -> int:
+    """Words in a gram of an item: a pair, or all words of a short item."""
+    return len(words) if len(words) < n else min(2, len(words))
+
+
 def items_of(ids: list[int], texts: list[str], n: int = SEED_WORDS) -> Items:
     words: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(ids)
     for t in W.slices(lowered(pa.array(texts, pa.large_string()))):
@@ -83,7 +95,7 @@ def items_of(ids: list[int], texts: list[str], n: int = SEED_WORDS) -> Items:
     grams, item, place = [], [], []
     for k, w in enumerate(words):
         if len(w):
-            at, h = W.windows(w, np.zeros(len(w), np.int64), min(n, len(w)))
+            at, h = W.windows(w, np.zeros(len(w), np.int64), _size(w, n))
             grams.append(h)
             item.append(np.full(len(h), k))
             place.append(at)
@@ -96,8 +108,8 @@ def items_of(ids: list[int], texts: list[str], n: int = SEED_WORDS) -> Items:
 
 
 def _sizes(items: Items, n: int) -> list[int]:
-    """The lengths of grams that occur: n, and those of shorter items."""
-    return sorted({min(n, len(w)) for w in items.words if len(w)})
+    """The lengths of grams that occur."""
+    return sorted({_size(w, n) for w in items.words if len(w)})
 
 
 def _hits(items: Items, bits: np.ndarray, doc: np.ndarray, wh: np.ndarray, n: int, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,16 +130,15 @@ def _hits(items: Items, bits: np.ndarray, doc: np.ndarray, wh: np.ndarray, n: in
 def _count(batches: Iterator[pa.RecordBatch], shared, n: int) -> Iterator[pa.RecordBatch]:
     items = Items(*shared.value)
     bits, sizes = items.filter(), _sizes(items, n)
-    total, n_docs = np.zeros(len(items.grams), np.int64), 0
+    total = np.zeros(len(items.grams), np.int64)
     for b in batches:
-        n_docs += b.num_rows
         for t in W.slices(lowered(b.column("text"))):
             _, _, doc, wh = tokens(t)
             at, row = _hits(items, bits, doc, wh, n, sizes)
             both = np.unique(doc[at] * np.int64(len(items.grams)) + row)
             np.add.at(total, both % max(len(items.grams), 1), 1)
     found = np.flatnonzero(total)
-    yield pa.record_batch([pa.array(np.r_[-1, found]), pa.array(np.r_[n_docs, total[found]])], ["row", "n"])
+    yield pa.record_batch([pa.array(found), pa.array(total[found])], ["row", "n"])
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -147,6 +158,10 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def _pairs(words: np.ndarray) -> np.ndarray:
+    return W.windows(words, np.zeros(len(words), np.int64), 2)[1]
+
+
 def _leaks(items: Items, t: W.Texts, bits: np.ndarray, n: int, sizes: list[int], least: float) -> list[tuple[int, int, float, int, int]]:
     """(text, item, score, start, end) of each leak in a slice; bytes of the slice."""
     starts, ends, doc, wh = tokens(t)
@@ -162,13 +177,19 @@ def _leaks(items: Items, t: W.Texts, bits: np.ndarray, n: int, sizes: list[int],
     at, item, place = at[order], item[order], place[order]
     edges = np.searchsorted(doc, np.arange(len(t) + 1))
     out: dict[tuple[int, int], tuple[float, int, int]] = {}
-    lengths = np.array([len(w) for w in items.words])
+    lengths, needed = np.array([len(w) for w in items.words]), items.needed(n, least)
+    pairs: dict[int, np.ndarray] = {}
     far = np.flatnonzero((doc[at][1:] != doc[at][:-1]) | (item[1:] != item[:-1]) | (at[1:] - at[:-1] > 2 * lengths[item[1:]])) + 1
     for lo, hi in zip(np.r_[0, far], np.r_[far, len(at)], strict=True):
         k, d = int(item[lo]), int(doc[at[lo]])
         w = items.words[k]
         a = max(int(edges[d]), int(at[lo]) - 2 * len(w))
         z = min(int(edges[d + 1]), int(at[hi - 1]) + 2 * len(w))
+        if len(w) >= n and needed[k] > 1:
+            if k not in pairs:
+                pairs[k] = _pairs(w)
+            if np.isin(pairs[k], _pairs(wh[a:z])).sum() < needed[k]:
+                continue
         score, end = align(w, wh[a:z])
         if score >= least * len(w):
             back, size = align(w[::-1], wh[a : a + end][::-1])
@@ -195,13 +216,14 @@ def _search(batches: Iterator[pa.RecordBatch], shared, n: int, least: float) ->
                 yield pa.record_batch([pa.array(c, x) for c, x in zip(cols, types, strict=True)], ["doc_id", "item_id", "score", "start", "end"])
 
 
-def rare(items: Items, counts: np.ndarray, n_docs: int, share: float = RARE_SHARE) -> np.ndarray:
-    """Which rows of `items.grams` are seeds of their item."""
-    keep = counts <= share * n_docs
-    for k in range(len(items.words)):
-        own = items.item == k
-        if own.any():
-            keep |= own & (counts <= np.median(counts[own]))
+def rare(items: Items, counts: np.ndarray, n: int = SEED_WORDS, least: float = SCORE) -> np.ndarray:
+    """Which rows of `items.grams` are seeds of their item: its rarest, so many that each leak holds one of them."""
+    order = np.lexsort((items.grams, counts, items.item))
+    own = items.item[order]
+    size = np.bincount(own, minlength=len(items.words))
+    rank = np.arange(len(own)) - (np.cumsum(size) - size)[own]
+    keep = np.zeros(len(own), bool)
+    keep[order] = rank < (size - items.needed(n, least) + 1)[own]
     return keep
 
 
@@ -221,10 +243,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: flo
         shared = spark.sparkContext.broadcast(items.parts())
         counted = docs.select("text").mapInArrow(lambda it, s=shared: _count(it, s, n), "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()
         df = np.zeros(len(items.grams), np.int64)
-        own = counted["row"] >= 0
-        df[counted.loc[own, "row"]] = counted.loc[own, "n"]
+        df[counted["row"]] = counted["n"]
         first = np.searchsorted(items.grams, items.grams)  # rows with one hash were counted at the first
-        seeds = items.only(rare(items, df[first], int(counted.loc[~own, "n"].sum())))
+        seeds = items.only(rare(items, df[first], n, least))
         chosen = spark.sparkContext.broadcast(seeds.parts())
         part = docs.mapInArrow(lambda it, s=chosen: _search(it, s, n, least), LEAKS)
         found = part if found is None else found.unionAll(part)

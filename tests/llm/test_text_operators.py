@@ -371,6 +371,22 @@ def test_decontamination(spark):
     assert decontaminate.leaks(docs(spark, rows), bench.limit(0)).count() == 0 and decontaminate.leaks(docs(spark, []).limit(0), bench).count() == 0
 
 
+def test_widespread_edited_copies(spark):
+    """Edited, partial and stretched copies in most of the documents, which hold the same few grams of the item."""
+    item = sentences(77, 30).split()
+    spaced = " ".join("changed" if k % 4 == 1 and k < 27 else w for k, w in enumerate(item))
+    stretched = " ".join(f"{a} {b} more" for a, b in zip(item[::2], item[1::2], strict=True))
+    copies = [spaced, " ".join(item[:16]), " ".join(item[14:]), stretched, " ".join(item[:14]), *(edited(" ".join(item), k, k) for k in (5, 6, 7, 8))]
+    rows = [(k, f"{sentences(k, 50)} {copies[k % len(copies)]} {sentences(5000 + k, 50)}", "s") for k in range(180)]
+    short = [(1, "one two three"), (2, "alone here")]
+    rows += [(200, "one two or so", "s"), (201, "alone or here", "s"), (202, "so alone here", "s")]
+    bench = spark.createDataFrame([(0, " ".join(item)), *short], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.leaks(docs(spark, rows), bench).collect()}
+    want = {(i, 0): x for i, t, _ in rows if (x := brute_score(" ".join(item), t)) >= decontaminate.SCORE}
+    assert len(want) > 120 and all((k, 0) in want for k in range(4))
+    assert got == pytest.approx({**want, (200, 1): 2 / 3, (202, 2): 1.0})
+
+
 def test_benchmark_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(k, sentences(k, 20)) for k in range(6)], "item_id long, text string")
     rows = docs(spark, [(k, sentences(k, 20), "s") for k in range(6)])
