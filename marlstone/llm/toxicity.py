@@ -1,8 +1,8 @@
 """Toxicity scores of texts that are restored first from leetspeak, spacing and repetition.
 
 1. A character language model: trigram counts of the lower-case letters of all documents (a table of fixed size).
-2. A noisy channel: suspicious tokens (letters mixed with digits or signs, three equal letters in a row, single
-   letters set apart) become lattices; each piece may stand for some letters, for the boundary of a word, or, when
+2. A noisy channel: suspicious tokens (letters mixed with digits or signs, at their ends too, three equal letters in a
+   row, single letters set apart, with punctuation at the ends of the run) become lattices; each piece may stand for some letters, for the boundary of a word, or, when
    repeated, for one or two of itself, each at a cost. Viterbi finds the cheapest reading under the language model.
 3. A logistic regression over the words of the restored text and their beginnings and ends, fitted to labelled rows
    of which at most SAMPLE_ROWS are taken by a hash of doc_id (all where there are fewer). It sees nothing but text.
@@ -50,6 +50,8 @@ REPEATED = re.compile(r"([^\W\d_])\1\1")
 APART = re.compile(r"(?:[^\W\d_][.\-_*']){2,}[^\W\d_]")
 AROUND = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—"
 SIGNS = frozenset(LEET)
+#: Punctuation that stands for no letter.
+PLAIN = "".join(c for c in AROUND if c not in SIGNS)
 
 
 def symbols() -> np.ndarray:
@@ -141,11 +143,10 @@ class Restorer:
 
     def token(self, t: str) -> tuple[str, ...]:
         """The words of one token in lower case."""
-        core = t.strip(AROUND)
+        core = t.strip(PLAIN)
         if core.isalpha():
-            odd = REPEATED.search(core) or len(core) <= 2 < len(t) and SIGNS & {*t}
-            return tuple(decode(t if len(core) <= 2 else core, self.model).split()) if odd and len(t) <= LONGEST else (core,)
-        if not core or len(core) > LONGEST or not WORD.search(core):
+            return tuple(decode(core, self.model).split()) if REPEATED.search(core) and len(core) <= LONGEST else (core,)
+        if len(core) > LONGEST or not WORD.search(core):
             return tuple(WORD.findall(core))
         if SIGNS & {*core} or "*" in core or APART.search(core) or REPEATED.search(core):
             return tuple(decode(core, self.model).split())
@@ -158,20 +159,28 @@ class Restorer:
         return out
 
     def apart(self, tokens: list[str]) -> Iterator[str]:
-        """Runs of three and more single characters in a row: what may be one word set apart."""
+        """Runs of three and more single characters in a row: what may be one word set apart. Punctuation may stand
+        before the first and after the last."""
         try:
             lengths = bytes(map(len, tokens))
         except ValueError:  # a token of more than 255
             lengths = bytes(min(len(t), 255) for t in tokens)
-        at = lengths.find(b"\1\1\1")
+        at = lengths.find(1)
         while at >= 0:
-            end = at + 3
+            end = at + 1
             while end < len(lengths) and lengths[end] == 1:
                 end += 1
-            for k in range(at, end, LONGEST):
-                if end - k > 1 and len(set(tokens[k : k + LONGEST])) > 1:
-                    yield " ".join(tokens[k : min(end, k + LONGEST)])
-            at = lengths.find(b"\1\1\1", end)
+            run = tokens[at:end]
+            if at and len(t := tokens[at - 1]) > 1 and t[-1] not in PLAIN and not t[:-1].strip(AROUND):
+                run.insert(0, t.lstrip(PLAIN))
+            if end < len(tokens) and len(t := tokens[end]) > 1 and t[0] not in PLAIN and not t[1:].strip(AROUND):
+                run.append(t.rstrip(PLAIN))
+            if len(run) > 2:
+                for k in range(0, len(run), LONGEST):
+                    part = run[k : k + LONGEST]
+                    if len(part) > 1 and len(set(part)) > 1:
+                        yield " ".join(part)
+            at = lengths.find(1, end)
 
     def words(self, text: str) -> set:
         """What `then` makes of the distinct words of the restored text."""

@@ -203,6 +203,25 @@ def test_decoding():
     assert read("plain words, it's") == {"plain", "words", "it", "s"} and read("") == set() and read("!!! 123 ***") == set()
 
 
+def reader(*words):
+    """Restores texts under a language model of some words."""
+    counts = np.ones((28, 28, 28))
+    for w in words * 20:
+        code = [0, *(ord(c) - 96 for c in w), 0]
+        for a, b, c in zip(code, code[1:], code[2:], strict=False):
+            counts[a, b, c] += 5
+    return toxicity.Restorer(-np.log(counts / counts.sum(axis=2, keepdims=True)).astype(np.float32)).words
+
+
+def test_decoding_of_ends():
+    read = reader("stupid", "asshole", "idiot", "dumbass", "scum", "ass")
+    signs = {"$tupid": "stupid", "@sshole": "asshole", "!diot": "idiot", "dumb@$$": "dumbass", "stup!d!": "stupid", '"$tupid".': "stupid", "stupid!": "stupid", "(idiot)": "idiot", "a$$": "ass"}
+    assert {t: read(t) for t in signs} == {t: {w} for t, w in signs.items()}
+    for text, word in {"such s c u m.": "scum", "a s s!": "ass", 'an "a s s" here': "ass", "“a s s!”": "ass", "(s c u m)": "scum", "a $ $.": "ass"}.items():
+        assert word in read(text), (text, read(text))
+    assert read("#1 !!! $5 (2)") == set()
+
+
 # 5
 
 
