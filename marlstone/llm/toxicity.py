@@ -42,8 +42,8 @@ LEET = {
 }
 #: Costs in nats: a substitution, reading a sign as a boundary, dropping a separator, leaving out a repeated letter.
 SUBSTITUTE, AS_BOUNDARY, DROP, COLLAPSE, DOUBLE = 1.0, 2.0, 0.5, 0.2, 1.2
-#: Longest token that is decoded; a longer one is no disguised word.
-LONGEST = 24
+#: Longest token that is remembered; longer ones are decoded each time.
+LONGEST = 48
 
 WORD = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
@@ -113,9 +113,19 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 def decode(token: str, model: np.ndarray) -> str:
     """The cheapest reading of a token in lower case; blanks are boundaries."""
     number = lambda c: 0 if c == " " else ord(c) - 96 if "a" <= c <= "z" else 27
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # Each state has its cost and its reading as a chain of pieces; where one state is left, its reading is settled.
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    settled: list[str] = []
+
+    def spelt(chain: tuple) -> str:
+        out = []
+        while chain:
+            chain, letters = chain
+            out.append(letters)
+        return "".join(reversed(out))
+
     for piece in lattice(token):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, text) in states.items():
             for letters, price in piece:
                 x, y, c = a, b, cost + price
@@ -126,10 +136,14 @@ def decode(token: str, model: np.ndarray) -> str:
                     c += float(model[x, y, z])
                     x, y = y, z
                 if (x, y) not in new or c < new[x, y][0]:
-                    new[x, y] = (c, text + letters)
+                    new[x, y] = (c, (text, letters))
         states = new
+        if len(states) == 1:
+            ((pair, (_, text)),) = states.items()
+            settled.append(spelt(text))
+            states = {pair: (0.0, ())}
     end = lambda s: s[1][0] + (float(model[s[0][0], s[0][1], 0]) if s[0][1] else 0.0)
-    return re.sub(" +", " ", min(states.items(), key=end)[1][1]).strip()
+    return re.sub(" +", " ", "".join(settled) + spelt(min(states.items(), key=end)[1][1])).strip()
 
 
 @dataclass
@@ -145,9 +159,9 @@ class Restorer:
         """The words of one token in lower case."""
         core = t.strip(PLAIN)
         if core.isalpha():
-            return tuple(decode(core, self.model).split()) if REPEATED.search(core) and len(core) <= LONGEST else (core,)
-        if len(core) > LONGEST or not WORD.search(core):
-            return tuple(WORD.findall(core))
+            return tuple(decode(core, self.model).split()) if REPEATED.search(core) else (core,)
+        if not WORD.search(core):
+            return ()
         if SIGNS & {*core} or "*" in core or APART.search(core) or REPEATED.search(core):
             return tuple(decode(core, self.model).split())
         return tuple(WORD.findall(core))
@@ -155,7 +169,9 @@ class Restorer:
     def read(self, t: str, apart: bool = False) -> tuple:
         if len(self.known) > 150_000:
             self.known.clear()
-        out = self.known[t] = self.then(tuple(decode(t, self.model).split()) if apart else self.token(t))
+        out = self.then(tuple(decode(t, self.model).split()) if apart else self.token(t))
+        if len(t) <= LONGEST:
+            self.known[t] = out
         return out
 
     def apart(self, tokens: list[str]) -> Iterator[str]:
@@ -175,11 +191,8 @@ class Restorer:
                 run.insert(0, t.lstrip(PLAIN))
             if end < len(tokens) and len(t := tokens[end]) > 1 and t[0] not in PLAIN and not t[1:].strip(AROUND):
                 run.append(t.rstrip(PLAIN))
-            if len(run) > 2:
-                for k in range(0, len(run), LONGEST):
-                    part = run[k : k + LONGEST]
-                    if len(part) > 1 and len(set(part)) > 1:
-                        yield " ".join(part)
+            if len(run) > 2 and len(set(run)) > 1:
+                yield " ".join(run)
             at = lengths.find(1, end)
 
     def words(self, text: str) -> set:

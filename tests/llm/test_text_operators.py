@@ -222,6 +222,15 @@ def test_decoding_of_ends():
     assert read("#1 !!! $5 (2)") == set()
 
 
+def test_decoding_of_any_length():
+    read = reader("stupid", "idiot", "you", "so", "are")
+    assert read("st" + "u" * 40 + "pid") == read("s" * 500 + "tupid") == read("$t" + "u" * 40 + "pid") == {"stupid"}
+    assert {"stupid", "idiot"} <= read("y-o-u-a-r-e-s-o-s-t-u-p-i-d-i-d-i-o-t")
+    for before in range(1, 60):  # wherever the word stands in the run
+        assert "stupid" in " ".join(sorted(read(" ".join("xq" * before) + " s t u p i d"))), before
+    assert all(w.endswith("stupid") for w in read("1a" * 20000 + ".s.t.u.p.1.d"))
+
+
 # 5
 
 
