@@ -61,9 +61,10 @@ _NAMES = "|".join(
     rf"(?:{'|'.join(x for (s, _), names in GIVEN.items() if s == script for n in names for x in (n, n.upper()))}){{1}}\ +{CAPITAL[script]}{SMALL[script]}+" for script in CAPITAL
 )
 _TITLED = rf"(?:{'|'.join(TITLES)})\.?\ +(?:{'|'.join(f'{CAPITAL[s]}{SMALL[s]}+' for s in CAPITAL)})"
-#: Patterns in order of precedence, and what a text must hold for each to be tried.
+#: Patterns in order of precedence, and what a text must hold for each to be tried. An address may begin after a sign,
+#: or where another one ends: at an underscore or a digit.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])(?P<email>[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+    "email": r"(?:(?<![A-Za-z0-9_])|(?=_)|(?<=[A-Za-z])(?=[0-9]))(?P<email>[A-Za-z0-9_][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
     "digits": r"""(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)
     |(?<![\w-])(?P<national>\d{3}-\d{2}-\d{4})(?![\w-])
     |(?<![\w+.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w])

@@ -116,6 +116,15 @@ def test_surrogates_are_distinct(spark, monkeypatch):
     assert one == two and len({t.split()[1] for t in one.values()}) == 20 and len({t.split()[4] for t in one.values()}) == 1
 
 
+def test_addresses_after_signs():
+    for before in (".", "...", "%", "+", "-", "--", "-- ", "a=", "é", "@", "'"):
+        assert [(v, a) for a, _, k, v in pii.entities(f"{before}john.doe@x.org")] == [("john.doe@x.org", len(before))], before
+    for between in (".", "-", "+", "%", "_", "1", ","):
+        found = [v for _, _, _, v in pii.entities(f"a@x.org{between}b@y.org")]
+        assert found == ["a@x.org", between + "b@y.org" if between in "_1" else "b@y.org"], found
+    assert "anna" not in pii.replace("-anna@x.org, %20anna@x.org", "k", {}, {})[0]
+
+
 # 3
 
 
