@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and a battery of randomness tests with length-aware false-discovery control.
 
 DataFrame functions only. Candidates are runs of 20 and more characters of the base64 alphabets. Each gets the
-smallest encoding that holds it (hex, base32, base62, base64, base64url), and with that encoding's alphabet:
+smallest encoding that holds it (digits, hex, letters of one case, base32, letters, base62, base64, base64url), and with that encoding's alphabet:
 
 * chi-squared uniformity: how far the statistic lies below what text spelt in this alphabet would give (its
   expectation and variance are those of a non-central chi-squared, so short runs say little);
@@ -9,7 +9,8 @@ smallest encoding that holds it (hex, base32, base62, base64, base64url), and wi
   middle of the alphabet must be as many as a random order gives;
 * lag-1 serial correlation of the symbols' places, which sequences and repeats fail.
 
-The first two give one p-value for "this is spelt, not drawn". Over all candidates of the corpus, the
+The first two give one p-value for "this is spelt, not drawn"; where a run has no digits or only digits, changes
+between them say nothing and chi-squared alone gives it. Over all candidates of the corpus, the
 Benjamini-Hochberg step-up rule holds the false-discovery rate at `fdr` inside each class of lengths; it works on a
 histogram of p-values of fixed size (classes x bins), so only that reaches the driver.
 
@@ -38,14 +39,20 @@ CLASSES = (20, 24, 32, 48, 96)
 BINS, BIN_STEP = 80, 0.1
 #: Sum of squared letter frequencies of ordinary spelling, and its rate of changes between digits and letters.
 SPELT, CHANGES = 0.066, 0.08
+#: Sum of squared digit frequencies of ordinary numbers.
+NUMBERS = 1.9 / 16
 #: Bounds on the z-scores of the order tests, and on those that are combined.
 ORDER_Z, MOST_Z = 3.5, 4.0
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from the smallest on: pattern, alphabet.
 ENCODINGS = (
+    (r"^[0-9]+$", DIGITS),
     (r"^[0-9a-f]+$", DIGITS + "abcdef"),
     (r"^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    (r"^[a-z]+$", LOWER),
+    (r"^[A-Z]+$", UPPER),
     (r"^[A-Z2-7]+=*$", UPPER + "234567"),
+    (r"^[A-Za-z]+$", UPPER + LOWER),
     (r"^[0-9A-Za-z]+$", DIGITS + UPPER + LOWER),
     (r"^[0-9A-Za-z+/]+=*$", UPPER + LOWER + DIGITS + "+/"),
     (r"^[0-9A-Za-z_=-]+$", UPPER + LOWER + DIGITS + "-_"),
@@ -120,7 +127,7 @@ def battery(run: Column) -> Column:
         n, k = x["n"], x["k"]
         chi = k / n * x["squares"] - n
         # Spelling in k symbols is as uneven as in letters; hex has the unevenness of decimal numbers.
-        more = n * F.when(k <= 16, 0.9).otherwise(k * SPELT - 1)
+        more = n * F.when(k <= 16, k * NUMBERS - 1).otherwise(k * SPELT - 1)
         z1 = (k - 1 + more - chi) / F.sqrt(2 * (k - 1) + 4 * more)
         z2 = (x["switches"] - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES))
         n1, n2 = x["n1"], n - x["n1"]
@@ -129,7 +136,7 @@ def battery(run: Column) -> Column:
         z_serial = F.when(x["power"] > 0, x["lagged"] / x["power"]).otherwise(1.0) * F.sqrt(n)
         cap = lambda z: F.least(F.greatest(z, F.lit(-MOST_Z)), F.lit(MOST_Z))
         drawn = (F.abs(z_runs) <= ORDER_Z) & (F.abs(z_serial) <= ORDER_Z)
-        return F.when((n >= CLASSES[0]) & drawn & x["mixed"], tail((cap(z1) + cap(z2)) / (2**0.5))).otherwise(0.0)
+        return F.when((n >= CLASSES[0]) & drawn, tail(F.when(x["mixed"], (cap(z1) + cap(z2)) / (2**0.5)).otherwise(cap(z1)))).otherwise(0.0)
 
     return once(once(once(once(base, places), means), moments), verdict)
 

@@ -273,6 +273,19 @@ def test_secrets(spark):
     assert secrets.scan(docs(spark, []).limit(0)).count() == 0 and secrets.scan(docs(spark, EDGE)).count() == len(EDGE)
 
 
+def test_secrets_of_one_kind_of_character(spark):
+    rng = random.Random(8)
+    drawn = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = [*(drawn(40, lower + upper) for _ in range(12)), *(drawn(n, a) for n, a in ((200, lower), (200, upper)) for _ in range(4))]
+    spelt = ["internationalization" * 2, "getHttpResponseCodeFromServer", "keitstlichschenverpfchen", "20240101120000202401020930002024010318450020240104"] * 10
+    rows = [(k, f"see {w} there", "s") for k, w in enumerate([*keys, *spelt])]
+    got = {r["doc_id"] for r in secrets.scan(docs(spark, rows)).where(F.exists("found", lambda x: x["k"] == 3)).collect()}
+    assert len(got & {*range(12)}) >= 11 and len(got & {*range(12, 20)}) >= 7 and not [rows[k] for k in got if k >= len(keys)], got
+    digits = spark.createDataFrame([(drawn(900, "0123456789"),)], "t string")  # the hex pattern finds these, too
+    assert digits.select(secrets.battery(F.col("t"))).first()[0] > 3
+
+
 def test_false_discovery_control():
     least = secrets.step_up([(0, 0, 990), (0, 40, 10), (1, 15, 5), (1, 0, 5)])
     assert least[0] == 40 and least[1] == secrets.BINS and least[2] == secrets.BINS
