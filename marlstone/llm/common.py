@@ -14,9 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local master (tests) gets
+    a temporary one; on a cluster, whose machines would each see their own, that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="marlstone-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -48,14 +51,30 @@ SALTS = 32
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:
     """Equi-join in which each key of `big` is dealt over `salts` partitions; `small` holds at most one row a key."""
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
-
-def fresh(df: DataFrame, want: list[str]) -> DataFrame:
-    """Only the named columns, so that extra ones can't clash with those an operator adds."""
-    return df.select(*want)
+    (salt,) = unused(big, "_salt")
+    left = big.withColumn(salt, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, salt], how).drop(salt)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """`names`, each with so many underscores in front that no column of `df` (whose names ignore case) has it."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name = "_" + name
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_keys(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+    """Three longs, none of them null, that rows share when doc_id and text are the same: what tells rows apart when
+    ids are null or repeat."""
+    whole, known = F.coalesce(F.col(text).cast("string"), F.lit("")), F.col(doc_id).isNotNull()
+    null = F.col(text).isNull()
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")), F.xxhash64(known, null, whole), F.xxhash64(null, whole, known, F.lit(1))]
 
 
 def once(values: Column, f) -> Column:

@@ -2,13 +2,17 @@
 
 1. A character language model: trigram counts of the lower-case letters of all documents (a table of fixed size).
 2. A noisy channel: suspicious tokens (letters mixed with digits or signs, at their ends too, three equal letters in a
-   row, single letters set apart, with punctuation at the ends of the run) become lattices; each piece may stand for some letters, for the boundary of a word, or, when
-   repeated, for one or two of itself, each at a cost. Viterbi finds the cheapest reading under the language model.
+   row, single letters set apart, with punctuation at the ends of the run) become lattices; each piece may stand for
+   some letters, for the boundary of a word, or, when repeated, for one or two of itself, each at a cost. Viterbi finds
+   the cheapest reading under the language model.
 3. A logistic regression over the words of the restored text and their beginnings and ends, fitted to labelled rows
    of which at most SAMPLE_ROWS are taken by a hash of doc_id (all where there are fewer). It sees nothing but text.
 
-Null, empty and letterless texts get the score of a text without any known feature. Repeated rows get equal scores.
-Without labels of both kinds every score is the share of toxic labels (0 without any). Extra columns are ignored.
+Null, empty and letterless texts get the score of a text without any known feature. Very long texts and tokens are
+read whole: decoding is linear in a token's length. Repeated rows get equal scores (no ties arise: each row has a score
+of its own); a doc_id whose labels contradict each other counts as toxic. Without labels of both kinds every score is
+the share of toxic labels (0 without any). An empty table gives an empty result. `score` ignores extra columns,
+`reject` returns them whatever their names are.
 """
 
 from __future__ import annotations
@@ -25,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import written
 
 THRESHOLD = 0.3
 #: Bound on the labelled rows that the classifier is fitted to.
@@ -299,24 +302,38 @@ def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column],
     return fit(y, np.concatenate(parts) if parts else np.zeros(0, np.int32), edges)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model, weights) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model, weights) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     weight, bias = weights.value
     have = set(weight)
     restore = Restorer(model.value, lambda words: tuple(f for f in features_of(words) if f in have))
     for b in batches:
-        scores = [bias + sum(weight[f] for f in sorted(restore.words(text.as_py() or ""))) for text in b.column("text")]
-        out = 1 / (1 + np.exp(-np.clip(np.array(scores, float), -30, 30)))
-        yield pa.record_batch([*(b.column(c) for c in b.schema.names if c != "text"), pa.array(out)], [*(c for c in b.schema.names if c != "text"), "score"])
+        scores = [bias + sum(weight[f] for f in sorted(restore.words(text.as_py() or ""))) for text in b.column("text").cast(pa.string())]
+        yield b, 1 / (1 + np.exp(-np.clip(np.array(scores, float), -30, 30)))
 
 
-def score(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, text) -> doc_id, score, in a row for each given row."""
+def _only_scores(batches: Iterator[pa.RecordBatch], model, weights) -> Iterator[pa.RecordBatch]:
+    for b, scores in _score(batches, model, weights):
+        yield pa.record_batch([b.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
+
+
+def _below(batches: Iterator[pa.RecordBatch], model, weights, threshold: float) -> Iterator[pa.RecordBatch]:
+    for b, scores in _score(batches, model, weights):
+        yield b.filter(pa.array(scores < threshold))
+
+
+def trained(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column] | None = None, sample_rows: int = SAMPLE_ROWS) -> tuple:
+    """The language model of `docs` and the classifier's weights, broadcast."""
     sc = docs.sparkSession.sparkContext
     model = sc.broadcast(language_model(docs))
-    trained = train(docs, labels, model, allowed, sample_rows)
-    weights = sc.broadcast((trained.weights, trained.bias))
+    found = train(docs, labels, model, allowed, sample_rows)
+    return model, sc.broadcast((found.weights, found.bias))
+
+
+def score(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, text) -> doc_id, score, in a row for each given row."""
+    model, weights = trained(docs, labels, allowed, sample_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: _score(it, model, weights), "doc_id long, score double")
+    return rows.mapInArrow(lambda it: _only_scores(it, model, weights), "doc_id long, score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -324,7 +341,7 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(4)) == 2
 
 
-def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without those that score `threshold` and more (rows with a null doc_id stay)."""
-    scored = written(score(docs, labels, lambda c: ~held_out(c)), "toxicity")
-    return docs.join(scored.where((F.col("score") >= threshold) & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "doc_id", "left_anti")
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, allowed: Callable[[Column], Column] | None = lambda c: ~held_out(c)) -> DataFrame:
+    """The rows of `docs` whose text scores less than `threshold`, whatever their doc_id is (null, or repeated)."""
+    model, weights = trained(docs, labels, allowed)
+    return docs.mapInArrow(lambda it: _below(it, model, weights, threshold), docs.schema)
