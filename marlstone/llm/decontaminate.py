@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare word pairs join passages to test items, Smith-Waterman alignment scores them.
 
-Words are runs of letters and digits in lower case. The score of a document is that of its best local alignment with
-the item by words (match 1, mismatch and gap -1), over the item's number of words; SCORE and more is a leak. Edited
-copies lose 2 points a changed word.
+Words are runs of letters and digits in lower case; punctuation and blanks beyond ASCII part them too. The score of a
+document is that of its best local alignment with the item by words (match 1, mismatch and gap -1), over the item's
+number of words; SCORE and more is a leak. Edited copies lose 2 points a changed word.
 
 Seeds lose none of them. An alignment of score s is made of runs of matches with an edit at least between two of them,
 so it holds s-1 of the item's m-1 pairs of neighbouring words. Any m-s+1 pairs of the item thus have one in every leak:
@@ -11,8 +11,12 @@ the passage around it is aligned if it holds s-1 of the pairs.
 
 The items are a stated query set: they are broadcast in blocks of at most BLOCK_BYTES of text, and each block is held
 against all documents. Results: one row for each document and leaked item, with score and the code points (start, end)
-of the passage that was aligned. Items of fewer than SEED_WORDS words are found as one gram of all their words; null
-and empty texts match nothing; repeated rows give repeated results of which one is kept; extra columns are ignored.
+of the passage that was aligned. Of equally good passages in a document the last is given, of equally rare pairs those
+with the smallest hashes are seeds. Items of fewer than SEED_WORDS words are found as one gram of all their words; an
+item that repeats is one. Null and empty texts match nothing; very long texts are searched whole, in which only the
+surroundings of seeds are aligned. Repeated rows, and rows that share a doc_id, give one result for each item, the best;
+null doc_ids count as one. Empty tables of documents or items give an empty result. `leaks` ignores extra columns,
+`clean` returns them whatever their names are.
 """
 
 from __future__ import annotations
@@ -37,14 +41,24 @@ LEAKS = "doc_id long, item_id long, score double, start long, end long"
 FILTER_BITS = 20
 
 
-def letters() -> np.ndarray:
+def letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes of lower-cased UTF-8 belong to words: a-z, 0-9, and all beyond ASCII but punctuation and blanks, which
+    are U+0080-U+00BF (without the letters ª, µ, º), U+2000-U+206F and U+3000-U+303F."""
     lut = np.zeros(256, bool)
     lut[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
-    return lut
+    inside = lut[data]
+    two = np.flatnonzero(data[:-1] == 0xC2)
+    two = two[~np.isin(data[two + 1], (0xAA, 0xB5, 0xBA))]
+    lead = np.flatnonzero((data[:-2] == 0xE2) | (data[:-2] == 0xE3))
+    second = data[lead + 1]
+    three = lead[((data[lead] == 0xE2) & ((second == 0x80) | (second == 0x81))) | ((data[lead] == 0xE3) & (second == 0x80))]
+    for at in (two, two + 1, three, three + 1, three + 2):
+        inside[at] = False
+    return inside
 
 
 def tokens(t: W.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    starts, ends, doc = W.runs(letters()[t.data], t.offsets)
+    starts, ends, doc = W.runs(letters(t.data), t.offsets)
     return starts, ends, doc, W.hashes(W.prefix(t.data), starts, ends)
 
 
@@ -227,34 +241,53 @@ def rare(items: Items, counts: np.ndarray, n: int = SEED_WORDS, least: float = S
     return keep
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = SCORE) -> DataFrame:
-    """See the module's docstring."""
+def _seeds(docs: DataFrame, benchmark: DataFrame, n: int, least: float) -> Iterator:
+    """A broadcast for each block of the benchmark: its items, with the grams that are seeds in these documents."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     bench = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // BLOCK_BYTES
-    found = None
     for block in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         items = items_of([r["item_id"] for r in rows], [r["text"] for r in rows], n)
         if not len(items.grams):
             continue
         shared = spark.sparkContext.broadcast(items.parts())
-        counted = docs.select("text").mapInArrow(lambda it, s=shared: _count(it, s, n), "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()
+        counted = texts.mapInArrow(lambda it, s=shared: _count(it, s, n), "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()
         df = np.zeros(len(items.grams), np.int64)
         df[counted["row"]] = counted["n"]
         first = np.searchsorted(items.grams, items.grams)  # rows with one hash were counted at the first
-        seeds = items.only(rare(items, df[first], n, least))
-        chosen = spark.sparkContext.broadcast(seeds.parts())
+        yield spark.sparkContext.broadcast(items.only(rare(items, df[first], n, least)).parts())
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = SCORE) -> DataFrame:
+    """See the module's docstring."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = None
+    for chosen in _seeds(docs, benchmark, n, least):
         part = docs.mapInArrow(lambda it, s=chosen: _search(it, s, n, least), LEAKS)
         found = part if found is None else found.unionAll(part)
     if found is None:
-        return spark.createDataFrame([], LEAKS)
+        return docs.sparkSession.createDataFrame([], LEAKS)
     best = F.max(F.struct("score", "start", "end")).alias("x")
     return written(found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.score", "x.start", "x.end"), "leaks")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """`docs` without the documents that hold a leaked item (rows with a null doc_id stay)."""
-    return docs.join(leaks(docs, benchmark, **options).where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti")
+def _without(batches: Iterator[pa.RecordBatch], shared, n: int, least: float) -> Iterator[pa.RecordBatch]:
+    items = Items(*shared.value)
+    bits, sizes = items.filter(), _sizes(items, n)
+    for b in batches:
+        stays = np.ones(b.num_rows, bool)
+        for t in W.slices(lowered(b.column("text"))):
+            for d, *_ in _leaks(items, t, bits, n, sizes, least):
+                stays[t.first + d] = False
+        yield b.filter(pa.array(stays))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: float = SCORE) -> DataFrame:
+    """The rows of `docs` whose text holds no leaked item, whatever their doc_id is (null, or repeated)."""
+    out = docs
+    for chosen in _seeds(docs, benchmark, n, least):
+        out = out.mapInArrow(lambda it, s=chosen: _without(it, s, n, least), docs.schema)
+    return out
