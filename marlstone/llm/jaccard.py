@@ -3,25 +3,27 @@
 Texts are sets of word shingles (five words; a text of fewer words has one shingle of them all). Two texts are
 linked when the Jaccard similarity of their sets is at least `threshold`.
 
-1. Texts with the same sequence of words form a class; its smallest doc_id stands for it. Only representatives go on.
+1. Rows with the same sequence of words form a class, a node of the graph of links. Only classes go on.
 2. Each has MinHash values of 16 bits; bands of four of them are bucket keys. At similarity 0.8, 24 bands miss a pair
    with a probability of 3e-6, and less above.
-3. A bucket of n members is cut into chunks and the chunk pairs (tiles) are dealt over tasks, so no task holds a whole
-   large bucket. Inside a tile, a pair belongs to the first band in which it agrees; its MinHash values are compared
-   a few at a time, and it is dropped as soon as the posterior probability (uniform prior) of reaching the threshold
-   falls below `tolerance`.
+3. A bucket is cut into chunks, of so many members and shingles at most on average, and the chunk pairs (tiles) are
+   dealt over tasks, so no task holds a whole large bucket. Inside a tile, a pair belongs to the first band in which it
+   agrees; its MinHash values are compared a few at a time, and it is dropped as soon as the posterior probability
+   (uniform prior) of reaching the threshold falls below `tolerance`.
 4. The shingle sets of the pairs that are left are compared exactly, tile by tile.
 5. Tiles return link counts and a spanning forest, not pairs; connected components of the forests are the groups.
 
-Results: one row per document, with the columns
-    doc_id      as given (a row with a null doc_id is not returned)
+Results: one row for each given row, with the columns
+    doc_id      as given
     class_id    smallest doc_id of its group of texts connected by links
     copy_id     smallest doc_id with the same words
-    n_copies    documents with the same words, itself included
-    n_links     other documents whose similarity with it is at least the threshold, exact copies included
-Null, empty and all-blank texts have no shingles: each is a group of its own without links. Repeated rows of one
-doc_id count as one (the smallest text of the repeated ids is used). An empty table gives an empty result. Columns
-other than doc_id and text are ignored.
+    n_copies    rows with the same words, itself included
+    n_links     other rows whose similarity with it is at least the threshold, exact copies included
+Null, empty and all-blank texts have no shingles: each row is a group of its own without links. Null doc_ids are
+compared like others, and are larger than any (class_id and copy_id are null where all ids are). Repeated rows, and
+rows with different texts under one doc_id, are rows of their own. Very long texts are compared whole. There are no
+ties but those between equal ids, which make no difference. An empty table gives an empty result. Columns other than
+doc_id and text are ignored (`one_of_each` returns them whatever their names are).
 """
 
 from __future__ import annotations
@@ -31,11 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import drop_path, new_path, salted_join, written
+from .common import drop_path, new_path, row_keys, salted_join, unused, written
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -43,8 +46,10 @@ HASHES, ROWS, BANDS = 128, 4, 24
 TOLERANCE = 1e-6
 #: MinHash values compared between two looks at the posterior.
 STEP = 16
-#: Members of a chunk of a bucket; a tile compares two chunks.
-CHUNK = 512
+#: Members of a chunk of a bucket, and their shingles; a tile compares two chunks.
+CHUNK, CHUNK_SHINGLES = 512, 1 << 19
+#: Bytes of text of the tiles that are verified at once (one tile at least), and postings looked at in one go.
+PORTION_BYTES, POSTINGS = 4 << 20, 1 << 22
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +101,13 @@ def _sequence_keys(wh: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
     return k1, k2
 
 
-_SIGNED = "doc_id long, k1 long, k2 long, n_sh int, sig binary, bands array<long>"
+_KEYS = ["t0", "t1", "t2"]
+_SIGNED = "doc_id long, t0 long, t1 long, t2 long, k1 long, k2 long, n_sh int, sig binary, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids = b.column("doc_id")
+        ids = [b.column(c) for c in ("doc_id", *_KEYS)]
         for t in W.slices(b.column("text")):
             _, _, doc, wh = W.words(t)
             n = len(t)
@@ -117,14 +123,14 @@ def _sign(batches: Iterator[pa.RecordBatch], n_words: int) -> Iterator[pa.Record
             full = count > 0
             yield pa.record_batch(
                 [
-                    ids.slice(t.first, n),
+                    *(c.slice(t.first, n) for c in ids),
                     pa.array(k1.view(np.int64)),
                     pa.array(k2.view(np.int64)),
                     pa.array(count),
                     pa.array([s.tobytes() for s in sigs], pa.binary()),
                     pa.array([keys[i] if full[i] else [] for i in range(n)], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "k1", "k2", "n_sh", "sig", "bands"],
+                ["doc_id", *_KEYS, "k1", "k2", "n_sh", "sig", "bands"],
             )
 
 
@@ -155,7 +161,7 @@ def _candidates(tables: Iterator[pa.Table], threshold: float, least: np.ndarray)
     for t in tables:
         tile = t.column("tile").to_numpy()
         n = len(tile)
-        rep, size, side = (t.column(c).to_numpy() for c in ("rep", "n_sh", "side"))
+        node, size, side = (t.column(c).to_numpy() for c in ("node", "n_sh", "side"))
         band = t.column("band").to_numpy()
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(n, HASHES)
         own = np.ascontiguousarray(sig[:, : ROWS * BANDS]).view(np.uint64)
@@ -168,7 +174,7 @@ def _candidates(tables: Iterator[pa.Table], threshold: float, least: np.ndarray)
             j = i + d
             d += 1
             a, b = side[i], side[j]
-            ok = ((a == 2) | (a != b)) & (rep[i] != rep[j])
+            ok = ((a == 2) | (a != b)) & (node[i] != node[j])
             ok &= np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
             i, j = i[ok], j[ok]
             if not len(i):
@@ -198,61 +204,90 @@ def _candidates(tables: Iterator[pa.Table], threshold: float, least: np.ndarray)
             yield pa.record_batch(
                 [
                     pa.array(tile[part]),
-                    pa.array(rep[part]),
-                    pa.array(t.column("copies").to_numpy()[part]),
-                    pa.array(t.column("k1").to_numpy()[part]),
-                    pa.array([rep[j[x:y]] for x, y in zip(lo, hi, strict=True)], pa.list_(pa.int64())),
+                    pa.array(node[part]),
+                    *(pa.array(t.column(c).to_numpy()[part]) for c in ("copies", *_KEYS)),
+                    pa.array([node[j[x:y]] for x, y in zip(lo, hi, strict=True)], pa.list_(pa.int64())),
                 ],
-                ["tile", "rep", "copies", "k1", "partners"],
+                ["tile", "node", "copies", *_KEYS, "partners"],
             )
 
 
-def _verify(tables: Iterator[pa.Table], n_words: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Members of tiles with their texts -> links of each representative in its tile, and its root in a spanning forest."""
+def _portions(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """Whole tiles, many small ones at once."""
     for t in tables:
-        tile, rep, copies = (t.column(c).to_numpy() for c in ("tile", "rep", "copies"))
-        edges = np.r_[0, np.flatnonzero(tile[1:] != tile[:-1]) + 1, len(tile)]
-        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            part = t.slice(lo, hi - lo)
-            sets: dict[int, frozenset] = {}
-            key = part.column("k1").to_numpy()
-            for x in W.slices(part.column("text")):
-                _, _, doc, wh = W.words(x)
-                sh, owner = W.shingles(wh, doc, len(x), n_words)
-                at = np.searchsorted(owner, np.arange(len(x) + 1))
-                mine = _sequence_keys(wh, doc, len(x))[0].view(np.int64) == key[x.first : x.first + len(x)]
-                for k in np.flatnonzero(mine).tolist():  # another text under a repeated doc_id is not the one that was signed
-                    sets[int(rep[lo + x.first + k])] = frozenset(sh[at[k] : at[k + 1]].tolist())
-            weight = dict(zip(rep[lo:hi].tolist(), copies[lo:hi].tolist(), strict=True))
-            links, root = dict.fromkeys(weight, 0), {r: r for r in weight}
-
-            def top(x: int, root: dict[int, int] = root) -> int:
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-
-            for a, partners in dict(zip(rep[lo:hi].tolist(), part.column("partners").to_pylist(), strict=True)).items():
-                sa = sets[a]
-                for b in partners:
-                    sb = sets[b]
-                    both = len(sa & sb)
-                    if both >= threshold * (len(sa) + len(sb) - both) - 1e-9:
-                        links[a] += weight[b]
-                        links[b] += weight[a]
-                        x, y = top(a), top(b)
-                        root[max(x, y)] = min(x, y)
-            out = [r for r, n in links.items() if n]
-            if out:
-                yield pa.record_batch([pa.array(out, pa.int64()), pa.array([links[r] for r in out], pa.int64()), pa.array([top(r) for r in out], pa.int64())], ["rep", "links", "root"])
+        tile = t.column("tile").to_numpy()
+        ends = np.r_[np.flatnonzero(tile[1:] != tile[:-1]) + 1, len(tile)]
+        size = np.cumsum(pc.binary_length(t.column("text")).to_numpy())
+        at = 0
+        while at < len(tile):
+            before = size[at - 1] if at else 0
+            fit = ends[(ends > at) & (size[ends - 1] - before <= PORTION_BYTES)]
+            end = int(fit[-1]) if len(fit) else int(ends[np.searchsorted(ends, at, side="right")])
+            yield t.slice(at, end - at)
+            at = end
+
+
+def _sets(texts: pa.ChunkedArray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text, and whose they are, in order of the texts."""
+    found, owners = [], []
+    for x in W.slices(texts):
+        _, _, doc, wh = W.words(x)
+        sh, owner = W.shingles(wh, doc, len(x), n_words)
+        order = np.lexsort((sh, owner))
+        sh, owner = sh[order], owner[order]
+        new = np.r_[True, (sh[1:] != sh[:-1]) | (owner[1:] != owner[:-1])][: len(sh)]
+        found.append(sh[new])
+        owners.append(owner[new] + x.first)
+    return np.concatenate(found), np.concatenate(owners)
 
 
-def jaccard_join(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """See the module's docstring."""
+def _verify(tables: Iterator[pa.Table], n_words: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Members of tiles with their texts -> links of each node in its tile, and its root in a spanning forest."""
+    for t in _portions(tables):
+        n = t.num_rows
+        tile, node, copies = (t.column(c).to_numpy() for c in ("tile", "node", "copies"))
+        edges = np.r_[0, np.flatnonzero(tile[1:] != tile[:-1]) + 1, n]
+        low, high = np.repeat(edges[:-1], np.diff(edges)), np.repeat(edges[1:], np.diff(edges))
+        sh, owner = _sets(t.column("text"), n_words)
+        size = np.bincount(owner, minlength=n)
+        own = np.r_[0, np.cumsum(size)]
+        # Postings: the members of the tile that have a shingle. Common shingles of one member with all others are counted at once.
+        _, code = np.unique(W.mix(sh ^ W.mix(low[owner].astype(np.uint64) + np.uint64(1))), return_inverse=True)
+        holder = owner[np.argsort(code, kind="stable")]
+        first = np.r_[0, np.cumsum(np.bincount(code))]
+        many = np.r_[0, pc.list_value_length(t.column("partners")).to_numpy().cumsum()]
+        partners = pc.list_flatten(t.column("partners")).to_numpy()
+        links, root = np.zeros(n, np.int64), np.arange(n)
+        for a in np.flatnonzero(np.diff(many)).tolist():
+            lo, hi = low[a], high[a]
+            b = lo + np.searchsorted(node[lo:hi], partners[many[a] : many[a + 1]])
+            c = code[own[a] : own[a + 1]]
+            width = first[c + 1] - first[c]
+            both = np.zeros(hi - lo, np.int64)
+            for part in np.split(np.arange(len(c)), np.flatnonzero(np.diff(np.cumsum(width) // POSTINGS)) + 1):
+                w = width[part]
+                at = np.repeat(first[c[part]] - np.r_[0, np.cumsum(w)[:-1]], w) + np.arange(w.sum())
+                both += np.bincount(holder[at] - lo, minlength=hi - lo)
+            common = both[b - lo]
+            b = b[common >= threshold * (size[a] + size[b] - common) - 1e-9]
+            links[a] += copies[b].sum()
+            links[b] += copies[a]
+            if (root[b] != root[a]).any():
+                joined = np.unique(np.r_[root[b], root[a]])
+                mine = root[lo:hi]
+                mine[np.isin(mine, joined)] = joined[0]
+        out = np.flatnonzero(links)
+        if len(out):
+            yield pa.record_batch([pa.array(node[out]), pa.array(links[out]), pa.array(node[root[out]])], ["node", "links", "root"])
+
+
+def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float) -> tuple[DataFrame, list[str]]:
+    """A row for each row of `docs`: doc_id, its row keys, and (where it has links) class_id, copy_id, copies, links and
+    the row keys of its group's first row. Second, the tables to delete when these rows have been read."""
     if not 0.5 <= threshold <= 1:
         raise ValueError("the bands are laid out for thresholds of 0.5 to 1")
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c.alias(k) for c, k in zip(row_keys(), _KEYS, strict=True)))
     # Joins of tables that grow with the input are sort-merge joins at every size; Spark splits their hot partitions.
     paths: list[str] = []
 
@@ -262,54 +297,61 @@ def jaccard_join(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THR
         return spark.read.schema(df.schema).parquet(paths[-1])
 
     signed = keep(docs.mapInArrow(lambda it: _sign(it, n_words), _SIGNED), "signed")
-    # Narrow rows first; a doc_id that comes twice counts once.
-    ids = signed.where("n_sh > 0").groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
-    classes = keep(ids.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    member = salted_join(ids, classes.where("copies > 1"), ["k1", "k2"], F.col("doc_id")).select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
-
-    reps = signed.alias("s").hint("merge").join(classes.alias("c"), F.expr("s.doc_id = c.rep and s.k1 = c.k1 and s.k2 = c.k2")).select("rep", "copies", "n_sh", "sig", "bands", "s.k1").dropDuplicates(["rep"])
-    reps = keep(reps, "reps")
-    keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    hits = keys.hint("merge").join(shared, "key").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    member = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_KEYS)
+    classes = signed.where("n_sh > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.min(member).alias("member"), *(F.first(c).alias(c) for c in ("n_sh", "sig", "bands")))
+    classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbered once, in the written table
+
+    keys = classes.select("node", "n_sh", F.posexplode("bands").alias("band", "key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_sh").alias("shingles")).where("n > 1")
+    shared = shared.select("key", F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
+    hits = keys.drop("n_sh").hint("merge").join(shared, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     tiles = hits.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select(
-        "rep",
+        "node",
         "band",
         F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("tile"),
         F.expr("case when chunk = other then 2 when chunk < other then 0 else 1 end").alias("side"),
     )
-    tiles = tiles.hint("merge").join(reps.select("rep", "copies", "n_sh", "sig", "k1"), "rep")
+    tiles = tiles.hint("merge").join(classes.select("node", "copies", "n_sh", "sig", *(F.col(f"member.{k}").alias(k) for k in _KEYS)), "node")
     least = least_matches(threshold, tolerance)
-    survivors = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda it: _candidates(_groups(it, "tile"), threshold, least), "tile long, rep long, copies long, k1 long, partners array<long>")
+    survivors = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda it: _candidates(_groups(it, "tile"), threshold, least), "tile long, node long, copies long, t0 long, t1 long, t2 long, partners array<long>")
     survivors = keep(survivors, "survivors")
-    needed = survivors.hint("merge").join(docs, survivors["rep"] == docs["doc_id"]).select("tile", "rep", "copies", "k1", "partners", "text")
-    verified = needed.repartition("tile").sortWithinPartitions("tile", "rep").mapInArrow(lambda it: _verify(_groups(it, "tile"), n_words, threshold), "rep long, links long, root long")
+    needed = survivors.hint("merge").join(docs.dropDuplicates(_KEYS), _KEYS).select("tile", "node", "copies", "partners", F.coalesce("text", F.lit("")).alias("text"))
+    verified = needed.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(lambda it: _verify(_groups(it, "tile"), n_words, threshold), "node long, links long, root long")
     verified = keep(verified, "verified")
-    links = verified.groupBy("rep").agg(F.sum("links").alias("links"))
-    group = components(verified.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct())
-
-    per_rep = links.join(group.withColumnRenamed("node", "rep").withColumnRenamed("component", "group"), "rep", "left").withColumnRenamed("rep", "linked")
-    per_class = classes.select("rep", "copies").join(per_rep, F.col("rep") == F.col("linked"), "left")
-    per_class = per_class.where("copies > 1 or linked is not null").select("rep", F.col("copies").alias("c"), F.coalesce("group", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    out = salted_join(member, per_class, ["rep"], F.col("doc_id"))
-    out = out.select("doc_id", F.coalesce("class_id", "rep").alias("class_id"), F.col("rep").alias("copy_id"), F.col("copies").alias("n_copies"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"))
-    blank = signed.groupBy("doc_id").agg(F.max("n_sh").alias("n")).where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
-    result = written(out.unionByName(blank), "jaccard")
+    links = verified.groupBy("node").agg(F.sum("links").alias("links"))
+    group = components(verified.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
+
+    linked = classes.select("node", "k1", "k2", "copy_id", "copies", "member").join(links, "node", "left").join(group, "node", "left").where("copies > 1 or links is not null")
+    linked = keep(linked.withColumn("component", F.coalesce("component", "node")), "linked")
+    ids = linked.groupBy("component").agg(F.min("copy_id").alias("class_id"), F.min("member").alias("first"))
+    linked = salted_join(linked, ids, ["component"], F.col("node")).select("k1", "k2", "class_id", "copy_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.struct(*(F.col(f"first.{k}") for k in _KEYS)).alias("first"))
+    return salted_join(signed.select("doc_id", *_KEYS, "k1", "k2"), linked, ["k1", "k2"], F.monotonically_increasing_id()), paths
+
+
+def jaccard_join(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """See the module's docstring."""
+    rows, paths = _grouped(docs, n_words, threshold, tolerance)
+    of_group = lambda c: F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col(c))
+    copies = F.coalesce("copies", F.lit(1).cast("long"))
+    result = written(rows.select("doc_id", of_group("class_id").alias("class_id"), of_group("copy_id").alias("copy_id"), copies.alias("n_copies"), (F.coalesce("links", F.lit(0)) + copies - 1).cast("long").alias("n_links")), "jaccard")
     for p in paths:
-        drop_path(spark, p)
+        drop_path(docs.sparkSession, p)
     return result
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """`docs` without the near duplicates: of each group the row with the smallest doc_id stays.
+def one_of_each(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """`docs` without the near duplicates: of each group one row stays, that with the smallest doc_id.
 
-    Of rows that repeat a doc_id, that with the smallest text stays. Rows with a null doc_id, which nothing can be
-    linked to, stay as they are.
+    Null ids are larger than any; of equal ids, that whose text has the smallest hash stays; of rows that are the same
+    in doc_id and text (texts without words, too) one stays.
     """
-    keep = jaccard_join(docs, **options).where("doc_id = class_id").select("doc_id")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = docs.join(keep, "doc_id", "left_semi").withColumn("_nth", rank).where("_nth = 1").drop("_nth")
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows, paths = _grouped(docs, n_words, threshold, tolerance)
+    gone = written(rows.where(F.col("first").isNotNull() & (F.struct(*_KEYS) != F.col("first"))).select(*_KEYS).distinct(), "copies")
+    for p in paths:
+        drop_path(docs.sparkSession, p)
+    names = unused(docs, *_KEYS)
+    keyed = docs.select("*", *(c.alias(k) for c, k in zip(row_keys(), names, strict=True))).dropDuplicates(names)
+    return keyed.join(gone.toDF(*names), names, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def chance_missed(similarity: float) -> float:
