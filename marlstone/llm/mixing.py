@@ -4,18 +4,22 @@ DataFrame functions only. A document's size is its number of words. Each source
 part of all words, at most MOST_REPEATS times its own size, with the excess reshared by weight until none is above.
 
 1. The documents of a source are dealt by hash into blocks (at most BLOCKS; few documents to a block in a small one).
-2. A source's passes: whole ones while the target holds them, and one partial pass. Blocks of the partial pass are
-   taken in permuted order while they fit; the block at the edge is cut between documents, as near to the word count
-   as one more document of it brings the sum.
-3. The block quotas of all sources are split over the output shards by a binary tree: at each node the left child's
-   share of every source is drawn from the multivariate hypergeometric distribution (source after source, by the
-   inverse of the distribution function). Quotas stay exact at each node, and shards differ by a block at most.
-4. Inside a source, an affine permutation numbers the taken blocks; shards hold disjoint stretches of it. `place` is
-   a random place inside the shard, for the local shuffle.
-
-All draws are hashes of a seed, so reruns agree. Null texts have size 0 and are taken with their block; a null source
-is a source of its own, last in the order of sources. Repeated rows are rows of their own. A source without words has
-target 0. Extra columns are ignored; an empty table gives an empty result.
+2. A source's quota of blocks: whole passes over it while the target holds them, and the blocks of one partial pass, in
+   permuted order, while they fit. The block at the edge is cut in the same way: it is dealt by hash into parts, the
+   part at the edge of these between documents, as near to the word count as one more document brings the sum.
+3. The quotas of all sources are split over the output shards by a binary tree: at each node the left child's share of
+   every source is drawn from the multivariate hypergeometric distribution (source after source, by the inverse of the
+   distribution function). Quotas stay exact at each node, and shards differ by a block at most.
+4. Each shard draws its quota of every source: a stretch of a permutation of the source's blocks (of every pass), which
+   no other shard has. What a document is taken is what the shards drew of its block. Inside a shard a seeded hash of
+   document, copy and shard gives each row its place; `repeat` writes them in this order.
+
+All draws are hashes of a seed, so reruns agree. Null and empty texts have size 0 and are taken with their block; very
+long ones count whole. A null source is a source of its own, last in the order of sources; sources are few, one row a
+source goes through one task. Null doc_ids are dealt by their texts. Rows with the same doc_id and text are taken alike,
+others on their own. Of documents that are equally near to what is left, that with the smallest hash is taken. A source
+without words has target 0. `mix` ignores extra columns, `repeat` returns them whatever their names are; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +33,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 BLOCKS = 4096
-#: A source has a block for so many of its documents at least.
+#: A source has a block for so many of its documents at least, and so have the parts of the block at the edge.
 BLOCK_DOCS = 64
+#: Documents that are sorted together, about, when shards are written.
+STRIPE_DOCS = 256
 LEVELS = 4
 SEED = 20240131
 
@@ -40,9 +46,13 @@ def uniform(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(SEED), *parts), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def row_hash() -> Column:
+    return F.xxhash64(F.lit(SEED), F.col("doc_id").cast("string"), F.lit("text"), F.col("text").cast("string"))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
+    return docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), row_hash().alias("h"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -159,59 +169,104 @@ def affine(i: Column, n: Column, *seed: Column) -> Column:
     return F.pmod(i * a + F.floor(uniform(F.lit("b"), *seed) * n).cast("long"), n)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, levels: int = LEVELS) -> DataFrame:
-    """(doc_id, text, source) -> doc_id, size, source_size, target, taken, shards (one for each time that it is taken), place."""
+def cut(units: DataFrame, unit: str, seed: str, room: str) -> DataFrame:
+    """Units (k, `unit`, words) of each source k in permuted order, with `rank`, and `left`: -1 where the whole unit fits
+    into `room` words, else the words of it that do."""
+    order = Window.partitionBy("k").orderBy(F.xxhash64(F.lit(SEED), F.lit(seed), F.col("k"), F.col(unit)), unit)
+    upto = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    units = units.withColumn("rank", F.row_number().over(order) - 1).withColumn("upto", upto)
+    left = F.when(F.col(room) <= 0, 0).when(F.col("upto") <= F.col(room), -1).otherwise(F.greatest(F.lit(0).cast("long"), F.col(room) - F.col("upto") + F.col("words")))
+    return units.withColumn("left", left).drop("upto")
+
+
+def draw(blocks: DataFrame, sources: DataFrame, levels: int) -> DataFrame:
+    """(k, block, rank, left, passes) -> (k, block, shards): the shards that drew the block, in order of the passes.
+
+    Each taking of a block has a number in its source's permutation; the tree says which shard holds which stretch.
+    """
+    of_source = Window.partitionBy("k")
+    times = (F.col("passes") + F.when(F.col("left") != 0, 1).otherwise(0)).cast("int")
+    b = blocks.withColumn("times", times).withColumn("in_source", F.count("*").over(of_source)).withColumn("quota", F.sum("times").over(of_source))
+    quotas = sources.select("k").join(b.groupBy("k").agg(F.max("quota").alias("quota")), "k", "left").select("k", F.coalesce("quota", F.lit(0)).cast("long").alias("quota"))
+    drawn = split(quotas, levels).select("k", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("number"))
+    takings = b.where("times > 0").select("k", "block", "rank", "in_source", "quota", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("nth"))
+    takings = takings.withColumn("number", affine(F.col("nth") * F.col("in_source") + F.col("rank"), F.col("quota"), F.col("k")))
+    held = takings.join(drawn, ["k", "number"]).groupBy("k", "block").agg(F.array_sort(F.collect_list(F.struct("nth", "shard"))).alias("held"))
+    return held.select("k", "block", F.transform("held", lambda x: x["shard"]).alias("shards"))
+
+
+def with_block(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows (source, h, ...) with what `sources` says and their block; a source with a third of all rows is spread."""
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
+    # One small row a source: it joins by a broadcast while Spark sees it is small, else by a salted shuffle.
+    small = sources.withColumn("key", key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(31)))).drop("source")
+    rows = rows.withColumn("key", key).withColumn("salt", F.pmod(F.col("h"), F.lit(32)).cast("int")).join(small, ["key", "salt"]).drop("key", "salt")
+    return rows.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), F.lit("block"), F.col("h")), F.col("blocks")))
+
+
+def part_of(parts: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(SEED), F.lit("part"), F.col("h")), F.col(parts))
+
+
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, levels: int = LEVELS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sizes of the documents, the sources, and the blocks with the shards that drew them, as written tables.
+
+    At a source's edge block, `whole` has the parts of it that the partial pass takes and `some` the documents of one more.
+    """
     sized = written(sizes(docs), "sizes")
     t = targets(sized, weights, most)
-    t = written(t.withColumn("k", (F.row_number().over(Window.orderBy(F.when(F.col("source").isNull(), 1).otherwise(0), "source")) - 1).cast("int")), "sources")
-    # One small row a source: it joins by a broadcast while Spark sees it is small, else by a salted shuffle.
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    small = t.withColumn("_k", key).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(31)))).drop("source", "weight", "n_docs")
-    d = sized.withColumn("_k", key).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(32)).cast("int")).join(small, ["_k", "_salt"]).drop("_k", "_salt")
-    d = d.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), F.lit("block"), F.col("doc_id")), F.col("blocks")))
+    t = t.withColumn("k", (F.row_number().over(Window.orderBy(F.when(F.col("source").isNull(), 1).otherwise(0), "source")) - 1).cast("int"))
+    parts = F.greatest(F.lit(1), F.least(F.lit(BLOCKS), F.ceil(F.col("n_docs") / F.col("blocks") / BLOCK_DOCS))).cast("long")
+    sources = written(t.withColumn("parts", parts).drop("weight"), "sources")
+    d = with_block(sized, sources)
     b = d.groupBy("k", "block").agg(F.sum("size").alias("words"), F.first("part").alias("part"), F.first("passes").alias("passes"))
-    ranked = Window.partitionBy("k").orderBy(F.xxhash64(F.lit(SEED), F.lit("rank"), F.col("k"), F.col("block")), "block")
-    b = b.withColumn("rank", F.row_number().over(ranked) - 1).withColumn("upto", F.sum("words").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    before = F.col("upto") - F.col("words")
-    b = b.withColumn("room", F.when(F.col("upto") <= F.col("part"), F.lit(-1)).when(before < F.col("part"), F.col("part") - before).otherwise(0))  # -1: the whole block
-    b = b.withColumn("taken_blocks", F.count("*").over(Window.partitionBy("k")) * F.col("passes") + F.sum(F.when(F.col("room") != 0, 1).otherwise(0)).over(Window.partitionBy("k")))
-    b = b.withColumn("in_source", F.count("*").over(Window.partitionBy("k")))
-    b = written(b.select("k", "block", "rank", "room", "passes", "taken_blocks", "in_source"), "blocks")
-    quotas = b.groupBy("k").agg(F.max("taken_blocks").alias("quota"))
-    every = quotas.join(t.select("k"), "k", "right").select("k", F.coalesce("quota", F.lit(0)).cast("long").alias("quota"))
-    stretches = split(every, levels).groupBy("k").agg(F.array_sort(F.collect_list(F.struct(F.expr("first + n").alias("end"), "shard"))).alias("ends"))
-    times = (F.col("passes") + F.when(F.col("room") != 0, 1).otherwise(0)).cast("int")
-    number = lambda i: affine(i * F.col("in_source") + F.col("rank"), F.col("taken_blocks"), F.col("k"))
-    holder = lambda i: F.element_at(F.filter("ends", lambda e: e["end"] > number(i)), 1)["shard"]
-    b = b.join(stretches, "k", "left").withColumn("shards", F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), holder)).otherwise(F.array().cast("array<int>")))
-    d = d.join(b.select("k", "block", "room", "shards"), ["k", "block"])
-    # The block at the edge: documents in permuted order while they fit, then the one whose size is nearest to what is left.
-    block = Window.partitionBy("k", "block")
-    edge = block.orderBy(F.xxhash64(F.lit(SEED), F.lit("edge"), F.col("doc_id")), "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = d.where("room > 0").withColumn("sum", F.sum("size").over(edge)).withColumn("fits", F.col("sum") <= F.col("room"))
-    cut = cut.withColumn("gap", F.col("room") - F.coalesce(F.max(F.when(F.col("fits"), F.col("sum"))).over(block), F.lit(0)))
-    miss = F.when(~F.col("fits"), F.abs(F.col("size") - F.col("gap")))
-    cut = cut.withColumn("miss", miss).withColumn("nth", F.row_number().over(block.orderBy(F.col("miss").asc_nulls_last(), F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id")))
-    cut = cut.withColumn("more", (F.col("fits") | ((F.col("nth") == 1) & (F.col("miss") < F.col("gap")))).cast("int")).select(*d.columns, "more")
-    d = cut.unionByName(d.where("room <= 0").withColumn("more", F.when(F.col("room") < 0, 1).otherwise(0)))
-    count = (F.col("passes") + F.col("more")).cast("int")
-    return d.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (count * F.col("size")).cast("long").alias("taken"),
-        count.alias("times"),
-        F.when(count > 0, F.slice("shards", F.lit(1), count)).otherwise(F.array().cast("array<int>")).alias("shards"),
-        uniform(F.lit("place"), F.col("doc_id")).alias("place"),
-    )
-
-
-def repeat(docs: DataFrame, **options) -> DataFrame:
-    """`docs` as the mix takes them: each row as often as its document is taken. Rows with a null doc_id go by their text."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.sha2(F.col("text").cast("string"), 256)))
-    named = docs.withColumn("_key", key)
-    taken = mix(named.select(F.col("_key").alias("doc_id"), "text", "source"), **options)
-    times = taken.where("times > 0").groupBy(F.col("doc_id").alias("_key")).agg(F.max("times").alias("_times"))
-    rows = named.join(times, "_key")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    b = written(cut(b, "block", "rank", "part").select("k", "block", "rank", "left", "passes"), "blocks")
+
+    edge = d.join(b.where("left > 0").select("k", "block", "left"), ["k", "block"]).withColumn("piece", part_of("parts"))
+    pieces = cut(edge.groupBy("k", "piece").agg(F.sum("size").alias("words"), F.first("left").alias("room")), "piece", "piece", "room")
+    whole = pieces.groupBy("k").agg(F.collect_list(F.when(F.col("left") < 0, F.col("piece"))).alias("whole"))
+    # The piece at the edge: documents in permuted order while they fit, then the one whose size is nearest to what is left.
+    docs_of = edge.drop("left").join(pieces.where("left > 0").select("k", "piece", "left"), ["k", "piece"]).groupBy("k", "h").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+    ranked = cut(docs_of.withColumnRenamed("left", "room"), "h", "edge", "room").withColumn("fits", F.col("left") < 0)
+    of_source = Window.partitionBy("k")
+    gap = F.col("room") - F.coalesce(F.sum(F.when(F.col("fits"), F.col("words"))).over(of_source), F.lit(0))
+    ranked = ranked.withColumn("gap", gap).withColumn("miss", F.when(~F.col("fits"), F.abs(F.col("words") - F.col("gap"))))
+    nearest = F.row_number().over(of_source.orderBy(F.col("miss").asc_nulls_last(), F.xxhash64(F.lit(SEED), F.col("h")), "h")) == 1
+    ranked = ranked.withColumn("more", F.col("fits") | (nearest & (F.col("miss") < F.col("gap"))))
+    some = ranked.groupBy("k").agg(F.collect_list(F.when(F.col("more"), F.col("h"))).alias("some"))
+    cuts = whole.join(some, "k", "left").select("k", "whole", F.coalesce("some", F.array().cast("array<bigint>")).alias("some"))
+
+    edges = b.where("left > 0").select("k", "block").join(cuts, "k")
+    blocks = b.join(draw(b, sources, levels), ["k", "block"], "left").join(edges, ["k", "block"], "left")
+    blocks = blocks.select("k", "block", F.coalesce("shards", F.array().cast("array<int>")).alias("shards"), "whole", "some")
+    return sized, sources, written(blocks, "drawn")
+
+
+def taken(rows: DataFrame, sources: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Rows (source, h, ...) with `shards`, one for each time that the row is taken, and its `places` in them."""
+    d = with_block(rows, sources).join(blocks, ["k", "block"])
+    whole = F.col("whole").isNull() | F.array_contains("whole", part_of("parts")) | F.array_contains("some", F.col("h"))
+    times = F.size("shards") - F.when(whole, 0).otherwise(1)
+    d = d.withColumn("shards", F.slice("shards", F.lit(1), F.greatest(times, F.lit(0))))
+    return d.withColumn("places", F.transform("shards", lambda s, i: uniform(F.lit("place"), F.col("h"), i, s)))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, levels: int = LEVELS) -> DataFrame:
+    """(doc_id, text, source) -> doc_id, size, source_size, target, taken, times, shards and places (one for each time)."""
+    sized, sources, blocks = plan(docs, weights, most, levels)
+    d = taken(sized, sources, blocks).withColumn("times", F.size("shards"))
+    return d.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken"), "times", "shards", "places")
+
+
+def repeat(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, levels: int = LEVELS) -> DataFrame:
+    """`docs` as the mix takes them: a row for each time that it is taken, shard by shard in the order of places.
+
+    A partition holds a stripe of a shard, or several of them.
+    """
+    _, sources, blocks = plan(docs, weights, most, levels)
+    n = sources.agg(F.sum("n_docs")).first()[0] or 0
+    stripes = max(1, -(-n // (STRIPE_DOCS << levels)))
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), row_hash().alias("h"))
+    rows = taken(rows, sources, blocks).select("row", F.explode(F.arrays_zip("shards", "places")).alias("x")).select("row", "x.shards", "x.places")
+    rows = rows.repartition("shards", F.floor(F.col("places") * stripes)).sortWithinPartitions("shards", "places")
+    return rows.select("row.*")
