@@ -12,15 +12,19 @@ smallest encoding that holds it (digits, hex, letters of one case, base32, lette
 The first two give one p-value for "this is spelt, not drawn"; where a run has no digits or only digits, changes
 between them say nothing and chi-squared alone gives it. Over all candidates of the corpus, the
 Benjamini-Hochberg step-up rule holds the false-discovery rate at `fdr` inside each class of lengths; it works on a
-histogram of p-values of fixed size (classes x bins), so only that reaches the driver.
+histogram of p-values of fixed size (classes x bins), so only that reaches the driver. p-values are kept as logarithms
+without a ceiling, so certain secrets are found among any number of candidates.
 
 Spans are code points, end exclusive, leftmost and non-overlapping for each kind. A run of the battery (kind `random`)
-is added where it overlaps no pattern's span. Null texts are empty. Repeated rows are rows of their own; extra columns
-are ignored; an empty table gives an empty result.
+is added where it overlaps no pattern's span. Null texts are empty; very long texts and runs are scanned whole. Repeated
+rows, and null ids, are rows of their own; spans that begin together stand in the order of their kinds; equal p-values
+are discoveries together or not at all. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +39,15 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 FDR = 0.01
 #: Lengths at which a new class begins.
 CLASSES = (20, 24, 32, 48, 96)
-#: Bins of -log10(p), BIN_STEP wide.
-BINS, BIN_STEP = 80, 0.1
+#: Bins of -log10(p): STEPS to a unit up to FINE, and STEPS_TEN to a power of ten beyond, far above what any run reaches.
+FINE, STEPS, STEPS_TEN = 10, 10, 40
+BINS = FINE * STEPS + 8 * STEPS_TEN
 #: Sum of squared letter frequencies of ordinary spelling, and its rate of changes between digits and letters.
 SPELT, CHANGES = 0.066, 0.08
 #: Sum of squared digit frequencies of ordinary numbers.
 NUMBERS = 1.9 / 16
-#: Bounds on the z-scores of the order tests, and on those that are combined.
-ORDER_Z, MOST_Z = 3.5, 4.0
+#: Bound on the z-scores of the order tests.
+ORDER_Z = 3.5
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from the smallest on: pattern, alphabet.
 ENCODINGS = (
@@ -84,10 +89,19 @@ def spans(text: Column, pattern: str, least: int, two: bool = False) -> Column:
 
 
 def tail(z: Column) -> Column:
-    """-log10 of the normal distribution's upper tail; within 1 % of it for z up to 8 (Mills' ratio by Shenton and Sampford's bounds)."""
-    density = F.exp(-z * z / 2) * 0.3989422804014327
-    upper = density * 4 / (3 * z + F.sqrt(z * z + 8))
-    return F.when(z > 0, -F.log10(upper)).otherwise(0.0)
+    """-log10 of the normal distribution's upper tail (Mills' ratio by Shenton and Sampford's bounds), in logarithms, so
+    that no z is too large."""
+    return F.when(z > 0, z * z / 2 * 0.4342944819032518 + 0.3990899341790575 + F.log10((3 * z + F.sqrt(z * z + 8)) / 4)).otherwise(0.0)
+
+
+def bin_of(x: Column) -> Column:
+    coarse = FINE * STEPS + F.floor(F.log10(F.greatest(x, F.lit(float(FINE))) / FINE) * STEPS_TEN + 1e-9)
+    return F.least(F.when(x < FINE, F.floor(x * STEPS)).otherwise(coarse), F.lit(BINS - 1)).cast("int")
+
+
+def lower_edge(b: int) -> float:
+    """The smallest -log10(p) of a bin."""
+    return b / STEPS if b < FINE * STEPS else FINE * 10 ** ((b - FINE * STEPS) / STEPS_TEN)
 
 
 def battery(run: Column) -> Column:
@@ -134,9 +148,8 @@ def battery(run: Column) -> Column:
         spread = F.sqrt(F.greatest(2 * n1 * n2 * (2 * n1 * n2 - n) / (n * n * F.greatest(n - 1, F.lit(1.0))), F.lit(1e-9)))
         z_runs = F.when((n1 == 0) | (n2 == 0), 99.0).otherwise((x["runs"] - 2 * n1 * n2 / n - 1) / spread)
         z_serial = F.when(x["power"] > 0, x["lagged"] / x["power"]).otherwise(1.0) * F.sqrt(n)
-        cap = lambda z: F.least(F.greatest(z, F.lit(-MOST_Z)), F.lit(MOST_Z))
         drawn = (F.abs(z_runs) <= ORDER_Z) & (F.abs(z_serial) <= ORDER_Z)
-        return F.when((n >= CLASSES[0]) & drawn, tail(F.when(x["mixed"], (cap(z1) + cap(z2)) / (2**0.5)).otherwise(cap(z1)))).otherwise(0.0)
+        return F.when((n >= CLASSES[0]) & drawn, once(F.when(x["mixed"], (z1 + z2) / (2**0.5)).otherwise(z1), tail)).otherwise(0.0)
 
     return once(once(once(once(base, places), means), moments), verdict)
 
@@ -159,8 +172,8 @@ def step_up(histogram: list[tuple[int, int, int]], fdr: float = FDR) -> dict[int
         total, passed, least = sum(counts), 0, BINS
         for b in range(BINS - 1, -1, -1):
             passed += counts[b]
-            # Every p-value of the bin is at most 10 ** -(b * BIN_STEP).
-            if passed and counts[b] and 10 ** -(b * BIN_STEP) * total / passed <= fdr:
+            # Every p-value p of the bin has -log10(p) of the lower edge at least, and p * total / passed <= fdr is wanted.
+            if counts[b] and lower_edge(b) >= math.log10(total / passed) - math.log10(fdr):
                 least = b
         out[k] = least
     return out
@@ -178,7 +191,7 @@ def find(docs: DataFrame) -> DataFrame:
         spans(F.col("_t"), RUN, CLASSES[0]).alias("runs"),
     )
     bare = lambda c: F.transform(c, lambda x: F.struct(x["s"], x["e"]))
-    scored = F.transform("runs", lambda x: F.struct(x["s"], x["e"], length_class(F.length(x["v"])).alias("class"), F.least(F.floor(battery(x["v"]) / BIN_STEP), F.lit(BINS - 1)).cast("int").alias("bin")))
+    scored = F.transform("runs", lambda x: F.struct(x["s"], x["e"], length_class(F.length(x["v"])).alias("class"), once(battery(x["v"]), bin_of).alias("bin")))
     return d.select("doc_id", bare("assign").alias("assign"), bare("access").alias("access"), bare("hex").alias("hex"), scored.alias("runs"))
 
 
