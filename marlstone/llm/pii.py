@@ -1,21 +1,27 @@
 """Surrogates for personal data: keyed, of the same type and format, consistent over the corpus and distinct.
 
 Entities: e-mail addresses, phone numbers, payment card numbers, IPv4 addresses, national numbers of the form
-ddd-dd-dddd, and person names (a listed given name or a title, then a capitalised word).
+ddd-dd-dddd, and person names: titles or a listed given name, then further given names, initials, particles and up to
+two surnames (up to four names after a title), with hyphens and apostrophes. Where a text has a name, its words are
+found standing alone, too.
 
 A surrogate is drawn from HMAC-SHA256(key, type, entity, attempt):
 * digits become digits in place (separators, leading + and country code stay); a card number keeps its first digit,
   and passes the Luhn check where the original does; IPv4 octets stay in range and private networks private;
 * e-mail: letters and digits of each part become such in place, with case; the last label of the domain stays;
-* names: the given name becomes another of the same gender and script, the surname is spelt from syllables of the
-  script; a title stays; case stays.
+* names are replaced word by word, so all mentions of a person agree: `Mary Smith`, `Mrs Smith` and a later `Smith` have
+  one surname. A given name becomes another of the same gender and script by a keyed permutation of the list, an
+  initial another initial; any other word is a surname, spelt anew from syllables of its script. Titles, particles
+  (`van`, `O'`), signs and case stay.
 
 One entity (whatever its spacing or case) has one surrogate everywhere: coreference holds. Collision checks: over all
-distinct entities of the corpus, an entity whose surrogate another one has (the smallest entity keeps it), or that
-equals some original, is drawn again until none is left. Only entities with a later attempt are exceptions; the rest
-follows from the key. Exceptions are broadcast up to BROADCAST_EXCEPTIONS rows; beyond, they reach documents by a join.
+distinct entities of the corpus (of names: surnames, for permutations are distinct anyway), an entity whose surrogate
+another one has (the one of the fewest attempts keeps it, of these the smallest), or that equals some original, is drawn
+again until none is left. Only entities with a later attempt are exceptions; the rest follows from the key. Exceptions
+are broadcast up to BROADCAST_EXCEPTIONS rows; beyond, they reach documents by a join.
 
-Null texts stay null. Repeated rows are replaced alike. Extra columns stay. An empty table gives an empty result.
+Null texts stay null, empty ones empty, very long ones are read whole. Repeated rows are replaced alike; doc_ids play no
+part. Extra columns stay whatever their names are (a column `pii` is replaced). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,13 +29,15 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import drop_path, new_path, written
+from .common import drop_path, new_path, salted_join, unused, written
 
 BROADCAST_EXCEPTIONS = 100_000
 #: Distinct entities that a task remembers before it sends them on.
@@ -39,28 +47,42 @@ TEST_KEY = "marlstone-test-key"
 
 #: Given names by script and gender.
 GIVEN = {
-    ("latin", "m"): "James John Robert Michael William David Thomas Peter Daniel Paul Hans Klaus Stefan Jean Pierre Luc Carlos Juan Miguel Pablo".split(),
-    ("latin", "f"): "Mary Linda Susan Karen Sarah Emma Laura Anna Alice Helen Ingrid Sabine Petra Marie Claire Sophie Maria Carmen Lucia Elena".split(),
-    ("cyrillic", "m"): "Иван Пётр Сергей Андрей Алексей Дмитрий Николай Михаил".split(),
-    ("cyrillic", "f"): "Анна Мария Елена Ольга Татьяна Наталья Ирина Светлана".split(),
-    ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας Γιάννης Παύλος".split(),
-    ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία Άννα Δήμητρα".split(),
+    ("latin", "m"): "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Mark Paul Andrew George Peter Henry Edward Frank Hans Klaus Stefan Jürgen Wolfgang Heinz Jean Pierre Luc Jacques Michel Louis Carlos Juan Miguel Pablo José Luis Javier Antonio Giovanni Marco Luca Paolo Jan Piotr".split(),
+    ("latin", "f"): "Mary Linda Susan Karen Sarah Emma Laura Anna Ann Anne Alice Helen Patricia Jennifer Elizabeth Barbara Jessica Margaret Lisa Nancy Ingrid Sabine Petra Monika Ursula Heike Marie Claire Sophie Camille Isabelle Julie Maria María Carmen Lucia Lucía Elena Isabel Ana Giulia Chiara Francesca Katarzyna".split(),
+    ("cyrillic", "m"): "Иван Пётр Сергей Андрей Алексей Дмитрий Николай Михаил Владимир Александр Юрий Олег".split(),
+    ("cyrillic", "f"): "Анна Мария Елена Ольга Татьяна Наталья Ирина Светлана Екатерина Людмила".split(),
+    ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας Γιάννης Παύλος Βασίλης".split(),
+    ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία Άννα Δήμητρα Βασιλική".split(),
 }
-#: Titles and the gender they tell.
-TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Herr": "m", "Frau": "f", "Mme": "f", "Sr": "m", "Sra": "f", "Señor": "m", "Señora": "f", "Monsieur": "m", "Madame": "f"}
+#: Titles, and words between names that are parts of them.
+TITLES = "Mr Mrs Ms Miss Mx Dr Prof Professor Sir Herr Frau Monsieur Madame Mme Mlle Señor Señora Sr Sra Don Doña Signor Signora".split()
+PARTICLES = "van von de der den del della di da dos du la le al bin ibn zu zur ter ten y".split()
 SYLLABLES = {
     "latin": [c + v for c in "bdfgklmnprstvz" for v in "aeiou"],
     "cyrillic": [c + v for c in "бвгдзклмнпрст" for v in "аеиоу"],
     "greek": [c + v for c in "βγδζκλμνπρστ" for v in "αειου"],
 }
-GENDER = {n.lower(): (script, g) for (script, g), names in GIVEN.items() for n in names}
+INITIALS = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"]
 CAPITAL = {"latin": "[A-ZÀ-ÖØ-Þ]", "cyrillic": "[А-ЯЁ]", "greek": "[Α-ΩΆ-Ώ]"}
 SMALL = {"latin": "[A-Za-zÀ-ÖØ-öø-ÿ]", "cyrillic": "[А-Яа-яЁё]", "greek": "[Α-Ωα-ωΆ-ώ]"}
 
-_NAMES = "|".join(
-    rf"(?:{'|'.join(x for (s, _), names in GIVEN.items() if s == script for n in names for x in (n, n.upper()))}){{1}}\ +{CAPITAL[script]}{SMALL[script]}+" for script in CAPITAL
-)
-_TITLED = rf"(?:{'|'.join(TITLES)})\.?\ +(?:{'|'.join(f'{CAPITAL[s]}{SMALL[s]}+' for s in CAPITAL)})"
+GAP = r"[^\S\n]+"
+
+
+def _either(words: list[str]) -> str:
+    return "|".join(sorted({*words, *(w.upper() for w in words)}, key=lambda w: (-len(w), w)))
+
+
+def _name(script: str) -> str:
+    """Names of one script: with titles, or with a listed given name first."""
+    big, small = CAPITAL[script], SMALL[script]
+    word = rf"(?:{big}['’])?{big}{small}+(?:-{small}+|['’](?!s\b){small}+)*"
+    loose = rf"(?:(?:{big}\.|{big}(?={GAP})|{'|'.join(PARTICLES)}){GAP})"
+    given = rf"(?:{_either([n for (s, _), names in GIVEN.items() if s == script for n in names])})(?:-{big}{small}+)?(?![\w'’])"
+    titled = rf"(?:(?:{_either(TITLES)})\.?{GAP})+{loose}*{word}(?:{GAP}{loose}*{word}){{0,3}}"
+    return rf"{titled}|{given}(?:{GAP}{given})*(?:{GAP}{loose}*{word}){{1,2}}"
+
+
 #: Patterns in order of precedence, and what a text must hold for each to be tried. An address may begin after a sign,
 #: or where another one ends: at an underscore or a digit.
 PATTERNS = {
@@ -69,11 +91,14 @@ PATTERNS = {
     |(?<![\w-])(?P<national>\d{3}-\d{2}-\d{4})(?![\w-])
     |(?<![\w+.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w])
     |(?<!\w)(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}|\+\d{7,15})(?!\w)""",
-    "names": rf"\b(?P<name>{_TITLED}|{_NAMES})\b",
+    "names": rf"\b(?P<name>{'|'.join(map(_name, CAPITAL))})\b",
 }
 DIGIT = re.compile(r"\d")
 CAPITALISED = re.compile("(?:" + "|".join(CAPITAL.values()) + r")\w*")
-STARTS = frozenset([*TITLES, *(x for names in GIVEN.values() for n in names for x in (n, n.upper()))])
+LETTERS = re.compile(r"[^\W\d_]+")
+STARTS = frozenset(x for w in [*TITLES, *(n for names in GIVEN.values() for n in names)] for x in (w, w.upper()))
+_KEPT = frozenset(t.lower() for t in TITLES)
+_GIVEN = frozenset(n.lower() for names in GIVEN.values() for n in names)
 
 
 _compiled: dict[tuple[str, ...], re.Pattern] = {}
@@ -97,11 +122,42 @@ def normal(kind: str, value: str) -> str:
         return re.sub(r"\D", "", value)
     if kind == "phone":
         return re.sub(r"[^\d+]", "", value)
-    if kind == "name":
-        return " ".join(value.replace(".", "").lower().split())
     return value.lower()
 
 
+def name_words(value: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, role) of the words of a name that are replaced: given, initial or surname."""
+    titles = True
+    for m in LETTERS.finditer(value):
+        word, after = m.group(), value[m.end() : m.end() + 1]
+        low = word.lower()
+        titles = titles and low in _KEPT
+        if titles or word in PARTICLES or (len(word) == 1 and after in ("'", "’")):
+            continue
+        yield m.start(), m.end(), "given" if low in _GIVEN else "initial" if len(word) == 1 else "surname"
+
+
+def drawn(kind: str, value: str) -> list[tuple[str, str]]:
+    """The entities of a mention whose surrogates are drawn: (kind, normal form)."""
+    if kind == "name":
+        return [("surname", value[a:z].lower()) for a, z, role in name_words(value) if role == "surname"]
+    return [(kind, normal(kind, value))]
+
+
+_circles: dict[str, dict[str, str]] = {}
+
+
+def circle(key: str) -> dict[str, str]:
+    """Given names and initials by those that follow in a keyed order of their list: no two have one, none its own."""
+    if key not in _circles:
+        found: dict[str, str] = {}
+        for group in [*([n.lower() for n in names] for names in GIVEN.values()), *map(list, INITIALS)]:
+            order = sorted(group, key=lambda n: hmac.new(key.encode(), b"circle\0" + n.encode(), hashlib.sha256).digest())
+            found |= dict(zip(order, [*order[1:], order[0]], strict=True))
+        _circles[key] = found
+    return _circles[key]
+
+
 class Draw:
     """A stream of keyed random numbers."""
 
@@ -149,9 +205,9 @@ def _spelt(value: str, draw: Draw) -> str:
     return "".join("abcdefghijklmnopqrstuvwxyz"[draw.below(26)] if c.isalpha() else str(draw.below(10)) if c.isdigit() else c for c in value)
 
 
-def _surname(script: str, draw: Draw) -> str:
+def _surname(script: str, draw: Draw, n: int) -> str:
     syllables = SYLLABLES[script]
-    return "".join(syllables[draw.below(len(syllables))] for _ in range(4))
+    return "".join(syllables[draw.below(len(syllables))] for _ in range(n))
 
 
 def script_of(word: str) -> str:
@@ -173,13 +229,7 @@ def surrogate(key: str, kind: str, entity: str, attempt: int = 0) -> str:
     if kind == "email":
         head, _, last = entity.rpartition(".")
         return _spelt(head, draw) + "." + last
-    first, *rest = entity.split(" ")
-    given = GENDER.get(first)
-    script = script_of(rest[-1] if rest else first)
-    if given:
-        names = [n.lower() for n in GIVEN[given] if n.lower() != first]
-        first = names[draw.below(len(names))]
-    return f"{first} {_surname(script, draw)}"
+    return _surname(script_of(entity), draw, 4 + min(attempt, 4))
 
 
 def _cased(word: str, like: str) -> str:
@@ -193,18 +243,35 @@ def dressed(kind: str, value: str, made: str) -> str:
         return "".join(next(signs) if c.isdigit() or c == "+" else c for c in value)
     if kind == "email":
         return "".join(m.upper() if c.isupper() else m for m, c in zip(made, value, strict=True))
-    if kind == "name":
-        words = re.split(r"(\.?\ +)", value)
-        first, last = made.split(" ")
-        return _cased(first, words[0]) + words[1] + _cased(last, words[2])
     return made
 
 
+def renamed(value: str, key: str, surname) -> str:
+    """A name word by word; `surname` gives the surrogate of one."""
+    out, at = [], 0
+    for a, z, role in name_words(value):
+        word = value[a:z]
+        low = word.lower()
+        base = unicodedata.normalize("NFD", low)[0] if role == "initial" else low
+        made = surname(low) if role == "surname" else circle(key).get(low) or circle(key).get(base, "x")
+        out += [value[at:a], _cased(made, word)]
+        at = z
+    return "".join([*out, value[at:]])
+
+
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, value) from left to right."""
-    if text and (kinds := possible(text)):
-        for m in pattern(kinds).finditer(text):
-            yield m.start(), m.end(), m.lastgroup, m.group()
+    if not text or not (kinds := possible(text)):
+        return
+    found = [(m.start(), m.end(), m.lastgroup, m.group()) for m in pattern(kinds).finditer(text)]
+    words = {v[a:z] for _, _, k, v in found if k == "name" for a, z, role in name_words(v) if role != "initial"}
+    if words:  # mentions of these words alone, between what is found
+        words = {w for x in words for w in (x, x.capitalize(), x.upper())}
+        edges, alone = [(0, 0), *((a, z) for a, z, _, _ in found), (len(text), len(text))], []
+        for (_, begin), (end, _) in zip(edges, edges[1:], strict=False):
+            alone += [(m.start(), m.end(), "name", m.group()) for m in LETTERS.finditer(text, begin, end) if m.group() in words]
+        found = sorted(found + alone)
+    yield from found
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +280,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text in b.column("text"):
             for _, _, kind, value in entities(text.as_py()):
-                found.add((kind, normal(kind, value)))
+                found.update(drawn(kind, value))
         if len(found) > REMEMBERED:
             yield pack(found)
             found = set()
@@ -255,14 +322,17 @@ def replace(text: str | None, key: str, exceptions: dict[tuple[str, str], str],
     if text is None:
         return None, []
     out, spans, at, size = [], [], 0, 0
-    for start, end, kind, value in entities(text):
-        entity = (kind, normal(kind, value))
-        made = exceptions.get(entity) or known.get(entity)
-        if made is None:
+
+    def made(entity: tuple[str, str]) -> str:
+        found = exceptions.get(entity) or known.get(entity)
+        if found is None:
             if len(known) > REMEMBERED:
                 known.clear()
-            made = known[entity] = surrogate(key, *entity)
-        new = dressed(kind, value, made)
+            found = known[entity] = surrogate(key, *entity)
+        return found
+
+    for start, end, kind, value in entities(text):
+        new = renamed(value, key, lambda w: made(("surname", w))) if kind == "name" else dressed(kind, value, made((kind, normal(kind, value))))
         size += start - at
         spans.append({"kind": kind, "start": size, "end": size + len(new)})
         out += [text[at:start], new]
@@ -270,28 +340,28 @@ def replace(text: str | None, key: str, exceptions: dict[tuple[str, str], str],
     return ("".join([*out, text[at:]]) if out else text), spans
 
 
-def _apply(batches: Iterator[pa.RecordBatch], key: str, shared) -> Iterator[pa.RecordBatch]:
+def _apply(batches: Iterator[pa.RecordBatch], key: str, shared, own_name: str | None = None) -> Iterator[pa.RecordBatch]:
     exceptions, known = (shared.value if shared else {}), {}
     spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     for b in batches:
-        own = b.column("_own").to_pylist() if "_own" in b.schema.names else None
+        own = b.column(own_name).to_pylist() if own_name else None
         texts, spans = [], []
         for k, text in enumerate(b.column("text")):
-            there = {(x["kind"], x["entity"]): x["surrogate"] for x in own[k]} if own and own[k] else exceptions
+            there = {(x["kind"], x["entity"]): x["surrogate"] for x in own[k] or ()} if own else exceptions
             t, s = replace(text.as_py(), key, there, known)
             texts.append(t)
             spans.append(s)
-        names = [c for c in b.schema.names if c not in ("_own", "pii")]
+        names = [c for c in b.schema.names if c != own_name]
         cols = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names]
         yield pa.record_batch([*cols, pa.array(spans, spans_type)], [*names, "pii"])
 
 
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = [(i.as_py(), k, normal(k, v)) for i, t in zip(b.column("doc_id"), b.column("text"), strict=True) for _, _, k, v in entities(t.as_py())]
+        rows = {(i.as_py(), *e) for i, t in zip(b.column("h"), b.column("text"), strict=True) for _, _, k, v in entities(t.as_py()) for e in drawn(k, v)}
         if rows:
-            cols = list(zip(*sorted(set(rows), key=str), strict=True))
-            yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2])], ["doc_id", "kind", "entity"])
+            cols = list(zip(*sorted(rows), strict=True))
+            yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2])], ["h", "kind", "entity"])
 
 
 def pseudonymise(docs: DataFrame, key: str, broadcast_exceptions: int = BROADCAST_EXCEPTIONS) -> DataFrame:
@@ -299,12 +369,15 @@ def pseudonymise(docs: DataFrame, key: str, broadcast_exceptions: int = BROADCAS
     sc = docs.sparkSession.sparkContext
     docs = docs.drop("pii")
     later = assign(docs, key).where("attempt > 0").select("kind", "entity", "surrogate")
-    schema = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema.fields) + ", pii array<struct<kind:string,start:int,end:int>>"
     docs = docs.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), *T.StructType.fromDDL("pii array<struct<kind:string,start:int,end:int>>")])
     if (n := later.limit(broadcast_exceptions + 1).count()) <= broadcast_exceptions:
         shared = sc.broadcast({(r["kind"], r["entity"]): r["surrogate"] for r in later.collect()}) if n else None
         return docs.mapInArrow(lambda it: _apply(it, key, shared), schema)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_mentions, "doc_id long, kind string, entity string")
-    own = own.join(later, ["kind", "entity"]).groupBy("doc_id").agg(F.collect_set(F.struct("kind", "entity", "surrogate")).alias("_own")).withColumnRenamed("doc_id", "_id")
-    rows = docs.join(own, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").select(*docs.columns, "_own")
-    return rows.mapInArrow(lambda it: _apply(it, key, None), schema)
+    # Texts with exceptions get theirs by a hash; where two texts share it, each has those of both, and more than it needs.
+    h, own_name = unused(docs, "h", "own")
+    own = docs.select(F.xxhash64("text").alias("h"), "text").mapInArrow(_mentions, "h long, kind string, entity string")
+    own = own.join(later, ["kind", "entity"]).groupBy(F.col("h").alias(h)).agg(F.collect_set(F.struct("kind", "entity", "surrogate")).alias(own_name))
+    salt_by = F.col("doc_id") if "doc_id" in docs.columns else F.lit(0)
+    rows = salted_join(docs.withColumn(h, F.xxhash64("text")), own, [h], salt_by).select(*(F.col(f"`{c}`") for c in docs.columns), own_name)
+    return rows.mapInArrow(lambda it: _apply(it, key, None, own_name), schema)
