@@ -9,9 +9,11 @@ one Spark conditional expression.
 Learning takes labelled rows only, at most SAMPLE_ROWS of them chosen by a hash of doc_id (all of them where there are
 fewer); the counts cover all documents.
 
-Null, empty and blank texts have zero words, and fail the base rule. Repeated rows get equal results; a doc_id with
-contradicting labels counts as low quality. Without labels, or with one kind of label only, the list is empty and only
-the base rule decides. Columns other than doc_id and text are ignored.
+Null, empty and blank texts have zero words, and fail the base rule; very long texts are counted whole. Repeated rows
+and null ids are rows of their own and equal texts get equal results; a doc_id with contradicting labels counts as low
+quality, one with several texts is learned from once, by its smallest counts. Of conditions with equal gain the first
+wins, in the order of `ratios` and of thresholds. Without labels, or with one kind of label only, the list is empty and
+only the base rule decides; an empty table gives an empty result. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -234,9 +236,11 @@ def learn(counts: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     if not n:
         return Rules([])
     if n > sample_rows:
-        marked = marked.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))).where(F.col("_h") < int((1 << 30) * (sample_rows / n) * 0.98)).drop("_h")
+        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * (sample_rows / n) * 0.98))
     side = F.pmod(F.xxhash64(F.lit("prune"), F.col("doc_id")), F.lit(3)) == 0
-    counts = counts.dropDuplicates(["doc_id"]).join(marked, "doc_id")
+    counts = counts.select(*(c.split()[0] for c in COUNTS.split(", "))).join(marked, "doc_id")
+    # Of rows that repeat a doc_id the one with the smallest counts.
+    counts = counts.groupBy("doc_id", "quality").agg(F.min(F.struct(*counts.drop("doc_id", "quality").columns)).alias("x")).select("doc_id", "quality", "x.*")
     rows = counts.select(*(c.alias(k) for k, c in ratios().items()), (F.col("quality") == 0).alias("_bad"), side.alias("_prune"), base_failed().alias("_out"), "doc_id").where("not _out").orderBy("doc_id").toPandas()
     if not len(rows) or rows["_bad"].all() or not rows["_bad"].any():
         return Rules([])

@@ -5,7 +5,10 @@ slot of its permutation that is still free, until all are taken. So shards hold
 shard that comes or goes moves little more than its own share. A document's slot is a hash of its key modulo the size;
 the table, of a fixed number of rows, is broadcast.
 
-A null doc_id is placed by its text. Repeated rows come to the same shard. An empty table gives an empty result.
+A null doc_id is placed by its text (rows without a text, and tables without that column, all have one place then).
+Repeated rows come to the same shard; texts of any length, null or empty, play no part where there is an id. There are
+no ties: each slot has one shard. An empty table gives an empty result. Extra columns stay; `slot` and `shard` are
+replaced. An empty list of shards, or one with a name twice, is an error.
 """
 
 from __future__ import annotations
@@ -60,7 +63,8 @@ def place(docs: DataFrame, shards: int | list[str] = SHARDS, size: int = TABLE_S
     names = [f"shard-{k}" for k in range(shards)] if isinstance(shards, int) else list(shards)
     spark = docs.sparkSession
     table = spark.createDataFrame(pd.DataFrame({"slot": np.arange(size, dtype=np.int32), "shard": lookup_table(names, size)}), "slot int, shard int")
-    hashed = F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("string"))).otherwise(F.xxhash64(F.lit("null"), F.col(text).cast("string")))
+    by_text = F.col(text).cast("string") if text in docs.columns else F.lit(None).cast("string")
+    hashed = F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key).cast("string"))).otherwise(F.xxhash64(F.lit("null"), by_text))
     docs = docs.drop("slot", "shard").withColumn("slot", F.pmod(hashed, F.lit(size)).cast("int"))
     kept = [c for c in docs.columns if c != "slot"]
     return docs.join(F.broadcast(table), "slot").select(*kept, "slot", "shard")

@@ -1,14 +1,17 @@
-"""URL filter: host-suffix and path-prefix expressions, an equi-join on short hash prefixes, then full digests.
+"""URL filter: host-suffix and path-prefix expressions, equi-joins on short hash prefixes, then full digests.
 
 A rule (host, path, verdict) fits a url whose host is the rule's or a subdomain of it and whose path starts with the
-rule's. Each distinct url is expanded into the expressions that a rule could have: host suffixes with the label counts
-that occur among the rules, joined to path prefixes of the lengths that occur. An expression meets rules by the first
-PREFIX_HEX digits of its SHA-256; the full digests decide. The longest rule wins (code points of host and path; equal
-rules with different verdicts: block). A url without a rule gets `default`.
+rule's. Each distinct url is expanded in two steps, so that its expressions are as many as could have a rule of their
+host: its host suffixes (with the label counts that occur among the rules) meet the rules' hosts; those that have rules
+are joined to the url's path prefixes of the lengths that occur under that host, and meet the rules. Both meet by the
+first PREFIX_HEX digits of a SHA-256; the full digests decide. The longest rule wins (code points of host and path;
+equally long ones by text; equal rules with different verdicts: block). A url without a rule gets `default`.
 
-Host: what follows the first :// up to /, ? or #, with A-Z in lower case; path: what follows up to ? or #. A null url,
-or one without ://, has an empty host and path and no rule. Duplicate urls are judged once. Rules are broadcast up to
-BROADCAST_RULES rows; beyond, distinct expressions are shuffled to them.
+Host: what follows the first :// up to /, ? or #, with A-Z in lower case; path: what follows up to ? or #. A null or
+empty url, or one without ://, has an empty host and path and no rule. Very long urls are expanded whole. Duplicate urls
+are judged once and repeated rows, with null page_ids or not, are rows of their own. Extra columns are ignored. Without
+pages the result is empty, without rules every verdict is `default`. Rules are broadcast up to BROADCAST_RULES rows;
+beyond, distinct suffixes and expressions are shuffled to them.
 """
 
 from __future__ import annotations
@@ -39,28 +42,35 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.coalesce(F.translate(host, UPPER, LOWER), F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def _meet(tried: DataFrame, text: Column, known: DataFrame, small: bool) -> DataFrame:
+    """Rows of `tried` (url, ...) whose `text` has a digest in `known` (digest, ...), with the columns of that."""
+    tried = tried.withColumn("full", F.sha2(text, 256))
+    short = known.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
+    prefix = F.substring("full", 1, PREFIX_HEX)
+    if small:
+        return tried.withColumn("prefix", prefix).join(F.broadcast(short), "prefix").where("full = digest").drop("prefix", "full", "digest")
+    found = tried.select("full").distinct().withColumn("prefix", prefix).join(short, "prefix").where("full = digest").drop("prefix", "digest")
+    return salted_join(tried, found, ["full"], F.col("url"), "inner").drop("full")
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
     """(page_id, url) rows -> page_id, host, path, rule, verdict, in any order; one row for each given row."""
     pages = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"))
-    text = F.concat("host", "path")
-    rules = rules.where("host is not null and path is not null").select(F.col("host"), F.col("path"), F.col("verdict"))
-    rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block > allow
-    rules = rules.select(text.alias("rule"), "verdict", F.sha2(text, 256).alias("digest"), F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("chars"))
-    shape = rules.agg(F.count("*"), F.collect_set("labels"), F.collect_set("chars")).first()
+    rules = rules.where("host is not null and path is not null").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block > allow
+    hosts = rules.groupBy("host").agg(F.sort_array(F.collect_set(F.length("path"))).alias("lengths"))
+    n_rules, counts = rules.agg(F.count("*"), F.collect_set(F.size(F.split("host", r"\.")))).first()
+    small = n_rules <= broadcast_rules
     host, path = parts(F.col("url"))
     urls = pages.where("url is not null").select("url").distinct().select("url", host.alias("host"), path.alias("path")).where("host != ''")
     labels = F.split("host", r"\.")
-    suffixes = F.filter(F.array(*(F.when(F.size(labels) >= k, F.array_join(F.slice(labels, -k, k), ".")) for k in sorted(shape[1]))), lambda x: x.isNotNull()) if shape[0] else F.array().cast("array<string>")
-    prefixes = F.filter(F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(shape[2]))), lambda x: x.isNotNull()) if shape[0] else F.array().cast("array<string>")
-    pairs = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
-    tried = urls.select("url", F.explode(F.array_distinct(pairs)).alias("expression"))
-    full = F.sha2("expression", 256)
-    short = rules.select(F.substring("digest", 1, PREFIX_HEX).alias("prefix"), "digest", "rule", "verdict")
-    if shape[0] <= broadcast_rules:
-        hits = tried.withColumn("full", full).withColumn("prefix", F.substring("full", 1, PREFIX_HEX)).join(F.broadcast(short), "prefix").where("full = digest")
-    else:
-        found = tried.select("expression").distinct().withColumn("full", full).withColumn("prefix", F.substring("full", 1, PREFIX_HEX)).join(short, "prefix").where("full = digest").select("expression", "rule", "verdict")
-        hits = salted_join(tried, found, ["expression"], F.col("url"), "inner")
+    suffixes = F.array(*(F.when(F.size(labels) >= k, F.array_join(F.slice(labels, -k, k), ".")) for k in sorted(counts))) if counts else F.array().cast("array<string>")
+    tried = urls.select("url", "path", F.explode(suffixes).alias("suffix")).where("suffix is not null")
+    tried = _meet(tried, F.col("suffix"), hosts.select(F.sha2("host", 256).alias("digest"), "lengths"), small)
+    tried = tried.select("url", "path", "suffix", F.explode("lengths").alias("n")).where("length(path) >= n")
+    whole = lambda h, p: F.concat(h, F.lit("\n"), p)
+    tried = tried.select("url", whole(F.col("suffix"), F.expr("substring(path, 1, n)")).alias("expression"))
+    known = rules.select(F.sha2(whole(F.col("host"), F.col("path")), 256).alias("digest"), F.concat("host", "path").alias("rule"), "verdict")
+    hits = _meet(tried, F.col("expression"), known, small)
     best = hits.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
     best = best.select("url", "best.rule", "best.verdict")
     out = salted_join(pages, best, ["url"], F.col("page_id"))

@@ -7,8 +7,8 @@ records. Of records with equal payloads of at least REVISIT_BYTES, that with the
 others are revisits of it; smaller ones are responses all. Rows that repeat the largest page_id with the same payload
 are responses each; a null page_id is smaller than any other, and a group of nulls alone is all responses.
 
-A null html is an empty payload, a null url leaves its header out, control characters of urls are percent-encoded,
-further columns are ignored, an empty table gives an empty index. A task that is run again writes new files under new
+A null html is an empty payload, a null url leaves its header out, control characters of urls are percent-encoded, very
+long payloads are written and read whole, further columns are ignored, an empty table gives an empty index. A task that is run again writes new files under new
 names; the index holds only those of the attempt that Spark committed. Files are opened with pyarrow.fs, so the shared
 folder may be any store that it reaches (local or mounted, HDFS, S3, GCS).
 """
