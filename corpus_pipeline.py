@@ -2,7 +2,10 @@
 
 toxicity: documents that score 0.3 and more go. near duplicates: one document of each group stays. decontamination:
 documents that hold a benchmark item go. mixing: every document comes as often as the mix takes it (not at all, or
-up to three times). sharding: every row gets its shard.
+up to three times), shard by shard in a shuffled order. sharding: every row gets its shard in the lookup table.
+
+Rows are judged by what they hold: null and repeated doc_ids, null, empty and very long texts, tables without rows and
+columns of any names pass through every stage as the operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -46,7 +49,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, old = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        out, path = stage(spark, docs, sf_dir), common.new_path(spark, f"stage-{name}")
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if old:
+            common.drop_path(spark, old)
+        old = path
     return docs
