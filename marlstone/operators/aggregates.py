@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.functions import url as U
+
 
 def by_language(key: str) -> Column:
     """An ordering of text as a reader expects it: accents and case come after letters."""
@@ -29,7 +31,9 @@ def filled_tally(df: DataFrame, field: str, values: list[str]) -> DataFrame:
 
 
 def distinct_domains(df: DataFrame, url: Column, approximate: bool = False) -> DataFrame:
-    return df.agg((F.approx_count_distinct if approximate else F.count_distinct)(url).alias("domains"))
+    """How many hosts the urls have; all that have none count as one, `?`."""
+    host = F.coalesce(U.host_col(url), F.lit("?"))
+    return df.agg((F.approx_count_distinct if approximate else F.count_distinct)(host).alias("domains"))
 
 
 def lines(counts: DataFrame, field: str, limit: int = 200) -> list[str]:

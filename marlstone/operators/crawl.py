@@ -7,32 +7,15 @@ state is written out, which cuts the lineage.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions import url as U
 from marlstone.operators.extract import outbound_links
-
-
-def follow_redirects(start: str, allowed: Callable[[str], bool | str], get: Callable[[str], dict], most: int = 5) -> dict:
-    """Walks a chain hop by hop, asking permission before each: the last answer, or an error, with the chain."""
-    url, chain = start, [start]
-    for _ in range(most + 1):
-        leave = allowed(url)
-        if leave is not True:
-            return {"error": leave or "disallowed by robots.txt", "chain": chain}
-        got = get(url)
-        if got.get("redirect") is None:
-            return {**got, "chain": chain}
-        url = got["redirect"]
-        if url in chain:
-            return {"error": "redirect loop", "chain": chain}
-        chain.append(url)
-    return {"error": f"more than {most} redirects", "chain": chain}
+from marlstone.operators.pool import capped, firsts
+from marlstone.sources.scratch import keep
 
 
 def resolve(starts: DataFrame, hops: DataFrame, most: int = 5) -> DataFrame:
@@ -64,11 +47,8 @@ def resolve(starts: DataFrame, hops: DataFrame, most: int = 5) -> DataFrame:
     return state.select("url", F.when(error.isNull(), F.col("at")).alias("final"), "chain", error.alias("error"))
 
 
-def _keep(spark: SparkSession, df: DataFrame) -> DataFrame:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    path = f"{base.rstrip('/')}/marlstone/crawl-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _keep(df: DataFrame) -> DataFrame:
+    return keep(df, "crawl")
 
 
 def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], pages_per_host: int = 12, follow: int = 8) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +61,7 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], pages_per_h
     spark = seeds.sparkSession
     seeds = seeds.withColumn("host", U.host_col("url")).where("host is not null")
     first = seeds.groupBy("host").agg(F.min_by("sector", "pos").alias("sector"))
-    queue = _keep(spark, seeds.select("host", "url", F.col("pos").cast("long").alias("at")).groupBy("host", "url").agg(F.min("at").alias("at")))
+    queue = _keep(seeds.select("host", "url", F.col("pos").cast("long").alias("at")).groupBy("host", "url").agg(F.min("at").alias("at")))
     done = spark.createDataFrame([], "host string, url string, final string, error string, round int")
     pages = spark.createDataFrame([], "url string, html string, host string")
     added = spark.createDataFrame([], "host string, n long")
@@ -89,21 +69,21 @@ def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], pages_per_h
         seen = done.select("host", "url").union(done.where("final is not null").select("host", "final")).distinct()
         room = seen.groupBy("host").agg(F.count("*").alias("used"))
         rest = queue.join(seen, ["host", "url"], "left_anti").join(room, "host", "left").where(F.coalesce("used", F.lit(0)) < pages_per_host)
-        turn = _keep(spark, rest.withColumn("nth", F.row_number().over(Window.partitionBy("host").orderBy("at", "url"))).where("nth = 1").select("host", "url"))
+        turn = _keep(firsts(rest.select("host", "url", "at"), ["host"], ["at", "url"]).select("host", "url"))
         if turn.isEmpty():
             break
-        got = _keep(spark, fetch(turn.select("url").distinct()).join(turn, "url"))
-        done = _keep(spark, done.unionByName(got.select("host", "url", F.when(F.col("error").isNull(), F.coalesce("final_url", "url")).alias("final"), "error", F.lit(n).alias("round"))))
+        got = _keep(fetch(turn.select("url").distinct()).join(turn, "url"))
+        done = _keep(done.unionByName(got.select("host", "url", F.when(F.col("error").isNull(), F.coalesce("final_url", "url")).alias("final"), "error", F.lit(n).alias("round"))))
         new = got.where("error is null").select(F.coalesce("final_url", "url").alias("url"), "html", "host")
         pages = pages.unionByName(new)
         numbered = new.withColumn("page_id", F.xxhash64("host", "url"))
         links = outbound_links(numbered.select("page_id", "url", "html")).join(numbered.select("page_id", "host"), "page_id").select("host", F.col("link").alias("url"), "pos")
         known = queue.select("host", "url").union(done.select("host", "url")).union(done.where("final is not null").select("host", "final"))
         fresh = links.groupBy("host", "url").agg(F.min("pos").alias("pos")).join(known, ["host", "url"], "left_anti")
-        fresh = fresh.join(added, "host", "left").withColumn("nth", F.row_number().over(Window.partitionBy("host").orderBy("pos", "url"))).where(F.col("nth") + F.coalesce("n", F.lit(0)) <= follow)
-        fresh = _keep(spark, fresh.select("host", "url", (F.lit((n + 1) << 32) + F.col("pos")).alias("at")))
-        added = _keep(spark, added.unionByName(fresh.groupBy("host").agg(F.count("*").alias("n"))).groupBy("host").agg(F.sum("n").alias("n")))
-        queue = _keep(spark, queue.unionByName(fresh))
+        fresh = capped(fresh.join(added, "host", "left"), "host", ["pos", "url"], F.lit(follow) - F.coalesce("n", F.lit(0)))
+        fresh = _keep(fresh.select("host", "url", (F.lit((n + 1) << 32) + F.col("pos")).alias("at")))
+        added = _keep(added.unionByName(fresh.groupBy("host").agg(F.count("*").alias("n"))).groupBy("host").agg(F.sum("n").alias("n")))
+        queue = _keep(queue.unionByName(fresh))
     visits = done.join(first, "host")
     return visits, pages.join(first, "host").withColumn("page_id", F.xxhash64("host", "url"))
 

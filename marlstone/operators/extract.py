@@ -17,6 +17,7 @@ from marlstone.functions import html as H
 from marlstone.functions import url as U
 from marlstone.functions.columns import filled
 from marlstone.plans.schemas import FIELDS, IMPLEMENTATIONS
+from marlstone.sources.scratch import keep
 
 NODES = (
     "page_id long, page_url string, pos int, parent int, tag string, attrs map<string,string>, start int, open_end int, end int, "
@@ -157,7 +158,9 @@ def sprites(nodes: DataFrame) -> DataFrame:
 
 def judged(pages: DataFrame, sector: Column, retrieved: str) -> DataFrame:
     """Every image of the pages: the columns of an item, page_id, pos, and `skip_reason` (null for a candidate)."""
-    nodes = explode_nodes(pages).persist()
+    # Parsed once: what images, maps and sprites need of all elements is written out.
+    needed = F.col("is_image") | F.col("tag").isin("map", "use") | F.col("attrs")["usemap"].isNotNull() | (F.col("attrs")["id"].isNotNull() & F.col("outer").isNotNull())
+    nodes = keep(explode_nodes(pages).where(needed), "nodes")
     images = nodes.where("is_image")
     named = F.element_at(F.filter("ancestors", lambda a: a["tag"] == "map"), 1)
     maps = nodes.where("tag = 'map'").select("page_id", F.col("pos").alias("map_pos"), F.coalesce(F.col("attrs")["name"], F.col("attrs")["id"]).alias("map_name"))

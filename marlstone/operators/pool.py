@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import item_id, item_number
+from marlstone.sources.scratch import keep
 
 KEY = ("page_url", "picture", "element_role", "accessible_name")
 
@@ -14,16 +15,31 @@ def keyed(items: DataFrame) -> DataFrame:
     return items.withColumn("picture", F.coalesce("image_url", "element_html"))
 
 
-def fresh(found: DataFrame, pool: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """`found` without what the pool has by key, the first of each key by `order`."""
-    nth = F.row_number().over(Window.partitionBy(*KEY).orderBy(*(order or ["pos"])))
-    new = keyed(found).withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    have = keyed(pool).select(*KEY).distinct().alias("p")
+def firsts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key by `order`: a minimum, which combines before the shuffle, so a hot key burdens no task."""
+    first = F.min_by(F.struct("*"), F.struct(*order)).alias("x")
+    return df.groupBy(*(F.col(k).alias(f"_key{n}") for n, k in enumerate(keys))).agg(first).select("x.*")
+
+
+def unseen(df: DataFrame, have: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `df` whose key `have` lacks; nulls are equal to each other."""
+    have = have.select(*keys).distinct().alias("p")
     same = None
-    for k in KEY:
-        part = new[k].eqNullSafe(F.col(f"p.{k}"))
+    for k in keys:
+        part = df[k].eqNullSafe(F.col(f"p.{k}"))
         same = part if same is None else same & part
-    return new.join(have, same, "left_anti").drop("picture")
+    return df.join(have, same, "left_anti")
+
+
+def capped(df: DataFrame, key: str, order: list[str | Column], most: Column | int) -> DataFrame:
+    """The first `most` rows of each key by `order`."""
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("_nth", nth).where(F.col("_nth") <= most).drop("_nth")
+
+
+def fresh(found: DataFrame, pool: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """`found` without what the pool has by key, the first of each key by `order`."""
+    return unseen(firsts(keyed(found), list(KEY), order or ["pos"]), keyed(pool), list(KEY)).drop("picture")
 
 
 def last_number(pool: DataFrame) -> int:
@@ -31,8 +47,12 @@ def last_number(pool: DataFrame) -> int:
 
 
 def number(items: DataFrame, last: int, order: list[str | Column]) -> DataFrame:
-    """Gives ids from last + 1 on, in order. Ranks come in two steps: counts of ranges, then places inside them."""
+    """Gives ids from last + 1 on, in order. Ranks come in two steps: counts of ranges, then places inside them.
+
+    The ranges are written once, so that both steps see the same.
+    """
     spread = items.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    spread = keep(spread, "ranges")
     sizes = spread.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     n = F.col("_row") - F.col("_first") + F.col("_before") + 1 + last
@@ -42,5 +62,4 @@ def number(items: DataFrame, last: int, order: list[str | Column]) -> DataFrame:
 def add(found: DataFrame, pool: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The new candidates with their ids; `dry run` is to look at them and not append them."""
     order = order or ["pos"]
-    nth = F.row_number().over(Window.orderBy(*order))
-    return fresh(found, pool, order).withColumn("id", item_id(nth + last_number(pool)))
+    return number(fresh(found, pool, order), last_number(pool), order)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import not_blank
+from marlstone.operators.validate import broken
 from marlstone.plans.schemas import BATCH_INPUT, QUALITIES, SUBTYPES, VERDICTS
 
 LEAST_REASON = 20
@@ -41,7 +42,7 @@ def check(verdicts: DataFrame, corpus: DataFrame) -> DataFrame:
         ("keep_not_good", known & keep & _no(F.col("alt_quality") == "good")),
         ("keep_without_image", known & keep & ~not_blank(F.col("image_file"))),
     ]
-    return j.select("line", "item_id", F.explode(F.array_compact(F.array(*(F.when(t, F.lit(n)) for n, t in tests)))).alias("problem"))
+    return broken(j, tests, "line", "item_id")
 
 
 def merge(corpus: DataFrame, verdicts: DataFrame) -> DataFrame:

@@ -45,22 +45,9 @@ def pattern(path: str) -> str:
     return "(?s)^" + ".*".join(re.escape(x) for x in body.split("*")) + end
 
 
-def matches_plainly(path: str, url_path: str) -> bool:
-    """Matching without backtracking, each piece at its first place; for comparison with older crawls."""
-    body, end = (path[:-1], True) if path.endswith("$") else (path, False)
-    at = 0
-    for k, piece in enumerate(body.split("*")):
-        if piece:
-            found = (0 if url_path.startswith(piece) else -1) if k == 0 else url_path.find(piece, at)
-            if found < 0:
-                return False
-            at = found + len(piece)
-    return at == len(url_path) if end else True
-
-
-def allows(rules: list[tuple[bool, str]], url_path: str, compat: bool = False) -> bool:
+def allows(rules: list[tuple[bool, str]], url_path: str) -> bool:
     """The longest rule that fits decides, Allow at equal lengths; without any it is allowed."""
-    hit = [(len(p), allow) for allow, p in rules if p and (matches_plainly(p, url_path) if compat else re.match(pattern(p), url_path))]
+    hit = [(len(p), allow) for allow, p in rules if p and re.match(pattern(p), url_path)]
     return max(hit)[1] if hit else True
 
 

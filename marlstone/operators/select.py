@@ -2,7 +2,9 @@
 
 The choice depends on what was chosen before, so it is sequential; but its rank depends on (sector, sub-type) alone.
 One queue for each such pair, in pool order, with the least of (sector count, sub-type count, place) taken next gives
-the same as a scan of the whole pool for each choice. Only narrow rows go to that one task.
+the same as a scan of the whole pool for each choice. The task that chooses gets the head of each queue and the counts
+of what is taken already; where a queue runs out of its head, longer ones are given. All other rows are labelled by
+joins.
 """
 
 from __future__ import annotations
@@ -12,13 +14,15 @@ from dataclasses import dataclass
 from math import ceil
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import filled
+from marlstone.sources.scratch import keep
 
 NARROW = ["id", "page_url", "domain", "sector", "subtype", "image_file", "image_sha256", "element_role"]
 OUTCOME = "id string, outcome string, chosen_seq int, pos long"
+COUNTED = ("page_url", "domain", "subtype", "sector")
 DROPS = ("alreadySelected", "noImage", "duplicateImage", "pageCap", "domainCap")
 
 
@@ -40,59 +44,95 @@ class Caps:
         return max(1, ceil(round(self.goal * self.domain_share * self.headroom, 9)))
 
 
-def greedy(pool: list[dict], taken: list[dict], caps: Caps) -> list[dict]:
-    """The outcome of each row of the pool: chosen (with its number), a reason for its drop, or remaining."""
-    ids = {t["id"] for t in taken}
-    images = {(t["image_sha256"], t["element_role"]) for t in taken}
-    pages, domains, subtypes, sectors = (Counter(t[c] for t in taken) for c in ("page_url", "domain", "subtype", "sector"))
+def greedy(pool: list[dict], counts: dict[str, Counter], caps: Caps) -> list[dict]:
+    """The outcome of each row of the pool in order: chosen (with its number), a reason for its drop, or remaining.
+
+    `counts` says how often each page_url, domain, subtype, sector and image (digest and role) is taken. A row with
+    `cut` marks where the head of its queue ends: it comes out as cut when it is reached, and nothing more is chosen.
+    """
     queues: dict[tuple, deque] = {}
-    outcome: list[str] = []
     for k, row in enumerate(pool):
-        if row["id"] in ids:
-            outcome.append("alreadySelected")
-        elif caps.require_image and not (row["image_file"] and row["image_sha256"]):
-            outcome.append("noImage")
-        else:
-            outcome.append("remaining")
-            queues.setdefault((row["sector"], row["subtype"]), deque()).append(k)
+        queues.setdefault((row["sector"], row["subtype"]), deque()).append(k)
+    outcome = ["remaining"] * len(pool)
     order: dict[int, int] = {}
     while len(order) < caps.add and queues:
-        pair = min(queues, key=lambda p: (sectors[p[0]], subtypes[p[1]], queues[p][0]))
+        pair = min(queues, key=lambda p: (counts["sector"][p[0]], counts["subtype"][p[1]], queues[p][0]))
         k = queues[pair].popleft()
         if not queues[pair]:
             del queues[pair]
         row = pool[k]
         image = (row["image_sha256"], row["element_role"])
-        if caps.require_image and image in images:
+        if row.get("cut"):
+            outcome[k] = "cut"
+            break
+        if caps.require_image and counts["image"][image]:
             outcome[k] = "duplicateImage"
-        elif pages[row["page_url"]] >= caps.per_page:
+        elif counts["page_url"][row["page_url"]] >= caps.per_page:
             outcome[k] = "pageCap"
-        elif domains[row["domain"]] >= caps.domain_cap:
+        elif counts["domain"][row["domain"]] >= caps.domain_cap:
             outcome[k] = "domainCap"
         else:
             outcome[k] = "chosen"
             order[k] = len(order)
-            images.add(image)
-            for count, c in ((pages, "page_url"), (domains, "domain"), (subtypes, "subtype"), (sectors, "sector")):
-                count[row[c]] += 1
+            counts["image"][image] += 1
+            for c in COUNTED:
+                counts[c][row[c]] += 1
     return [{"id": r["id"], "outcome": o, "chosen_seq": order.get(k), "pos": r["pos"]} for k, (r, o) in enumerate(zip(pool, outcome, strict=True))]
 
 
-def select(pool: DataFrame, taken: DataFrame, caps: Caps) -> DataFrame:
-    """OUTCOME rows for the pool (columns NARROW and pos)."""
+def _counts(taken: DataFrame, heads: DataFrame) -> DataFrame:
+    """(field, key, role, n): how often what stands in the heads of the queues is taken already."""
+    none = F.lit(None).cast("string")
+    parts = []
+    for c in (*COUNTED, "image"):
+        key, role = (F.col("image_sha256"), F.col("element_role")) if c == "image" else (F.col(c), none)
+        n = taken.groupBy(key.alias("key"), role.alias("role")).agg(F.count("*").alias("n")).alias("t")
+        if c not in ("subtype", "sector"):
+            mine = heads.select(key.alias("key"), role.alias("role")).distinct().alias("h")
+            n = n.join(mine, F.expr("t.key <=> h.key and t.role <=> h.role"), "left_semi")
+        parts.append(n.select(F.lit(c).alias("field"), "key", "role", F.col("n").cast("long").alias("n")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def select(pool: DataFrame, taken: DataFrame, caps: Caps, head: int = 256) -> DataFrame:
+    """OUTCOME rows for the pool (columns NARROW and pos); `head` is how much of a queue is tried first."""
     narrow = [c for c in NARROW if c in pool.columns]
     missing = [F.lit(None).cast("string").alias(c) for c in NARROW if c not in narrow]
-    side = lambda df, mine: df.select(*narrow, *missing, F.col("pos").cast("long") if "pos" in df.columns else F.lit(0).cast("long").alias("pos"), F.lit(mine).alias("_pool"))
-    both = side(pool, True).unionByName(side(taken, False))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.astype(object).where(pdf.notna(), None).sort_values("pos", kind="stable").to_dict("records")
-        out = greedy([r for r in rows if r["_pool"]], [r for r in rows if not r["_pool"]], caps)
-        frame = pd.DataFrame(out, columns=["id", "outcome", "chosen_seq", "pos"])
-        frame["chosen_seq"] = frame["chosen_seq"].astype("Int32")
-        return frame
-
-    return both.groupBy(F.lit(0).alias("_all")).applyInPandas(run, OUTCOME)
+    side = lambda df: df.select(*narrow, *missing, F.col("pos").cast("long") if "pos" in df.columns else F.lit(0).cast("long").alias("pos"))
+    rows, taken = side(pool), side(taken)
+    ids = taken.select(F.col("id").alias("_id")).distinct()
+    has_image = filled(F.col("image_file")) & filled(F.col("image_sha256"))
+    label = F.when(F.col("_id").isNotNull(), "alreadySelected").when(~has_image if caps.require_image else F.lit(False), "noImage")
+    rows = rows.join(ids, F.col("id") == F.col("_id"), "left").withColumn("label", label).drop("_id")
+    head = max(head, 2 * caps.add)
+    while True:
+        nth = F.row_number().over(Window.partitionBy("sector", "subtype").orderBy("pos"))
+        heads = keep(rows.where("label is null").drop("label").withColumn("nth", nth).where(F.col("nth") <= head + 1).withColumn("cut", F.col("nth") > head), "queues")
+        facts = keep(_counts(taken, heads), "taken")
+        given = heads.select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("field", "string"), ("key", "string"), ("role", "string"), ("n", "long"))))
+        given = given.unionByName(facts, allowMissingColumns=True)
+
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            records = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
+            counts = {c: Counter() for c in (*COUNTED, "image")}
+            for r in records:
+                if r["field"] is not None:
+                    counts[r["field"]][(r["key"], r["role"]) if r["field"] == "image" else r["key"]] += int(r["n"])
+            queue = sorted((r for r in records if r["field"] is None), key=lambda r: r["pos"])
+            frame = pd.DataFrame(greedy(queue, counts, caps), columns=["id", "outcome", "chosen_seq", "pos"])
+            frame["chosen_seq"] = frame["chosen_seq"].astype("Int32")
+            return frame
+
+        found = keep(given.groupBy(F.lit(0).alias("_all")).applyInPandas(run, OUTCOME), "outcomes")
+        if found.where("outcome = 'cut'").isEmpty():
+            break
+        head *= 8
+    found = found.where("outcome != 'remaining'").select(F.col("pos").alias("_pos"), F.col("id").alias("_id"), "outcome", "chosen_seq")
+    out = rows.join(found, F.col("pos").eqNullSafe(F.col("_pos")) & F.col("id").eqNullSafe(F.col("_id")), "left")
+    return out.select("id", F.coalesce("label", "outcome", F.lit("remaining")).alias("outcome"), "chosen_seq", "pos")
 
 
 def chosen(pool: DataFrame, outcome: DataFrame) -> DataFrame:

@@ -44,6 +44,32 @@ def results(decisions: DataFrame, corpus_size: int) -> DataFrame:
     return rows.withColumn("corpus_size", F.lit(corpus_size)).withColumn("percent", percent(F.col("reviewed"), F.lit(corpus_size)))
 
 
+def decide(session_id: str, decisions: DataFrame) -> DataFrame:
+    """Decisions (id, status, reason) as events of a session: now, with reasons trimmed and blank ones null; a status is
+    accepted or rejected, other rows are no decisions."""
+    made = decisions.where(F.col("status").isin("accepted", "rejected"))
+    reason = F.nullif(F.trim("reason"), F.lit(""))
+    return made.select(F.lit(session_id).alias("session_id"), "id", "status", reason.alias("reason"), F.current_timestamp().alias("timestamp"))
+
+
+def cursor(items: DataFrame, decisions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """(session_id, next_id, left): sessions go through the items in order of `pos`, so the next one follows as many as
+    are decided. A session that is through has a null and none left."""
+    queue = items.select("id", (F.row_number().over(Window.orderBy("pos")) - 1).alias("nth"))
+    done = decisions.groupBy("session_id").agg(F.count("*").alias("done"))
+    at = sessions.select("session_id").distinct().join(done, "session_id", "left").withColumn("nth", F.coalesce("done", F.lit(0)))
+    total = items.agg(F.count("*").alias("total")).withColumn("one", F.lit(1))
+    at = at.join(queue, "nth", "left").withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
+    return at.select("session_id", F.col("id").alias("next_id"), F.greatest(F.col("total") - F.col("nth"), F.lit(0)).alias("left"))
+
+
+def report(results: DataFrame) -> DataFrame:
+    """(session_id, report): each session's results as the JSON document that a judge sends in."""
+    event = F.transform("results", lambda r: F.struct(r["id"].alias("id"), r["status"].alias("status"), r["reason"].alias("reason"), r["timestamp"].alias("timestamp")))
+    body = F.struct("session_id", F.current_timestamp().alias("timestamp"), "corpus_size", "reviewed", "accepted", "rejected", event.alias("results"))
+    return results.select("session_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("report"))
+
+
 def gaps(requests: DataFrame, key: str, ts: str, tie: str, least_s: float) -> DataFrame:
     """Requests that came sooner after the previous one of their key than `least_s`."""
     before = F.lag(ts).over(Window.partitionBy(key).orderBy(ts, tie))

@@ -70,15 +70,25 @@ def rules(web: Column | None = None, host: Column | None = None) -> list[tuple[s
     ]
 
 
+def broken(items: DataFrame, tests: list[tuple[str, Column]], *keep: Column | str) -> DataFrame:
+    """`keep` and `problem`: a row for every test that a record fails, in the order of the tests."""
+    return items.select(*keep, F.explode(F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in tests)))).alias("problem"))
+
+
+def repeats(items: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """The rows whose key came before, with `first`, the first of `order` at its first place."""
+    same = Window.partitionBy(*keys)
+    rows = items.withColumn("_nth", F.row_number().over(same.orderBy(*order))).withColumn("first", F.min(order[0]).over(same))
+    return rows.where("_nth > 1").drop("_nth")
+
+
 def check(items: DataFrame) -> DataFrame:
     """(line, id, problem): every rule that a record breaks, and repeated ids with the line of the first."""
     if "_keys" not in items.columns:
         items = items.withColumn("_keys", F.array(*(F.lit(c) for c in items.columns)))
     items = items.withColumn("_web", U.is_web_col("page_url")).withColumn("_host", U.domain_col("page_url"))
-    broken = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in rules(F.col("_web"), F.col("_host")))))
-    single = items.select(F.col("pos").alias("line"), "id", F.explode(broken).alias("problem"))
-    same = Window.partitionBy("id")
-    again = items.where("id is not null").select(F.col("pos").alias("line"), "id", F.min("pos").over(same).alias("first")).where("line > first")
+    single = broken(items, rules(F.col("_web"), F.col("_host")), F.col("pos").alias("line"), "id")
+    again = repeats(items.where("id is not null").select(F.col("pos").alias("line"), "id"), ["id"], ["line"])
     return single.unionByName(again.select("line", "id", F.concat(F.lit("duplicate_id_of_line_"), "first").alias("problem")))
 
 
@@ -93,20 +103,23 @@ def tallies(items: DataFrame, fields: tuple[str, ...] = ("sector", "subtype", "d
 
 def coverage(items: DataFrame, settings: Settings = Settings(), status: str | None = None) -> DataFrame:
     """(kind, value, n, bound): shortfalls and excesses, of all records or of those of one status."""
-    spark = items.sparkSession
     s = settings
-    t = tallies(items if status is None else items.where(F.col("status") == status)).persist()
-    low = lambda values, field, least: spark.createDataFrame([(v,) for v in values], "value string").join(t.where(F.col("field") == field), "value", "left").select("value", F.coalesce("n", F.lit(0)).alias("n")).where(F.col("n") < least).select(F.lit(f"{field}_short").alias("kind"), "value", "n", F.lit(least).alias("bound"))
-    over = lambda field, most: t.where((F.col("field") == field) & (F.col("n") > most)).select(F.lit(f"{field}_over").alias("kind"), "value", "n", F.lit(most).alias("bound"))
-    unknown = t.where((F.col("field") == "sector") & _no(F.col("value").isin(*SECTORS))).select(F.lit("sector_unknown").alias("kind"), "value", "n", F.lit(None).cast("int").alias("bound"))
-    return (
-        low(SECTORS, "sector", s.share(s.sector_min_share))
-        .union(unknown)
-        .union(over("sector", s.share(s.sector_max_share)))
-        .union(low(SUBTYPES, "subtype", s.share(s.subtype_min_share)))
-        .union(over("domain", s.domain_cap()))
-        .union(over("page_url", s.per_page))
-    )
+    t = tallies(items if status is None else items.where(F.col("status") == status))
+    expected = items.sparkSession.createDataFrame([("sector", v) for v in SECTORS] + [("subtype", v) for v in SUBTYPES], "field string, value string").withColumn("known", F.lit(True))
+    t = t.join(expected, ["field", "value"], "full").withColumn("n", F.coalesce("n", F.lit(0)))
+    known = F.coalesce("known", F.lit(False))
+    of = lambda field: F.col("field") == field
+    tests = [
+        ("sector_short", of("sector") & known, "<", s.share(s.sector_min_share)),
+        ("sector_unknown", of("sector") & ~known, "", None),
+        ("sector_over", of("sector"), ">", s.share(s.sector_max_share)),
+        ("subtype_short", of("subtype") & known, "<", s.share(s.subtype_min_share)),
+        ("domain_over", of("domain"), ">", s.domain_cap()),
+        ("page_url_over", of("page_url"), ">", s.per_page),
+    ]
+    past = lambda sign, bound: F.lit(True) if bound is None else F.col("n") < bound if sign == "<" else F.col("n") > bound
+    found = F.array(*(F.when(test & past(sign, bound), F.struct(F.lit(kind).alias("kind"), F.lit(bound).cast("int").alias("bound"))) for kind, test, sign, bound in tests))
+    return t.withColumn("x", F.explode(F.array_compact(found))).select("x.kind", "value", "n", "x.bound")
 
 
 def report(items: DataFrame, settings: Settings = Settings()) -> DataFrame:

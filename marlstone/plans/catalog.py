@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import url as U
 from marlstone.operators import aggregates, archive, crawl, export, extract, pool, region, review, robots, session, validate
 from marlstone.operators import select as selection
+from marlstone.plans import queries_files, queries_pages, queries_rules  # noqa: F401  they register their queries
+from marlstone.plans.registry import ORACLES, QUERIES, query, read
 from marlstone.plans.schemas import SUBTYPES
+from marlstone.streaming import pool_stream
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 FLAGSHIP = "outbound_links"
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 @query(r"""
 WITH hrefs AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)
 SELECT DISTINCT page_id, href FROM hrefs
@@ -90,7 +75,7 @@ SELECT lang, c.n AS n, CASE WHEN c.n > floor(t.n * 0.25 + 0.5) THEN 'over' ELSE
 WHERE c.n > floor(t.n * 0.25 + 0.5) OR c.n < floor(t.n * 0.12 + 0.5)
 """)
 def coverage_warnings(spark, sf_dir):
-    c = read(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    c = validate.tallies(read(spark, sf_dir, "documents"), ("lang",)).select(F.col("value").alias("lang"), "n")
     # The total comes from the counts: a window over a few rows.
     c = c.withColumn("t", F.sum("n").over(Window.partitionBy()))
     high, low = F.floor(F.col("t") * 0.25 + 0.5), F.floor(F.col("t") * 0.12 + 0.5)
@@ -99,13 +84,12 @@ def coverage_warnings(spark, sf_dir):
 
 @query("SELECT doc_id, md5(text) AS key FROM documents QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1")
 def first_occurrence(spark, sf_dir):
-    # The first of a key is a minimum, which combines before the shuffle; a window would gather a hot key's rows.
-    return read(spark, sf_dir, "documents").groupBy(F.md5("text").alias("key")).agg(F.min("doc_id").alias("doc_id")).select("doc_id", "key")
+    return pool.firsts(read(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("key")), ["key"], ["doc_id"])
 
 
 @query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def pool_anti_join(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", "source").join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+    return pool.unseen(read(spark, sf_dir, "documents").select("doc_id", "source"), read(spark, sf_dir, "labels"), ["doc_id"])
 
 
 @query("SELECT doc_id, printf('fi-%04d', row_number() OVER (ORDER BY doc_id)) AS id FROM documents")
@@ -116,15 +100,14 @@ def assign_ids(spark, sf_dir):
 @query("SELECT max(l_orderkey) + 1 AS next FROM lineitem")
 def next_id(spark, sf_dir):
     items = read(spark, sf_dir, "lineitem").select(F.format_string("fi-%04d", "l_orderkey").alias("id"))
-    return items.agg((F.max(F.regexp_extract("id", r"^fi-(\d{4,})$", 1).cast("bigint")) + 1).alias("next"))
+    return spark.createDataFrame([(pool.last_number(items) + 1,)], "next long")
 
 
 @query("""
 SELECT l_orderkey, l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) <= 2
 """)
 def per_page_cap(spark, sf_dir):
-    nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
-    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", nth.alias("nth")).where("nth <= 2").drop("nth")
+    return pool.capped(read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", ["l_linenumber"], 2)
 
 
 def _selection_pool(spark, sf_dir) -> DataFrame:
@@ -213,9 +196,8 @@ SELECT doc_id, unnest(list_filter([CASE WHEN NOT regexp_matches(text, '^[A-Z]')
 FROM documents
 """)
 def check_problems(spark, sf_dir):
-    tests = {"no_capital": ~F.col("text").rlike("^[A-Z]"), "short": F.col("n_chars") < 200, "source_form": ~F.col("source").rlike("^src[0-9]$"), "lang_value": ~F.col("lang").isin("en", "fr")}
-    found = F.array_compact(F.array(*(F.when(t, F.lit(n)) for n, t in tests.items())))
-    return read(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("problem"))
+    tests = [("no_capital", ~F.col("text").rlike("^[A-Z]")), ("short", F.col("n_chars") < 200), ("source_form", ~F.col("source").rlike("^src[0-9]$")), ("lang_value", ~F.col("lang").isin("en", "fr"))]
+    return validate.broken(read(spark, sf_dir, "documents"), tests, "doc_id")
 
 
 @query("""
@@ -223,9 +205,8 @@ SELECT l_orderkey, l_linenumber, min(l_orderkey) OVER (PARTITION BY l_partkey, l
 QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey, l_linenumber) > 1
 """)
 def duplicate_key_first_line(spark, sf_dir):
-    w = Window.partitionBy("l_partkey", "l_suppkey")
-    rows = read(spark, sf_dir, "lineitem").withColumn("nth", F.row_number().over(w.orderBy("l_orderkey", "l_linenumber"))).withColumn("first_order", F.min("l_orderkey").over(w))
-    return rows.where("nth > 1").select("l_orderkey", "l_linenumber", "first_order")
+    rows = validate.repeats(read(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"])
+    return rows.select("l_orderkey", "l_linenumber", F.col("first").alias("first_order"))
 
 
 @query("""
@@ -345,13 +326,8 @@ def region_box(spark, sf_dir):
     return d.select("shape", "coords", "s.tag", "s.x1", "s.y1", "s.x2", "s.y2", place.alias("place"))
 
 
-@query()
-def image_candidates(spark, sf_dir):
-    return extract.candidates(read(spark, sf_dir, "pages"))
-
-
 @query("""
 SELECT date_trunc('hour', ts) AS start, count(*) AS n FROM events GROUP BY 1
 """)
 def window_rollup(spark, sf_dir):
-    return read(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("start")).agg(F.count("*").alias("n"))
+    return pool_stream.rollup(read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour").select(F.col("start").cast("timestamp_ntz").alias("start"), "n")

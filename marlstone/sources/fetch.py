@@ -70,13 +70,40 @@ def as_page(got: dict, limit: int = PAGE_BYTES) -> dict:
     return {"html": got["body"].decode("utf-8", "replace"), "url": got.get("url")}
 
 
-def image_bytes(url: str, get: Getter) -> tuple[bytes | None, str | None, str | None]:
-    """(bytes, content type, error) of an image's url."""
+def follow_redirects(start: str, allowed: Callable[[str], bool | str], get: Getter, most: int = 5) -> dict:
+    """What stands at the end of a chain of redirects, or why it can't be had, with the chain.
+
+    A hop is one answer for a place: a reason not to go there, or what `get` says; it ends the chain unless it names a
+    further place.
+    """
+
+    def hop(place: str, before: list[str]) -> dict:
+        if place in before:
+            return {"error": "redirect loop", "chain": before}
+        chain = [*before, place]
+        if len(before) > most:
+            return {"error": f"more than {most} redirects", "chain": chain}
+        leave = allowed(place)
+        if leave is not True:
+            return {"error": leave or "disallowed by robots.txt", "chain": chain}
+        answer = get(place)
+        return hop(answer["redirect"], chain) if answer.get("redirect") else {**answer, "chain": chain}
+
+    return hop(start, [])
+
+
+def followed(get: Getter, most: int = 5) -> Getter:
+    """A getter that goes on to where it is sent, up to `most` times."""
+    return lambda url: follow_redirects(url, lambda _: True, get, most)
+
+
+def image_bytes(url: str, get: Getter, most: int = 5) -> tuple[bytes | None, str | None, str | None]:
+    """(bytes, content type, error) of an image's url; redirects are followed."""
     if url.lower().startswith("data:"):
         return decode_data_url(url)
-    got = get(url)
-    if "error" in got or "redirect" in got:
-        return None, None, got.get("error", "an unfollowed redirect")
+    got = followed(get, most)(url)
+    if "error" in got:
+        return None, None, got["error"]
     return got["body"], got.get("content_type"), None
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -16,17 +18,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def unique() -> str:
+    return uuid.uuid4().hex
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, value) of a text file or folder; lines count from 1, blank ones included."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", "\r?\n", -1)).alias("pos", "value")).select("file", (F.col("pos") + 1).alias("line"), "value")
+    """(file, line, value) of a text file or folder; lines count from 1, blank ones included.
+
+    Large files are read in blocks. A line's number is its place in the block, after the lines of the blocks before it;
+    these are counted first, a small row a block.
+    """
+    block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")]
+    rows = spark.read.text(path).select(*block, "value", F.monotonically_increasing_id().alias("n"))
+    blocks = rows.groupBy("file", "at").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "at", "first", before.alias("before"))
+    return rows.join(blocks, ["file", "at"]).select("file", (F.col("n") - F.col("first") + F.col("before") + 1).alias("line"), "value")
 
 
 def read(spark: SparkSession, path: str, schema: StructType, missing: str = "empty") -> tuple[DataFrame, DataFrame]:
     """(rows, errors): rows of `schema` with `pos` (the line), and (file, line) of each line that isn't an object.
 
     missing: "empty" for no rows where nothing is at the path, "error" for Spark's own.
-    A single file is split by lines inside its task; tables that grow should be folders of many files.
     """
     if missing == "empty" and not exists(spark, path):
         empty = StructType([*schema.fields, StructField("pos", StringType())])

@@ -23,17 +23,37 @@ def append_jsonl(df: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
 
 
 def overwrite_jsonl(df: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
-    """A new table beside the old one, which it then replaces by a rename."""
+    """A new table beside the old one, which it then replaces: the old one is renamed, and goes when the new one is there.
+
+    At every moment one of PATH, PATH.old and PATH.new is whole; `recover` puts it in place after a crash.
+    """
     if not dry_run:
         spark = df.sparkSession
-        new = f"{path.rstrip('/')}.new"
-        _json(df.orderBy("pos") if "pos" in df.columns else df).mode("overwrite").json(new)
-        fs, old = _fs(spark, path)
+        base = path.rstrip("/")
+        _json(df.orderBy("pos") if "pos" in df.columns else df).mode("overwrite").json(f"{base}.new")
+        fs, old = _fs(spark, f"{base}.old")
+        now, new = _fs(spark, base)[1], _fs(spark, f"{base}.new")[1]
+        fs.delete(old, True)
+        if fs.exists(now):
+            _rename(fs, now, old)
+        _rename(fs, new, now)
         fs.delete(old, True)
-        fs.rename(_fs(spark, new)[1], old)
     return df
 
 
+def _rename(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"{a} could not be renamed to {b}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """After a crash between the two renames of `overwrite_jsonl`: the old table comes back."""
+    fs, now = _fs(spark, path.rstrip("/"))
+    old = _fs(spark, f"{path.rstrip('/')}.old")[1]
+    if not fs.exists(now) and fs.exists(old):
+        _rename(fs, old, now)
+
+
 def write_files(rows: DataFrame, folder: str, dry_run: bool = False) -> DataFrame:
     """(image_file, content): each content under its base name in `folder`, through pyarrow's file systems."""
     todo = rows.where("content is not null and image_file is not null").select(F.substring_index("image_file", "/", -1).alias("name"), "content")
@@ -72,3 +92,27 @@ def append_log(entries: DataFrame, path: str, first: bool, dry_run: bool = False
             entries.sparkSession.createDataFrame([(LOG_HEAD,)], "value string").write.mode("append").text(path)
         rows.coalesce(1).write.mode("append").text(path)
     return rows
+
+
+def write_text(spark: SparkSession, path: str, text: str, dry_run: bool = False) -> str:
+    """One small file, such as a prompt."""
+    if not dry_run:
+        fs, p = _fs(spark, path)
+        out = fs.create(p, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+    return text
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes at a path, file or folder; 0 where nothing is."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def write_sessions(reports: DataFrame, folder: str, dry_run: bool = False) -> DataFrame:
+    """(session_id, report): a file validation-SESSION.json each; sessions are few and small."""
+    if not dry_run:
+        for r in reports.toLocalIterator():
+            write_text(reports.sparkSession, f"{folder.rstrip('/')}/validation-{r['session_id']}.json", r["report"])
+    return reports

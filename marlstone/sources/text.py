@@ -33,10 +33,13 @@ def read_removal_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def batches(spark: SparkSession, pattern: str) -> DataFrame:
-    """(batch, kind, file) of batch-NN.jsonl (kind verdicts) and batch-NN-input.jsonl (kind input), once a file."""
-    files = spark.read.format("binaryFile").load(pattern).select(F.col("path").alias("file"))
-    number = F.regexp_extract("file", r"batch-0*(\d+)(-input)?\.jsonl$", 1)
-    kind = F.when(F.col("file").rlike(r"-input\.jsonl$"), "input").otherwise("verdicts")
+    """(batch, kind, file) of batch-NN.jsonl (kind verdicts), batch-NN-input.jsonl (input) and batch-NN-prompt.md (prompt);
+    tables may be files or folders. Batches are few: their names are listed, not read."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    files = spark.createDataFrame([(x.getPath().toString(),) for x in found or []], "file string")
+    number = F.regexp_extract("file", r"batch-0*(\d+)(-input\.jsonl|-prompt\.md|\.jsonl)$", 1)
+    kind = F.when(F.col("file").rlike(r"-input\.jsonl$"), "input").when(F.col("file").rlike(r"-prompt\.md$"), "prompt").otherwise("verdicts")
     return files.where(number != "").select(number.cast("int").alias("batch"), kind.alias("kind"), "file")
 
 
@@ -44,7 +47,12 @@ def next_batch(found: DataFrame) -> int:
     return (found.agg(F.max("batch")).first()[0] or 0) + 1
 
 
+def last_input(found: DataFrame) -> int | None:
+    """The last batch that was frozen, judged or not."""
+    return found.where("kind = 'input'").agg(F.max("batch")).first()[0]
+
+
 def pending_batch(found: DataFrame) -> int | None:
-    """The last batch whose input waits for verdicts."""
+    """The last batch whose input waits for verdicts; none waits where null comes out."""
     done = found.where("kind = 'verdicts'").select("batch")
     return found.where("kind = 'input'").join(done, "batch", "left_anti").agg(F.max("batch")).first()[0]

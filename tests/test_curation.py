@@ -49,12 +49,36 @@ row = st.fixed_dictionaries(
 )
 
 
+def counts(taken):
+    out = {c: Counter(t[c] for t in taken) for c in S.COUNTED}
+    return out | {"image": Counter((t["image_sha256"], t["element_role"]) for t in taken)}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(row, max_size=40), st.lists(row, max_size=5), st.integers(0, 15), st.sampled_from([20, 60, 250]), st.booleans())
 def test_greedy_is_the_naive_scan(pool, taken, add, goal, images):
     caps = S.Caps(add, goal, require_image=images)
     pool = [r | {"pos": k} for k, r in enumerate(pool)]
-    assert [(r["id"], r["outcome"], r["chosen_seq"]) for r in S.greedy(pool, taken, caps)] == naive(pool, taken, caps)
+    want = naive(pool, taken, caps)
+    open_ = [r for r, (_, o, _) in zip(pool, want, strict=True) if o not in ("alreadySelected", "noImage")]
+    assert [(r["id"], r["outcome"], r["chosen_seq"]) for r in S.greedy(open_, counts(taken), caps)] == [x for x in want if x[1] not in ("alreadySelected", "noImage")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_select_is_the_naive_scan(spark, seed):
+    """Heads of one to three rows run out again and again; longer ones give what the whole pool gives."""
+    import random
+
+    rng = random.Random(seed)
+    make = lambda k: {"id": f"i{k}", "page_url": rng.choice("abcdefgh"), "domain": rng.choice("wxyz"), "sector": rng.choice(["s1", "s2", None]), "subtype": rng.choice("tuv"), "image_file": rng.choice(["f"] * 8 + ["", None]), "image_sha256": rng.choice([f"h{n}" for n in range(30)] + [None]), "element_role": rng.choice(["link", "button"])}
+    pool = [make(k) | {"pos": k} for k in range(150)]
+    taken = [make(k) for k in range(140, 150)]
+    schema = "id string, page_url string, domain string, sector string, subtype string, image_file string, image_sha256 string, element_role string"
+    frame = lambda rows, more="": spark.createDataFrame([tuple(r.values()) for r in rows], schema + more)
+    for images in (True, False):
+        caps = S.Caps(rng.choice([0, 1, 12]), 60, require_image=images)
+        got = S.select(frame(pool, ", pos long").repartition(3), frame(taken), caps, head=1).orderBy("pos").collect()
+        assert [(r["id"], r["outcome"], r["chosen_seq"]) for r in got] == naive(pool, taken, caps)
 
 
 def test_domain_caps():
@@ -240,3 +264,98 @@ def test_stages(spark, tmp_path):
     assert stages.cleanup(spark, folder, corpus, listed, log) == 1 and stages.cleanup(spark, folder, corpus, listed, log, drop_unselected=True, apply=True) == 0
     assert sorted(p.name for p in (tmp_path / "images").glob("*.png")) == ["fi-0001.png", "fi-0002.png"]
     assert stages.cleanup(spark, folder, corpus, str(tmp_path / "none"), log) == 2
+
+
+def test_images_follow_redirects(spark):
+    from marlstone.sources import fetch
+
+    hops = {"https://a/1": {"redirect": "https://b/2"}, "https://b/2": {"body": PNG, "content_type": "image/png", "url": "https://b/2"}, "https://l/1": {"redirect": "https://l/1"}}
+    get = lambda url: hops.get(url, {"error": "HTTP 404"})
+    assert fetch.image_bytes("https://a/1", get) == (PNG, "image/png", None)
+    assert fetch.image_bytes("https://l/1", get)[2] == "redirect loop" and fetch.image_bytes("https://n/1", get)[2] == "HTTP 404"
+
+
+def test_robots_rules_are_asked_for_politely(spark, monkeypatch):
+    """Rules behind redirects count, unreadable ones allow; the request for them keeps its distance, too."""
+    import time
+
+    from marlstone.sources import fetch
+
+    asked = []
+
+    def get(url):
+        asked.append((url, time.monotonic()))
+        if url == "http://r/robots.txt":
+            return {"redirect": "http://r/rules"}
+        if url == "http://r/rules":
+            return {"body": b"User-agent: *\nDisallow: /no", "content_type": "text/plain", "url": url}
+        if url.endswith("robots.txt"):
+            return {"error": "HTTP 500"}
+        return {"body": b"<p>", "content_type": "text/html", "url": url}
+
+    polite = fetch.politely(get, 0.2)
+    followed = fetch.followed(polite)
+    assert followed("http://r/robots.txt")["body"].startswith(b"User") and followed("http://x/robots.txt")["error"] == "HTTP 500"
+    assert followed("http://r/p")["body"] == b"<p>"
+    times = [t for u, t in asked if u.startswith("http://r/")]
+    assert len(times) == 3 and all(b - a >= 0.19 for a, b in zip(times, times[1:], strict=False))
+
+
+def test_overwrite_survives_a_crash(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.overwrite_jsonl(frame(spark, [item(1)]), path)
+    sinks.overwrite_jsonl(frame(spark, [item(2)]), path)
+    assert [r["id"] for r in spark.read.json(path).collect()] == ["fi-0002"] and not jsonl.exists(spark, path + ".old") and not jsonl.exists(spark, path + ".new")
+    (tmp_path / "t").rename(tmp_path / "t.old")  # between the two renames
+    sinks.recover(spark, path)
+    assert [r["id"] for r in spark.read.json(path).collect()] == ["fi-0002"]
+
+
+def test_lines_of_large_files(spark, tmp_path):
+    """Files are read in blocks; numbers go on over them, whatever the line ends."""
+    text = "".join(f"line {k} " + "x" * (k % 50) + ("\r\n" if k % 7 == 0 else "\n") + ("\n" if k % 11 == 0 else "") for k in range(5000))
+    (tmp_path / "a.txt").write_text(text, newline="")
+    (tmp_path / "b.txt").write_text("only\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = {(r["file"].rsplit("/", 1)[-1], r["line"]): r["value"] for r in jsonl.lines(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = text.replace("\r\n", "\n").split("\n")[:-1]
+    assert got == {**{("a.txt", k + 1): v for k, v in enumerate(want)}, ("b.txt", 1): "only"}
+
+
+def test_a_whole_run(spark, tmp_path):
+    """From seeds to the export, with pages and images from a table and a reviewer that writes verdicts."""
+    from marlstone.sources import text
+
+    where = {k: str(tmp_path / k) for k in ("seeds", "pool", "shortlist", "corpus", "images", "log", "reviews", "out")}
+    for k in ("seeds", "images", "reviews"):
+        (tmp_path / k).mkdir()
+    (tmp_path / "seeds" / "docs.txt").write_text("http://a.org/\nhttp://b.org/\n")
+    html = "".join(f'<a href="/p{k}"><img src="http://img/{k}.png" alt="Name {k}"></a>' for k in range(3))
+    fetcher = lambda urls: urls.select("url", F.col("url").alias("final_url"), F.lit(html).alias("html"), F.lit(None).cast("string").alias("error"))
+    get = lambda url: {"body": PNG + url.encode(), "content_type": "image/png", "url": url} if "/2" not in url else {"redirect": "http://img/9.png"}
+    said: list[str] = []
+
+    def reviewer(prompt_file, batch):
+        assert sinks.size(spark, prompt_file) > 100
+        rows = [json.loads(x) for f in (tmp_path / "reviews" / f"batch-{batch:02d}-input.jsonl").glob("part*") for x in f.read_text().splitlines()]
+        lines = [{"item_id": r["item_id"], "verdict": "keep", "alt_quality": "good", "reason": WHY, "subtype": None} for r in rows]
+        (tmp_path / "reviews" / f"batch-{batch:02d}.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n")
+        return True
+
+    s = Settings(pages_per_host=2, follow=1, batch_size=3, host_delay_s=0.0)
+    # Without a reviewer the run ends with a frozen batch and nothing to export.
+    assert stages.run(spark, where, s, get, fetcher, say=said.append) == 1 and text.pending_batch(text.batches(spark, where["reviews"] + "/batch-*")) == 1
+    assert any(x.startswith("candidates: ") for x in said) and any("characters" in x for x in said)
+    assert stages.review_batch(spark, where["corpus"], where["reviews"], lambda *_: False, s, said.append) == 2
+    assert stages.review_batch(spark, where["corpus"], where["reviews"], lambda *_: True, s, said.append) == 2  # nothing was written
+    assert stages.run(spark, where, s, get, fetcher, reviewer, said.append) == 0
+    assert spark.read.json(where["out"]).count() == 2  # two of each page are listed, and bytes that are there already are not taken twice
+    assert stages.verify(spark, where["corpus"], where["images"], where["log"], said.append) == 0
+    assert stages.check(spark, where["corpus"], s, as_json=True, say=said.append) == 0 and json.loads(said[-1])["problems"] == 0
+    assert stages.harvest(spark, where["seeds"], where["pool"], settings=Settings(pages_per_host=0), say=said.append) == 3
+    with pytest.raises(SystemExit) as e:
+        stages.main(["harvest", "--pages", "0"])
+    assert e.value.code == 3
