@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import percent
-from marlstone.plans.schemas import OTHER_SOURCE, SOURCE_LABELS
+from marlstone.plans.schemas import EMPTY_ALT, NO_ALT, OTHER_SOURCE, SOURCE_LABELS
 
 
 def announced_name() -> Column:
@@ -20,7 +20,7 @@ def source_label() -> Column:
 
 def alt_label() -> Column:
     alt = F.col("observed_alt")
-    return F.when(alt.isNull(), "(no alt attribute on the image)").when(alt == "", '(alt="", deliberately empty)').otherwise(alt)
+    return F.when(alt.isNull(), NO_ALT).when(alt == "", EMPTY_ALT).otherwise(alt)
 
 
 def shown(items: DataFrame) -> DataFrame:

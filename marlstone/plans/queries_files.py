@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marlstone.operators import aggregates, archive, review, session
 from marlstone.plans import stages
@@ -13,7 +13,7 @@ from marlstone.plans.schemas import ITEM, Settings
 from marlstone.sources import blobs, jsonl, sinks, text
 from marlstone.sources.scratch import folder, keep
 
-ROWS = StructType.fromDDL("doc_id long, source string, lang string, note string")
+ROWS = StructType([StructField("doc_id", LongType()), *(StructField(c, StringType()) for c in ("source", "lang", "note"))])
 
 
 def place(spark, name: str) -> str:
@@ -248,3 +248,42 @@ def waiting_items(spark, sf_dir):
     sinks.append_jsonl(_items(spark, sf_dir), path)
     items = jsonl.read_strict(spark, path, ITEM).withColumn("pos", F.regexp_extract("id", r"(\d+)$", 1).cast("long"))
     return review.batch_input(items, 30).select("item_id")
+
+
+def _picture(url: str) -> dict:
+    return {"body": b"\x89PNG" + url.encode(), "content_type": "image/png", "url": url}
+
+
+@query("""
+WITH n AS (SELECT count(*) AS n FROM nation)
+SELECT what, k::BIGINT AS n FROM n, LATERAL (VALUES ('1 run', 0), ('2 pool', 2 * n), ('3 shortlist', 2 * n), ('4 images', 2 * n), ('5 corpus', 20), ('6 ready', 8), ('7 exported', 8), ('8 least of a sector', 4), ('9 most of a sector', 4),
+  ('a verify', 0), ('b validate', 0), ('c problems', 0), ('d cleanup, dry', 0), ('e cleanup', 0), ('f images left', 20), ('g nothing new', 1), ('h arguments', 3), ('i second batch', 0)) t(what, k)
+""")
+def whole_run(spark, sf_dir):
+    """All stages from seeds to the export, with pages, pictures and verdicts that are made up; exit codes and counts."""
+    base = place(spark, "run")
+    where = {k: f"{base}/{k}" for k in ("pool", "shortlist", "corpus", "images", "log", "reviews", "out")} | {"seeds": _seeds(spark, sf_dir)}
+    s = Settings(goal=40, add=20, pages_per_host=1, follow=0, batch_size=8, host_delay_s=0.0)
+    said: list[str] = []
+
+    def load(urls: DataFrame) -> DataFrame:
+        picture = lambda k: F.format_string('<a href="/%d"><img src="http://img.org/%s.png" alt="Picture %d"></a>', F.lit(k), F.xxhash64("url", F.lit(k)).cast("string"), F.lit(k))
+        return urls.select("url", F.col("url").alias("final_url"), F.concat(picture(1), picture(2)).alias("html"), F.lit(None).cast("string").alias("error"))
+
+    def judge(prompt_file: str, batch: int) -> bool:
+        given = spark.read.json(f"{where['reviews']}/batch-{batch:02d}-input.jsonl")
+        made = given.select("item_id", F.lit("keep").alias("verdict"), F.lit("good").alias("alt_quality"), F.lit("the picture says where it leads").alias("reason"), F.lit(None).cast("string").alias("subtype"))
+        sinks.overwrite_jsonl(made, f"{where['reviews']}/batch-{batch:02d}.jsonl")
+        return sinks.size(spark, prompt_file) > 0
+
+    counted = lambda name: jsonl.read_strict(spark, where[name], ITEM).count()
+    out = [("1 run", stages.run(spark, where, s, _picture, load, judge, said.append)), *((f"{n} {name}", counted(name)) for n, name in ((2, "pool"), (3, "shortlist")))]
+    corpus = keep(jsonl.read_strict(spark, where["corpus"], ITEM), "corpus")
+    sectors = [r["count"] for r in corpus.groupBy("sector").count().collect()]
+    out += [("4 images", blobs.names(spark, where["images"]).count()), ("5 corpus", corpus.count()), ("6 ready", corpus.where("status = 'ready'").count()), ("7 exported", spark.read.json(where["out"]).count()), ("8 least of a sector", min(sectors)), ("9 most of a sector", max(sectors))]
+    out += [("a verify", stages.verify(spark, where["corpus"], where["images"], where["log"], said.append)), ("b validate", stages.check(spark, where["corpus"], s, as_json=True, say=said.append))]
+    out.append(("c problems", spark.createDataFrame([(said[-1],)], "report string").select(F.get_json_object("report", "$.problems").cast("int")).first()[0]))
+    out += [(f"{n}", stages.cleanup(spark, where["images"], where["corpus"], where["shortlist"], where["log"], True, apply, said.append)) for n, apply in (("d cleanup, dry", False), ("e cleanup", True))]
+    out += [("f images left", blobs.names(spark, where["images"]).count()), ("g nothing new", stages.harvest(spark, where["seeds"], where["pool"], settings=s, fetcher=load, say=said.append))]
+    out += [("h arguments", stages.harvest(spark, where["seeds"], where["pool"], settings=Settings(follow=-1), fetcher=load, say=said.append)), ("i second batch", stages.batch_input(spark, where["corpus"], where["reviews"], s, say=said.append))]
+    return spark.createDataFrame(out, "what string, n long")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import columns, media
 from marlstone.operators import aggregates, archive, export, pool, region, review, session, validate
 from marlstone.operators import select as selection
-from marlstone.plans.registry import query, read
+from marlstone.plans.registry import ORACLES, query, read
 from marlstone.plans.schemas import FIELDS, SUBTYPES, Settings
 from marlstone.sources import text
 
@@ -460,3 +460,11 @@ def file_endings(spark, sf_dir):
     url = of(["https://x.org/a.PNG?x=1", "https://x.org/b.jpeg#f", "https://x.org/c.webp", "https://x.org/d.html", "https://x.org/e"])
     data = F.unhex(of([x[0] for x in _BYTES]))
     return read(spark, sf_dir, "nation").select(k.alias("k"), media.ext_from_type_col(kind).alias("by_type"), media.ext_from_url_col(url).alias("by_url"), media.sniff_col(data).alias("by_bytes"), media.looks_col("svg", data).alias("is_svg"))
+
+
+def _with_place(sql: str) -> str:
+    return f"SELECT id, outcome, chosen_seq, id::BIGINT AS pos FROM ({sql})"
+
+
+ORACLES["greedy_select"] = _with_place(_greedy("false", "", True, 13, 60))
+ORACLES["shortlist"] = _with_place(_greedy("pos < 30", " UNION ALL SELECT page, domain, coalesce(sector, '-'), coalesce(subtype, '-'), coalesce(image, '-') FROM pool WHERE pos >= 5 AND pos < 10", False, 38, 100))

@@ -42,6 +42,7 @@ ELEMENT_ROLES = ("link", "button", "input-image", "area", "custom")
 NAME_SOURCES = ("alt", "aria-label", "aria-labelledby", "title", "svg-title", "control-text")
 VERDICTS, QUALITIES = ("keep", "drop"), ("good", "weak", "wrong")
 SECTORS = ("government", "education", "publishing", "docs", "commerce", "news", "webapp")
+#: What readers are told about where a name comes from, and about an alternative that is not there.
 SOURCE_LABELS = {
     "alt": "the image's alt attribute",
     "aria-label": "an aria-label",
@@ -51,6 +52,7 @@ SOURCE_LABELS = {
     "control-text": "the link or button's own text",
 }
 OTHER_SOURCE = "text in the markup"
+NO_ALT, EMPTY_ALT = "(no alt attribute on the image)", '(alt="", deliberately empty)'
 
 
 @dataclass(frozen=True)

@@ -37,6 +37,15 @@ def test_query(spark, duck, name):
         assert plain(got) == plain(want)
 
 
+def test_entry_needs_no_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert len(e.queries()) > 80 and len(e.oracle_sql()) > 75"], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry_imports():
     import __spark_entry__ as e
 
