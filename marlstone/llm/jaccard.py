@@ -47,9 +47,9 @@ TOLERANCE = 1e-6
 #: MinHash values compared between two looks at the posterior.
 STEP = 16
 #: Members of a chunk of a bucket, and their shingles; a tile compares two chunks.
-CHUNK, CHUNK_SHINGLES = 512, 1 << 19
+CHUNK, CHUNK_SHINGLES = 512, 1 << 18
 #: Bytes of text of the tiles that are verified at once (one tile at least), and postings looked at in one go.
-PORTION_BYTES, POSTINGS = 4 << 20, 1 << 22
+PORTION_BYTES, POSTINGS = 2 << 20, 1 << 19
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -281,9 +281,9 @@ def _verify(tables: Iterator[pa.Table], n_words: int, threshold: float) -> Itera
             yield pa.record_batch([pa.array(node[out]), pa.array(links[out]), pa.array(node[root[out]])], ["node", "links", "root"])
 
 
-def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float) -> tuple[DataFrame, list[str]]:
+def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float) -> tuple[DataFrame, bool, list[str]]:
     """A row for each row of `docs`: doc_id, its row keys, and (where it has links) class_id, copy_id, copies, links and
-    the row keys of its group's first row. Second, the tables to delete when these rows have been read."""
+    the row keys of its group's first row. Then, whether any row keys repeat, and the tables to delete in the end."""
     if not 0.5 <= threshold <= 1:
         raise ValueError("the bands are laid out for thresholds of 0.5 to 1")
     spark = docs.sparkSession
@@ -315,7 +315,9 @@ def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float)
     least = least_matches(threshold, tolerance)
     survivors = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda it: _candidates(_groups(it, "tile"), threshold, least), "tile long, node long, copies long, t0 long, t1 long, t2 long, partners array<long>")
     survivors = keep(survivors, "survivors")
-    needed = survivors.hint("merge").join(docs.dropDuplicates(_KEYS), _KEYS).select("tile", "node", "copies", "partners", F.coalesce("text", F.lit("")).alias("text"))
+    # Where rows repeat, one of them is enough, and they are combined before the shuffle; else that sort is saved.
+    repeated = not signed.groupBy(*_KEYS).count().where("count > 1").isEmpty()
+    needed = survivors.hint("merge").join(docs.dropDuplicates(_KEYS) if repeated else docs, _KEYS).select("tile", "node", "copies", "partners", F.coalesce("text", F.lit("")).alias("text"))
     verified = needed.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(lambda it: _verify(_groups(it, "tile"), n_words, threshold), "node long, links long, root long")
     verified = keep(verified, "verified")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
@@ -325,12 +327,12 @@ def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float)
     linked = keep(linked.withColumn("component", F.coalesce("component", "node")), "linked")
     ids = linked.groupBy("component").agg(F.min("copy_id").alias("class_id"), F.min("member").alias("first"))
     linked = salted_join(linked, ids, ["component"], F.col("node")).select("k1", "k2", "class_id", "copy_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.struct(*(F.col(f"first.{k}") for k in _KEYS)).alias("first"))
-    return salted_join(signed.select("doc_id", *_KEYS, "k1", "k2"), linked, ["k1", "k2"], F.monotonically_increasing_id()), paths
+    return salted_join(signed.select("doc_id", *_KEYS, "k1", "k2"), linked, ["k1", "k2"], F.monotonically_increasing_id()), repeated, paths
 
 
 def jaccard_join(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """See the module's docstring."""
-    rows, paths = _grouped(docs, n_words, threshold, tolerance)
+    rows, _, paths = _grouped(docs, n_words, threshold, tolerance)
     of_group = lambda c: F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col(c))
     copies = F.coalesce("copies", F.lit(1).cast("long"))
     result = written(rows.select("doc_id", of_group("class_id").alias("class_id"), of_group("copy_id").alias("copy_id"), copies.alias("n_copies"), (F.coalesce("links", F.lit(0)) + copies - 1).cast("long").alias("n_links")), "jaccard")
@@ -345,12 +347,13 @@ def one_of_each(docs: DataFrame, n_words: int = SHINGLE, threshold: float = THRE
     Null ids are larger than any; of equal ids, that whose text has the smallest hash stays; of rows that are the same
     in doc_id and text (texts without words, too) one stays.
     """
-    rows, paths = _grouped(docs, n_words, threshold, tolerance)
+    rows, repeated, paths = _grouped(docs, n_words, threshold, tolerance)
     gone = written(rows.where(F.col("first").isNotNull() & (F.struct(*_KEYS) != F.col("first"))).select(*_KEYS).distinct(), "copies")
     for p in paths:
         drop_path(docs.sparkSession, p)
     names = unused(docs, *_KEYS)
-    keyed = docs.select("*", *(c.alias(k) for c, k in zip(row_keys(), names, strict=True))).dropDuplicates(names)
+    keyed = docs.select("*", *(c.alias(k) for c, k in zip(row_keys(), names, strict=True)))
+    keyed = keyed.dropDuplicates(names) if repeated else keyed
     return keyed.join(gone.toDF(*names), names, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
