@@ -188,7 +188,7 @@ def draw(blocks: DataFrame, sources: DataFrame, levels: int) -> DataFrame:
     times = (F.col("passes") + F.when(F.col("left") != 0, 1).otherwise(0)).cast("int")
     b = blocks.withColumn("times", times).withColumn("in_source", F.count("*").over(of_source)).withColumn("quota", F.sum("times").over(of_source))
     quotas = sources.select("k").join(b.groupBy("k").agg(F.max("quota").alias("quota")), "k", "left").select("k", F.coalesce("quota", F.lit(0)).cast("long").alias("quota"))
-    drawn = split(quotas, levels).select("k", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("number"))
+    drawn = written(split(written(quotas, "quotas"), levels), "leaves").select("k", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("number"))
     takings = b.where("times > 0").select("k", "block", "rank", "in_source", "quota", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("nth"))
     takings = takings.withColumn("number", affine(F.col("nth") * F.col("in_source") + F.col("rank"), F.col("quota"), F.col("k")))
     held = takings.join(drawn, ["k", "number"]).groupBy("k", "block").agg(F.array_sort(F.collect_list(F.struct("nth", "shard"))).alias("held"))
@@ -223,7 +223,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_R
     b = written(cut(b, "block", "rank", "part").select("k", "block", "rank", "left", "passes"), "blocks")
 
     edge = d.join(b.where("left > 0").select("k", "block", "left"), ["k", "block"]).withColumn("piece", part_of("parts"))
-    pieces = cut(edge.groupBy("k", "piece").agg(F.sum("size").alias("words"), F.first("left").alias("room")), "piece", "piece", "room")
+    pieces = written(cut(edge.groupBy("k", "piece").agg(F.sum("size").alias("words"), F.first("left").alias("room")), "piece", "piece", "room"), "pieces")
     whole = pieces.groupBy("k").agg(F.collect_list(F.when(F.col("left") < 0, F.col("piece"))).alias("whole"))
     # The piece at the edge: documents in permuted order while they fit, then the one whose size is nearest to what is left.
     docs_of = edge.drop("left").join(pieces.where("left > 0").select("k", "piece", "left"), ["k", "piece"]).groupBy("k", "h").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
@@ -234,10 +234,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_R
     nearest = F.row_number().over(of_source.orderBy(F.col("miss").asc_nulls_last(), F.xxhash64(F.lit(SEED), F.col("h")), "h")) == 1
     ranked = ranked.withColumn("more", F.col("fits") | (nearest & (F.col("miss") < F.col("gap"))))
     some = ranked.groupBy("k").agg(F.collect_list(F.when(F.col("more"), F.col("h"))).alias("some"))
-    cuts = whole.join(some, "k", "left").select("k", "whole", F.coalesce("some", F.array().cast("array<bigint>")).alias("some"))
+    cuts = written(whole.join(some, "k", "left").select("k", "whole", F.coalesce("some", F.array().cast("array<bigint>")).alias("some")), "cuts")
 
     edges = b.where("left > 0").select("k", "block").join(cuts, "k")
-    blocks = b.join(draw(b, sources, levels), ["k", "block"], "left").join(edges, ["k", "block"], "left")
+    blocks = b.join(written(draw(b, sources, levels), "draws"), ["k", "block"], "left").join(edges, ["k", "block"], "left")
     blocks = blocks.select("k", "block", F.coalesce("shards", F.array().cast("array<int>")).alias("shards"), "whole", "some")
     return sized, sources, written(blocks, "drawn")
 

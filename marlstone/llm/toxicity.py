@@ -266,11 +266,14 @@ def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 1
     place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     cols, rows = [], []
-    for i in range(n):
-        own = place[flat[edges[i] : edges[i + 1]]]
-        own = np.sort(own[own >= 0])
-        cols.append(own)
-        rows.append(np.full(len(own), i, np.int32))
+    for k in range(0, n, 512):
+        top = min(k + 512, n)
+        own = place[flat[edges[k] : edges[top]]]
+        whose = np.repeat(np.arange(k, top, dtype=np.int32), np.diff(edges[k : top + 1]))
+        order = np.lexsort((own, whose))
+        order = order[own[order] >= 0]
+        cols.append(own[order])
+        rows.append(whose[order])
     col, row = np.concatenate(cols), np.concatenate(rows)
     w, bias = np.zeros(len(chosen)), float(np.log(p / (1 - p)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -296,10 +299,18 @@ def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column],
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marked, "doc_id").select("doc_id", "toxic", "text")
     found = rows.mapInArrow(lambda it: _features(it, model), "doc_id long, toxic int, features binary").orderBy("doc_id").toArrow()
     y = found.column("toxic").to_numpy().astype(float)
-    parts = [np.frombuffer(x.as_py(), np.int32) for x in found.column("features")]
-    del found
-    edges = np.r_[0, np.cumsum([len(x) for x in parts], dtype=np.int64)]
-    return fit(y, np.concatenate(parts) if parts else np.zeros(0, np.int32), edges)
+    sizes, chunks = pc.binary_length(found.column("features")).to_numpy() // 4, found.column("features").chunks
+    edges = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+    flat = np.zeros(int(edges[-1]), np.int32)
+    at = 0
+    for c in chunks:  # straight from Arrow's buffers: no object for each row
+        ends = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1] if len(c) else np.zeros(1, np.int32)
+        n = int(ends[-1] - ends[0]) // 4
+        if n:
+            flat[at : at + n] = np.frombuffer(c.buffers()[2], np.int32, n, int(ends[0]))
+        at += n
+    del found, chunks
+    return fit(y, flat, edges)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, weights) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
