@@ -245,7 +245,7 @@ class Classifier:
     bias: float
 
 
-def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 150, ridge: float = 1e-3) -> Classifier:
+def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 200, ridge: float = 1e-4) -> Classifier:
     """Logistic regression on binary features; row i has those of flat[edges[i]:edges[i+1]]."""
     n = len(labels)
     if not n or labels.min() == labels.max():
