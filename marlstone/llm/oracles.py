@@ -37,3 +37,61 @@ cop AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN doc_id ELSE min(doc_id) OVE
 cnt AS (SELECT x AS doc_id, count(*) AS n_links FROM link GROUP BY x)
 SELECT doc_id, class_id, copy_id, n_copies, coalesce(n_links, 0) AS n_links FROM grp JOIN cop USING (doc_id) LEFT JOIN cnt USING (doc_id)
 """
+
+# What SQL can say of a part of a contract: the sizes and targets of the mix, the base counts, the base spans.
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES["mix_targets"] = f"""
+WITH d AS (SELECT doc_id, source, len({_WORDS}) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+k AS (SELECT *, ([1, 2, 3])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 3.0 * source_size AS cap FROM s),
+o AS (SELECT *, row_number() OVER r AS j, sum(source_size) OVER () - coalesce(sum(cap) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+  sum(w) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM k WINDOW r AS (ORDER BY cap / w, source NULLS LAST)),
+l AS (SELECT arg_min(rest / weights, j) AS water FROM o WHERE rest / weights <= cap / w)
+SELECT doc_id, size, source_size, round(least(cap, water * w), 3) AS target FROM d JOIN o ON d.source IS NOT DISTINCT FROM o.source, l
+"""
+
+ORACLES["quality_counts"] = rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+g AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS win FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 6))) AS i FROM w)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(l.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(words) < 20 OR 100 * coalesce(c.n, 0) > 30 * len(words) AS base_failed
+FROM w LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
+
+#: A private-use character that marks matches; the operator reads texts that hold it as if it were another one.
+_MARK, _FREE = "\ue001", "\ue003"
+
+
+def _spans(kind: int, name: str, pattern: str, least: int, groups: int) -> str:
+    """Matches of a pattern, parted from the rest by marks; lengths of the parts are summed."""
+    marked = _MARK + "".join(f"\\{g}{_MARK}" for g in range(1, groups + 1))
+    head = "length(before)" if groups == 2 else "0"
+    return f"""
+SELECT doc_id, {kind} AS k, s, '{name}:' || s || ':' || e AS span FROM (
+  SELECT doc_id, begun - {head} AS s, begun + length(part) AS e, length(part) AS n FROM (
+    SELECT doc_id, i, part, lag(part) OVER x AS before, coalesce(sum(length(part)) OVER (x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begun FROM (
+      SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '{pattern}', '{marked}', 'g'), '{_MARK}') AS parts FROM t))
+    WINDOW x AS (PARTITION BY doc_id ORDER BY i)) WHERE i % {groups + 1} = 0) WHERE n >= {least}"""
+
+
+ORACLES["secret_spans"] = (
+    f"WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{_MARK}', '{_FREE}') AS text FROM documents), f AS ("
+    + " UNION ALL ".join(
+        [
+            _spans(0, "assign", r"""((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)""", 8, 2),
+            _spans(1, "access", "(AKIA[A-Z0-9]+)", 16, 1),
+            _spans(2, "hex", "([0-9a-f]+)", 32, 1),
+        ]
+    )
+    + """)
+SELECT t.doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex, sha256(coalesce(string_agg(span, ',' ORDER BY s, k), '')) AS base_sha256
+FROM t LEFT JOIN f ON t.doc_id = f.doc_id GROUP BY t.doc_id
+"""
+)

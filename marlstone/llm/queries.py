@@ -76,8 +76,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the mix that SQL can say."""
+    return op6_source_mix(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and the base rule, without the learned list."""
+    from .quality import base_failed, features
+
+    return features(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"))
+
+
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base spans, without those of the battery."""
+    return op5_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
+    numbered = {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
+    return numbered | {"mix_targets": mix_targets, "quality_counts": quality_counts, "secret_spans": secret_spans}
 
 
 def oracle_sql() -> dict[str, str]:

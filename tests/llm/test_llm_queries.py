@@ -38,7 +38,7 @@ def test_contracts(spark, duck):
     from marlstone.llm import queries
 
     q = queries.queries()
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in sorted(q, key=lambda n: int(re.match(r"op(\d+)_", n)[1]))] == list(range(1, 11))
+    assert sorted(int(m[1]) for n in q if (m := re.match(r"op(\d+)_", n))) == list(range(1, 11))
     ids = {i for (i,) in duck.execute("SELECT doc_id FROM documents").fetchall()}
     tox = q["op4_toxicity"](spark, SF).collect()
     assert {r["doc_id"] for r in tox} == ids
@@ -68,3 +68,21 @@ def test_pipeline(spark):
     assert ids[3] == sorted(set(ids[2]) - leaked)
     assert ids[4] == sorted(r["doc_id"] for r in mixing.mix(inputs[3]).collect() for _ in range(r["times"]))
     assert ids[5] == ids[4] == sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect())
+
+
+def test_pipeline_edges(spark):
+    """Null and repeated ids, null, empty and long texts, clashing columns and empty tables pass every stage."""
+    import corpus_pipeline
+    from test_text_operators import COLUMNS, EDGE, docs, sentences
+
+    rows = [*EDGE, *((None, sentences(1, 30), "s") for _ in range(3)), (4, sentences(2, 30), "s"), (6, sentences(2, 30) + " ", "s"), (7, sentences(3, 30), None), (7, sentences(4, 30), "t")]
+    texts = {" ".join((t or "").split()) for _, t, _ in rows}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs(spark, rows), SF)
+        assert out.columns[: len(COLUMNS)] == COLUMNS or name == "table_sharding", name
+        left = [" ".join((r["text"] or "").split()) for r in out.collect()]
+        if name == "ngram_jaccard_join":  # one of each, and every text without words
+            assert sorted(x for x in left if x) == sorted(texts - {""}) and left.count("") == 3
+        elif name != "source_mix":
+            assert len(left) == len(rows) and {*left} == texts, name
+        assert stage(spark, docs(spark, []).limit(0), SF).count() == 0
