@@ -71,7 +71,15 @@ def report(results: DataFrame) -> DataFrame:
 
 
 def gaps(requests: DataFrame, key: str, ts: str, tie: str, least_s: float) -> DataFrame:
-    """Requests that came sooner after the previous one of their key than `least_s`."""
-    before = F.lag(ts).over(Window.partitionBy(key).orderBy(ts, tie))
-    gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(before.cast("timestamp"))) / 1e6
-    return requests.withColumn("gap_s", gap).where(F.col("gap_s") < least_s)
+    """Requests that came sooner after the previous one of their key than `least_s`.
+
+    The previous one is then in the same stretch of time or in the one before, so keys are cut into stretches, and a
+    busy key is spread over many tasks.
+    """
+    micros, wide = F.unix_micros(F.col(ts).cast("timestamp")), max(int(least_s * 1e6), 60_000_000)
+    rows = requests.withColumn("_at", micros).withColumn("_stretch", F.floor(F.col("_at") / wide))
+    inside = F.lag("_at").over(Window.partitionBy(key, "_stretch").orderBy(ts, tie))
+    last = rows.groupBy(F.col(key).alias("_key"), (F.col("_stretch") + 1).alias("_next")).agg(F.max("_at").alias("_last"))
+    rows = rows.withColumn("_before", inside).join(last, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_stretch") == F.col("_next")), "left")
+    gap = (F.col("_at") - F.coalesce("_before", "_last")) / 1e6
+    return rows.withColumn("gap_s", gap).where(F.col("gap_s") < least_s).select(*requests.columns, "gap_s")
