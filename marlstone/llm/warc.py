@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import new_path, salted_join, written
 
 REVISIT_BYTES = 1000
+#: Repeated payloads (a row of some 100 bytes each) are broadcast up to so many; beyond, payloads are shuffled to them.
+BROADCAST_WINNERS = 100_000
 #: A new file begins when one is larger.
 FILE_BYTES = 1 << 30
 #: Selected records of one stretch of a file of this size are read by one task in one go.
@@ -115,7 +117,7 @@ def _store(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBa
             out.close()
 
 
-def write(pages: DataFrame, root: str | None = None) -> DataFrame:
+def write(pages: DataFrame, root: str | None = None, broadcast_winners: int = BROADCAST_WINNERS) -> DataFrame:
     """Writes a record for each row of (page_id, url, html) and returns the index."""
     spark = pages.sparkSession
     root = root or new_path(spark, "warc")
@@ -123,7 +125,12 @@ def write(pages: DataFrame, root: str | None = None) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha1("payload")).withColumn("size", F.length("payload"))
     groups = rows.where(F.col("size") >= REVISIT_BYTES).groupBy("payload_digest", "size").agg(F.max("page_id").alias("winner"), F.count("*").alias("n"))
-    rows = salted_join(rows, groups.where("n > 1 and winner is not null").drop("n"), ["payload_digest", "size"], F.struct("page_id", "url"))
+    # Only payloads that repeat have a winner. While these are few, no payload is shuffled.
+    winners = written(groups.where("n > 1 and winner is not null").drop("n"), "winners")
+    if winners.limit(broadcast_winners + 1).count() <= broadcast_winners:
+        rows = rows.join(F.broadcast(winners), ["payload_digest", "size"], "left")
+    else:
+        rows = salted_join(rows, winners, ["payload_digest", "size"], F.struct("page_id", "url"))
     again = F.col("winner").isNotNull() & ~F.col("winner").eqNullSafe(F.col("page_id"))
     rows = rows.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("winner")))
     return written(rows.drop("winner", "size").mapInArrow(lambda it: _store(it, root), INDEX), "warc-index")

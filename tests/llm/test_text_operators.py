@@ -58,11 +58,12 @@ def test_words_and_windows():
 # 1
 
 
-def test_warc_round_trip(spark, monkeypatch):
+@pytest.mark.parametrize("most", [0, 1000])  # beyond the bound of the broadcast, and below it
+def test_warc_round_trip(spark, most):
     big, other = "é" * 500 + "x", "y" * 999
     rows = [(1, "http://a/1", big), (2, "http://a/2", big), (3, None, big), (4, "http://b/\r\nX: y", other), (5, "u", other), (6, "u", None), (7, "u", ""), (None, "n", big), (8, "z", "q" * 5000), (9, "l", "long é" * 400000)]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, size int").repartition(3)
-    index = warc.write(pages)
+    index = warc.write(pages, broadcast_winners=most)
     got = {r["page_id"]: r for r in warc.read(index).collect()}
     for page_id, _, html in rows:
         data = (html or "").encode()
