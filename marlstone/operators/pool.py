@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import item_id, item_number
-from marlstone.sources.scratch import keep
+from marlstone.sources.scratch import ranked
 
 KEY = ("page_url", "picture", "element_role", "accessible_name")
 
@@ -47,16 +47,8 @@ def last_number(pool: DataFrame) -> int:
 
 
 def number(items: DataFrame, last: int, order: list[str | Column]) -> DataFrame:
-    """Gives ids from last + 1 on, in order. Ranks come in two steps: counts of ranges, then places inside them.
-
-    The ranges are written once, so that both steps see the same.
-    """
-    spread = items.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
-    spread = keep(spread, "ranges")
-    sizes = spread.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    n = F.col("_row") - F.col("_first") + F.col("_before") + 1 + last
-    return spread.join(F.broadcast(before), "_part").withColumn("id", item_id(n)).drop("_part", "_row", "_first", "_before")
+    """Gives ids from last + 1 on, in order."""
+    return ranked(items, order, "_rank").withColumn("id", item_id(F.col("_rank") + last + 1)).drop("_rank")
 
 
 def add(found: DataFrame, pool: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.columns import percent
 from marlstone.plans.schemas import EMPTY_ALT, NO_ALT, OTHER_SOURCE, SOURCE_LABELS
+from marlstone.sources.scratch import ranked
 
 
 def announced_name() -> Column:
@@ -55,7 +56,7 @@ def decide(session_id: str, decisions: DataFrame) -> DataFrame:
 def cursor(items: DataFrame, decisions: DataFrame, sessions: DataFrame) -> DataFrame:
     """(session_id, next_id, left): sessions go through the items in order of `pos`, so the next one follows as many as
     are decided. A session that is through has a null and none left."""
-    queue = items.select("id", (F.row_number().over(Window.orderBy("pos")) - 1).alias("nth"))
+    queue = ranked(items.select("id", "pos"), ["pos"], "nth").select("id", "nth")
     done = decisions.groupBy("session_id").agg(F.count("*").alias("done"))
     at = sessions.select("session_id").distinct().join(done, "session_id", "left").withColumn("nth", F.coalesce("done", F.lit(0)))
     total = items.agg(F.count("*").alias("total")).withColumn("one", F.lit(1))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -25,3 +26,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(spark)}/marlstone/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ranked(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
+    """`df` with a column `name`: 0, 1, ... in order. No task sees all rows: ranks are counts of ranges, then places inside.
+
+    The ranges are written once, so that both steps see the same.
+    """
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    spread = keep(spread, "ranges")
+    sizes = spread.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    n = F.col("_row") - F.col("_first") + F.col("_before")
+    return spread.join(F.broadcast(before), "_part").withColumn(name, n.cast("long")).drop("_part", "_row", "_first", "_before")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jsonl import lines
+from .scratch import ranked
 
 
 def seeds(spark: SparkSession, folder: str, sector: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -17,8 +18,7 @@ def seeds(spark: SparkSession, folder: str, sector: str | None = None) -> tuple[
     name = F.regexp_extract("file", r"([^/]+)\.txt$", 1)
     rows = raw.select(F.concat(name, F.lit(".txt")).alias("file"), "line", name.alias("sector"), F.trim(F.regexp_replace("value", r"#.*$", "")).alias("url")).where("url != ''")
     good = F.coalesce(F.try_parse_url("url", F.lit("HOST")).isNotNull() & F.col("url").rlike(r"^(?i)https?://"), F.lit(False))
-    order = Window.orderBy("sector", "line")
-    return rows.where(good).select("url", "sector", (F.row_number().over(order) - 1).cast("bigint").alias("pos")), rows.where(~good).select("file", "line", "url")
+    return ranked(rows.where(good).select("url", "sector", "line"), ["sector", "line"], "pos").select("url", "sector", "pos"), rows.where(~good).select("file", "line", "url")
 
 
 def removal_log(raw: DataFrame) -> DataFrame:
