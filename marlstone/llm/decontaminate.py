@@ -254,7 +254,7 @@ def _seeds(docs: DataFrame, benchmark: DataFrame, n: int, least: float) -> Itera
         if not len(items.grams):
             continue
         shared = spark.sparkContext.broadcast(items.parts())
-        counted = texts.mapInArrow(lambda it, s=shared: _count(it, s, n), "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()
+        counted = texts.mapInArrow(lambda it, s=shared: W.tidied(_count(it, s, n)), "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()
         df = np.zeros(len(items.grams), np.int64)
         df[counted["row"]] = counted["n"]
         first = np.searchsorted(items.grams, items.grams)  # rows with one hash were counted at the first
@@ -266,7 +266,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: flo
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = None
     for chosen in _seeds(docs, benchmark, n, least):
-        part = docs.mapInArrow(lambda it, s=chosen: _search(it, s, n, least), LEAKS)
+        part = docs.mapInArrow(lambda it, s=chosen: W.tidied(_search(it, s, n, least)), LEAKS)
         found = part if found is None else found.unionAll(part)
     if found is None:
         return docs.sparkSession.createDataFrame([], LEAKS)
@@ -289,5 +289,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, least: flo
     """The rows of `docs` whose text holds no leaked item, whatever their doc_id is (null, or repeated)."""
     out = docs
     for chosen in _seeds(docs, benchmark, n, least):
-        out = out.mapInArrow(lambda it, s=chosen: _without(it, s, n, least), docs.schema)
+        out = out.mapInArrow(lambda it, s=chosen: W.tidied(_without(it, s, n, least)), docs.schema)
     return out

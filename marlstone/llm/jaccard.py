@@ -296,7 +296,7 @@ def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float)
         df.write.parquet(paths[-1])
         return spark.read.schema(df.schema).parquet(paths[-1])
 
-    signed = keep(docs.mapInArrow(lambda it: _sign(it, n_words), _SIGNED), "signed")
+    signed = keep(docs.mapInArrow(lambda it: W.tidied(_sign(it, n_words)), _SIGNED), "signed")
     member = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_KEYS)
     classes = signed.where("n_sh > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.min(member).alias("member"), *(F.first(c).alias(c) for c in ("n_sh", "sig", "bands")))
     classes = keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbered once, in the written table
@@ -313,12 +313,12 @@ def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float)
     )
     tiles = tiles.hint("merge").join(classes.select("node", "copies", "n_sh", "sig", *(F.col(f"member.{k}").alias(k) for k in _KEYS)), "node")
     least = least_matches(threshold, tolerance)
-    survivors = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda it: _candidates(_groups(it, "tile"), threshold, least), "tile long, node long, copies long, t0 long, t1 long, t2 long, partners array<long>")
+    survivors = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(lambda it: W.tidied(_candidates(_groups(it, "tile"), threshold, least)), "tile long, node long, copies long, t0 long, t1 long, t2 long, partners array<long>")
     survivors = keep(survivors, "survivors")
     # Where rows repeat, one of them is enough, and they are combined before the shuffle; else that sort is saved.
     repeated = not signed.groupBy(*_KEYS).count().where("count > 1").isEmpty()
     needed = survivors.hint("merge").join(docs.dropDuplicates(_KEYS) if repeated else docs, _KEYS).select("tile", "node", "copies", "partners", F.coalesce("text", F.lit("")).alias("text"))
-    verified = needed.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(lambda it: _verify(_groups(it, "tile"), n_words, threshold), "node long, links long, root long")
+    verified = needed.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(lambda it: W.tidied(_verify(_groups(it, "tile"), n_words, threshold)), "node long, links long, root long")
     verified = keep(verified, "verified")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(verified.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())

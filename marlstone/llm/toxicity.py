@@ -78,7 +78,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def language_model(docs: DataFrame) -> np.ndarray:
     """-log P(third | first two) as a SYMBOLS x SYMBOLS x SYMBOLS table, from all texts."""
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_trigrams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(lambda it: W.tidied(_trigrams(it)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(SYMBOLS**3)
     table[counts["code"].to_numpy(dtype=np.int64)] = counts["n"].to_numpy(dtype=float)
     table = table.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
@@ -297,7 +297,7 @@ def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column],
     if n > sample_rows:
         marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * (sample_rows / n) * 0.97))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marked, "doc_id").select("doc_id", "toxic", "text")
-    found = rows.mapInArrow(lambda it: _features(it, model), "doc_id long, toxic int, features binary").orderBy("doc_id").toArrow()
+    found = rows.mapInArrow(lambda it: W.tidied(_features(it, model)), "doc_id long, toxic int, features binary").orderBy("doc_id").toArrow()
     y = found.column("toxic").to_numpy().astype(float)
     sizes, chunks = pc.binary_length(found.column("features")).to_numpy() // 4, found.column("features").chunks
     edges = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
@@ -344,7 +344,7 @@ def score(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column
     """(doc_id, text) -> doc_id, score, in a row for each given row."""
     model, weights = trained(docs, labels, allowed, sample_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: _only_scores(it, model, weights), "doc_id long, score double")
+    return rows.mapInArrow(lambda it: W.tidied(_only_scores(it, model, weights)), "doc_id long, score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -355,4 +355,4 @@ def held_out(doc_id: Column) -> Column:
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, allowed: Callable[[Column], Column] | None = lambda c: ~held_out(c)) -> DataFrame:
     """The rows of `docs` whose text scores less than `threshold`, whatever their doc_id is (null, or repeated)."""
     model, weights = trained(docs, labels, allowed)
-    return docs.mapInArrow(lambda it: _below(it, model, weights, threshold), docs.schema)
+    return docs.mapInArrow(lambda it: W.tidied(_below(it, model, weights, threshold)), docs.schema)

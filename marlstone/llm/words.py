@@ -6,6 +6,7 @@ Word hashes are polynomial over 2**64 with a final mixing step, so equal words h
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 ... base**n modulo 2**64; kept up to a few slices' length."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(2 * n, 1 << 16)
         have = np.empty(size + 1, np.uint64)
         have[0] = 1
         have[1:] = base & (2**64 - 1)
@@ -53,6 +54,17 @@ def powers(base: int, n: int) -> np.ndarray:
     return have
 
 
+def tidied(out: Iterator) -> Iterator:
+    """What a task returns. When it is through, what it has freed goes back to the system: Python's workers are used
+    again for other tasks, and would keep it beside Spark's own memory."""
+    yield from out
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 @dataclass
 class Texts:
     """Some consecutive texts of a batch: their bytes, the n+1 offsets, and where the first stands in the batch."""
