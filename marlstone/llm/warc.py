@@ -34,6 +34,8 @@ BROADCAST_WINNERS = 100_000
 FILE_BYTES = 1 << 30
 #: Selected records of one stretch of a file of this size are read by one task in one go.
 STRETCH_BYTES = 8 << 20
+#: Bytes of archives that a task reads, about.
+TASK_BYTES = 4 * STRETCH_BYTES
 #: Ranges with at most this gap between them become one read.
 GAP_BYTES = 64 << 10
 #: Fixed value, so that a rerun writes the same records.
@@ -185,5 +187,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Rec
 def read(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of the given index rows; `payloads` false leaves that column null."""
     tasks = index.select("file", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / STRETCH_BYTES))
-    tasks = tasks.repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    # Index rows are small, and what they stand for is not: tasks are as many as the bytes ask for.
+    total = tasks.agg(F.sum("length")).first()[0] or 0
+    tasks = tasks.repartition(1 + total // TASK_BYTES, "file", "stretch").sortWithinPartitions("file", "offset")
     return tasks.mapInArrow(lambda it: _fetch(it, payloads), RECORD)
