@@ -95,3 +95,33 @@ SELECT t.doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHE
 FROM t LEFT JOIN f ON t.doc_id = f.doc_id GROUP BY t.doc_id
 """
 )
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Control strings of the chat template, with what escaping has put behind their first characters.
+_CONTROL = r"<\\*s>|<\\*/s>|\[\\*/?INST\]|\[\\*/?SYS\]|\[\\*/?ROLE\]|\[\\*TEXT\]|\[\\*REPLY\]"
+
+ORACLES["op12_chat_format"] = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (SELECT *, length(text) + len(regexp_extract_all(text, '{_CONTROL}')) + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 11 WHEN 'system' THEN 11 ELSE 19 + length(role) + len(regexp_extract_all(role, '{_CONTROL}')) END AS n FROM t),
+g AS (SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss, sum(n)::BIGINT + 3 AS formatted_chars FROM s GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+"""
+
+ORACLES["op11_collocations"] = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM documents),
+o AS (SELECT lang, unnest(ws) AS phrase, 1 AS k FROM p
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])), 2 FROM p WHERE len(ws) > 1
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])), 3 FROM p WHERE len(ws) > 2),
+g AS (SELECT lang, phrase, k, count(*) AS a FROM o GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+cuts AS (SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS x, array_to_string(w[cut + 1:k], ' ') AS y FROM c, range(1, 3) t(cut) WHERE cut < k),
+s AS (SELECT cuts.lang, cuts.phrase, cuts.a, cut, x.a AS l, y.a AS r, (1000000::HUGEINT * cuts.a * cuts.a) // (x.a::HUGEINT * y.a) AS score FROM cuts JOIN g x ON cuts.lang = x.lang AND cuts.x = x.phrase JOIN g y ON cuts.lang = y.lang AND cuts.y = y.phrase),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (SELECT lang, part, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3) GROUP BY lang, part),
+kept AS (SELECT low.* FROM low LEFT JOIN longer ON low.lang = longer.lang AND low.phrase = longer.part WHERE NOT coalesce(100 * longer.a >= 50 * low.a, false)),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
