@@ -1,13 +1,15 @@
-"""HTML as a flat list of elements with exact source offsets, and the names and texts that a screen reader finds.
+"""HTML as flat lists of elements and texts with exact source offsets.
 
 One pass of a tolerant tokenizer; elements are closed by their end tag, by one of an ancestor, by an element that
-implies their end, or by the end of the page. Offsets are code points, so `html[start:end]` is the exact slice.
+implies their end, or by the end of the page. Offsets are code points, so `html[start:end]` is the exact slice. What
+the elements mean to each other is found by intervals, in DataFrame code (operators.extract).
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -19,7 +21,8 @@ CLOSES = {
 }
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}, "optgroup": {"select"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 BLOCKS = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-SPACE = re.compile(r"\s+")
+INLINE = frozenset("a b i em span strong small u font p".split())
+_END = re.compile(r"\s*(/?)>")
 _TAG = re.compile(r"<!--|<!|<\?|</([A-Za-z][^\s/>]*)|<([A-Za-z][^\s/>]*)")
 _ATTR = re.compile(r"""\s*(?:/(?!>)|([^\s=/>"'][^\s=/>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?|(["']))""")
 
@@ -32,54 +35,26 @@ ROLES = {
 PAINTS = re.compile(r"<(path|circle|rect|ellipse|line|polyline|polygon|text|image|use)\b", re.I)
 
 
-def collapse(text: str) -> str:
-    return SPACE.sub(" ", text).strip()
-
-
-@dataclass
-class Node:
-    pos: int
-    tag: str
-    attrs: dict[str, str | None]
-    start: int
-    open_end: int
-    parent: Node | None
-    end: int = -1
-    children: list = field(default_factory=list)  # Node or str
-
-    def attr(self, name: str) -> str | None:
-        return self.attrs.get(name)
-
-    def ancestors(self):
-        node = self.parent
-        while node is not None:
-            yield node
-            node = node.parent
-
-    def descendants(self):
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
-
-
 @dataclass
-class Tree:
-    doc: str
-    root: Node
-    nodes: list[Node]
-    by_id: dict[str, Node]
+class Outline:
+    """Elements in order of their tags, an entry of each list for one; and texts as (start, end, value, element)."""
 
-    def outer(self, node: Node) -> str:
-        return self.doc[node.start : node.end]
+    tag: list[str] = field(default_factory=list)
+    attrs: list[dict[str, str | None]] = field(default_factory=list)
+    start: list[int] = field(default_factory=list)
+    open_end: list[int] = field(default_factory=list)
+    end: list[int] = field(default_factory=list)
+    parent: list[int] = field(default_factory=list)
+    #: The outermost svg around each element, or None.
+    svg: list[int | None] = field(default_factory=list)
+    texts: list[tuple[int, int, str, int]] = field(default_factory=list)
 
 
 def _attributes(doc: str, at: int) -> tuple[dict[str, str | None], int, bool]:
     attrs: dict[str, str | None] = {}
     n = len(doc)
     while at < n:
-        m = re.compile(r"\s*(/?)>").match(doc, at)
+        m = _END.match(doc, at)
         if m:
             return attrs, m.end(), m[1] == "/"
         m = _ATTR.match(doc, at)
@@ -93,173 +68,103 @@ def _attributes(doc: str, at: int) -> tuple[dict[str, str | None], int, bool]:
     return attrs, n, False
 
 
-def parse(doc: str) -> Tree:
-    root = Node(-1, "#root", {}, 0, 0, None, len(doc))
-    nodes: list[Node] = []
-    by_id: dict[str, Node] = {}
-    top, at, n = root, 0, len(doc)
-
-    def shut(upto: Node, end: int) -> None:
-        nonlocal top
-        while top is not upto:
-            top.end = end
-            top = top.parent
-
-    def text(a: int, b: int) -> None:
-        if b > a:
-            top.children.append(entities.unescape(doc[a:b]))
+def tokens(doc: str, in_svg: Callable[[], bool]) -> Iterator[tuple]:
+    """("text", start, end, value), ("open", tag, attrs, start, end, closed) and ("close", tag, start, end), in order.
 
-    while at < n:
-        m = _TAG.search(doc, at)
-        if not m:
-            break
-        text(at, m.start())
-        if m[0] == "<!--":
-            end = doc.find("-->", m.end())
-            at = n if end < 0 else end + 3
-        elif m[0] in ("<!", "<?"):
-            end = doc.find(">", m.end())
-            at = n if end < 0 else end + 1
+    Scripts and the like hold nothing but one text, unless they stand in a graphic.
+    """
+    at, n = 0, len(doc)
+    while at < n and (m := _TAG.search(doc, at)):
+        if m.start() > at:
+            yield "text", at, m.start(), entities.unescape(doc[at : m.start()])
+        if not (m[1] or m[2]):
+            sign = "-->" if m[0] == "<!--" else ">"
+            end = doc.find(sign, m.end())
+            at = n if end < 0 else end + len(sign)
         elif m[1]:
-            tag = m[1].lower()
             end = doc.find(">", m.end())
             at = n if end < 0 else end + 1
-            node = top
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                shut(node, m.start())
-                node.end = at
-                top = node.parent
+            yield "close", m[1].lower(), m.start(), at
         else:
             tag = m[2].lower()
             attrs, at, closed = _attributes(doc, m.end())
+            raw = tag in RAW and not in_svg()
+            yield "open", tag, attrs, m.start(), at, closed and not raw
+            if raw:
+                end = re.compile(rf"</{tag}\s*/?>", re.I).search(doc, at)
+                stop, after = (n, n) if not end else end.span()
+                yield "text", at, stop, entities.unescape(doc[at:stop]) if tag in ("title", "textarea") else doc[at:stop]
+                yield "close", tag, after, after
+                at = after
+    if at < n:
+        yield "text", at, n, entities.unescape(doc[at:n])
+
+
+def outline(doc: str) -> Outline:
+    o = Outline()
+    opened: list[int] = []
+
+    def shut(depth: int, end: int) -> None:
+        for k in opened[depth:]:
+            o.end[k] = end
+        del opened[depth:]
+
+    def blank(at: int, element: int) -> None:
+        o.texts.append((at, at + 1, " ", element))
+
+    for kind, *t in tokens(doc, lambda: bool(opened) and (o.svg[opened[-1]] is not None or o.tag[opened[-1]] == "svg")):
+        if kind == "text":
+            if t[1] > t[0]:
+                o.texts.append((*t, opened[-1] if opened else -1))
+        elif kind == "close":
+            tag, begin, end = t
+            depth = next((d for d in range(len(opened) - 1, -1, -1) if o.tag[opened[d]] == tag), None)
+            if depth is not None:
+                shut(depth + 1, begin)
+                shut(depth, end)
+        else:
+            tag, attrs, begin, open_end, closed = t
             if tag in BLOCKS:
-                node = top
-                while node is not root and node.tag in ("a", "b", "i", "em", "span", "strong", "small", "u", "font", "p"):
-                    if node.tag == "p":
-                        shut(node.parent, m.start())
+                for d in range(len(opened) - 1, -1, -1):
+                    if o.tag[opened[d]] not in INLINE:
+                        break
+                    if o.tag[opened[d]] == "p":
+                        shut(d, begin)
                         break
-                    node = node.parent
             if tag in CLOSES:
-                node, last = top, None
-                while node is not root and node.tag not in HOLDS[tag]:
-                    if node.tag in CLOSES[tag]:
-                        last = node
-                    node = node.parent
+                last = None
+                for d in range(len(opened) - 1, -1, -1):
+                    if o.tag[opened[d]] in HOLDS[tag]:
+                        break
+                    if o.tag[opened[d]] in CLOSES[tag]:
+                        last = d
                 if last is not None:
-                    shut(last.parent, m.start())
-            node = Node(len(nodes), tag, attrs, m.start(), at, top)
-            nodes.append(node)
-            top.children.append(node)
-            if isinstance(attrs.get("id"), str):
-                by_id.setdefault(attrs["id"], node)
-            if tag in VOID or closed and (tag == "svg" or any(a.tag == "svg" for a in node.ancestors())):
-                node.end = at
-            elif tag in RAW and not any(a.tag == "svg" for a in node.ancestors()):
-                end = re.compile(rf"</{tag}\s*/?>", re.I).search(doc, at)
-                stop, after = (n, n) if not end else (end.start(), end.end())
-                node.children.append(doc[at:stop] if tag not in ("title", "textarea") else entities.unescape(doc[at:stop]))
-                node.end = at = after
-            else:
-                top = node
-    else:
-        at = n
-    text(at, n)
-    shut(root, n)
-    return Tree(doc, root, nodes, by_id)
-
-
-def visible_text(node: Node, skip: Node | None = None) -> str:
-    """Text of a subtree without scripts, styles, titles, graphics and what is hidden from screen readers."""
-    out: list[str] = []
-    stack = list(reversed(node.children))
-    while stack:
-        x = stack.pop()
-        if isinstance(x, str):
-            out.append(x)
-        elif x is not skip and x.tag not in ("script", "style", "title", "svg") and x.attr("aria-hidden") != "true":
-            if x.tag in BLOCKS or x.tag == "br":
-                out.append(" ")
-                stack.append(" ")
-            stack.extend(reversed(x.children))
-    return collapse("".join(out))
-
-
-def filled(value: str | None) -> str:
-    return collapse(value) if isinstance(value, str) else ""
-
-
-def svg_title(image: Node) -> str:
-    if image.attr("aria-hidden") == "true":
-        return ""
-    title = next((c for c in image.descendants() if c.tag == "title"), None)
-    return collapse("".join(c for c in title.children if isinstance(c, str))) if title else ""
-
-
-def image_name(image: Node) -> tuple[str, str]:
-    if name := filled(image.attr("aria-label")):
-        return name, "aria-label"
-    if image.tag == "svg":
-        return svg_title(image), "svg-title"
-    return filled(image.attr("alt")), "alt"
-
-
-def accessible_name(tree: Tree, control: Node, image: Node) -> tuple[str, str]:
-    """What is announced for the control, as seen from one of its images, and where that comes from."""
-    refs = (control.attr("aria-labelledby") or "").split()
-    named = collapse(" ".join(visible_text(tree.by_id[r]) for r in refs if r in tree.by_id))
-    if named:
-        return named, "aria-labelledby"
-    if name := filled(control.attr("aria-label")):
-        return name, "aria-label"
-    if control is not image and (name := visible_text(control, image)):
-        return name, "control-text"
-    name, source = image_name(image)
-    if name:
-        return name, source
-    for node in (control, image):
-        if name := filled(node.attr("title")):
-            return name, "title"
-    return "", ""
-
-
-def control_of(image: Node) -> Node | None:
-    """The nearest element around an image that can be activated; an input or area is its own."""
-    if image.tag in ("input", "area"):
-        return image
-    for node in image.ancestors():
-        if node.tag == "a" and (node.attr("href") or "").strip():
-            return node
-        if node.tag in ("button", "summary") or (node.attr("role") or "").lower().strip() in ROLES:
-            return node
-        if node.tag in ("main", "body", "#root"):
-            return None
-    return None
-
-
-def observed_alt(image: Node) -> str | None:
-    if image.tag == "svg":
-        if label := filled(image.attr("aria-label")):
-            return label
-        return svg_title(image) or None
-    alt = image.attr("alt")
-    return collapse(alt) if isinstance(alt, str) else ("" if "alt" in image.attrs else None)
-
-
-def clip(text: str, units: int = 240) -> str:
-    """The first `units` UTF-16 code units."""
-    if len(text) * 2 <= units:
-        return text
-    return text.encode("utf-16-le", "surrogatepass")[: 2 * units].decode("utf-16-le", "ignore")
-
-
-def surrounding_text(control: Node, image: Node) -> str:
-    inside = "" if control is image else visible_text(control, image)
-    if inside:
-        return clip(inside)
-    return clip(visible_text(control.parent, control)) if control.parent is not None else ""
-
-
-def is_image(node: Node) -> bool:
-    return node.tag in ("img", "area", "svg") or node.tag == "input" and (node.attr("type") or "").lower().strip() == "image"
+                    shut(last, begin)
+            above, k = opened[-1] if opened else -1, len(o.tag)
+            svg = None if above < 0 else o.svg[above] if o.svg[above] is not None else above if o.tag[above] == "svg" else None
+            for column, value in ((o.tag, tag), (o.attrs, attrs), (o.start, begin), (o.open_end, open_end), (o.end, open_end), (o.parent, above), (o.svg, svg)):
+                column.append(value)
+            if tag in BLOCKS or tag == "br":
+                blank(begin, k)
+            if not (tag in VOID or closed and (tag == "svg" or svg is not None)):
+                opened.append(k)
+    shut(0, len(doc))
+    # A block parts its texts from those behind it, too: a blank at its last character.
+    o.texts += [(o.end[k] - 1, o.end[k], " ", k) for k, tag in enumerate(o.tag) if tag in BLOCKS]
+    return o
+
+
+def anchors(doc: str) -> list[tuple[int, str | None]]:
+    """(position among the elements, href) of every `a`: tags only, nothing is built."""
+    depth = n = 0
+    out: list[tuple[int, str | None]] = []
+    for kind, *t in tokens(doc, lambda: depth > 0):
+        if kind == "open":
+            if t[0] == "a":
+                out.append((n, t[1].get("href")))
+            elif t[0] == "svg" and not t[4]:
+                depth += 1
+            n += 1
+        elif kind == "close" and t[0] == "svg":
+            depth = max(0, depth - 1)
+    return out

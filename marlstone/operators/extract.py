@@ -1,8 +1,9 @@
 """From pages to tables of elements, labelled images and links.
 
-Only tokenising is Python: `explode_nodes` reads each page once and gives a row for every element, with what a screen
-reader would make of images. All that follows is DataFrame code: which element owns a map or a sprite, roles, classes,
-the first reason for which an image is left out, and repeats on a page.
+Only tokenising is Python: `explode_nodes` reads each page once and gives a row for every element, and `page_texts` one for
+every text. All that follows is DataFrame code over their intervals: which control is nearest around an image, what a
+screen reader announces, which element owns a map or a sprite, roles, classes, the first reason for which an image is
+left out, and repeats on a page. page_ids are unique.
 """
 
 from __future__ import annotations
@@ -15,80 +16,199 @@ from pyspark.sql import functions as F
 
 from marlstone.functions import html as H
 from marlstone.functions import url as U
-from marlstone.functions.columns import filled
+from marlstone.functions.columns import collapse, filled
 from marlstone.plans.schemas import FIELDS, IMPLEMENTATIONS
 from marlstone.sources.scratch import keep
 
 NODES = (
     "page_id long, page_url string, pos int, parent int, tag string, attrs map<string,string>, start int, open_end int, end int, "
-    "ancestors array<struct<pos:int,tag:string>>, outer string, is_image boolean, control int, control_tag string, control_role string, "
-    "control_href string, name string, name_source string, around string, alt string, control_html string"
+    "parent_start int, parent_end int, svg int, outer string, text string"
 )
 _INT, _TEXT = pa.int32(), pa.string()
 ARROW_NODES = [
     ("page_id", pa.int64()), ("page_url", _TEXT), ("pos", _INT), ("parent", _INT), ("tag", _TEXT), ("attrs", pa.map_(_TEXT, _TEXT)), ("start", _INT), ("open_end", _INT), ("end", _INT),
-    ("ancestors", pa.list_(pa.struct([("pos", _INT), ("tag", _TEXT)]))), ("outer", _TEXT), ("is_image", pa.bool_()), ("control", _INT), ("control_tag", _TEXT), ("control_role", _TEXT),
-    ("control_href", _TEXT), ("name", _TEXT), ("name_source", _TEXT), ("around", _TEXT), ("alt", _TEXT), ("control_html", _TEXT),
+    ("parent_start", _INT), ("parent_end", _INT), ("svg", _INT), ("outer", _TEXT), ("text", _TEXT),
 ]
-#: Tags whose own markup later steps need.
-KEPT = frozenset(("svg", "symbol", "g", "defs", "path", "use"))
+#: Tags whose own markup later steps need: graphics, and what can be a control.
+KEPT = frozenset(("svg", "symbol", "g", "defs", "path", "use", "a", "button", "summary", "input", "area"))
+#: The tag of rows that are texts, and rows of a batch.
+TEXT, ROWS = "#text", 20_000
 SKIPS = ("noControl", "noName", "noImage", "spriteMissing", "duplicateOnPage")
 SVG_NS, XLINK_NS = "http://www.w3.org/2000/svg", "http://www.w3.org/1999/xlink"
+#: UTF-16 units of the text around an image that are kept.
+AROUND = 240
 
 
-def _rows(page_id: int, page_url: str, doc: str, tags: frozenset | None) -> list[dict]:
-    tree = H.parse(doc)
-    out = []
-    for n in tree.nodes:
-        if tags is not None and n.tag not in tags:
+def _page(doc: str, tags: frozenset | None, texts: bool) -> list[tuple]:
+    """The columns of ARROW_NODES behind page_url, row by row."""
+    o = H.outline(doc)
+    out: list[tuple] = []
+    for k, tag in enumerate(o.tag):
+        if tags is not None and tag not in tags:
             continue
-        above = list(n.ancestors())
-        row = {
-            "page_id": page_id,
-            "page_url": page_url,
-            "pos": n.pos,
-            "parent": n.parent.pos,
-            "tag": n.tag,
-            "attrs": list(n.attrs.items()),
-            "start": n.start,
-            "open_end": n.open_end,
-            "end": n.end,
-            "ancestors": [{"pos": a.pos, "tag": a.tag} for a in above],
-            "outer": tree.outer(n) if n.tag in KEPT or n.attr("id") is not None and any(a.tag == "svg" for a in above) else None,
-            "is_image": H.is_image(n) and not (n.tag == "svg" and any(a.tag == "svg" for a in above)),
-        }
-        if row["is_image"] and (control := H.control_of(n)) is not None:
-            name, source = H.accessible_name(tree, control, n)
-            row |= {
-                "control": control.pos,
-                "control_tag": control.tag,
-                "control_role": (control.attr("role") or "").lower().strip(),
-                "control_href": control.attr("href"),
-                "name": name,
-                "name_source": source,
-                "around": H.surrounding_text(control, n),
-                "alt": H.observed_alt(n),
-                "control_html": tree.outer(control),
-            }
-        out.append(row)
+        up, attrs = o.parent[k], o.attrs[k]
+        whole = tag in KEPT or "role" in attrs or o.svg[k] is not None and "id" in attrs
+        place = (-1, len(doc)) if up < 0 else (o.start[up], o.end[up])
+        out.append((k, up, tag, list(attrs.items()), o.start[k], o.open_end[k], o.end[k], *place, o.svg[k], doc[o.start[k] : o.end[k]] if whole else None, None))
+    if texts:
+        out += [(None, up, TEXT, None, a, a, z, None, None, None, None, value) for a, z, value, up in o.texts]
     return out
 
 
-def explode_nodes(pages: DataFrame, tags: list[str] | None = None) -> DataFrame:
-    """(page_id, url, html) -> a row of NODES for every element, or for those of `tags`."""
+def explode_nodes(pages: DataFrame, tags: list[str] | None = None, texts: bool = False) -> DataFrame:
+    """(page_id, url, html) -> a row of NODES for every element, or for those of `tags`; and for every text, if wanted."""
     only = frozenset(tags) if tags else None
     schema = pa.schema(ARROW_NODES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids, urls, rows = [], [], []
+
+            def packed() -> pa.RecordBatch:
+                columns = [ids, urls, *map(list, zip(*rows, strict=True))]
+                return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
             for page_id, url, doc in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
-                rows = _rows(page_id.as_py(), url.as_py(), doc.as_py() or "", only)
-                for k in range(0, len(rows), 2000):
-                    yield pa.RecordBatch.from_pylist(rows[k : k + 2000], schema)
+                found = _page(doc.as_py() or "", only, texts)
+                for k in range(0, len(found), ROWS):
+                    rows += found[k : k + ROWS]
+                    ids += [page_id.as_py()] * (len(rows) - len(ids))
+                    urls += [url.as_py()] * (len(rows) - len(urls))
+                    if len(rows) >= ROWS:
+                        yield packed()
+                        ids, urls, rows = [], [], []
+            if rows:
+                yield packed()
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), "html").mapInArrow(run, NODES)
 
 
+def nearest(nodes: DataFrame, asking: Column, around: Column, name: str, carried: list[str] | None = None) -> DataFrame:
+    """page_id, pos, start, tag and `carried` of the `asking` rows, and `name`: pos of the nearest element `around` each, or null.
+
+    Intervals of a page lie inside each other or apart. A sweep over where they begin and end counts how many are open
+    (the level); of those that opened at the level of a row, the last one is the nearest around it. Both steps are
+    windows over a page in order, so no pair is made that is not an answer.
+    """
+    text = F.col("tag") == TEXT
+    at = lambda when, place, side, step: F.when(when, F.struct(place.alias("at"), side.alias("side"), F.lit(step).alias("step")))
+    # At one place, what ends there comes first; an element asks before it opens, a text after all that open there.
+    events = F.array(at(around, F.col("end"), F.lit(0), -1), at(asking, F.col("start"), F.when(text, 3).otherwise(1), 0), at(around, F.col("start"), F.lit(2), 1))
+    kept = [c for c in ("page_id", "pos", "start", "tag", *(carried or ()))]
+    rows = nodes.where(F.coalesce(asking, F.lit(False)) | F.coalesce(around, F.lit(False))).select(*kept, F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    sofar = Window.orderBy("e.at", "e.side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("level", F.sum("e.step").over(sofar.partitionBy("page_id"))).where("e.side > 0")
+    found = F.last(F.when(F.col("e.side") == 2, F.col("pos")), ignorenulls=True).over(sofar.partitionBy("page_id", "level"))
+    return rows.withColumn(name, F.when(F.col("level") > 0, found)).where("e.side != 2").drop("e", "level")
+
+
+def is_image() -> Column:
+    """Pictures: an svg counts if no other is around it."""
+    kind = F.lower(F.trim(F.coalesce(F.col("attrs")["type"], F.lit(""))))
+    return F.col("tag").isin("img", "area") | ((F.col("tag") == "svg") & F.col("svg").isNull()) | ((F.col("tag") == "input") & (kind == "image"))
+
+
+def control_role() -> Column:
+    return F.lower(F.trim(F.coalesce(F.col("attrs")["role"], F.lit(""))))
+
+
+def is_control() -> Column:
+    """Elements that can be activated, and so give an image inside a purpose."""
+    leads = (F.col("tag") == "a") & (collapse(F.coalesce(F.col("attrs")["href"], F.lit(""))) != "")
+    return leads | F.col("tag").isin("button", "summary") | control_role().isin(*H.ROLES)
+
+
+def is_hidden() -> Column:
+    """Elements whose texts a screen reader does not read as part of what is around them."""
+    return F.col("tag").isin("script", "style", "title", "svg") | F.coalesce(F.col("attrs")["aria-hidden"] == "true", F.lit(False))
+
+
+def controls(nodes: DataFrame) -> DataFrame:
+    """(page_id, pos, control) of every image: the nearest control around it, unless a block of content is nearer; inputs and areas are their own."""
+    own = F.col("tag").isin("input", "area")
+    ends = F.col("tag").isin("main", "body")
+    images = nearest(nodes, is_image() & ~own, is_control() | ends, "found")
+    there = nodes.where(is_control()).select("page_id", F.col("pos").alias("control"))
+    images = images.join(there, (images["page_id"] == there["page_id"]) & (images["found"] == there["control"])).select(images["page_id"], "pos", "control")
+    return images.unionByName(nodes.where(is_image() & own).select("page_id", "pos", F.col("pos").alias("control")))
+
+
+def clip(text: Column, units: int = AROUND) -> Column:
+    """The first `units` UTF-16 code units; half of a pair is left out."""
+    few = F.substring(text, 1, units)
+    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
+
+    def add(s: Column, c: Column) -> Column:
+        n = s["n"] + F.when(F.ascii(c) > 0xFFFF, 2).otherwise(1)
+        return F.struct(n.alias("n"), F.when(n <= units, F.concat(s["out"], c)).otherwise(s["out"]).alias("out"))
+
+    return F.when(few.rlike(r"[\x{10000}-\x{10FFFF}]"), F.aggregate(F.filter(F.split(few, ""), lambda c: c != ""), start, add, lambda s: s["out"])).otherwise(few)
+
+
+def heard(nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    """`asked` (page_id, key, context, a, b, s, e) with `text`: the collapsed text from a to b, without that from s to e.
+
+    Each text belongs to the nearest hidden element around it (its context, null outside of all), and is read by those
+    who ask from there. Texts and questions of one context of a page meet in one row, so no text is copied for a question.
+    """
+    texts = nearest(nodes, F.col("tag") == TEXT, is_hidden(), "context", ["text", "end"])
+    texts = texts.groupBy("page_id", F.coalesce("context", F.lit(-1)).alias("context")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("texts"))
+    asked = asked.withColumn("context", F.coalesce("context", F.lit(-1)))
+    asked = asked.groupBy("page_id", "context").agg(F.collect_list(F.struct("key", "a", "b", "s", "e")).alias("asked"))
+
+    def answer(q: Column) -> Column:
+        inside = F.filter("texts", lambda t: (t["start"] >= q["a"]) & (t["start"] < q["b"]) & ((t["start"] < q["s"]) | (t["start"] >= q["e"])))
+        return F.struct(q["key"].alias("key"), collapse(F.array_join(F.transform(inside, lambda t: t["text"]), "")).alias("text"))
+
+    both = asked.join(texts, ["page_id", "context"])
+    return both.select("page_id", F.explode(F.transform("asked", answer)).alias("q")).select("page_id", "q.key", "q.text")
+
+
+def announced(nodes: DataFrame) -> DataFrame:
+    """Every image that has a control: page_id, pos, what the control is, its name and where that comes from, alt text and text around."""
+    part = lambda c, *names: [F.col(n).alias(f"{c}_{n}") for n in names]
+    pairs = controls(nodes)
+    images = nodes.where(is_image()).select("page_id", "pos", "tag", "attrs", "start", "end")
+    # Contexts: an element that is hidden is one itself, for what is in it; its parent's is the nearest around it.
+    marked = nodes.where(F.col("attrs")["id"].isNotNull() | is_control() | F.col("tag").isin("input", "area"))
+    context = nearest(nodes, (F.col("tag") != TEXT) & (F.col("attrs")["id"].isNotNull() | is_control() | F.col("tag").isin("input", "area")), is_hidden(), "outer_context").select("page_id", "pos", "outer_context")
+    marked = marked.join(context, ["page_id", "pos"]).withColumn("context", F.when(is_hidden(), F.col("pos")).otherwise(F.col("outer_context")))
+    control = marked.select("page_id", *part("control", "pos", "tag", "attrs", "start", "end", "parent_start", "parent_end", "outer", "context", "outer_context"))
+    rows = images.join(pairs, ["page_id", "pos"]).withColumnRenamed("control", "control_pos").join(control, ["page_id", "control_pos"])
+    title = nodes.where((F.col("tag") == "title") & F.col("svg").isNotNull()).select("page_id", F.col("pos").alias("parent"), "svg")
+    title = nodes.where(F.col("tag") == TEXT).select("page_id", "parent", "start", "text").join(title, ["page_id", "parent"])
+    title = title.groupBy("page_id", "svg", "parent").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("t")).groupBy("page_id", F.col("svg").alias("pos")).agg(F.min_by("t", "parent").alias("t"))
+    rows = rows.join(title.withColumn("svg_title", collapse(F.array_join(F.transform("t", lambda x: x["text"]), ""))).drop("t"), ["page_id", "pos"], "left")
+    # What is asked of the page's texts: inside the control but for the image, around the control, and labels by id.
+    ask = lambda kind, context, a, b, s, e, n=0: F.struct(F.struct("pos", F.lit(kind).alias("kind"), F.lit(n).alias("n")).alias("key"), F.col(context).alias("context"), F.col(a).alias("a"), F.col(b).alias("b"), F.col(s).alias("s"), F.col(e).alias("e"))
+    asks = F.array(ask("in", "control_context", "control_start", "control_end", "start", "end"), ask("by", "control_outer_context", "control_parent_start", "control_parent_end", "control_start", "control_end"))
+    asked = rows.select("page_id", F.explode(asks).alias("q")).select("page_id", "q.*")
+    refs = rows.select("page_id", "pos", F.posexplode(F.split(collapse(F.col("control_attrs")["aria-labelledby"]), " ")).alias("n", "id")).where("id != ''")
+    named = marked.where(F.col("attrs")["id"].isNotNull()).groupBy("page_id", F.col("attrs")["id"].alias("id")).agg(F.min_by(F.struct("context", F.col("start").alias("a"), F.col("end").alias("b")), "pos").alias("to"))
+    refs = refs.join(named, ["page_id", "id"]).select("page_id", F.struct("pos", F.lit("label").alias("kind"), "n").alias("key"), "to.*", F.lit(0).alias("s"), F.lit(0).alias("e"))
+    told = heard(nodes, asked.unionByName(refs)).groupBy("page_id", F.col("key.pos").alias("pos")).agg(
+        F.max(F.when(F.col("key.kind") == "in", F.col("text"))).alias("inside"),
+        F.max(F.when(F.col("key.kind") == "by", F.col("text"))).alias("beside"),
+        F.array_sort(F.collect_list(F.when(F.col("key.kind") == "label", F.struct("key.n", "text")))).alias("labels"),
+    )
+    rows = rows.join(told, ["page_id", "pos"], "left")
+    own = F.col("pos") == F.col("control_pos")
+    said = lambda c: collapse(F.coalesce(c, F.lit("")))
+    label = said(F.array_join(F.transform("labels", lambda x: x["text"]), " "))
+    inside = F.when(own, "").otherwise(F.coalesce("inside", F.lit("")))
+    svg = F.col("tag") == "svg"
+    drawn = F.when(F.coalesce(F.col("attrs")["aria-hidden"] == "true", F.lit(False)), "").otherwise(F.coalesce("svg_title", F.lit("")))
+    mark, control_mark = said(F.col("attrs")["aria-label"]), said(F.col("control_attrs")["aria-label"])
+    shown = F.when(svg, drawn).otherwise(said(F.col("attrs")["alt"]))
+    ways = [(label, F.lit("aria-labelledby")), (control_mark, F.lit("aria-label")), (inside, F.lit("control-text")), (mark, F.lit("aria-label")), (shown, F.when(svg, "svg-title").otherwise("alt")), (said(F.col("control_attrs")["title"]), F.lit("title")), (said(F.col("attrs")["title"]), F.lit("title"))]
+    first = F.get(F.filter(F.array(*(F.struct(t.alias("name"), s.alias("source")) for t, s in ways)), lambda x: x["name"] != ""), F.lit(0))
+    alt = F.when(svg, F.nullif(F.coalesce(F.nullif(mark, F.lit("")), drawn), F.lit(""))).when(F.map_contains_key("attrs", "alt"), said(F.col("attrs")["alt"]))
+    return rows.select(
+        "page_id", "pos", F.col("control_pos").alias("control"), "control_tag", F.lower(F.trim(F.coalesce(F.col("control_attrs")["role"], F.lit("")))).alias("control_role"), F.col("control_attrs")["href"].alias("control_href"),
+        F.coalesce(first["name"], F.lit("")).alias("name"), F.coalesce(first["source"], F.lit("")).alias("name_source"), clip(F.when(inside != "", inside).otherwise(F.coalesce("beside", F.lit("")))).alias("around"), alt.alias("alt"), F.col("control_outer").alias("control_html"),
+    )
+
+
 def role_of(tag: Column, role: Column) -> Column:
     roles = F.create_map(*(F.lit(x) for pair in H.ROLES.items() for x in pair))
     return F.when(tag == "a", "link").when(tag.isin("button", "summary"), "button").when(tag == "input", "input-image").when(tag == "area", "area").otherwise(F.coalesce(F.try_element_at(roles, role), F.lit("custom")))
@@ -128,10 +248,9 @@ def sprites(nodes: DataFrame) -> DataFrame:
 
     Every `use` must point into the page, at an element that paints; the symbols come in a <defs> block, each once.
     """
-    svg = nodes.where(F.col("is_image") & (F.col("tag") == "svg")).select("page_id", "pos", "outer")
-    above = F.element_at(F.filter("ancestors", lambda a: a["tag"] == "svg"), -1)
+    svg = nodes.where((F.col("tag") == "svg") & F.col("svg").isNull()).select("page_id", "pos", "outer")
     ref = F.trim(F.coalesce(F.col("attrs")["href"], F.col("attrs")["xlink:href"], F.lit("")))
-    uses = nodes.where(F.col("tag") == "use").select("page_id", above["pos"].alias("svg_pos"), F.col("pos").alias("use_pos"), F.when(ref.rlike("^#."), F.substring(ref, 2, F.length(ref))).alias("target"))
+    uses = nodes.where(F.col("tag") == "use").select("page_id", F.col("svg").alias("svg_pos"), F.col("pos").alias("use_pos"), F.when(ref.rlike("^#."), F.substring(ref, 2, F.length(ref))).alias("target"))
     uses = uses.where("svg_pos is not null")
     marked = nodes.where(F.col("attrs")["id"].isNotNull()).groupBy("page_id", F.col("attrs")["id"].alias("target")).agg(F.min_by(F.struct("outer", F.col("attrs")["viewbox"].alias("view")), "pos").alias("t"))
     found = uses.join(marked, ["page_id", "target"], "left")
@@ -158,13 +277,13 @@ def sprites(nodes: DataFrame) -> DataFrame:
 
 def judged(pages: DataFrame, sector: Column, retrieved: str) -> DataFrame:
     """Every image of the pages: the columns of an item, page_id, pos, and `skip_reason` (null for a candidate)."""
-    # Parsed once: what images, maps and sprites need of all elements is written out.
-    needed = F.col("is_image") | F.col("tag").isin("map", "use") | F.col("attrs")["usemap"].isNotNull() | (F.col("attrs")["id"].isNotNull() & F.col("outer").isNotNull())
-    nodes = keep(explode_nodes(pages).where(needed), "nodes")
-    images = nodes.where("is_image")
-    named = F.element_at(F.filter("ancestors", lambda a: a["tag"] == "map"), 1)
+    # Parsed once: what images, controls, maps, sprites and names need is written out, texts included.
+    needed = is_image() | is_control() | is_hidden() | F.col("tag").isin("input", "main", "body", "map", "use", TEXT) | F.col("attrs")["usemap"].isNotNull() | F.col("attrs")["id"].isNotNull()
+    nodes = keep(explode_nodes(pages, texts=True).where(needed), "nodes")
+    images = nodes.where(is_image()).drop("text").join(announced(nodes), ["page_id", "pos"], "left")
+    in_map = nearest(nodes, F.col("tag") == "area", F.col("tag") == "map", "map_pos").select("page_id", "pos", "map_pos")
     maps = nodes.where("tag = 'map'").select("page_id", F.col("pos").alias("map_pos"), F.coalesce(F.col("attrs")["name"], F.col("attrs")["id"]).alias("map_name"))
-    images = images.withColumn("map_pos", F.when(F.col("tag") == "area", named["pos"])).join(maps, ["page_id", "map_pos"], "left").join(map_owners(nodes), ["page_id", "map_name"], "left")
+    images = images.join(in_map, ["page_id", "pos"], "left").join(maps, ["page_id", "map_pos"], "left").join(map_owners(nodes), ["page_id", "map_name"], "left")
     images = images.join(sprites(nodes), ["page_id", "pos"], "left")
     src, srcset = F.col("attrs")["src"], F.col("attrs")["srcset"]
     first = F.split(F.trim(F.split_part(srcset, F.lit(","), F.lit(1))), r"\s+")[0]
@@ -207,7 +326,14 @@ def skips(images: DataFrame) -> DataFrame:
 
 def outbound_links(pages: DataFrame) -> DataFrame:
     """(page_id, page_url, pos, href, link): same-host page links, the first of each target, in document order."""
-    nodes = explode_nodes(pages, ["a"]).select("page_id", "page_url", "pos", F.col("attrs")["href"].alias("href"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, u, k, href) for i, u, doc in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True) for k, href in H.anchors(doc or "")]
+            if rows:
+                kinds = (pa.int64(), pa.string(), pa.int32(), pa.string())
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "page_url", "pos", "href"])
+
+    nodes = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, page_url string, pos int, href string")
     links = nodes.where(filled(F.col("href"))).withColumn("link", U.without_hash(U.absolute_col("href", "page_url"))).withColumn("here", U.absolute_col("page_url", "page_url"))
     links = links.where(F.col("link").rlike("^https?://") & (U.plain_host(F.col("link")) == U.plain_host(F.col("here"))) & ~U.is_asset(U.plain_path(F.col("link"))) & (F.col("link") != F.col("here")))
     first = Window.partitionBy("page_id", "page_url", "link").orderBy("pos")

@@ -123,6 +123,33 @@ def control_markup(spark, sf_dir):
     return rows.select("page_id", "element_role", "element_html", F.length("element_html").cast("long").alias("chars"))
 
 
+@query(r"""
+WITH h AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script>.*?</script>', '<script>', 'g'), '(?s)<style>.*?</style>', '<style>', 'g'), '(?s)<title>.*?</title>', '<title>', 'g') AS html FROM pages),
+t AS (SELECT page_id, unnest(tags) AS tag, generate_subscripts(tags, 1) AS i FROM (SELECT page_id, regexp_extract_all(html, '</?[A-Za-z][A-Za-z0-9]*') AS tags FROM h)),
+s AS (SELECT page_id, tag, """ + ", ".join(f"coalesce(sum(CASE tag WHEN '<{x}' THEN 1 WHEN '</{x}' THEN -1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS {x}" for x in ("a", "nav", "article", "body")) + r""" FROM t)
+SELECT page_id, lower(tag[2:]) AS tag, CASE WHEN a > 0 THEN 'a' WHEN nav > 0 THEN 'nav' WHEN article > 0 THEN 'article' WHEN body > 0 THEN 'body' END AS around, count(*) AS n FROM s WHERE tag[2] <> '/' GROUP BY ALL
+""")
+def nearest_around(spark, sf_dir):
+    """The pages' own html: the nearest link, navigation, article or body around every element."""
+    nodes = extract.explode_nodes(read(spark, sf_dir, "pages"))
+    nodes = nodes.select("page_id", "pos", "tag", "start", "end")
+    wanted = F.col("tag").isin("a", "nav", "article", "body")
+    found = extract.nearest(nodes, F.lit(True), wanted, "outer")
+    outer = nodes.where(wanted).select("page_id", F.col("pos").alias("outer"), F.col("tag").alias("around"))
+    return found.join(outer, ["page_id", "outer"], "left").groupBy("page_id", "tag", "around").agg(F.count("*").alias("n"))
+
+
+@query(r"""
+WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script>.*?</script>', '', 'g'), '(?s)<(style|title)>.*?</(style|title)>', '', 'g') AS html FROM pages)
+SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS heading FROM t WHERE html LIKE '%<h1>%'
+""")
+def page_headings(spark, sf_dir):
+    """What is read out between the tags of each page's heading: its texts by interval, entities resolved."""
+    nodes = extract.explode_nodes(read(spark, sf_dir, "pages"), texts=True)
+    asked = nodes.where("tag = 'h1'").select("page_id", F.struct("pos").alias("key"), F.lit(None).cast("int").alias("context"), F.col("start").alias("a"), F.col("end").alias("b"), F.lit(0).alias("s"), F.lit(0).alias("e"))
+    return extract.heard(nodes, asked).select("page_id", F.col("text").alias("heading"))
+
+
 _KEYS = r"""
 WITH""" + _PAGES + r""", c(name, source, alt, role, category, subtype, implementation, picture, space, around) AS (VALUES""" + _CONTROLS + r"""),
 f AS (SELECT page_id, row_number() OVER (PARTITION BY page_id) AS place, url AS page_url, replace(name, '~', n) AS name, role FROM p, c),

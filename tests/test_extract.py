@@ -55,6 +55,76 @@ def test_fixture_page(judged):
     assert all(r["element_html"] in PAGE for r in rows)
 
 
+NAMES = [
+    ('<a href=x aria-label="L">t<img alt=A></a>', ("L", "aria-label")),
+    ('<a href=x aria-labelledby="q">t<img alt=A></a><i id=q>Q</i>', ("Q", "aria-labelledby")),
+    ('<a href=x aria-labelledby="q r">t<img alt=A></a><i id=r>R</i><i id=q>Q <b aria-hidden=true>no</b></i>', ("Q R", "aria-labelledby")),
+    ('<a href=x aria-labelledby="gone">t<img alt=A></a>', ("t", "control-text")),
+    ("<a href=x title=T><img alt=A></a>", ("A", "alt")),
+    ('<a href=x title=T><img alt=""></a>', ("T", "title")),
+    ("<button><svg><title>S</title><path/></svg></button>", ("S", "svg-title")),
+    ("<button><svg aria-hidden=true><title>S</title></svg></button>", ("", "")),
+    ("<a href=x><span aria-hidden=true>no</span><img title=I></a>", ("I", "title")),
+    ("<div aria-hidden=true>far <a href=x>near<img></a></div>", ("near", "control-text")),
+    ("<a href=x>one<div>two</div>three<img></a>", ("one two three", "control-text")),
+    ("<button><input type=image alt=In></button>", ("In", "alt")),
+]
+
+
+def _nodes(spark, docs):
+    return extract.explode_nodes(spark.createDataFrame([(k, "https://x.org/", d) for k, d in enumerate(docs)], "page_id long, url string, html string"), texts=True).persist()
+
+
+def test_names(spark):
+    got = {r["page_id"]: (r["name"], r["name_source"]) for r in extract.announced(_nodes(spark, [d for d, _ in NAMES])).collect()}
+    assert [got.get(k) for k in range(len(NAMES))] == [want for _, want in NAMES]
+
+
+def test_controls_stop_at_blocks_of_content(spark):
+    docs = ["<a href=x><main><img alt=a></main></a>", "<button><a><img alt=b></a></button>", "<a href=' '><img></a>", "<a href=x><b></b></a><img>", "<a href=x><i><button></button><img></i></a>", "<div role=' Tab '><svg><svg></svg></svg></div>", "<area><input type=IMAGE><input>"]
+    rows = extract.controls(nodes := _nodes(spark, docs)).join(nodes.select("page_id", nodes["pos"].alias("control"), "tag"), ["page_id", "control"]).collect()
+    assert sorted((r["page_id"], r["tag"]) for r in rows) == [(1, "button"), (4, "a"), (5, "div"), (6, "area"), (6, "input")]
+
+
+def test_nearest_against_a_walk(spark):
+    """Random nestings: the nearest of a set around each element and text, found by going up parent by parent."""
+    import random
+
+    rng = random.Random(5)
+    docs = []
+    for _ in range(30):
+        out, stack = [], []
+        for _ in range(rng.randint(0, 60)):
+            if stack and rng.random() < 0.4:
+                out.append(f"</{stack.pop()}>")
+            else:
+                stack.append(tag := rng.choice(["i", "b", "u", "em"]))
+                out.append(f"<{tag}>" + rng.choice(["", "x"]))
+        docs.append("".join(out))
+    from pyspark.sql import functions as F
+
+    nodes = _nodes(spark, docs)
+    rows = nodes.collect()
+    by = {(r["page_id"], r["pos"]): r for r in rows if r["pos"] is not None}
+
+    def walk(r):
+        up = by.get((r["page_id"], r["parent"]))
+        while up is not None and up["tag"] not in ("i", "u"):
+            up = by.get((r["page_id"], up["parent"]))
+        return None if up is None else up["pos"]
+
+    got = extract.nearest(nodes, F.lit(True), F.col("tag").isin("i", "u"), "outer").collect()
+    assert sorted((r["page_id"], r["start"], r["tag"], r["outer"] if r["outer"] is not None else -1) for r in got) == sorted((r["page_id"], r["start"], r["tag"], -1 if (w := walk(r)) is None else w) for r in rows)
+
+
+def test_clip_counts_utf16_units(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["a" * 300, "😀" * 200, "a" + "😀" * 200, "", None]
+    got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(extract.clip(F.col("t"))).collect()]
+    assert got == ["a" * 240, "😀" * 120, "a" + "😀" * 119, "", None]
+
+
 def test_skips(judged):
     assert {r["skip_reason"]: r["n"] for r in extract.skips(judged.where("page_id = 1")).collect()} == {"noControl": 4, "noName": 1, "noImage": 0, "spriteMissing": 1, "duplicateOnPage": 0}
     assert judged.where("page_id = 2 and skip_reason is null").count() == 1 and judged.where("skip_reason = 'duplicateOnPage'").count() == 2

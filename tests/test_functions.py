@@ -39,43 +39,23 @@ def test_hosts():
 
 def test_slices_are_exact():
     doc = '<body><p>one<p>two <b>three</p><a href="/x" DISABLED>é<img src=a alt="">&amp;</a><script>var t="</p>"</script></body>'
-    tree = H.parse(doc)
-    for n in tree.nodes:
-        assert doc[n.start : n.end] == tree.outer(n) and tree.outer(n).startswith("<" + n.tag)
-    a = next(n for n in tree.nodes if n.tag == "a")
-    assert tree.outer(a) == '<a href="/x" DISABLED>é<img src=a alt="">&amp;</a>' and a.attrs == {"href": "/x", "disabled": None}
-    assert [n.tag for n in tree.nodes] == ["body", "p", "p", "b", "a", "img", "script"]
-
-
-@pytest.mark.parametrize(
-    ("doc", "want"),
-    [
-        ('<a href=x aria-label="L">t<img alt=A></a>', ("L", "aria-label")),
-        ('<a href=x aria-labelledby="q">t<img alt=A></a><i id=q>Q</i>', ("Q", "aria-labelledby")),
-        ('<a href=x aria-labelledby="gone">t<img alt=A></a>', ("t", "control-text")),
-        ("<a href=x title=T><img alt=A></a>", ("A", "alt")),
-        ('<a href=x title=T><img alt=""></a>', ("T", "title")),
-        ("<button><svg><title>S</title><path/></svg></button>", ("S", "svg-title")),
-        ("<button><svg aria-hidden=true><title>S</title></svg></button>", ("", "")),
-        ("<a href=x><span aria-hidden=true>no</span><img title=I></a>", ("I", "title")),
-    ],
-)
-def test_names(doc, want):
-    tree = H.parse(doc)
-    image = next(n for n in tree.nodes if H.is_image(n))
-    assert H.accessible_name(tree, H.control_of(image), image) == want
-
-
-def test_controls_stop_at_blocks_of_content():
-    tree = H.parse("<a href=x><main><img alt=a></main></a><button><a><img alt=b></a></button><a href=' '><img></a>")
-    images = [n for n in tree.nodes if n.tag == "img"]
-    assert [c and c.tag for c in map(H.control_of, images)] == [None, "button", None]
-
-
-def test_clip_counts_utf16_units():
-    assert H.clip("a" * 300) == "a" * 240
-    assert H.clip("😀" * 200) == "😀" * 120
-    assert H.clip("a" + "😀" * 200) == "a" + "😀" * 119
+    o = H.outline(doc)
+    assert o.tag == ["body", "p", "p", "b", "a", "img", "script"]
+    for tag, a, z in zip(o.tag, o.start, o.end, strict=True):
+        assert doc[a:z].startswith("<" + tag)
+    assert doc[o.start[4] : o.end[4]] == '<a href="/x" DISABLED>é<img src=a alt="">&amp;</a>' and o.attrs[4] == {"href": "/x", "disabled": None}
+    assert [t[2] for t in o.texts if t[2] != " "] == ["one", "two ", "three", "é", "&", 'var t="</p>"']
+    assert H.anchors(doc) == [(4, "/x")]
+
+
+def test_intervals_lie_inside_each_other_or_apart():
+    doc = "<div><ul><li>a<li>b<p>c<table><tr><td>d<td>e<tr><td>f</ul><svg><title>t</title><g id=x><path/></svg></div>text<b>"
+    o = H.outline(doc)
+    spans = list(zip(o.start, o.end, strict=True))
+    assert all(a < z for a, z in spans)
+    assert all(b >= z or y <= z for k, (a, z) in enumerate(spans) for b, y in spans[k + 1 :])
+    assert [o.tag[k] for k, s in enumerate(o.svg) if s is not None] == ["title", "g", "path"]
+    assert [x for x in H.anchors("<svg><title><a href=1></title></svg><title><a href=2></title><!-- <a> --><a>")] == [(2, "1"), (4, None)]
 
 
 BYTES = {
