@@ -273,6 +273,26 @@ def robots_texts(spark, sf_dir):
     return robots.rule_table(read(spark, sf_dir, "region").select(F.concat(F.lit("o"), "r_regionkey").alias("origin"), text.alias("text"))).select("origin", "allow", "path")
 
 
+@query(r"""
+WITH r AS (SELECT p_partkey % 5 = 0 AS allow, CASE p_partkey % 4 WHEN 0 THEN '/o/' || p_partkey % 97 WHEN 1 THEN '/o/' || p_partkey % 89 || '*7' WHEN 2 THEN '/*' || p_partkey % 83 || '$' ELSE '/o/*' || p_partkey % 7 || '*' || p_partkey % 5 || '*9$' END AS path FROM part),
+q AS (SELECT DISTINCT allow, path, length(path) AS n, '^' || replace(CASE WHEN ends_with(path, '$') THEN path ELSE path || '*' END, '*', '.*') AS pattern FROM r)
+SELECT o_orderkey, coalesce((SELECT max(struct_pack(n := n, allow := allow)) FROM q WHERE regexp_matches('/o/' || o_orderkey, pattern)).allow, true) AS allowed FROM orders
+""")
+def robots_many_rules(spark, sf_dir):
+    """One origin with a rule for every part, and a path for every order: rules are found by literals, not one by one."""
+    k = F.col("p_partkey")
+    n = lambda m: (k % m).cast("string")
+    path = (
+        F.when(k % 4 == 0, F.concat(F.lit("/o/"), n(97)))
+        .when(k % 4 == 1, F.concat(F.lit("/o/"), n(89), F.lit("*7")))
+        .when(k % 4 == 2, F.concat(F.lit("/*"), n(83), F.lit("$")))
+        .otherwise(F.concat(F.lit("/o/*"), n(7), F.lit("*"), n(5), F.lit("*9$")))
+    )
+    rules = read(spark, sf_dir, "part").select(F.lit("http://o.org").alias("origin"), (k % 5 == 0).alias("allow"), path.alias("path")).distinct()
+    urls = read(spark, sf_dir, "orders").select("o_orderkey", F.lit("http://o.org").alias("origin"), F.concat(F.lit("/o/"), "o_orderkey").alias("path"))
+    return robots.decide(urls, rules).select("o_orderkey", "allowed")
+
+
 @query(r"""
 SELECT page_id, regexp_matches(u, '^(?i)https?://[^/?#]') AS web, CASE WHEN regexp_matches(u, '^(?i)https?://[^/?#]') THEN regexp_replace(lower(regexp_extract(u, '://([^/?#]*)', 1)), '^www\.', '') END AS domain
 FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'ftp://' || substr(url, instr(url, '://') + 3) WHEN 1 THEN 'nothing ' || url WHEN 2 THEN upper(url[:5]) || url[6:] ELSE url END AS u FROM pages)

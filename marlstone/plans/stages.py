@@ -11,10 +11,12 @@ import subprocess
 import sys
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import item_number
+from marlstone.functions.url import origin_of, robots_path
 from marlstone.operators import aggregates, extract, pool, review, robots, validate
 from marlstone.operators import archive as A
 from marlstone.operators import crawl as C
@@ -54,10 +56,6 @@ def polite_fetcher(spark: SparkSession, get: fetch.Getter = fetch.http_get, sett
     to one origin, that for its rules included, keep their distance."""
 
     def run(batches):
-        import pandas as pd
-
-        from marlstone.functions.url import origin_of, robots_path
-
         polite, rules = fetch.politely(get, settings.host_delay_s), {}
 
         def allowed(url: str):
