@@ -7,12 +7,14 @@ are two or three words that stand together in a piece.
    frequent holds no other words, so pieces are broken there.
 2. Runs of ids are packed into keys of twelve bytes (three ids, most significant byte first; the third is 0 for pairs). A task sorts what
    it has packed and counts runs before anything is shuffled. Keys are dealt by ranges, sorted (Spark's radix sort works on the first eight
-   bytes, which are the first two ids) and their runs are counted as they stream past.
+   bytes, which are the first two ids) and their runs are counted as they stream past. The ranges follow from the counts
+   of the words, as if words stood side by side by chance, so no pass over the texts samples them; a word that begins a
+   large part of all phrases is split over ranges by the word behind it.
 3. Three words are packed only where both pairs in them are frequent. Pairs are looked up in a table of fixed size by
    hash; a pair that is in it by chance costs a row, which the count then drops.
 4. Scores are whole numbers: floor(10**6 * a**2 / (l * r)) in decimals of 38 digits, enough for counts up to 10**15.
 
-The dictionary is broadcast up to BROADCAST_WORDS words (20 bytes each). Beyond that words get their ids by a join, and
+The dictionary is broadcast up to BROADCAST_WORDS words (some 60 bytes each). Beyond that words get their ids by a join, and
 go back to their pieces by sorting.
 
 Results: for each language the `most` best phrases by score, then a, both descending, then phrase in order of bytes: lang, rank, phrase, a (its
@@ -41,9 +43,9 @@ from .words import BASE, Texts, mix, powers, runs, slices, tidied
 LEAST, MOST, INSIDE = 10, 2000, 50
 BROADCAST_WORDS = 1_000_000
 #: Bits of the table of frequent pairs, and keys that a task sorts at a time.
-PAIR_BITS, KEYS = 1 << 26, 1 << 21
+PAIR_BITS, KEYS = 1 << 26, 3 << 19
 #: Bytes of text whose words are counted together.
-COUNTED = 4 << 20
+COUNTED = 1 << 20
 BASE_2 = 0xC2B2AE3D27D4EB4F | 1
 #: A place in the dictionary of words that are not in it.
 NONE = 0
@@ -64,8 +66,9 @@ def lang_hash(lang: str) -> tuple[int, int]:
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hashes of byte ranges; `data` are the bytes as 64-bit numbers."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data))[: len(data)], out=sums[1:])
+    np.cumsum(data * powers(base, len(data))[: len(data)], out=sums[1:])
     return (sums[ends] - sums[starts]) * powers(pow(base, -1, 1 << 64), len(data))[starts] + (ends - starts).astype(np.uint64)
 
 
@@ -76,8 +79,9 @@ def words_of(t: Texts, langs: list[str]) -> tuple[np.ndarray, ...]:
     starts, ends, doc = runs(word[data], t.offsets)
     known = {x: lang_hash(x) for x in set(langs)}
     of = [np.array([known[x][k] for x in langs], np.uint64) for k in (0, 1)]
-    h1 = mix(_hashes(data, starts, ends, BASE) + of[0][doc])
-    h2 = mix(_hashes(data, starts, ends, BASE_2) + of[1][doc])
+    wide = data.astype(np.uint64) + np.uint64(1)
+    h1 = mix(_hashes(wide, starts, ends, BASE) + of[0][doc])
+    h2 = mix(_hashes(wide, starts, ends, BASE_2) + of[1][doc])
     piece = np.cumsum(end[data])[starts] if len(starts) else np.zeros(0, np.int64)
     follows = np.zeros(len(starts), bool)
     follows[:-1] = (doc[1:] == doc[:-1]) & (piece[1:] == piece[:-1])
@@ -100,16 +104,29 @@ def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at]))).cast(pa.string())
 
 
-def sorted_runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order that sorts by `keys`, the first of each run of equal ones in it, and the lengths of the runs."""
-    n = len(keys[0])
-    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
-    new = np.zeros(n, bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    first = np.flatnonzero(new)
-    return order, first, np.diff(np.append(first, n))
+def sorted_runs(first: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts by `first`, then `second`; where each run of equal pairs begins in it, and how long the runs are."""
+    order = np.argsort(first)
+    new = np.ones(len(first), bool)
+    new[1:] = first[order][1:] != first[order][:-1]
+    if second is not None:
+        # The rank of `first` and (a rank of) `second` fit into one number: sorted once more.
+        rank = np.empty(len(first), np.uint64)
+        rank[order] = np.cumsum(new).astype(np.uint64)
+        second = second if second.dtype == np.uint32 else np.unique(second, return_inverse=True)[1]
+        both = (rank << np.uint64(32)) | second.astype(np.uint64)
+        order = np.argsort(both)
+        new[1:] = both[order][1:] != both[order][:-1]
+    at = np.flatnonzero(new)
+    return order, at, np.diff(np.append(at, len(first)))
+
+
+def by_hashes(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """sorted_runs by both hashes. The second is looked at where the first is the same, and sorted by only if it differs there."""
+    order, at, n = sorted_runs(h1)
+    if (h2[order] != np.repeat(h2[order[at]], n)).any():
+        return sorted_runs(h1, h2)
+    return order, at, n
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +134,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, ends, doc, h1, h2, _, data = words_of(t, langs)
         if not len(starts):
             continue
-        order, first, n = sorted_runs(h1, h2)
+        order, first, n = by_hashes(h1, h2)
         at = order[first]
         names = np.array(langs, object)
         total = {}
@@ -135,26 +152,54 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return written(found.groupBy("lang", "word", "h1", "h2").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | F.col("word").isNull()), "words")
 
 
-def look_up(words: tuple[np.ndarray, np.ndarray, np.ndarray], h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Ids of words by their hashes, from (h1, h2, id) in order of the hashes."""
-    have1, have2, ids = words
-    if not len(have1):
-        return np.full(len(h1), NONE, np.uint32)
-    # Sorted lookups read the table in order.
-    order = np.argsort(h1)
-    at = np.empty(len(h1), np.int64)
-    at[order] = np.minimum(np.searchsorted(have1, h1[order]), len(have1) - 1)
-    found = np.where((have1[at] == h1) & (have2[at] == h2), ids[at], np.uint32(NONE))
-    # Words that share the first hash with another one (none, as a rule) are looked for among those behind it.
-    for i in np.flatnonzero((have1[at] == h1) & (have2[at] != h2)):
-        k = at[i] + 1
-        while k < len(have1) and have1[k] == h1[i]:
-            if have2[k] == h2[i]:
-                found[i] = ids[k]
-            k += 1
+def hash_table(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(h1, h2, id) by place: the last bits of h1, or the next free place behind it. Half of the places at least are free (id NONE)."""
+    size = 1 << max(4, int(2 * len(ids) - 1).bit_length())
+    out = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.full(size, NONE, np.uint32)
+    left, at = np.arange(len(ids)), (h1 & np.uint64(size - 1)).astype(np.int64)
+    while len(left):
+        free = out[2][at] == NONE
+        _, first = np.unique(at[free], return_index=True)
+        put = np.flatnonzero(free)[first]
+        for column, values in zip(out, (h1, h2, ids), strict=True):
+            column[at[put]] = values[left[put]]
+        rest = np.ones(len(left), bool)
+        rest[put] = False
+        left, at = left[rest], (at[rest] + 1) & (size - 1)
+    return out
+
+
+def look_up(table: tuple[np.ndarray, np.ndarray, np.ndarray], h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Ids of words by their hashes; NONE for others."""
+    have1, have2, ids = table
+    last = len(ids) - 1
+    found, left, at = np.full(len(h1), NONE, np.uint32), np.arange(len(h1)), (h1 & np.uint64(last)).astype(np.int64)
+    while len(left):
+        here = ids[at]
+        same = (have1[at] == h1[left]) & (have2[at] == h2[left]) & (here != NONE)
+        found[left[same]] = here[same]
+        rest = ~same & (here != NONE)
+        left, at = left[rest], (at[rest] + 1) & last
     return found
 
 
+def range_ends(n: np.ndarray, langs: np.ndarray, parts: int) -> np.ndarray:
+    """Where ranges of (first id, second id) begin, but for the first: about as many pairs in each, were words independent.
+
+    n and langs: count and language of the words 1, 2, ... in order.
+    """
+    if not len(n):
+        return np.zeros(0, np.uint64)
+    total = np.cumsum(n)
+    want = total[-1] * np.arange(1, parts) / parts
+    first = np.minimum(np.searchsorted(total, want, side="right"), len(n) - 1)
+    part = (want - (total[first] - n[first])) / n[first]
+    begin, end = np.searchsorted(langs, langs[first], side="left"), np.searchsorted(langs, langs[first], side="right") - 1
+    before = total[begin] - n[begin]
+    second = np.minimum(np.searchsorted(total, before + part * (total[end] - before), side="right"), end)
+    return np.sort(((first + 1).astype(np.uint64) << np.uint64(32)) | (second + 1).astype(np.uint64))
+
+
 def pair_place(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (mix((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)) % np.uint64(PAIR_BITS)).astype(np.int64)
 
@@ -173,38 +218,40 @@ def packed(ids: np.ndarray, follows: np.ndarray, pairs: np.ndarray | None) -> tu
     return ids[at], ids[at + 1], ids[at + 2]
 
 
-def _keys(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Runs of equal keys and how long they are, in order."""
+def _keys(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ends: np.ndarray | None) -> pa.RecordBatch:
+    """Runs of equal keys and how long they are, in order; with `ends`, the range of each."""
     a, b, c = (np.concatenate(x) for x in zip(*found, strict=True))
     high = (a.astype(np.uint64) << np.uint64(32)) | b
     order, first, n = sorted_runs(high) if not c.any() else sorted_runs(high, c)
     at = order[first]
     raw = np.stack([a[at], b[at], c[at]], 1).astype(">u4").tobytes()
     offsets = pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * 12)
-    return pa.record_batch([pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(raw)]), pa.array(n, pa.int64())], ["key", "n"])
+    key = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(raw)])
+    part = np.zeros(len(at), np.int32) if ends is None else np.searchsorted(ends, high[at], side="right").astype(np.int32)
+    return pa.record_batch([key, pa.array(n, pa.int64()), pa.array(part)], ["key", "n", "part"])
 
 
-def _combined(packs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+def _combined(packs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], ends: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for p in packs:
         held.append(p)
         size += len(p[0])
         if size >= KEYS:
-            yield _keys(held)
+            yield _keys(held, ends)
             held, size = [], 0
     if size:
-        yield _keys(held)
+        yield _keys(held, ends)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], dictionary, pairs) -> Iterator[pa.RecordBatch]:
-    words, table = dictionary.value, pairs.value if pairs else None
+    (words, ends), table = dictionary.value, pairs.value if pairs else None
 
     def packs():
         for t, langs in texts(batches, COUNTED):
             _, _, _, h1, h2, follows, _ = words_of(t, langs)
             yield packed(look_up(words, h1, h2), follows, table)
 
-    return _combined(packs())
+    return _combined(packs(), ends)
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,8 +287,8 @@ def _regrouped(batches: Iterator[pa.RecordBatch], pairs) -> Iterator[pa.RecordBa
     return _combined(packs())
 
 
-def counted(keys: DataFrame, least: int = LEAST) -> DataFrame:
-    """(w1, w2, w3, a): keys with `least` occurrences. Ranges of keys are sorted, and runs summed as they stream past."""
+def counted(keys: DataFrame, least: int = LEAST, parts: int | None = None) -> DataFrame:
+    """(w1, w2, w3, a): keys with `least` occurrences. Ranges of keys (in `parts`, or found by sampling) are sorted, and runs summed as they stream past."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, n = None, 0
@@ -270,7 +317,8 @@ def counted(keys: DataFrame, least: int = LEAST) -> DataFrame:
         if last is not None:
             yield out(last[None], np.array([n]))
 
-    return keys.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(lambda it: tidied(sums(it)), "w1 long, w2 long, w3 long, a long")
+    dealt = keys.repartitionById(parts, F.col("part")) if parts else keys.repartitionByRange("key")
+    return dealt.select("key", "n").sortWithinPartitions("key").mapInArrow(lambda it: tidied(sums(it)), "w1 long, w2 long, w3 long, a long")
 
 
 def pair_table(pairs: DataFrame) -> np.ndarray:
@@ -304,12 +352,13 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, inside:
     size = dictionary.count()
     if size >= 1 << 32:
         raise ValueError("more frequent words than ids of four bytes")
-    shared = occurrences = None
+    shared = occurrences = parts = None
     if size <= broadcast_words:
-        have = dictionary.select("h1", "h2", "id").toArrow()
-        h1, h2, ids = (have.column(c).to_numpy() for c in ("h1", "h2", "id"))
-        order = np.lexsort((h2.view(np.uint64), h1.view(np.uint64)))
-        shared = sc.broadcast((h1.view(np.uint64)[order], h2.view(np.uint64)[order], ids.astype(np.uint32)[order]))
+        have = dictionary.orderBy("id").select("h1", "h2", "id", "n", "lang").toArrow()
+        h1, h2, ids, n = (have.column(c).to_numpy() for c in ("h1", "h2", "id", "n"))
+        parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        ends = range_ends(n, have.column("lang").to_numpy().astype(str), parts)
+        shared = sc.broadcast((hash_table(h1.view(np.uint64), h2.view(np.uint64), ids.astype(np.uint32)), ends))
     else:
         found = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(lambda it: tidied(_occurrences(it)), "row long, place long, h1 long, h2 long, follows boolean")
         found = salted_join(found, dictionary.select("h1", "h2", "id"), ["h1", "h2"], F.col("row")).select("row", "place", F.coalesce("id", F.lit(NONE)).alias("id"), "follows")
@@ -317,10 +366,10 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, inside:
 
     def phrases(pairs) -> DataFrame:
         if shared:
-            keys = docs.mapInArrow(lambda it: tidied(_encode(it, shared, pairs)), "key binary, n long")
+            keys = docs.mapInArrow(lambda it: tidied(_encode(it, shared, pairs)), "key binary, n long, part int")
         else:
-            keys = occurrences.repartition("row").sortWithinPartitions("row", "place").mapInArrow(lambda it: tidied(_regrouped(it, pairs)), "key binary, n long")
-        return written(counted(keys, least), "phrases")
+            keys = occurrences.repartition("row").sortWithinPartitions("row", "place").mapInArrow(lambda it: tidied(_regrouped(it, pairs)), "key binary, n long, part int")
+        return written(counted(keys, least, parts), "phrases")
 
     two = phrases(None)
     three = phrases(sc.broadcast(pair_table(two)))
