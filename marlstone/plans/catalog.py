@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import url as U
 from marlstone.operators import aggregates, archive, crawl, export, extract, pool, region, review, robots, session, validate
 from marlstone.operators import select as selection
-from marlstone.plans import queries_files, queries_pages, queries_rules  # noqa: F401  they register their queries
+from marlstone.plans import queries_files, queries_pages, queries_rules, queries_streams  # noqa: F401  they register their queries
 from marlstone.plans.registry import ORACLES, QUERIES, query, read
 from marlstone.plans.schemas import SUBTYPES
 from marlstone.streaming import pool_stream

@@ -158,15 +158,13 @@ def test_patterns_against_expressions(spark):
     import itertools
     import re
 
-    from pyspark.sql import functions as F
-
     patterns = ["".join(x) for n in range(1, 5) for x in itertools.product("/a*", repeat=n)]
     patterns += [p + "$" for p in patterns]
     paths = ["/" + "".join(x) for n in range(4) for x in itertools.product("/ab", repeat=n)]
     want = lambda p, u: re.match("(?s)" + ".*".join(map(re.escape, p.removesuffix("$").split("*"))) + ("$" if p.endswith("$") else ""), u) is not None
     assert all(robots.fits(p, u) is want(p, u) for p in patterns for u in paths)
     rules = spark.createDataFrame([(f"o{k}", False, p) for k, p in enumerate(patterns)], "origin string, allow boolean, path string")
-    urls = rules.select("origin").crossJoin(spark.createDataFrame([(u,) for u in paths], "path string"))
+    urls = spark.createDataFrame([(f"o{k}", u) for k in range(len(patterns)) for u in paths], "origin string, path string")
     got = {(r["origin"], r["path"]): r["allowed"] for r in robots.decide(urls, rules).collect()}
     assert got == {(f"o{k}", u): not want(p, u) for k, p in enumerate(patterns) for u in paths}
     plan = robots.decide(urls, rules)._jdf.queryExecution().executedPlan().toString()
