@@ -75,11 +75,18 @@ def broken(items: DataFrame, tests: list[tuple[str, Column]], *keep: Column | st
     return items.select(*keep, F.explode(F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in tests)))).alias("problem"))
 
 
-def repeats(items: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The rows whose key came before, with `first`, the first of `order` at its first place."""
-    same = Window.partitionBy(*keys)
-    rows = items.withColumn("_nth", F.row_number().over(same.orderBy(*order))).withColumn("first", F.min(order[0]).over(same))
-    return rows.where("_nth > 1").drop("_nth")
+def repeats(items: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows whose key came before, with `first`, the first of `order` at its first place. `order` is unique in a key.
+
+    The first is a minimum, combined before the shuffle, and meets the rows in a join, which Spark splits where one key
+    has very many.
+    """
+    least = items.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min(F.struct(*order)).alias("_least"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    rows = items.join(least, same).where(F.struct(*order) > F.col("_least"))
+    return rows.withColumn("first", F.col("_least")[order[0]]).select(*items.columns, "first")
 
 
 def check(items: DataFrame) -> DataFrame:
@@ -122,13 +129,25 @@ def coverage(items: DataFrame, settings: Settings = Settings(), status: str | No
     return t.withColumn("x", F.explode(F.array_compact(found))).select("x.kind", "value", "n", "x.bound")
 
 
-def report(items: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row, one column of JSON: caps, problems, warnings and counts by field (null values under an empty name)."""
+#: Domains and pages that a report lists, the largest first; sectors and sub-types are listed all.
+LISTED = 1000
+
+
+def report(items: DataFrame, settings: Settings = Settings(), listed: int = LISTED) -> DataFrame:
+    """One row, one column of JSON: caps, problems, warnings and counts by field (null values under an empty name).
+
+    Of domains and pages the `listed` largest are in it, found task by task first; how many there are is under `distinct`.
+    """
     caps = F.create_map(*(F.lit(x) for k, v in {"sectorMin": settings.share(settings.sector_min_share), "sectorMax": settings.share(settings.sector_max_share), "subtypeMin": settings.share(settings.subtype_min_share), "domainMax": settings.domain_cap(), "perPage": settings.per_page}.items() for x in (k, v)))
-    counts = tallies(items).groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("value", F.lit("")), "n"))).alias("counts"))
-    by = counts.agg(F.map_from_entries(F.collect_list(F.struct("field", "counts"))).alias("by"))
+    every = tallies(items)
+    distinct = every.groupBy("field").agg(F.count("*").alias("distinct"))
+    nth = F.row_number().over(Window.partitionBy("field").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first()))
+    large = every.where(F.col("field").isin("domain", "page_url")).withColumn("nth", nth).where(F.col("nth") <= listed).drop("nth")
+    shown = every.where(~F.col("field").isin("domain", "page_url")).unionByName(large)
+    counts = shown.groupBy("field").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("value", F.lit("")), "n"))).alias("counts")).join(distinct, "field")
+    by = counts.agg(F.map_from_entries(F.collect_list(F.struct("field", "counts"))).alias("by"), F.map_from_entries(F.collect_list(F.struct("field", "distinct"))).alias("distinct"))
     problems = check(items).agg(F.count("*").alias("problems"))
     warnings = coverage(items, settings).agg(F.count("*").alias("warnings"))
     one = F.lit(1).alias("_one")
-    joined = by.select("by", one).join(problems.select("problems", one), "_one").join(warnings.select("warnings", one), "_one")
-    return joined.select(F.to_json(F.struct(F.lit(settings.goal).alias("goal"), caps.alias("caps"), "problems", "warnings", "by")).alias("report"))
+    joined = by.select("by", "distinct", one).join(problems.select("problems", one), "_one").join(warnings.select("warnings", one), "_one")
+    return joined.select(F.to_json(F.struct(F.lit(settings.goal).alias("goal"), caps.alias("caps"), "problems", "warnings", "distinct", "by")).alias("report"))

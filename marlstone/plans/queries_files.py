@@ -148,9 +148,9 @@ def archive_files(spark, sf_dir):
     rows = d.select(F.concat(F.lit("pool/images/"), "doc_id", F.lit(".txt")).alias("image_file"), F.encode("text", "UTF-8").alias("content"))
     sinks.write_files(rows, path)
     sinks.write_text(spark, f"{path}/README.md", "no image")
-    gone = [f"{r['doc_id']}.txt" for r in d.where("doc_id % 5 = 0").select("doc_id").toLocalIterator()]
-    sinks.delete_files(spark, gone[:1], path, dry_run=True)
-    sinks.delete_files(spark, gone, path, dry_run=False)
+    name = F.concat("doc_id", F.lit(".txt")).alias("name")
+    sinks.delete_files(d.where("doc_id % 5 = 1").select(name), path, dry_run=True)
+    sinks.delete_files(d.where("doc_id % 5 = 0").select(name), path, dry_run=False)
     return blobs.contents(spark, path).select("name", "size", "sha256")
 
 

@@ -285,7 +285,7 @@ def cleanup(spark, folder: str, corpus_path: str, list_path: str, log_path: str,
         there = jsonl.exists(spark, log_path)
         log = text.read_removal_log(spark, log_path) if there else spark.createDataFrame([], "name string, reason string")
         sinks.append_log(A.log_entries(gone, log), log_path, first=not there)
-        sinks.delete_files(spark, [r["name"] for r in gone.toLocalIterator()], folder, dry_run=False)
+        sinks.delete_files(gone, folder, dry_run=False)
     return DONE
 
 

@@ -72,12 +72,20 @@ def write_files(rows: DataFrame, folder: str, dry_run: bool = False) -> DataFram
     return todo
 
 
-def delete_files(spark: SparkSession, names: list[str], folder: str, dry_run: bool = True) -> list[str]:
-    """Deletes from a computed plan; dry by default."""
+def delete_files(gone: DataFrame, folder: str, dry_run: bool = True) -> DataFrame:
+    """(name): deletes these files of `folder`, task by task; dry by default. Names that aren't there are passed over."""
+    names = gone.select("name").distinct()
     if not dry_run:
-        for name in names:
-            fs, p = _fs(spark, f"{folder.rstrip('/')}/{name}")
-            fs.delete(p, False)
+
+        def run(part) -> None:
+            from pyarrow import fs
+
+            store, base = fs.FileSystem.from_uri(folder)
+            for r in part:
+                if store.get_file_info(f"{base}/{r['name']}").type == fs.FileType.File:
+                    store.delete_file(f"{base}/{r['name']}")
+
+        names.foreachPartition(run)
     return names
 
 
@@ -111,8 +119,24 @@ def size(spark: SparkSession, path: str) -> int:
 
 
 def write_sessions(reports: DataFrame, folder: str, dry_run: bool = False) -> DataFrame:
-    """(session_id, report): a file validation-SESSION.json each; sessions are few and small."""
+    """(session_id, report): a file validation-SESSION.json each, written task by task."""
     if not dry_run:
-        for r in reports.toLocalIterator():
-            write_text(reports.sparkSession, f"{folder.rstrip('/')}/validation-{r['session_id']}.json", r["report"])
+        name = F.concat(F.lit("validation-"), "session_id", F.lit(".json"))
+        write_files(reports.select(name.alias("image_file"), F.encode("report", "utf-8").alias("content")), folder)
     return reports
+
+
+def append_batch(df: DataFrame, path: str, batch: int) -> int:
+    """Adds the rows of one batch of a stream to a folder of JSON lines, and returns how many. The files carry the batch's
+    number: one that runs again takes the place of what it wrote before."""
+    spark, base = df.sparkSession, path.rstrip("/")
+    _json(df).mode("overwrite").json(f"{base}.batch{batch}")
+    fs, made = _fs(spark, f"{base}.batch{batch}")
+    mine = f"part-batch{batch}-"
+    fs.mkdirs(_fs(spark, base)[1])
+    for old in fs.globStatus(_fs(spark, f"{base}/{mine}*")[1]):
+        fs.delete(old.getPath(), False)
+    for k, new in enumerate(fs.globStatus(_fs(spark, f"{base}.batch{batch}/part-*")[1])):
+        _rename(fs, new.getPath(), _fs(spark, f"{base}/{mine}{k:05d}.json")[1])
+    fs.delete(made, True)
+    return spark.read.text(f"{base}/{mine}*").count() if fs.globStatus(_fs(spark, f"{base}/{mine}*")[1]) else 0

@@ -2,30 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marlstone.operators import extract, pool
 from marlstone.plans.schemas import ITEM
+from marlstone.sources import jsonl, sinks
+from marlstone.sources.scratch import keep
+from marlstone.streaming import stateful
 
+#: What lands of a page: its candidates, where they stand, and the key by which the pool knows them.
+LANDED = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("key", T.StringType()), *ITEM.fields])
+ORDER = ["page_id", "pos"]
+
+
+def key() -> Column:
+    """The pool's key as one short text."""
+    return F.sha2(F.to_json(F.struct(*pool.KEY), {"ignoreNullFields": "false"}), 256)
 
-def append_new(pages: DataFrame, pool_path: str, checkpoint: str, sector: str = "webapp", retrieved: str = "1970-01-01") -> StreamingQuery:
-    """A query over a stream (page_id, url, html). A batch that is run again finds its own rows by key and adds none."""
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        have = spark.read.schema(ITEM).json(pool_path) if _there(spark, pool_path) else spark.createDataFrame([], ITEM)
-        found = extract.candidates(df, F.lit(sector), retrieved).persist()
-        pool.add(found, have, ["page_id", "pos"]).drop("page_id", "pos").write.option("ignoreNullFields", "false").mode("append").json(pool_path)
-        found.unpersist()
+def land(pages: DataFrame, path: str, checkpoint: str, sector: str = "webapp", retrieved: str = "1970-01-01") -> StreamingQuery:
+    """Candidates of a stream (page_id, url, html), a folder a batch; a batch that runs again writes its folder again."""
+
+    def batch(df: DataFrame, n: int) -> None:
+        found = pool.keyed(extract.candidates(df, F.lit(sector), retrieved)).withColumn("key", key())
+        rows = pool.firsts(found, ["key"], ORDER).select(*LANDED.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{path}/batch={n}")
 
     return pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _there(spark, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def take_in(spark: SparkSession, landed: str, pool_path: str, checkpoint: str) -> StreamingQuery:
+    """Appends what has landed and the pool lacks, with the next ids.
+
+    Keys that were seen are state, so a batch costs what is in it; the pool is read once, when the query starts for the
+    first time. Each batch notes its last number for the next one, and owns its files, so one that runs again adds
+    nothing twice.
+    """
+    first = not jsonl.exists(spark, f"{checkpoint}/offsets")
+    have = jsonl.read(spark, pool_path, ITEM)[0] if first and jsonl.exists(spark, pool_path) else None
+    last = pool.last_number(have) if have is not None else 0
+    known = keep(pool.keyed(have).select(key().alias("key")), "known") if have is not None else None
+    rows = spark.readStream.schema(LANDED).parquet(landed)
+    note = T.StructType([T.StructField("last", T.LongType())])
+
+    def batch(df: DataFrame, n: int) -> None:
+        session = df.sparkSession
+        before = session.read.schema(note).json(f"{checkpoint}/numbers/{n - 1}").first()["last"] if n else last
+        new = pool.number(keep(df, "fresh"), before, ORDER)  # written first: what holds state runs once
+        count = sinks.append_batch(new.select(*ITEM.fieldNames()), pool_path, n)
+        session.range(1).select(F.lit(before + count).alias("last")).write.mode("overwrite").json(f"{checkpoint}/numbers/{n}")
+
+    with stateful.state_store(spark):
+        return stateful.unseen(rows, "key", ORDER, known).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_new(pages: DataFrame, pool_path: str, checkpoint: str, sector: str = "webapp", retrieved: str = "1970-01-01") -> StreamingQuery:
+    """Both steps for what a stream (page_id, url, html) has now: the second one's query."""
+    land(pages, f"{checkpoint}/landed", f"{checkpoint}/pages", sector, retrieved).awaitTermination()
+    return take_in(pages.sparkSession, f"{checkpoint}/landed", pool_path, f"{checkpoint}/pool")
 
 
 def sessions(decisions: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:

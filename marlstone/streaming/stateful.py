@@ -113,7 +113,7 @@ def unseen(rows: DataFrame, key: str, order: list[str], have: DataFrame | None =
     return rows.groupBy(key).transformWithStateInPandas(Unseen(order), rows.schema, "Append", "None", initialState=known)
 
 
-SESSION = T.StructType.fromDDL("active boolean, cursor int, pending string")
+SESSION = T.StructType([T.StructField("active", T.BooleanType()), T.StructField("cursor", T.IntegerType()), T.StructField("pending", T.StringType())])
 LOG = "session_id string, kind string, nth int, status string, reason string, at timestamp"
 
 

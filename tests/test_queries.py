@@ -61,6 +61,35 @@ def test_stream_appends_only_what_is_new(spark, tmp_path):
     for k in (1, 2):
         spark.createDataFrame([(k, "https://x.org/p", html), (10 + k, f"https://x.org/q{k}", html)], "page_id long, url string, html string").write.mode("append").parquet(source)
         stream = spark.readStream.schema("page_id long, url string, html string").parquet(source)
-        pool_stream.append_new(stream, str(tmp_path / "pool"), str(tmp_path / "cp")).awaitTermination()
+        query = pool_stream.append_new(stream, str(tmp_path / "pool"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        assert k == 1 or str(tmp_path / "pool") not in query._jsq.explainInternal(False)
     rows = spark.read.json(str(tmp_path / "pool")).orderBy("id").collect()
     assert [(r["id"], r["page_url"]) for r in rows] == [("fi-0001", "https://x.org/p"), ("fi-0002", "https://x.org/q1"), ("fi-0003", "https://x.org/q2")]
+
+
+def test_stream_knows_a_pool_that_was_there(spark, tmp_path):
+    from marlstone.sources import sinks
+    from marlstone.streaming import pool_stream
+
+    html = '<a href="/x"><img src="i.png" alt="A"></a><a href="/x"><img src="i.png" alt="B"></a>'
+    from pyspark.sql import functions as F
+
+    from marlstone.operators import extract, pool
+
+    pages = spark.createDataFrame([(1, "https://x.org/p", html)], "page_id long, url string, html string")
+    sinks.append_jsonl(pool.number(extract.candidates(pages, F.lit("webapp")).where("accessible_name = 'B'"), 6, ["page_id", "pos"]), str(tmp_path / "pool"))
+    pages.write.parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        stream = spark.readStream.schema("page_id long, url string, html string").parquet(str(tmp_path / "in"))
+        pool_stream.append_new(stream, str(tmp_path / "pool"), str(tmp_path / "cp")).awaitTermination()
+    assert sorted((r["id"], r["accessible_name"]) for r in spark.read.json(str(tmp_path / "pool")).collect()) == [("fi-0007", "B"), ("fi-0008", "A")]
+
+
+def test_batch_that_runs_again_adds_nothing_twice(spark, tmp_path):
+    from marlstone.sources import sinks
+
+    rows = spark.createDataFrame([("a",), ("b",)], "id string")
+    for batch in (0, 1, 1):
+        assert sinks.append_batch(rows, str(tmp_path / "out"), batch) == 2
+    assert spark.read.json(str(tmp_path / "out")).count() == 4
