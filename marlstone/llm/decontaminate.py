@@ -15,7 +15,7 @@ of the passage that was aligned. Of equally good passages in a document the last
 with the smallest hashes are seeds. Items of fewer than SEED_WORDS words are found as one gram of all their words; an
 item that repeats is one. Null and empty texts match nothing; very long texts are searched whole, in which only the
 surroundings of seeds are aligned. Repeated rows, and rows that share a doc_id, give one result for each item, the best;
-null doc_ids count as one. Empty tables of documents or items give an empty result. `leaks` ignores extra columns,
+null doc_ids count as one, and so do null item_ids for each document: such items are searched like others. Empty tables of documents or items give an empty result. `leaks` ignores extra columns,
 `clean` returns them whatever their names are.
 """
 
@@ -36,6 +36,8 @@ from .common import written
 SEED_WORDS = 3
 SCORE = 0.5
 BLOCK_BYTES = 8 << 20
+#: Stands for a null item_id inside tasks.
+NO_ID = -(1 << 63)
 LEAKS = "doc_id long, item_id long, score double, start long, end long"
 #: Bits of the filter that most n-grams of a text fail at once.
 FILTER_BITS = 20
@@ -224,7 +226,7 @@ def _search(batches: Iterator[pa.RecordBatch], shared, n: int, least: float) ->
                 for d, k, score, start, end in found:
                     own = t.data[t.offsets[d] : t.offsets[d + 1]]
                     point = lambda x, own=own, o=int(t.offsets[d]): int(((own[: x - o] & 0xC0) != 0x80).sum())
-                    rows.append((ids[t.first + d].as_py(), int(items.ids[k]), score, point(start), point(end)))
+                    rows.append((ids[t.first + d].as_py(), None if items.ids[k] == NO_ID else int(items.ids[k]), score, point(start), point(end)))
                 cols = list(zip(*rows, strict=True))
                 types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.record_batch([pa.array(c, x) for c, x in zip(cols, types, strict=True)], ["doc_id", "item_id", "score", "start", "end"])
@@ -245,12 +247,12 @@ def _seeds(docs: DataFrame, benchmark: DataFrame, n: int, least: float) -> Itera
     """A broadcast for each block of the benchmark: its items, with the grams that are seeds in these documents."""
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    bench = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    bench = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + total // BLOCK_BYTES
     for block in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        items = items_of([r["item_id"] for r in rows], [r["text"] for r in rows], n)
+        items = items_of([NO_ID if r["item_id"] is None else r["item_id"] for r in rows], [r["text"] for r in rows], n)
         if not len(items.grams):
             continue
         shared = spark.sparkContext.broadcast(items.parts())
