@@ -68,24 +68,40 @@ MARKS, MARK_FREE = "\ue000\ue001\ue002", "\ue003"
 SPAN = "array<struct<s:int,e:int,v:string>>"
 
 
+#: Lengths that are summed together: sums of a text's parts are taken in groups, then of the groups.
+GROUP = 128
+
+
+def before(lengths: Column) -> Column:
+    """For each of some lengths the sum of those before it. An array that grows is copied at every step, so sums are taken
+    in groups of GROUP: work is linear in the lengths for any text of practical size."""
+    none = F.array().cast("array<int>")
+
+    def sums(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+        return F.aggregate(values, start, lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))
+
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / GROUP).cast("int")), lambda k: sums(F.slice(lengths, k * GROUP + 1, F.lit(GROUP))))
+    joined = lambda g: F.flatten(F.zip_with(g, sums(F.transform(g, lambda x: x["at"]))["out"], lambda x, a: F.transform(x["out"], lambda o: o + a)))
+    return once(groups, joined)
+
+
 def spans(text: Column, pattern: str, least: int, two: bool = False) -> Column:
     """Matches of `pattern` as (start, end, value): one group, or a head and a value. The value has `least` characters."""
     a, b, c = MARKS
     marked = F.regexp_replace(text, F.lit(pattern), F.lit(f"{a}$1{b}$2{c}" if two else f"{a}$1{b}"))
     parts = F.split(marked, f"[{MARKS}]")
     step = 3 if two else 2
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.lit(0).alias("from"), F.array().cast(SPAN).alias("out"))
 
-    def add(s: Column, x: Column) -> Column:
-        n = F.length(x)
-        value = s["i"] == step - 1
-        head = s["i"] == 1
-        begin = F.when(head, s["at"]).otherwise(s["from"])
-        hit = value & (n >= least)
-        out = F.when(hit, F.concat(s["out"], F.array(F.struct(begin.alias("s"), (s["at"] + n).alias("e"), x.alias("v"))))).otherwise(s["out"])
-        return F.struct((s["at"] + n).alias("at"), F.pmod(s["i"] + 1, F.lit(step)).alias("i"), begin.alias("from"), out.alias("out"))
+    def found(parts: Column) -> Column:
+        def at(x: Column) -> Column:
+            value = lambda p, i: F.struct(i.alias("i"), F.get(x["begin"], i - 1 if two else i).alias("s"), (F.get(x["begin"], i) + F.length(p)).alias("e"), p.alias("v"))
+            hits = F.filter(F.transform(x["parts"], value), lambda y: (F.pmod(y["i"], F.lit(step)) == step - 1) & (F.length(y["v"]) >= least))
+            return F.transform(hits, lambda y: F.struct(y["s"], y["e"], y["v"]))
+
+        return once(F.struct(parts.alias("parts"), before(F.transform(parts, F.length)).alias("begin")), at)
 
-    return F.when(F.size(parts) > 1, F.aggregate(parts, start, add, lambda s: s["out"])).otherwise(F.array().cast(SPAN))
+    return once(parts, lambda p: F.when(F.size(p) > 1, found(p)).otherwise(F.array().cast(SPAN)))
 
 
 def tail(z: Column) -> Column:
@@ -191,7 +207,9 @@ def find(docs: DataFrame) -> DataFrame:
         spans(F.col("_t"), RUN, CLASSES[0]).alias("runs"),
     )
     bare = lambda c: F.transform(c, lambda x: F.struct(x["s"], x["e"]))
-    scored = F.transform("runs", lambda x: F.struct(x["s"], x["e"], length_class(F.length(x["v"])).alias("class"), once(battery(x["v"]), bin_of).alias("bin")))
+    # What the other two patterns find has letters of runs only, so it lies in a run, whole.
+    known = lambda v: v.rlike("[0-9a-f]{%d,}" % LEAST_HEX) | v.rlike("AKIA[A-Z0-9]{%d,}" % (LEAST_ACCESS - 4))
+    scored = F.transform("runs", lambda x: F.struct(x["s"], x["e"], known(x["v"]).alias("known"), length_class(F.length(x["v"])).alias("class"), once(battery(x["v"]), bin_of).alias("bin")))
     return d.select("doc_id", bare("assign").alias("assign"), bare("access").alias("access"), bare("hex").alias("hex"), scored.alias("runs"))
 
 
@@ -204,7 +222,7 @@ def scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     tag = lambda c, k: F.transform(c, lambda x: F.struct(x["s"], x["e"], F.lit(k).alias("k")))
     base = F.concat(tag("assign", 0), tag("access", 1), tag("hex", 2))
     rows = rows.withColumn("base", base)
-    drawn = F.filter("runs", lambda x: (x["bin"] >= F.element_at(limits, x["class"] + 1)) & ~F.exists("base", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
+    drawn = F.filter("runs", lambda x: (x["bin"] >= F.element_at(limits, x["class"] + 1)) & ~x["known"] & ~F.exists("assign", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"])))
     every = F.array_sort(F.transform(F.concat("base", tag(drawn, 3)), lambda x: F.struct(x["s"], x["k"], x["e"])))
     return rows.select("doc_id", F.transform(every, lambda x: F.struct(x["s"], x["e"], x["k"])).alias("found"))
 
