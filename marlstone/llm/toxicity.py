@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import written
 
 THRESHOLD = 0.3
 #: Bound on the labelled rows that the classifier is fitted to.
@@ -245,24 +246,45 @@ class Classifier:
     bias: float
 
 
-def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 200, ridge: float = 1e-4) -> Classifier:
-    """Logistic regression on binary features; row i has those of flat[edges[i]:edges[i+1]]."""
+def choose(df: np.ndarray, pos: np.ndarray, share: float) -> np.ndarray:
+    """The features that are learned from, in order: by how many documents, and how many toxic ones, have each."""
+    # Standardised difference between what toxic documents show and what the feature's frequency would give.
+    z = np.abs(pos - df * share) / np.sqrt(np.maximum(df * share * (1 - share), 1e-9)) * (df >= LEAST_DOCS)
+    chosen = np.flatnonzero(z > 2.5)
+    return np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:MOST_FEATURES]])
+
+
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    size = 1 << FEATURE_BITS
+    df, pos = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for b in batches:
+        for have, toxic in zip(b.column("features"), b.column("toxic").to_pylist(), strict=True):
+            found = np.frombuffer(have.as_py(), np.int32)
+            df[found] += 1
+            pos[found] += toxic > 0
+    has = np.flatnonzero(df)
+    yield pa.record_batch([pa.array(has), pa.array(df[has]), pa.array(pos[has])], ["feature", "df", "pos"])
+
+
+def _only_chosen(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    keep = np.zeros(1 << FEATURE_BITS, bool)
+    keep[chosen] = True
+    for b in batches:
+        rows = [found[keep[found]].tobytes() for found in (np.frombuffer(x.as_py(), np.int32) for x in b.column("features"))]
+        yield pa.record_batch([b.column("doc_id"), b.column("toxic"), pa.array(rows, pa.binary())], ["doc_id", "toxic", "features"])
+
+
+def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 200, ridge: float = 1e-4, chosen: np.ndarray | None = None) -> Classifier:
+    """Logistic regression on binary features (those that are `chosen`); row i has those of flat[edges[i]:edges[i+1]]."""
     n = len(labels)
     if not n or labels.min() == labels.max():
         share = float(np.clip(labels.mean() if n else 0.0, 1e-6, 1 - 1e-6))
         return Classifier({}, float(np.log(share / (1 - share))))
     size = 1 << FEATURE_BITS
-    df, pos = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for k in range(0, n, 512):
-        top = min(k + 512, n)
-        part = flat[edges[k] : edges[top]]
-        df += np.bincount(part, minlength=size)
-        pos += np.bincount(part[np.repeat(labels[k:top] > 0, np.diff(edges[k : top + 1]))], minlength=size)
+    if chosen is None:
+        has = np.repeat(labels > 0, np.diff(edges))
+        chosen = choose(np.bincount(flat, minlength=size), np.bincount(flat[has], minlength=size), labels.mean())
     p = labels.mean()
-    # Standardised difference between what toxic documents show and what the feature's frequency would give.
-    z = np.abs(pos - df * p) / np.sqrt(np.maximum(df * p * (1 - p), 1e-9)) * (df >= LEAST_DOCS)
-    chosen = np.flatnonzero(z > 2.5)
-    chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:MOST_FEATURES]])
     place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     cols, rows = [], []
@@ -288,7 +310,11 @@ def fit(labels: np.ndarray, flat: np.ndarray, edges: np.ndarray, rounds: int = 2
 
 
 def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column], Column] | None = None, sample_rows: int = SAMPLE_ROWS) -> Classifier:
-    """Fits to the texts that `labels` (doc_id, toxic) marks; `allowed` says of which doc_id labels may be used."""
+    """Fits to the texts that `labels` (doc_id, toxic) marks; `allowed` says of which doc_id labels may be used.
+
+    Features are counted by tasks; the driver gets these counts, and of each row those among MOST_FEATURES features only,
+    however long its text is.
+    """
     marked = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     if allowed is not None:
         marked = marked.where(allowed(F.col("doc_id")))
@@ -297,7 +323,15 @@ def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column],
     if n > sample_rows:
         marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * (sample_rows / n) * 0.97))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marked, "doc_id").select("doc_id", "toxic", "text")
-    found = rows.mapInArrow(lambda it: W.tidied(_features(it, model)), "doc_id long, toxic int, features binary").orderBy("doc_id").toArrow()
+    schema = "doc_id long, toxic int, features binary"
+    rows = written(rows.mapInArrow(lambda it: W.tidied(_features(it, model)), schema), "features")
+    counts = rows.mapInArrow(_count_features, "feature long, df long, pos long").groupBy("feature").agg(F.sum("df").alias("df"), F.sum("pos").alias("pos")).toArrow()
+    df, pos = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, np.int64)
+    at = counts.column("feature").to_numpy()
+    df[at], pos[at] = counts.column("df").to_numpy(), counts.column("pos").to_numpy()
+    share = rows.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
+    chosen = choose(df, pos, share)
+    found = rows.mapInArrow(lambda it: _only_chosen(it, chosen), schema).orderBy("doc_id").toArrow()
     y = found.column("toxic").to_numpy().astype(float)
     sizes, chunks = pc.binary_length(found.column("features")).to_numpy() // 4, found.column("features").chunks
     edges = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
@@ -310,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame, model, allowed: Callable[[Column],
             flat[at : at + n] = np.frombuffer(c.buffers()[2], np.int32, n, int(ends[0]))
         at += n
     del found, chunks
-    return fit(y, flat, edges)
+    return fit(y, flat, edges, chosen=chosen)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, weights) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
