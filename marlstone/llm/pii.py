@@ -17,8 +17,14 @@ A surrogate is drawn from HMAC-SHA256(key, type, entity, attempt):
 One entity (whatever its spacing or case) has one surrogate everywhere: coreference holds. Collision checks: over all
 distinct entities of the corpus (of names: surnames, for permutations are distinct anyway), an entity whose surrogate
 another one has (the one of the fewest attempts keeps it, of these the smallest), or that equals some original, is drawn
-again until none is left. Only entities with a later attempt are exceptions; the rest follows from the key. Exceptions
-are broadcast up to BROADCAST_EXCEPTIONS rows; beyond, they reach documents by a join.
+again until none is left, in at most MOST_ROUNDS rounds. Only entities with a later attempt are exceptions; the rest
+follows from the key. Exceptions are broadcast up to BROADCAST_EXCEPTIONS rows; beyond, they reach documents by a join.
+
+Some forms have few values: `192.168.x.y` has 65,536, an e-mail address of one letter before the sign and one behind it
+676. Where the corpus holds more than a quarter of a form's values (or rounds run out), draws are no way to tell
+entities apart, so the whole form is permuted: each value becomes the one behind it in a keyed order of all values of the form.
+Surrogates are then distinct and never the entity's own value, but may be the value of another entity, which can't be
+avoided where all values occur. A form of a single value keeps it.
 
 Null texts stay null, empty ones empty, very long ones are read whole. Repeated rows are replaced alike; doc_ids play no
 part. Extra columns stay whatever their names are (a column `pii` is replaced). An empty table gives an empty result.
@@ -42,6 +48,8 @@ from .common import drop_path, new_path, salted_join, unused, written
 BROADCAST_EXCEPTIONS = 100_000
 #: Distinct entities that a task remembers before it sends them on.
 REMEMBERED = 50_000
+#: Rounds of draws, and the attempt that stands for a permuted form.
+MOST_ROUNDS, PERMUTED = 64, -1
 #: The production key is a parameter; this one is for tests and the registered query.
 TEST_KEY = "marlstone-test-key"
 
@@ -214,8 +222,102 @@ def script_of(word: str) -> str:
     return next((s for s in ("cyrillic", "greek") if re.match(CAPITAL[s] + "|" + SMALL[s], word)), "latin")
 
 
+LETTERS_26 = "abcdefghijklmnopqrstuvwxyz"
+DIGITS_10 = "0123456789"
+
+
+def _network(value: str) -> str:
+    a, b, *_ = (int(x) for x in value.split("."))
+    return f"{a}" if a in (10, 127) else "192.168" if (a, b) == (192, 168) else "172.16" if a == 172 and 16 <= b < 32 else "public"
+
+
+def form(kind: str, entity: str) -> tuple[str, list[int]]:
+    """The form of an entity (those of one form have the same values to choose from), and how many values each of its free places has."""
+    if kind == "email":
+        head, _, last = entity.rpartition(".")
+        shape = "".join("a" if c.isalpha() else "0" if c.isdigit() else c for c in head)
+        return f"{shape}.{last}", [26 if c == "a" else 10 for c in shape if c in "a0"]
+    if kind == "ip":
+        net = _network(entity)
+        return net, {"192.168": [256, 256], "172.16": [16, 256, 256], "public": [256] * 4}.get(net, [256] * 3)
+    if kind == "card":
+        valid = luhn(entity)
+        return f"{entity[0]}{len(entity)}{valid}", [10] * (len(entity) - 2) + ([] if valid else [9])
+    keep = 2 if kind == "phone" and entity.startswith("+") else 0
+    return f"{entity[:keep]}{len(entity)}", [10] * (len(entity) - keep)
+
+
+def _values(kind: str, entity: str) -> list[int]:
+    """What stands in the free places of an entity."""
+    if kind == "email":
+        return [(LETTERS_26 if c.isalpha() else DIGITS_10).index(c) for c in entity.rpartition(".")[0] if c.isalpha() or c.isdigit()]
+    if kind == "ip":
+        octets = [int(x) for x in entity.split(".")]
+        return {"192.168": octets[2:], "172.16": [octets[1] - 16, *octets[2:]], "public": octets}.get(_network(entity), octets[1:])
+    if kind == "card":
+        middle = [int(c) for c in entity[1:-1]]
+        return middle if luhn(entity) else [*middle, [d for d in DIGITS_10 if not luhn(entity[:-1] + d)].index(entity[-1])]
+    return [int(c) for c in entity[2 if kind == "phone" and entity.startswith("+") else 0 :]]
+
+
+def _filled(kind: str, like: str, values: list[int]) -> str:
+    """The entity of the form of `like` with these values in its free places."""
+    if kind == "email":
+        head, _, last = like.rpartition(".")
+        it = iter(values)
+        return "".join(LETTERS_26[next(it)] if c.isalpha() else DIGITS_10[next(it)] if c.isdigit() else c for c in head) + "." + last
+    if kind == "ip":
+        net = _network(like)
+        octets = {"192.168": [192, 168, *values], "172.16": [172, 16 + values[0], *values[1:]], "public": values}.get(net) or [int(net), *values]
+        return ".".join(map(str, octets))
+    if kind == "card":
+        body = like[0] + "".join(map(str, values[: len(like) - 2]))
+        if luhn(like):
+            return next(body + d for d in DIGITS_10 if luhn(body + d))
+        return body + [d for d in DIGITS_10 if not luhn(body + d)][values[-1]]
+    keep = 2 if kind == "phone" and like.startswith("+") else 0
+    return like[:keep] + "".join(map(str, values))
+
+
+def _shuffled(key: str, name: str, n: int, x: int, back: bool = False) -> int:
+    """A keyed permutation of 0 ... n-1 (a Feistel network over the next even number of bits, walked until it lands inside), or its inverse."""
+    half = max(1, ((n - 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+    rounds = range(7, -1, -1) if back else range(8)
+    while True:
+        a, b = x >> half, x & mask
+        for k in rounds:
+            f = lambda v, k=k: int.from_bytes(hmac.new(key.encode(), f"{name}\0{k}\0{v}".encode(), hashlib.sha256).digest()[:8], "big") & mask
+            a, b = (b ^ f(a), a) if back else (b, a ^ f(b))
+        x = a << half | b
+        if x < n:
+            return x
+
+
+def permuted(key: str, kind: str, entity: str) -> str:
+    """The value behind this one in a keyed order of all values of its form."""
+    name, sizes = form(kind, entity)
+    n = 1
+    for size in sizes:
+        n *= size
+    x = 0
+    for size, v in zip(sizes, _values(kind, entity), strict=True):
+        x = x * size + v
+    while True:
+        x = _shuffled(key, f"{kind}\0{name}", n, (_shuffled(key, f"{kind}\0{name}", n, x, back=True) + 1) % n)
+        left, values = x, []
+        for size in reversed(sizes):
+            left, v = divmod(left, size)
+            values.append(v)
+        made = _filled(kind, entity, values[::-1])
+        if kind != "ip" or _network(made) == name:  # of public addresses, private ones are passed over
+            return made
+
+
 def surrogate(key: str, kind: str, entity: str, attempt: int = 0) -> str:
     """The surrogate of a normal form, as a normal form."""
+    if attempt == PERMUTED:
+        return permuted(key, kind, entity)
     draw = Draw(key, kind, entity, attempt)
     if kind == "card":
         return _card(entity, draw)
@@ -294,27 +396,50 @@ def _draw_all(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Record
         yield pa.record_batch([b.column("kind"), b.column("entity"), b.column("attempt"), pa.array([surrogate(key, *r) for r in rows], pa.string())], ["kind", "entity", "attempt", "surrogate"])
 
 
-def assign(docs: DataFrame, key: str) -> DataFrame:
-    """(kind, entity, attempt, surrogate) of every distinct entity of `docs`; surrogates are distinct and no originals."""
+def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Form and number of its values (as a double; surnames have any number)."""
+    for b in batches:
+        names, sizes = [], []
+        for kind, entity in zip(b.column("kind").to_pylist(), b.column("entity").to_pylist(), strict=True):
+            name, places = ("", [10] * 300) if kind == "surname" else form(kind, entity)
+            n = 1.0
+            for p in places:
+                n *= p
+            names.append(name)
+            sizes.append(n)
+        yield pa.record_batch([b.column("kind"), b.column("entity"), pa.array(names, pa.string()), pa.array(sizes, pa.float64())], ["kind", "entity", "form", "values"])
+
+
+def assign(docs: DataFrame, key: str, rounds: int = MOST_ROUNDS) -> DataFrame:
+    """(kind, entity, attempt, surrogate) of every distinct entity of `docs`; surrogates are distinct, and no originals but in permuted forms."""
     spark = docs.sparkSession
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_gather, "kind string, entity string").distinct()
     schema = "kind string, entity string, attempt int, surrogate string"
+    found = written(found.mapInArrow(_forms, "kind string, entity string, form string, values double"), "entities")
+    # Only forms with few values, against all entities there are, can be full: a small part of the entities is counted by form.
+    small = found.where(F.col("values") <= 4 * found.count())
+    full = small.groupBy("kind", "form").agg(F.count("*").alias("n"), F.first("values").alias("values")).where(4 * F.col("n") > F.col("values")).select("kind", "form")
+    draw = lambda df, attempt: df.withColumn("attempt", attempt).select("kind", "entity", "attempt").mapInArrow(lambda it: _draw_all(it, key), schema)
     path = new_path(spark, "surrogates")
-    found.withColumn("attempt", F.lit(0)).mapInArrow(lambda it: _draw_all(it, key), schema).write.parquet(path)
-    while True:
+    draw(found.join(full.withColumn("full", F.lit(True)), ["kind", "form"], "left"), F.when(F.col("full"), PERMUTED).otherwise(0)).write.parquet(path)
+    for n in range(rounds + 1):
         now = spark.read.schema(schema).parquet(path)
         # A surrogate that several have stays with the one of the fewest attempts left to it: the earliest drawn, then the smallest.
         keeper = now.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "entity")).alias("keeper"), F.count("*").alias("n")).where("n > 1")
         clash = now.join(keeper, ["kind", "surrogate"]).where("entity != keeper.entity").select("kind", "entity")
-        real = now.alias("a").join(now.alias("b"), F.expr("a.kind = b.kind and a.surrogate = b.entity"), "left_semi").select("kind", "entity")
+        real = now.where(F.col("attempt") != PERMUTED).alias("a").join(now.alias("b"), F.expr("a.kind = b.kind and a.surrogate = b.entity"), "left_semi").select("kind", "entity")
         again = written(clash.union(real).distinct(), "again")
         if again.isEmpty():
             return now
-        redrawn = now.join(again, ["kind", "entity"], "left_semi").withColumn("attempt", F.col("attempt") + 1).select("kind", "entity", "attempt").mapInArrow(lambda it: _draw_all(it, key), schema)
+        if n == rounds:  # what is left is of forms that are nearly full: permuted whole
+            crowded = again.join(found, ["kind", "entity"]).where("kind != 'surname'").select("kind", "form").distinct()
+            again = written(found.join(crowded, ["kind", "form"], "left_semi").select("kind", "entity"), "again")
+        redrawn = draw(now.join(again, ["kind", "entity"], "left_semi"), F.lit(PERMUTED) if n == rounds else F.col("attempt") + 1)
         following = new_path(spark, "surrogates")
         now.join(again, ["kind", "entity"], "left_anti").select("kind", "entity", "attempt", "surrogate").unionByName(redrawn).write.parquet(following)
         drop_path(spark, path)
         path = following
+    return spark.read.schema(schema).parquet(path)
 
 
 def replace(text: str | None, key: str, exceptions: dict[tuple[str, str], str], known: dict[tuple[str, str], str]) -> tuple[str | None, list[dict]]:
@@ -368,7 +493,7 @@ def pseudonymise(docs: DataFrame, key: str, broadcast_exceptions: int = BROADCAS
     """`docs` with surrogates in `text`, and a column `pii` (kind, start, end of each in the new text)."""
     sc = docs.sparkSession.sparkContext
     docs = docs.drop("pii")
-    later = assign(docs, key).where("attempt > 0").select("kind", "entity", "surrogate")
+    later = assign(docs, key).where("attempt != 0").select("kind", "entity", "surrogate")
     docs = docs.withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), *T.StructType.fromDDL("pii array<struct<kind:string,start:int,end:int>>")])
     if (n := later.limit(broadcast_exceptions + 1).count()) <= broadcast_exceptions:
