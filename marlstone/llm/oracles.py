@@ -125,3 +125,24 @@ n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM kept JOIN n USING (lang)
 QUALIFY rank <= 2000
 """
+
+_FEATURES = r"""SELECT doc_id, unnest(ws) AS f FROM {0} UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM {0} WHERE len(ws) > 1"""
+_TOKENS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# The crc32 of each distinct feature, byte by byte over a table.
+ORACLES["op13_importance_resampling"] = rf"""
+WITH tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT doc_id, {_TOKENS} AS ws FROM documents), b AS (SELECT 0 AS doc_id, {_TOKENS} AS ws FROM benchmark),
+fd AS ({_FEATURES.format("d")}), fb AS ({_FEATURES.format("b")}),
+hexed AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM fd UNION SELECT f FROM fb)),
+bytes AS (SELECT f, list_transform(range(1, length(x), 2), lambda i: (instr('0123456789ABCDEF', x[i]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 1]) - 1) AS v FROM hexed),
+h AS (SELECT f, xor(list_reduce(list_prepend(4294967295, v), lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, tab),
+s AS (SELECT bucket, count(*) AS n FROM fd JOIN h USING (f) GROUP BY bucket), t AS (SELECT bucket, count(*) AS n FROM fb JOIN h USING (f) GROUP BY bucket),
+g AS (SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM fd) + 10000) / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM fb) + 10000))))::BIGINT AS gain FROM s LEFT JOIN t ON s.bucket = t.bucket),
+w AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM fd JOIN h USING (f) JOIN g USING (bucket) GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, substr(sha256('7:' || d.doc_id), 1, 8) AS x FROM d LEFT JOIN w ON d.doc_id = w.doc_id),
+u AS (SELECT *, list_sum(list_transform(range(1, 9), lambda i: (instr('0123456789abcdef', x[i]) - 1) * (1::BIGINT << (4 * (8 - i)))))::BIGINT AS z FROM k),
+v AS (SELECT *, weight + floor(-1000 * ln(-ln((z + 0.5) / 4294967296)))::BIGINT AS score FROM u),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM v WHERE n_words >= 20)
+SELECT v.doc_id, n_features, weight, score, CASE WHEN rank <= 25 * (SELECT count(*) FROM r) // 100 THEN rank END AS rank FROM v LEFT JOIN r ON v.doc_id = r.doc_id
+"""

@@ -180,6 +180,9 @@ def parse(source: str, constants: dict[str, Any], filters: dict[str, Callable])
         if not open_.startswith("{#"):
             parts.append((open_[:2], m.group(2).strip()))
     parts.append(("raw", source[at:].lstrip() if strip else source[at:]))
+    for kind, text in parts:
+        if kind == "raw" and any(sign in text for sign in PAIRS):
+            raise TemplateError(f"a tag is not closed: {text[:40]!r}")
     variable: str | None = None
     expression = lambda s: Expression(s, variable, constants, filters).whole()
 
@@ -236,7 +239,10 @@ def fold(node):
         return node
     args = [fold(a) for a in node[2]]
     if all(a[0] == "const" for a in args):
-        return ("const", node[1](*(a[1] for a in args)))
+        try:
+            return ("const", node[1](*(a[1] for a in args)))
+        except TypeError as e:
+            raise TemplateError(str(e)) from e
     return ("call", node[1], args)
 
 

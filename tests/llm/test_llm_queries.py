@@ -16,7 +16,7 @@ def duck():
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
@@ -38,7 +38,7 @@ def test_contracts(spark, duck):
     from marlstone.llm import queries
 
     q = queries.queries()
-    assert sorted(int(m[1]) for n in q if (m := re.match(r"op(\d+)_", n))) == list(range(1, 11))
+    assert sorted(int(m[1]) for n in q if (m := re.match(r"op(\d+)_", n))) == list(range(1, 14))
     ids = {i for (i,) in duck.execute("SELECT doc_id FROM documents").fetchall()}
     tox = q["op4_toxicity"](spark, SF).collect()
     assert {r["doc_id"] for r in tox} == ids
