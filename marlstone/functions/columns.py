@@ -47,6 +47,16 @@ def percent(done: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(F.least(done, total) / total * 100)).otherwise(0).cast("int")
 
 
+def least_share(goal: Column, share: float) -> Column:
+    """A share of a goal as a whole number, half rounded up, 1 at least."""
+    return F.greatest(F.lit(1), F.floor(F.round(goal * share, 9) + 0.5).cast("int"))
+
+
+def share_cap(goal: Column, share: float, headroom: int = 1) -> Column:
+    """A share of a goal, with headroom, rounded up, 1 at least."""
+    return F.greatest(F.lit(1), F.ceil(F.round(goal * share * headroom, 9)).cast("int"))
+
+
 def bar(n: Column, goal: int, width: int = 20) -> Column:
     full = F.least(F.lit(width), F.round(n / F.lit(goal) * width)).cast("int")
     return F.rpad(F.repeat(F.lit("#"), full), width, ".")

@@ -19,32 +19,43 @@ from marlstone.sources.scratch import keep
 
 
 def resolve(starts: DataFrame, hops: DataFrame, most: int = 5) -> DataFrame:
-    """(url) and a table (url, redirect, error, refused) -> (url, final, chain, error), each hop a join.
+    """(url) and a table (url, redirect, error, refused) -> (url, final, chain, error).
 
-    `redirect` null is a page; a url that the table lacks fails.
+    `redirect` null is a page; a url that the table lacks fails. Chains double: every url of the table first knows one
+    hop, then, by joining where its chain ends with the chain that begins there, two, four and so on. So 2**k hops take k
+    joins for all urls at once, and a chain has at most twice `most` + 2 places. One that comes back to a place is cut
+    there: a loop. A place where very many chains end makes a skewed join, which Spark splits.
     """
-    state = starts.select("url").distinct().select("url", F.col("url").alias("at"), F.array("url").alias("chain"), F.lit(None).cast("string").alias("error"), F.lit(False).alias("done"))
-    table = hops.select(F.col("url").alias("_u"), "redirect", F.col("error").alias("_e"), F.coalesce("refused", F.lit(False)).alias("refused"), F.lit(True).alias("_there")).dropDuplicates(["_u"])
-    for _ in range(most + 1):
-        s = state.join(table, (state["at"] == table["_u"]) & ~state["done"], "left")
-        looped = F.array_contains("chain", F.col("redirect"))
-        error = (
-            F.when(F.col("done"), F.col("error"))
-            .when(F.col("refused"), "disallowed by robots.txt")
-            .when(F.col("_there").isNull(), "HTTP 404")
-            .when(F.col("_e").isNotNull(), F.col("_e"))
-            .when(looped, "redirect loop")
-        )
-        moves = ~F.col("done") & error.isNull() & F.col("redirect").isNotNull()
-        state = s.select(
-            "url",
-            F.when(moves, F.col("redirect")).otherwise(F.col("at")).alias("at"),
-            F.when(moves, F.concat("chain", F.array("redirect"))).otherwise(F.col("chain")).alias("chain"),
-            error.alias("error"),
-            (F.col("done") | ~moves).alias("done"),
-        )
-    error = F.when(~F.col("done"), F.lit(f"more than {most} redirects")).otherwise(F.col("error"))
-    return state.select("url", F.when(error.isNull(), F.col("at")).alias("final"), "chain", error.alias("error"))
+    refused = F.coalesce("refused", F.lit(False))
+    stop = F.when(refused, "disallowed by robots.txt").when(F.col("error").isNotNull(), F.col("error")).when(F.col("redirect") == F.col("url"), "redirect loop")
+    ends = stop.isNotNull() | F.col("redirect").isNull()
+    known = hops.select("url", "redirect", "error", "refused").dropDuplicates(["url"])
+    known = known.select("url", F.when(ends, F.array("url")).otherwise(F.array("url", "redirect")).alias("chain"), stop.alias("error"), ends.alias("done"))
+    table = starts.select("url").distinct().join(known, "url", "left_anti").select("url", F.array("url").alias("chain"), F.lit("HTTP 404").alias("error"), F.lit(True).alias("done"))
+    table, n = known.unionByName(table), 1
+    while n < most + 1:
+        table = _keep(_doubled(table))
+        n *= 2
+    long = ~F.col("done") | (F.size("chain") > most + 1)
+    error = F.when(long, F.lit(f"more than {most} redirects")).otherwise(F.col("error"))
+    chain = F.slice("chain", 1, most + 2)
+    found = table.select("url", chain.alias("chain"), error.alias("error"))
+    return starts.select("url").distinct().join(found, "url").select("url", F.when(F.col("error").isNull(), F.element_at("chain", -1)).alias("final"), "chain", "error")
+
+
+def _doubled(table: DataFrame) -> DataFrame:
+    """(url, chain, error, done): chains that aren't done go on as the chains from their ends do."""
+    next_ = table.select(F.col("url").alias("at"), F.col("chain").alias("more"), F.col("error").alias("then"), F.col("done").alias("over"))
+    going = table.where("not done").withColumn("at", F.element_at("chain", -1)).join(next_, "at", "left")
+    both = F.concat("chain", F.slice("more", 2, F.size("more")))
+    going = going.withColumn("both", F.coalesce(both, "chain"))
+    # The first place that was there before ends the chain.
+    again = F.filter(F.sequence(F.lit(2), F.size("both")), lambda i: F.array_position(F.col("both"), F.element_at("both", i)) < i)
+    going = going.withColumn("again", F.get(again, F.lit(0)))
+    error = F.when(F.col("again").isNotNull(), "redirect loop").when(F.col("over").isNull(), "HTTP 404").otherwise(F.col("then"))
+    done = F.col("again").isNotNull() | F.coalesce("over", F.lit(True))
+    chain = F.when(F.col("again").isNotNull(), F.slice("both", F.lit(1), F.col("again") - 1)).otherwise(F.col("both"))
+    return table.where("done").unionByName(going.select("url", chain.alias("chain"), error.alias("error"), done.alias("done")))
 
 
 def _keep(df: DataFrame) -> DataFrame:

@@ -2,26 +2,29 @@
 
 The choice depends on what was chosen before, so it is sequential; but its rank depends on (sector, sub-type) alone.
 One queue for each such pair, in pool order, with the least of (sector count, sub-type count, place) taken next gives
-the same as a scan of the whole pool for each choice. The task that chooses gets the head of each queue and the counts
-of what is taken already; where a queue runs out of its head, longer ones are given. All other rows are labelled by
-joins.
+the same as a scan of the whole pool for each choice. The pool is ranked once, by ranges. The task that chooses gets the
+head of each queue and the counts of what is taken already; where a queue runs out of its head, choosing goes on from
+there, with longer heads: what was chosen counts as taken, and what was visited isn't seen again. All
+other rows are labelled by joins.
 """
 
 from __future__ import annotations
 
 from collections import Counter, deque
+from collections.abc import Callable
 from dataclasses import dataclass
+from heapq import heappop, heappush
 from math import ceil
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.columns import filled
-from marlstone.sources.scratch import keep
+from marlstone.sources.scratch import keep, ranked
 
 NARROW = ["id", "page_url", "domain", "sector", "subtype", "image_file", "image_sha256", "element_role"]
-OUTCOME = "id string, outcome string, chosen_seq int, pos long"
+OUTCOME = "id string, outcome string, chosen_seq int, pos long, sector string, subtype string"
 COUNTED = ("page_url", "domain", "subtype", "sector")
 DROPS = ("alreadySelected", "noImage", "duplicateImage", "pageCap", "domainCap")
 
@@ -44,22 +47,28 @@ class Caps:
         return max(1, ceil(round(self.goal * self.domain_share * self.headroom, 9)))
 
 
-def greedy(pool: list[dict], counts: dict[str, Counter], caps: Caps) -> list[dict]:
+def greedy(pool: list[dict], counts: dict[str, Counter], caps: Caps, done: int = 0) -> list[dict]:
     """The outcome of each row of the pool in order: chosen (with its number), a reason for its drop, or remaining.
 
-    `counts` says how often each page_url, domain, subtype, sector and image (digest and role) is taken. A row with
-    `cut` marks where the head of its queue ends: it comes out as cut when it is reached, and nothing more is chosen.
+    `counts` says how often each page_url, domain, subtype, sector and image (digest and role) is taken, `done` how many
+    were chosen before. A row with `cut` marks where the head of its queue ends: it comes out as cut when it is reached,
+    and nothing more is chosen. Counts only grow, so a queue's place in the heap is put right when it comes up.
     """
     queues: dict[tuple, deque] = {}
     for k, row in enumerate(pool):
         queues.setdefault((row["sector"], row["subtype"]), deque()).append(k)
+    place = lambda pair: (counts["sector"][pair[0]], counts["subtype"][pair[1]], queues[pair][0])
+    heap: list[tuple] = []
+    for pair in queues:  # rows are in order, so the third of a place tells queues apart
+        heappush(heap, (place(pair), pair))
     outcome = ["remaining"] * len(pool)
     order: dict[int, int] = {}
-    while len(order) < caps.add and queues:
-        pair = min(queues, key=lambda p: (counts["sector"][p[0]], counts["subtype"][p[1]], queues[p][0]))
+    while done + len(order) < caps.add and heap:
+        at, pair = heappop(heap)
+        if at != (now := place(pair)):
+            heappush(heap, (now, pair))
+            continue
         k = queues[pair].popleft()
-        if not queues[pair]:
-            del queues[pair]
         row = pool[k]
         image = (row["image_sha256"], row["element_role"])
         if row.get("cut"):
@@ -73,11 +82,13 @@ def greedy(pool: list[dict], counts: dict[str, Counter], caps: Caps) -> list[dic
             outcome[k] = "domainCap"
         else:
             outcome[k] = "chosen"
-            order[k] = len(order)
+            order[k] = done + len(order)
             counts["image"][image] += 1
             for c in COUNTED:
                 counts[c][row[c]] += 1
-    return [{"id": r["id"], "outcome": o, "chosen_seq": order.get(k), "pos": r["pos"]} for k, (r, o) in enumerate(zip(pool, outcome, strict=True))]
+        if queues[pair]:
+            heappush(heap, (place(pair), pair))
+    return [{"id": r["id"], "outcome": o, "chosen_seq": order.get(k), "pos": r["pos"], "sector": r["sector"], "subtype": r["subtype"]} for k, (r, o) in enumerate(zip(pool, outcome, strict=True))]
 
 
 def _counts(taken: DataFrame, heads: DataFrame) -> DataFrame:
@@ -97,6 +108,23 @@ def _counts(taken: DataFrame, heads: DataFrame) -> DataFrame:
     return out
 
 
+def _choice(caps: Caps, done: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """What the choosing task does with the heads of all queues and the counts, `done` having been chosen before."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        records = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
+        counts = {c: Counter() for c in (*COUNTED, "image")}
+        for r in records:
+            if r["field"] is not None:
+                counts[r["field"]][(r["key"], r["role"]) if r["field"] == "image" else r["key"]] += int(r["n"])
+        queue = sorted((r for r in records if r["field"] is None), key=lambda r: (r["pos"], r["at"]))
+        frame = pd.DataFrame(greedy(queue, counts, caps, done), columns=["id", "outcome", "chosen_seq", "pos", "sector", "subtype"])
+        frame["chosen_seq"] = frame["chosen_seq"].astype("Int32")
+        return frame
+
+    return run
+
+
 def select(pool: DataFrame, taken: DataFrame, caps: Caps, head: int = 256) -> DataFrame:
     """OUTCOME rows for the pool (columns NARROW and pos); `head` is how much of a queue is tried first."""
     narrow = [c for c in NARROW if c in pool.columns]
@@ -107,30 +135,35 @@ def select(pool: DataFrame, taken: DataFrame, caps: Caps, head: int = 256) -> Da
     has_image = filled(F.col("image_file")) & filled(F.col("image_sha256"))
     label = F.when(F.col("_id").isNotNull(), "alreadySelected").when(~has_image if caps.require_image else F.lit(False), "noImage")
     rows = rows.join(ids, F.col("id") == F.col("_id"), "left").withColumn("label", label).drop("_id")
-    head = max(head, 2 * caps.add)
+    same = lambda a, b: F.col(f"{a}.sector").eqNullSafe(F.col(f"{b}.sector")) & F.col(f"{a}.subtype").eqNullSafe(F.col(f"{b}.subtype"))
+    order = [F.col("sector").asc_nulls_first(), F.col("subtype").asc_nulls_first(), "pos", "id"]
+    pooled = keep(ranked(rows.where("label is null").drop("label"), order, "at"), "queues")
+    queues = keep(pooled.groupBy("sector", "subtype").agg(F.min("at").alias("from")).withColumn("to", F.col("from") + head), "heads")
+    visited, done = None, 0
     while True:
-        nth = F.row_number().over(Window.partitionBy("sector", "subtype").orderBy("pos"))
-        heads = keep(rows.where("label is null").drop("label").withColumn("nth", nth).where(F.col("nth") <= head + 1).withColumn("cut", F.col("nth") > head), "queues")
-        facts = keep(_counts(taken, heads), "taken")
+        heads = pooled.alias("p").join(queues.alias("q"), same("p", "q")).where((F.col("at") >= F.col("from")) & (F.col("at") <= F.col("to"))).select("p.*", (F.col("at") == F.col("to")).alias("cut"))
+        heads = keep(heads, "given")
+        before = taken
+        if visited is not None:
+            mine = visited.where("outcome = 'chosen'").select(F.col("id").alias("_id"), F.col("pos").alias("_pos"))
+            before = taken.unionByName(rows.join(mine, F.col("pos").eqNullSafe(F.col("_pos")) & F.col("id").eqNullSafe(F.col("_id"))).select(*taken.columns))
+        facts = keep(_counts(before, heads), "taken")
         given = heads.select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("field", "string"), ("key", "string"), ("role", "string"), ("n", "long"))))
         given = given.unionByName(facts, allowMissingColumns=True)
 
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            records = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
-            counts = {c: Counter() for c in (*COUNTED, "image")}
-            for r in records:
-                if r["field"] is not None:
-                    counts[r["field"]][(r["key"], r["role"]) if r["field"] == "image" else r["key"]] += int(r["n"])
-            queue = sorted((r for r in records if r["field"] is None), key=lambda r: r["pos"])
-            frame = pd.DataFrame(greedy(queue, counts, caps), columns=["id", "outcome", "chosen_seq", "pos"])
-            frame["chosen_seq"] = frame["chosen_seq"].astype("Int32")
-            return frame
-
-        found = keep(given.groupBy(F.lit(0).alias("_all")).applyInPandas(run, OUTCOME), "outcomes")
+        found = keep(given.groupBy(F.lit(0).alias("_all")).applyInPandas(_choice(caps, done), OUTCOME), "outcomes")
+        seen = found.where("outcome not in ('remaining', 'cut')")
+        visited = seen if visited is None else visited.unionByName(seen)
         if found.where("outcome = 'cut'").isEmpty():
             break
+        done = visited.where("outcome = 'chosen'").count()
+        # Every queue goes on behind what was visited of it, with a head eight times as long: few rounds for any length.
         head *= 8
-    found = found.where("outcome != 'remaining'").select(F.col("pos").alias("_pos"), F.col("id").alias("_id"), "outcome", "chosen_seq")
+        went = seen.groupBy("sector", "subtype").agg(F.count("*").alias("went"))
+        at = F.col("from") + F.coalesce("went", F.lit(0))
+        queues = keep(queues.alias("q").join(went.alias("w"), same("q", "w"), "left").select("q.sector", "q.subtype", at.alias("from"), (at + head).alias("to")), "heads")
+    found = visited
+    found = found.select(F.col("pos").alias("_pos"), F.col("id").alias("_id"), "outcome", "chosen_seq")
     out = rows.join(found, F.col("pos").eqNullSafe(F.col("_pos")) & F.col("id").eqNullSafe(F.col("_id")), "left")
     return out.select("id", F.coalesce("label", "outcome", F.lit("remaining")).alias("outcome"), "chosen_seq", "pos")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.functions import table_functions
 from marlstone.functions import url as U
 from marlstone.operators import aggregates, archive, crawl, export, extract, pool, region, review, robots, session, validate
 from marlstone.operators import select as selection
@@ -289,41 +290,67 @@ def robots_longest_match(spark, sf_dir):
     return robots.decide(p, rules).select("page_id", "allowed")
 
 
-HOPS = [(f"u{k}", f"u{k + 1}" if k % 9 else None, None) for k in range(40)] + [("a", "b", None), ("b", "a", None), ("x", "gone", None), ("e", None, "HTTP 500")]
-
-
 @query("""
-WITH RECURSIVE h(url, redirect, error) AS (VALUES """ + ", ".join(f"('{u}', {'NULL' if r is None else repr(r)}, {'NULL' if e is None else repr(e)})" for u, r, e in HOPS) + """),
+WITH RECURSIVE h AS (SELECT 'o' || k AS url, CASE WHEN k % 41 = 2 THEN 'gone' WHEN k % 50 = 7 THEN 'o' || k WHEN k % 60 = 20 THEN 'o' || (k + 3) WHEN k % 9 <> 0 THEN 'o' || (k - 1) END AS redirect,
+  CASE WHEN k % 37 = 3 THEN 'HTTP 500' END AS error, k % 31 = 5 AS refused FROM (SELECT o_orderkey AS k FROM orders)),
 w(url, place, chain, error, done, hop) AS (
   SELECT url, url, [url], NULL::VARCHAR, false, 0 FROM h
   UNION ALL
-  SELECT w.url, CASE WHEN h.redirect IS NOT NULL AND NOT list_contains(w.chain, h.redirect) THEN h.redirect ELSE w.place END,
-    CASE WHEN h.redirect IS NOT NULL AND NOT list_contains(w.chain, h.redirect) THEN list_append(w.chain, h.redirect) ELSE w.chain END,
-    CASE WHEN h.url IS NULL THEN 'HTTP 404' WHEN h.error IS NOT NULL THEN h.error WHEN h.redirect IS NOT NULL AND list_contains(w.chain, h.redirect) THEN 'redirect loop' END,
-    h.url IS NULL OR h.error IS NOT NULL OR h.redirect IS NULL OR list_contains(w.chain, h.redirect), w.hop + 1
-  FROM w LEFT JOIN h ON w.place = h.url WHERE NOT w.done AND w.hop < 6),
+  SELECT url, CASE WHEN moves THEN redirect ELSE place END, CASE WHEN moves THEN list_append(chain, redirect) ELSE chain END, problem, NOT moves, hop + 1 FROM (
+    SELECT *, problem IS NULL AND redirect IS NOT NULL AS moves FROM (
+      SELECT w.url, w.place, w.chain, w.hop, h.redirect, CASE WHEN h.refused THEN 'disallowed by robots.txt' WHEN h.url IS NULL THEN 'HTTP 404' WHEN h.error IS NOT NULL THEN h.error WHEN list_contains(w.chain, h.redirect) THEN 'redirect loop' END AS problem
+      FROM w LEFT JOIN h ON w.place = h.url WHERE NOT w.done AND w.hop < 6))),
 f AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY hop DESC) AS k FROM w)
 SELECT url, CASE WHEN done AND error IS NULL THEN place END AS final, len(chain) AS hops, CASE WHEN NOT done THEN 'more than 5 redirects' ELSE error END AS error FROM f WHERE k = 1
 """)
 def redirect_chain(spark, sf_dir):
-    hops = spark.createDataFrame([(u, r, e, False) for u, r, e in HOPS], "url string, redirect string, error string, refused boolean")
+    """A link for every order: chains, loops, some too long, some that end in errors, nowhere, or where rules forbid."""
+    k = F.col("o_orderkey")
+    to = F.when(k % 41 == 2, "gone").when(k % 50 == 7, F.concat(F.lit("o"), k)).when(k % 60 == 20, F.concat(F.lit("o"), k + 3)).when(k % 9 != 0, F.concat(F.lit("o"), k - 1))
+    hops = read(spark, sf_dir, "orders").select(F.concat(F.lit("o"), k).alias("url"), to.alias("redirect"), F.when(k % 37 == 3, "HTTP 500").alias("error"), (k % 31 == 5).alias("refused"))
     return crawl.resolve(hops.select("url"), hops).select("url", "final", F.size("chain").cast("long").alias("hops"), "error")
 
 
-REGIONS = [("rect", "10,20,110,220"), ("rect", "110, 220, 10, 20"), ("circle", "50,60,25"), ("poly", "0,0,10,0,10,30,5,40"), ("poly", "0,0,10,0"), ("default", "1,2,3"), ("POLY", "3 4 9 4 9 8")]
-
-
 @query("""
-SELECT * FROM (VALUES ('rect', '10,20,110,220', 'rect', 10.0::DOUBLE, 20.0::DOUBLE, 110.0::DOUBLE, 220.0::DOUBLE, 'middle left'), ('rect', '110, 220, 10, 20', 'rect', 10, 20, 110, 220, 'middle left'),
-('circle', '50,60,25', 'circle', 25, 35, 75, 85, 'top left'), ('poly', '0,0,10,0,10,30,5,40', 'polygon', 0, 0, 10, 40, 'top left'), ('poly', '0,0,10,0', NULL, NULL, NULL, NULL, NULL, NULL),
-('default', '1,2,3', NULL, NULL, NULL, NULL, NULL, NULL), ('POLY', '3 4 9 4 9 8', 'polygon', 3, 4, 9, 8, 'top left')) t(shape, coords, tag, x1, y1, x2, y2, place)
+WITH p AS (SELECT p_partkey, p_partkey % 6 AS form, p_partkey % 200 AS a, p_partkey % 70 AS b FROM part),
+s AS (SELECT p_partkey, form, CASE form WHEN 0 THEN 'rect' WHEN 1 THEN 'rect' WHEN 2 THEN 'circle' WHEN 3 THEN 'polygon' WHEN 5 THEN 'polygon' END AS tag,
+  CASE form WHEN 2 THEN a - b WHEN 4 THEN NULL ELSE a END::DOUBLE AS x1, CASE form WHEN 2 THEN 100 - b WHEN 4 THEN NULL ELSE b END::DOUBLE AS y1,
+  CASE form WHEN 2 THEN a + b WHEN 3 THEN a + 50 WHEN 5 THEN a + 6 WHEN 4 THEN NULL ELSE a + 90 END::DOUBLE AS x2, CASE form WHEN 2 THEN 100 + b WHEN 3 THEN b + 40 WHEN 5 THEN b + 5 WHEN 4 THEN NULL ELSE b + 30 END::DOUBLE AS y2 FROM p)
+SELECT p_partkey, tag, x1, y1, x2, y2, CASE WHEN tag IS NOT NULL THEN (['top', 'middle', 'bottom'])[(least(2, greatest(0, floor((y1 + y2) / 2 / 300 * 3))) + 1)::INT] || ' ' || (['left', 'centre', 'right'])[(least(2, greatest(0, floor((x1 + x2) / 2 / 300 * 3))) + 1)::INT] END AS place FROM s
 """)
 def region_box(spark, sf_dir):
-    d = spark.createDataFrame(REGIONS, "shape string, coords string")
-    html = F.concat(F.lit('<area shape="'), "shape", F.lit('" coords="'), "coords", F.lit('">'))
-    d = d.withColumn("r", region.parse_region(F.lit("area"), html, F.lit("300x300"))).withColumn("s", region.region_shape(F.col("r")))
+    """Areas of all shapes: rectangles from either corner, circles, polygons of four, two and three corners."""
+    k = F.col("p_partkey")
+    a, b = k % 200, k % 70
+    text = lambda *parts: F.concat_ws(",", *(p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts))
+    forms = [("rect", text(a, b, a + 90, b + 30)), ("RECT", text(a + 90, b + 30, a, b)), ("circle", text(a, 100, b)), ("poly", text(a, b, a + 50, b, a + 50, b + 40, a, b + 40)), ("poly", text(a, b, a + 9, b)), ("Polygon", text(a, b, a + 6, b, a + 6, b + 5))]
+    shape, coords = (F.element_at(F.array(*(F.lit(f[0]) if n == 0 else f[1] for f in forms)), (k % 6 + 1).cast("int")) for n in (0, 1))
+    html = F.concat(F.lit('<area shape="'), shape, F.lit('" coords="'), coords, F.lit('">'))
+    d = read(spark, sf_dir, "part").select("p_partkey", region.parse_region(F.lit("area"), html, F.lit("300x300")).alias("r")).withColumn("s", region.region_shape(F.col("r")))
     place = F.concat(region.band((F.col("s.y1") + F.col("s.y2")) / 2, F.col("r.height"), region.ROWS), F.lit(" "), region.band((F.col("s.x1") + F.col("s.x2")) / 2, F.col("r.width"), region.COLUMNS))
-    return d.select("shape", "coords", "s.tag", "s.x1", "s.y1", "s.x2", "s.y2", place.alias("place"))
+    return d.select("p_partkey", "s.tag", "s.x1", "s.y1", "s.x2", "s.y2", place.alias("place"))
+
+
+_TAGS = r"""
+WITH h AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)<script>.*?</script>', '<script>', 'g'), '(?s)<style>.*?</style>', '<style>', 'g'), '(?s)<title>.*?</title>', '<title>', 'g') AS html FROM pages)
+SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, lower(unnest(regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9]*)', 1))) AS tag FROM h) GROUP BY ALL
+"""
+
+
+@query(_TAGS)
+def elements_by_table_function(spark, sf_dir):
+    """Elements of the pages' own html in SQL: a table function over the pages, dealt by page."""
+    table_functions.register(spark)
+    read(spark, sf_dir, "pages").createOrReplaceTempView("marlstone_pages")
+    return spark.sql("SELECT page_id, tag, count(*) AS n FROM page_elements(TABLE(SELECT page_id, html FROM marlstone_pages) PARTITION BY page_id) GROUP BY page_id, tag")
+
+
+@query(_TAGS)
+def elements_by_lateral(spark, sf_dir):
+    """The same, page by page in a lateral join."""
+    table_functions.register(spark)
+    read(spark, sf_dir, "pages").createOrReplaceTempView("marlstone_pages")
+    return spark.sql("SELECT p.page_id, e.tag, count(*) AS n FROM marlstone_pages p, LATERAL html_elements(p.html) e GROUP BY p.page_id, e.tag")
 
 
 @query("""

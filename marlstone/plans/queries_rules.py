@@ -233,7 +233,7 @@ def _greedy(taken: str, also: str, images: bool, domain: int, add: int) -> str:
 def select_forty(spark, sf_dir):
     """The core of the selection: caps by page, domain and picture, thinnest sector and sub-type first."""
     p = _small_pool(spark, sf_dir)
-    return selection.select(p, p.where("pos % 50 = 0"), selection.Caps(add=40, goal=250)).select("id", "outcome", "chosen_seq")
+    return selection.select(p, p.where("pos % 50 = 0"), selection.Caps(add=40, goal=250), head=4).select("id", "outcome", "chosen_seq")
 
 
 @query(_greedy("pos < 30", " UNION ALL SELECT page, domain, coalesce(sector, '-'), coalesce(subtype, '-'), coalesce(image, '-') FROM pool WHERE pos >= 5 AND pos < 10", False, 38, 35))
@@ -414,13 +414,22 @@ def small_functions(spark, sf_dir):
     return read(spark, sf_dir, "part").select(k.alias("k"), columns.batch_number(k).alias("batch"), columns.bar(k, 150).alias("bar"), columns.today().alias("today"), fresh.rlike("^v-[0-9a-z]{6,}-[0-9a-z]{5}$").alias("session"), columns.svg_slice(html).alias("svg"), number.alias("number"))
 
 
-@query("SELECT * FROM (VALUES (250, 13, 20, 63, 13, 38), (100, 5, 8, 25, 5, 15), (30, 2, 2, 8, 2, 5), (1, 1, 1, 1, 1, 1)) t(goal, domain, sector_least, sector_most, subtype_least, wide_domain)")
+@query("""
+WITH g AS (SELECT p_partkey, p_partkey + 1 AS goal FROM part)
+SELECT p_partkey, greatest(1, ceil(round(goal * 0.05, 9)))::INT AS domain, greatest(1, floor(round(goal * 0.08, 9) + 0.5))::INT AS sector_least, greatest(1, floor(round(goal * 0.25, 9) + 0.5))::INT AS sector_most,
+  greatest(1, floor(round(goal * 0.05, 9) + 0.5))::INT AS subtype_least, greatest(1, ceil(round(goal * 0.05 * 3, 9)))::INT AS wide_domain FROM g
+""")
 def cap_arithmetic(spark, sf_dir):
-    rows = []
-    for goal in (250, 100, 30, 1):
-        s = Settings(goal=goal)
-        rows.append((goal, s.domain_cap(), s.share(s.sector_min_share), s.share(s.sector_max_share), s.share(s.subtype_min_share), selection.Caps(goal=goal, headroom=3).domain_cap))
-    return spark.createDataFrame(rows, "goal int, domain int, sector_least int, sector_most int, subtype_least int, wide_domain int")
+    """Caps for a goal of every size; those of Settings and Caps are the same for the goals that are looked at."""
+    s, goal = Settings(), F.col("p_partkey") + 1
+    for n in (1, 30, 100, 250):
+        at = Settings(goal=n)
+        mine = spark.range(1).select(columns.share_cap(F.lit(n), s.domain_share), columns.least_share(F.lit(n), s.sector_min_share), columns.share_cap(F.lit(n), s.domain_share, 3)).first()
+        assert tuple(mine) == (at.domain_cap(), at.share(at.sector_min_share), selection.Caps(goal=n, headroom=3).domain_cap)
+    return read(spark, sf_dir, "part").select(
+        "p_partkey", columns.share_cap(goal, s.domain_share).alias("domain"), columns.least_share(goal, s.sector_min_share).alias("sector_least"), columns.least_share(goal, s.sector_max_share).alias("sector_most"),
+        columns.least_share(goal, s.subtype_min_share).alias("subtype_least"), columns.share_cap(goal, s.domain_share, 3).alias("wide_domain"),
+    )
 
 
 @query("SELECT max(r_regionkey) + 3 AS next_batch, 4 AS pending FROM region")
