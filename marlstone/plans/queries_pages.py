@@ -237,6 +237,20 @@ def fetched_pages(spark, sf_dir):
     return fetch.fetch(_web(spark, sf_dir), _answer, 0.0).select("url", "html", "redirect", "error")
 
 
+@query(_WEB + """
+SELECT url, CASE WHEN d IN (0, 2, 6, 7, 8, 9) THEN '<p>' || url || '</p>' END AS html, CASE d WHEN 1 THEN url[:-2] || '2' WHEN 5 THEN url END AS redirect, CASE WHEN p_partkey % 2 = 0 AND d IN (0, 2, 6, 8) THEN NULL WHEN d = 3 THEN 'HTTP 503' WHEN d = 4 THEN 'not HTML but application/json' END AS error FROM w
+""")
+def pages_fetched_once(spark, sf_dir):
+    """Half of the urls, then all of them with a web that has gone for the first half: what was read before is not asked again."""
+    from marlstone.plans.queries_streams import place
+
+    path, web = place(spark), _web(spark, sf_dir)
+    even = F.regexp_extract("url", r"(\d+)$", 1).cast("int") % 2 == 0
+    fetch.fetch_once(web.where(even), _answer, path, 0.0, 2)
+    gone = lambda url: {"error": "gone"} if int(url.rsplit("/", 1)[1]) % 2 == 0 else _answer(url)
+    return fetch.fetch_once(web, gone, path, 0.0, 2).select("url", "html", "redirect", "error")
+
+
 @query(_WEB + """
 SELECT url, CASE WHEN d IN (0, 2, 6, 7, 8) THEN url WHEN d = 1 THEN url[:-2] || '2' ELSE url END AS final_url, CASE WHEN d IN (0, 2, 6, 7, 8) THEN '<p>' || url || '</p>' WHEN d = 1 THEN '<p>' || url[:-2] || '2</p>' END AS html,
   CASE d WHEN 3 THEN 'HTTP 503' WHEN 4 THEN 'not HTML but application/json' WHEN 5 THEN 'redirect loop' WHEN 9 THEN 'disallowed by robots.txt' END AS error FROM w

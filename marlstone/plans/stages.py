@@ -24,7 +24,7 @@ from marlstone.operators import export as E
 from marlstone.operators import select as S
 from marlstone.plans.schemas import ITEM, VERDICT, Settings
 from marlstone.sources import blobs, fetch, jsonl, sinks, text
-from marlstone.sources.scratch import keep
+from marlstone.sources.scratch import clear, keep
 
 DONE, NOTHING, REFUSED, USAGE = 0, 1, 2, 3
 #: Lines of a report that are printed.
@@ -364,7 +364,10 @@ def main(args: list[str]) -> int:
         "export": lambda: export(spark, a.corpus, a.images, a.out, a.dry_run),
         "cleanup": lambda: cleanup(spark, a.images, a.corpus, a.shortlist, a.log, a.drop_unselected, a.apply),
     }
-    return stages[a.stage]()
+    try:
+        return stages[a.stage]()
+    finally:
+        clear(spark)
 
 
 if __name__ == "__main__":

@@ -20,10 +20,21 @@ def folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where the written tables of this application are."""
+    return f"{folder(spark)}/marlstone/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the written tables of this application: for its end, when nothing that was made of them is read any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a written table: cuts the lineage, is computed once, and outlives any executor."""
+    """`df` as a written table: cuts the lineage, is computed once, and outlives any executor. `clear` deletes it."""
     spark = df.sparkSession
-    path = f"{folder(spark)}/marlstone/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -186,6 +186,58 @@ def test_redirects():
     assert go("l")["error"] == "redirect loop" and "robots" in go("r")["error"] and go("c0")["error"] == "more than 5 redirects"
 
 
+def test_nothing_is_fetched_twice(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def get(url):
+        import uuid
+
+        (asked / uuid.uuid4().hex).write_text(url)
+        return {"error": "HTTP 404"} if url.endswith("3") else {"body": b"x", "content_type": None, "url": url}
+
+    urls = spark.createDataFrame([(f"http://h{k % 3}.org/{k}",) for k in range(12)] + [(None,), ("http://h0.org/0",)], "url string")
+    for rows, n in ((urls.where("url not like '%5'"), 11), (urls, 12), (urls, 12)):
+        out = fetch.fetch_once(rows, get, str(tmp_path / "pages"), 0.0, 3)
+        assert len(list(asked.iterdir())) == n == out.count()
+    assert out.where("error is not null").count() == 1
+
+
+def test_resolve_against_a_walk(spark):
+    import random
+
+    rng = random.Random(2)
+    table = {f"u{k}": (rng.choice([None, *(f"u{rng.randrange(45)}" for _ in range(4))]), rng.choice([None] * 9 + ["HTTP 500"]), rng.random() < 0.05) for k in range(40)}
+
+    def walk(u, most):
+        chain = [u]
+        for _ in range(most + 1):
+            to, error, refused = table.get(u, (None, "HTTP 404", False))
+            if refused or error:
+                return None, chain, "disallowed by robots.txt" if refused else error
+            if to is None:
+                return u, chain, None
+            if to in chain:
+                return None, chain, "redirect loop"
+            chain.append(to)
+            u = to
+        return None, chain, f"more than {most} redirects"
+
+    hops = spark.createDataFrame([(u, *x) for u, x in table.items()], "url string, redirect string, error string, refused boolean")
+    starts = spark.createDataFrame([(u,) for u in [*table, "nowhere", "u1"]], "url string")
+    for most in (1, 5):
+        got = {r["url"]: (r["final"], r["chain"], r["error"]) for r in crawl.resolve(starts, hops, most).collect()}
+        assert got == {u: walk(u, most) for u in [*table, "nowhere"]}
+
+
+def test_table_functions(spark):
+    from marlstone.functions import table_functions
+
+    table_functions.register(spark)
+    rows = spark.sql("SELECT x.tag, x.parent FROM VALUES ('<p>a<b>c'), (NULL), ('') v(h), LATERAL html_elements(v.h) x").collect()
+    assert sorted(map(tuple, rows)) == [("b", 0), ("p", -1)]
+
+
 def test_crawl(spark):
     link = lambda *names: "".join(f'<a href="/{n}">{n}</a>' for n in names)
     store = spark.createDataFrame(
