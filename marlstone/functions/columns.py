@@ -13,6 +13,11 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
+def origin(url: str | Column) -> Column:
+    """Scheme, host and port, as they are written; empty where there are none."""
+    return F.regexp_extract(url, r"^([A-Za-z]+://[^/?#]*)", 1)
+
+
 def filled(c: Column) -> Column:
     """Neither null nor empty."""
     return c.isNotNull() & (c != "")

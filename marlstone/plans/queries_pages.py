@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marlstone.functions import url as U
 from marlstone.operators import crawl, extract, pool, robots
 from marlstone.plans.registry import query, read
-from marlstone.sources import fetch
+from marlstone.sources import fetch, web
 
 #: `~` stands for the page's number.
 BODY = """<body><svg hidden><symbol id="bell" viewBox="0 0 16 16"><path d="M~"/></symbol><g id="bare"></g></svg>
@@ -234,7 +234,12 @@ def _web(spark, sf_dir) -> DataFrame:
 SELECT url, CASE WHEN d IN (0, 2, 6, 7, 8, 9) THEN '<p>' || url || '</p>' END AS html, CASE d WHEN 1 THEN url[:-2] || '2' WHEN 5 THEN url END AS redirect, CASE d WHEN 3 THEN 'HTTP 503' WHEN 4 THEN 'not HTML but application/json' END AS error FROM w
 """)
 def fetched_pages(spark, sf_dir):
-    return fetch.fetch(_web(spark, sf_dir), _answer, 0.0).select("url", "html", "redirect", "error")
+    from marlstone.plans.queries_streams import place
+
+    path = place(spark)
+    web.register(spark, _answer, 0.0)
+    list(web.lay_out(_web(spark, sf_dir), path))
+    return spark.read.format(web.NAME).load(path).select("url", "html", "redirect", "error")
 
 
 @query(_WEB + """
@@ -244,11 +249,11 @@ def pages_fetched_once(spark, sf_dir):
     """Half of the urls, then all of them with a web that has gone for the first half: what was read before is not asked again."""
     from marlstone.plans.queries_streams import place
 
-    path, web = place(spark), _web(spark, sf_dir)
+    path, urls = place(spark), _web(spark, sf_dir)
     even = F.regexp_extract("url", r"(\d+)$", 1).cast("int") % 2 == 0
-    fetch.fetch_once(web.where(even), _answer, path, 0.0, 2)
+    web.fetch_once(urls.where(even), _answer, path, delay_s=0.0)
     gone = lambda url: {"error": "gone"} if int(url.rsplit("/", 1)[1]) % 2 == 0 else _answer(url)
-    return fetch.fetch_once(web, gone, path, 0.0, 2).select("url", "html", "redirect", "error")
+    return web.fetch_once(urls, gone, path, delay_s=0.0).select("url", "html", "redirect", "error")
 
 
 @query(_WEB + """

@@ -14,12 +14,10 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from marlstone.functions.columns import origin
 from marlstone.functions.media import MAX_BYTES, decode_data_url
 from marlstone.functions.url import absolute, origin_of
-from marlstone.sources.jsonl import exists
-from marlstone.sources.scratch import keep
 
 Getter = Callable[[str], dict]
 TIMEOUT_S = 20
@@ -109,16 +107,17 @@ def image_bytes(url: str, get: Getter, most: int = 5) -> tuple[bytes | None, str
     return got["body"], got.get("content_type"), None
 
 
-def politely(get: Getter, delay_s: float) -> Getter:
-    """Waits so that requests to one origin are `delay_s` apart."""
+def politely(get: Getter, delay_s: float, at_once: bool = True) -> Getter:
+    """Waits so that requests to one origin are `delay_s` apart; unless `at_once`, the first ones keep that distance, too."""
     last: dict[str, float] = {}
+    begun = float("-inf") if at_once else time.monotonic()
 
     def polite(url: str) -> dict:
-        origin = origin_of(url) or url
-        wait = last.get(origin, float("-inf")) + delay_s - time.monotonic()
+        there = origin_of(url) or url
+        wait = last.get(there, begun) + delay_s - time.monotonic()
         if wait > 0:
             time.sleep(wait)
-        last[origin] = time.monotonic()
+        last[there] = time.monotonic()
         return get(url)
 
     return polite
@@ -134,24 +133,4 @@ def fetch(urls: DataFrame, get: Getter, delay_s: float = 1.0) -> DataFrame:
                 page = as_page(polite(url))
                 yield pd.DataFrame([{"url": url, "html": page.get("html"), "final_url": page.get("url"), "redirect": page.get("redirect"), "error": page.get("error")}])
 
-    origin = F.regexp_extract("url", r"^([A-Za-z]+://[^/?#]*)", 1)
-    return urls.select("url").repartition(origin).mapInPandas(run, "url string, html string, final_url string, redirect string, error string")
-
-
-def fetch_once(urls: DataFrame, get: Getter, path: str, delay_s: float = 1.0, portions: int = 8) -> DataFrame:
-    """What `fetch` gives for `urls`, of which a table at `path` keeps all that was asked, errors too: nothing is asked twice.
-
-    Origins are dealt over `portions`, each of which is added to the table when it is through. A run that breaks off asks
-    again for one portion at most, and one with more urls only for those that are new.
-    """
-    spark = urls.sparkSession
-    schema = "url string, html string, final_url string, redirect string, error string"
-    wanted = urls.select("url").where("url is not null").distinct()
-    part = F.pmod(F.xxhash64(F.regexp_extract("url", r"^([A-Za-z]+://[^/?#]*)", 1)), F.lit(portions))
-    for n in range(portions):
-        have = spark.read.schema(schema).parquet(path) if exists(spark, f"{path}/_SUCCESS") else spark.createDataFrame([], schema)
-        todo = keep(wanted.where(part == n).join(have.select("url"), "url", "left_anti"), "todo")
-        if not todo.isEmpty():
-            fetch(todo, get, delay_s).write.mode("append").parquet(path)
-    have = spark.read.schema(schema).parquet(path) if exists(spark, f"{path}/_SUCCESS") else spark.createDataFrame([], schema)
-    return have.join(wanted, "url", "left_semi")
+    return urls.select("url").repartition(origin("url")).mapInPandas(run, "url string, html string, final_url string, redirect string, error string")

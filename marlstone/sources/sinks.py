@@ -46,6 +46,18 @@ def _rename(fs, a, b) -> None:
         raise OSError(f"{a} could not be renamed to {b}")
 
 
+def move(spark: SparkSession, a: str, b: str) -> None:
+    """One rename, so that `b` is there whole or not at all."""
+    fs, old = _fs(spark, a)
+    _rename(fs, old, _fs(spark, b)[1])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A file, or a folder with all that it holds."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """After a crash between the two renames of `overwrite_jsonl`: the old table comes back."""
     fs, now = _fs(spark, path.rstrip("/"))

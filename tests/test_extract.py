@@ -3,7 +3,7 @@
 import pytest
 
 from marlstone.operators import crawl, extract, pool, robots
-from marlstone.sources import fetch, text
+from marlstone.sources import fetch, text, web
 
 PAGE = """<html><body><svg style="display:none"><symbol id="s1" viewBox="0 0 8 8"><path d="M0"/></symbol></svg>
 <a href="/"><img src="/logo.png" alt="Home of things"></a>
@@ -186,21 +186,61 @@ def test_redirects():
     assert go("l")["error"] == "redirect loop" and "robots" in go("r")["error"] and go("c0")["error"] == "more than 5 redirects"
 
 
-def test_nothing_is_fetched_twice(spark, tmp_path):
-    asked = tmp_path / "asked"
-    asked.mkdir()
+def _noting(folder):
+    """A getter that notes what it is asked, as a file each."""
+    folder.mkdir()
 
     def get(url):
         import uuid
 
-        (asked / uuid.uuid4().hex).write_text(url)
+        (folder / uuid.uuid4().hex).write_text(url)
         return {"error": "HTTP 404"} if url.endswith("3") else {"body": b"x", "content_type": None, "url": url}
 
+    return get
+
+
+def test_nothing_is_fetched_twice(spark, tmp_path):
+    get = _noting(tmp_path / "asked")
     urls = spark.createDataFrame([(f"http://h{k % 3}.org/{k}",) for k in range(12)] + [(None,), ("http://h0.org/0",)], "url string")
-    for rows, n in ((urls.where("url not like '%5'"), 11), (urls, 12), (urls, 12)):
-        out = fetch.fetch_once(rows, get, str(tmp_path / "pages"), 0.0, 3)
-        assert len(list(asked.iterdir())) == n == out.count()
-    assert out.where("error is not null").count() == 1
+    for rows, n in ((urls.where("url is null"), 0), (urls.where("url not like '%5'"), 11), (urls, 12), (urls, 12), (urls.limit(0), 12)):
+        out = web.fetch_once(rows, get, str(tmp_path / "pages"), delay_s=0.0, buckets=2, portion_urls=4)
+        assert sorted(f.read_text() for f in (tmp_path / "asked").iterdir()) == sorted(f"http://h{k % 3}.org/{k}" for k in range(12) if k != 5 or n == 12)[:n]
+        assert out.count() == rows.where("url is not null").distinct().count()
+    assert spark.read.parquet(str(tmp_path / "pages" / "answers")).where("error is not null").count() == 1
+    assert (tmp_path / "pages" / "urls" / "portion=3").is_dir()  # 11 urls in three portions, then one more
+
+
+def test_a_run_that_broke_off_goes_on(spark, tmp_path):
+    """Portions that were laid out but not asked come with the next run, and only they."""
+    get = _noting(tmp_path / "asked")
+    urls = spark.createDataFrame([(f"http://h.org/{k}",) for k in range(10)], "url string")
+    path = str(tmp_path / "pages")
+    web.fetch_once(urls.where("url like '%/1' or url like '%/2'"), get, path, delay_s=0.0, buckets=2)
+    next(web.lay_out(urls.where("url < 'http://h.org/7'"), f"{path}/urls"))
+    assert web.fetch_once(urls.where("url < 'http://h.org/7'"), get, path, delay_s=0.0).count() == 7
+    assert len(list((tmp_path / "asked").iterdir())) == 7
+
+
+def test_web_from_sql_by_origin(spark, tmp_path):
+    """An origin is one task's, and its requests keep their distance; images come as bytes."""
+    import os
+    import time
+
+    def get(url):
+        return {"body": f"{os.getpid()} {time.monotonic()}".encode(), "content_type": "image/png", "url": url}
+
+    urls = spark.createDataFrame([(f"http://h{k % 2}.org/{k}",) for k in range(8)] + [("data:image/png;base64,eA==",), ("data:,%",)], "url string")
+    list(web.lay_out(urls, str(tmp_path / "urls"), buckets=4, portion_urls=3))
+    web.register(spark, get, 0.2)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW images USING marlstone_web OPTIONS (path '{tmp_path}/urls', kind 'image')")
+    got = {r["url"]: r for r in spark.sql("SELECT * FROM images").collect()}
+    assert len(got) == 10 and got["data:image/png;base64,eA=="]["body"] == b"x"
+    for host in ("h0", "h1"):
+        asked = [bytes(r["body"]).decode().split() for u, r in got.items() if u.startswith(f"http://{host}.")]
+        times = sorted(float(t) for _, t in asked)
+        assert len({p for p, _ in asked}) == 1 and all(b - a >= 0.19 for a, b in zip(times, times[1:], strict=False))
+    with pytest.raises(Exception, match="kinds page, image"):
+        spark.read.format("marlstone_web").option("kind", "sound").load(str(tmp_path / "urls")).count()
 
 
 def test_resolve_against_a_walk(spark):
