@@ -5,8 +5,9 @@ part of all words, at most MOST_REPEATS times its own size, with the excess resh
 
 1. The documents of a source are dealt by hash into blocks (at most BLOCKS; few documents to a block in a small one).
 2. A source's quota of blocks: whole passes over it while the target holds them, and the blocks of one partial pass, in
-   permuted order, while they fit. The block at the edge is cut in the same way: it is dealt by hash into parts, the
-   part at the edge of these between documents, as near to the word count as one more document brings the sum.
+   permuted order, while they fit. The block at the edge is cut in the same way: it is dealt by hash into parts. In the
+   part at the edge of these, documents are taken in permuted order while they fit, then the largest ones that fit into
+   what is left; then one more, in place of others where it is too large, if it brings the sum nearer.
 3. The quotas of all sources are split over the output shards by a binary tree: at each node the left child's share of
    every source is drawn from the multivariate hypergeometric distribution (source after source, by the inverse of the
    distribution function). Quotas stay exact at each node, and shards differ by a block at most.
@@ -17,7 +18,7 @@ part of all words, at most MOST_REPEATS times its own size, with the excess resh
 All draws are hashes of a seed, so reruns agree. Null and empty texts have size 0 and are taken with their block; very
 long ones count whole. A null source is a source of its own, last in the order of sources; sources are few, one row a
 source goes through one task. Null doc_ids are dealt by their texts. Rows with the same doc_id and text are taken alike,
-others on their own. Of documents that are equally near to what is left, that with the smallest hash is taken. A source
+others on their own. Of documents of one size, a hash says which is tried first. A source
 without words has target 0. `mix` ignores extra columns, `repeat` returns them whatever their names are; an empty table
 gives an empty result.
 """
@@ -179,6 +180,35 @@ def cut(units: DataFrame, unit: str, seed: str, room: str) -> DataFrame:
     return units.withColumn("left", left).drop("upto")
 
 
+def largest_first(docs: Column, room: Column) -> Column:
+    """Those of `docs` (less, by, h) that still fit into `room`, tried from the largest on, and what is left of it: (hs, left)."""
+
+    def step(s: Column, x: Column) -> Column:
+        fits = s["left"] + x["less"] >= 0
+        return F.struct(F.when(fits, s["left"] + x["less"]).otherwise(s["left"]).alias("left"), F.when(fits, F.concat(s["hs"], F.array(x["h"]))).otherwise(s["hs"]).alias("hs"))
+
+    return F.aggregate(F.array_sort(docs), F.struct(room.alias("left"), F.array().cast("array<bigint>").alias("hs")), step)
+
+
+def fill(ranked: DataFrame) -> DataFrame:
+    """(k, h, words, room, fits) -> (k, some): the documents of a piece that are taken, one row a source.
+
+    To those that fit in order come the largest ones that still fit into what they leave. Then the smallest of the others
+    takes the place of the largest ones that its excess holds, if that brings the sum nearer.
+    """
+    one = F.struct((-F.col("words")).alias("less"), F.xxhash64(F.lit(SEED), F.col("h")).alias("by"), "h")
+    room = F.max("room") - F.coalesce(F.sum(F.when(F.col("fits"), F.col("words"))), F.lit(0))
+    g = ranked.groupBy("k").agg(room.alias("room"), F.collect_list(F.when(F.col("fits"), one)).alias("fit"), F.collect_list(F.when(~F.col("fits") & (F.col("words") > 0), one)).alias("unfit"))
+    g = g.withColumn("more", largest_first(F.col("unfit"), F.col("room")))
+    added = lambda x: F.array_contains("more.hs", x["h"])
+    g = g.withColumn("next", F.array_max(F.filter("unfit", lambda x: ~added(x)))).withColumn("taken", F.concat("fit", F.filter("unfit", added)))
+    excess = -F.col("next.less") - F.col("more.left")
+    g = g.withColumn("out", largest_first(F.filter("taken", lambda x: x["less"] < 0), excess))
+    hs = F.transform("taken", lambda x: x["h"])
+    swapped = F.array_append(F.array_except(hs, F.col("out.hs")), F.col("next.h"))
+    return g.select("k", F.when(F.col("out.left") < F.col("more.left"), swapped).otherwise(hs).alias("some"))
+
+
 def draw(blocks: DataFrame, sources: DataFrame, levels: int) -> DataFrame:
     """(k, block, rank, left, passes) -> (k, block, shards): the shards that drew the block, in order of the passes.
 
@@ -225,16 +255,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_R
     edge = d.join(b.where("left > 0").select("k", "block", "left"), ["k", "block"]).withColumn("piece", part_of("parts"))
     pieces = written(cut(edge.groupBy("k", "piece").agg(F.sum("size").alias("words"), F.first("left").alias("room")), "piece", "piece", "room"), "pieces")
     whole = pieces.groupBy("k").agg(F.collect_list(F.when(F.col("left") < 0, F.col("piece"))).alias("whole"))
-    # The piece at the edge: documents in permuted order while they fit, then the one whose size is nearest to what is left.
+    # The piece at the edge, document by document.
     docs_of = edge.drop("left").join(pieces.where("left > 0").select("k", "piece", "left"), ["k", "piece"]).groupBy("k", "h").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-    ranked = cut(docs_of.withColumnRenamed("left", "room"), "h", "edge", "room").withColumn("fits", F.col("left") < 0)
-    of_source = Window.partitionBy("k")
-    gap = F.col("room") - F.coalesce(F.sum(F.when(F.col("fits"), F.col("words"))).over(of_source), F.lit(0))
-    ranked = ranked.withColumn("gap", gap).withColumn("miss", F.when(~F.col("fits"), F.abs(F.col("words") - F.col("gap"))))
-    nearest = F.row_number().over(of_source.orderBy(F.col("miss").asc_nulls_last(), F.xxhash64(F.lit(SEED), F.col("h")), "h")) == 1
-    ranked = ranked.withColumn("more", F.col("fits") | (nearest & (F.col("miss") < F.col("gap"))))
-    some = ranked.groupBy("k").agg(F.collect_list(F.when(F.col("more"), F.col("h"))).alias("some"))
-    cuts = written(whole.join(some, "k", "left").select("k", "whole", F.coalesce("some", F.array().cast("array<bigint>")).alias("some")), "cuts")
+    ranked = cut(docs_of.withColumnRenamed("left", "room"), "h", "edge", "room").withColumn("fits", F.col("left") < 0).drop("left")
+    cuts = written(whole.join(fill(ranked), "k", "left").select("k", "whole", F.coalesce("some", F.array().cast("array<bigint>")).alias("some")), "cuts")
 
     edges = b.where("left > 0").select("k", "block").join(cuts, "k")
     blocks = b.join(written(draw(b, sources, levels), "draws"), ["k", "block"], "left").join(edges, ["k", "block"], "left")

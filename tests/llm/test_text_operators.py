@@ -505,6 +505,43 @@ def test_mixing(spark, monkeypatch):
     assert inside > 500
 
 
+def test_mix_fills_what_is_left(spark):
+    """Small sources of documents of very different sizes come near to their targets; the greedy step against plain Python."""
+    rng = random.Random(5)
+    rows = [(k, "w " * int(rng.paretovariate(0.9) * 20 % 4000), f"s{k % 12}") for k in range(600)]
+    sums = {}
+    for r in mixing.mix(docs(spark, rows)).collect():
+        s = sums.setdefault(f"s{r['doc_id'] % 12}", [r["target"], 0])
+        s[1] += r["taken"]
+    assert all(abs(got - target) <= 0.01 * target for target, got in sums.values()), sums
+
+    table = [(k, h, rng.choice([0, 1, 30, rng.randint(1, 400)]), 100 * k, h < 3 and k > 2) for k in range(40) for h in range(1 + k % 9)]
+    table = [(k, h, w % 90 if fits else w, room, fits) for k, h, w, room, fits in table]
+    swaps = 0
+    for r in mixing.fill(spark.createDataFrame(table, "k int, h long, words long, room long, fits boolean")).collect():
+        words = {h: w for k, h, w, _, _ in table if k == r["k"]}
+        kept = {h for k, h, _, _, fits in table if k == r["k"] and fits}
+        gap = 100 * r["k"] - sum(words[h] for h in kept)
+        some = [words[h] for h in r["some"]]
+        want = sorted(words[h] for h in kept)
+        rest = sorted((w for h, w in words.items() if h not in kept and w), reverse=True)
+        for w in [*rest]:
+            if w <= gap:
+                gap -= w
+                want.append(w)
+                rest.remove(w)
+        if rest:
+            excess, fewer = rest[-1] - gap, sorted(want, reverse=True)
+            for w in [*fewer]:
+                if 0 < w <= excess:
+                    excess -= w
+                    fewer.remove(w)
+            if excess < gap:
+                want, swaps = [*fewer, rest[-1]], swaps + 1
+        assert sorted(some) == sorted(want) and len({*r["some"]}) == len(some)
+    assert swaps
+
+
 def test_plan_takes_what_the_tree_draws(spark, monkeypatch):
     """Another tree, other shards: quotas of the leaves summed by source are the blocks that are taken."""
     rows = docs(spark, [(k, sentences(k, 20), "ab"[k % 3 == 0]) for k in range(2000)])
