@@ -23,7 +23,8 @@ def unique() -> str:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, value) of a text file or folder; lines count from 1, blank ones included.
+    """(file, line, place, value) of a text file or folder; lines count from 1, blank ones included. `place` goes on from
+    file to file in order of their names, as `line` does in one.
 
     Large files are read in blocks. A line's number is its place in the block, after the lines of the blocks before it;
     these are counted first, a small row a block.
@@ -31,13 +32,14 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")]
     rows = spark.read.text(path).select(*block, "value", F.monotonically_increasing_id().alias("n"))
     blocks = rows.groupBy("file", "at").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
-    before = F.coalesce(F.sum("lines").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = blocks.select("file", "at", "first", before.alias("before"))
-    return rows.join(blocks, ["file", "at"]).select("file", (F.col("n") - F.col("first") + F.col("before") + 1).alias("line"), "value")
+    before = lambda w: F.coalesce(F.sum("lines").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.select("file", "at", "first", before(Window.partitionBy("file").orderBy("at")).alias("before"), before(Window.orderBy("file", "at")).alias("above"))
+    nth = F.col("n") - F.col("first") + 1
+    return rows.join(F.broadcast(blocks), ["file", "at"]).select("file", (nth + F.col("before")).alias("line"), (nth + F.col("above")).alias("place"), "value")
 
 
 def read(spark: SparkSession, path: str, schema: StructType, missing: str = "empty") -> tuple[DataFrame, DataFrame]:
-    """(rows, errors): rows of `schema` with `pos` (the line), and (file, line) of each line that isn't an object.
+    """(rows, errors): rows of `schema` with `pos` (the place in the table), and (file, line) of each line that isn't an object.
 
     missing: "empty" for no rows where nothing is at the path, "error" for Spark's own.
     """
@@ -49,7 +51,7 @@ def read(spark: SparkSession, path: str, schema: StructType, missing: str = "emp
     parsed = raw.withColumn("r", F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
-    rows = parsed.where(~bad).select(*(f"r.{f}" for f in schema.fieldNames()), F.col("line").cast("bigint").alias("pos"), keys.alias("_keys"))
+    rows = parsed.where(~bad).select(*(f"r.{f}" for f in schema.fieldNames()), F.col("place").cast("bigint").alias("pos"), keys.alias("_keys"))
     return rows, parsed.where(bad).select("file", "line")
 
 

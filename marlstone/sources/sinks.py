@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +19,18 @@ def _json(df: DataFrame, drop: tuple[str, ...] = ("pos", "_keys", "page_id")):
 
 
 def append_jsonl(df: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
-    """Adds rows, nulls kept as fields, in order of `pos` where there is one."""
+    """Adds rows, nulls kept as fields, in order of `pos` where there is one. The new files' names come behind those there."""
     if not dry_run:
-        _json(df.orderBy("pos") if "pos" in df.columns else df).mode("append").json(path)
+        spark, base = df.sparkSession, path.rstrip("/")
+        made_path = f"{base}.add-{uuid.uuid4().hex}"
+        _json(df.orderBy("pos") if "pos" in df.columns else df).json(made_path)
+        fs, made = _fs(spark, made_path)
+        fs.mkdirs(_fs(spark, base)[1])
+        numbers = [int(m[1]) for x in fs.listStatus(_fs(spark, base)[1]) if (m := re.match(r"part-(\d+)", x.getPath().getName()))]
+        first = max(numbers, default=-1) + 1
+        for k, name in enumerate(sorted(x.getPath().getName() for x in fs.globStatus(_fs(spark, f"{made_path}/part-*")[1]))):
+            _rename(fs, _fs(spark, f"{made_path}/{name}")[1], _fs(spark, f"{base}/part-{first + k:05d}-{name.split('-', 2)[2]}")[1])
+        fs.delete(made, True)
     return df
 
 

@@ -362,3 +362,26 @@ def test_a_whole_run(spark, tmp_path):
     with pytest.raises(SystemExit) as e:
         stages.main(["harvest", "--pages", "0"])
     assert e.value.code == 3
+
+
+def test_places_go_on_from_file_to_file(spark, tmp_path):
+    """A table of several files, then rows that are appended: `pos` is one order over all of them."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from marlstone.sources import jsonl, sinks
+
+    path, schema = str(tmp_path / "t"), StructType([StructField("k", LongType())])
+    rows = lambda a, b: spark.range(a, b, 1, 3).select((a + b - 1 - F.col("id")).alias("k"), F.col("id").alias("pos"))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        sinks.overwrite_jsonl(rows(0, 100), path)
+        sinks.append_jsonl(rows(100, 150), path)
+        sinks.append_jsonl(rows(150, 160), path)
+    finally:
+        spark.conf.unset(coalesce)
+    got = jsonl.read_strict(spark, path, schema).orderBy("pos").collect()
+    assert jsonl.lines(spark, path).select("file").distinct().count() > 5
+    assert [r["pos"] for r in got] == list(range(1, 161))
+    assert [r["k"] for r in got] == [*range(99, -1, -1), *range(149, 99, -1), *range(159, 149, -1)]
