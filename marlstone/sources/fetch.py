@@ -13,7 +13,8 @@ import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from marlstone.functions.columns import origin
 from marlstone.functions.media import MAX_BYTES, decode_data_url
@@ -123,14 +124,35 @@ def politely(get: Getter, delay_s: float, at_once: bool = True) -> Getter:
     return polite
 
 
+def dealt(rows: DataFrame, host: Column, url: Column, delay_s: float) -> DataFrame:
+    """Rows for tasks that ask for them: where requests keep a distance, those of one host together, else by url.
+
+    The number of tasks is given, since urls are small, and Spark would put very many of them into one.
+    """
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return rows.repartition(n, host if delay_s > 0 else url)
+
+
+def portions(rows: Iterator[dict], columns: list[str], most: int = 256, size: int = 8 * 1024 * 1024) -> Iterator[pd.DataFrame]:
+    """Rows as frames of up to `most` rows, or of about `size` bytes: a frame for each row costs more than the row."""
+    part, held = [], 0
+    for row in rows:
+        part.append(row)
+        held += sum(len(v) for v in row.values() if isinstance(v, (str, bytes)))
+        if len(part) >= most or held >= size:
+            yield pd.DataFrame(part, columns=columns)
+            part, held = [], 0
+    if part:
+        yield pd.DataFrame(part, columns=columns)
+
+
 def fetch(urls: DataFrame, get: Getter, delay_s: float = 1.0) -> DataFrame:
-    """(url) -> (url, html, final_url, redirect, error). Urls of one origin go to one task, which keeps the distance."""
+    """(url) -> (url, html, final_url, redirect, error). Where there is a distance to keep, urls of one origin go to one task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         polite = politely(get, delay_s)
-        for batch in batches:
-            for url in batch["url"]:
-                page = as_page(polite(url))
-                yield pd.DataFrame([{"url": url, "html": page.get("html"), "final_url": page.get("url"), "redirect": page.get("redirect"), "error": page.get("error")}])
+        pages = ((url, as_page(polite(url))) for batch in batches for url in batch["url"])
+        yield from portions(({"url": u, "html": p.get("html"), "final_url": p.get("url"), "redirect": p.get("redirect"), "error": p.get("error")} for u, p in pages), ["url", "html", "final_url", "redirect", "error"])
 
-    return urls.select("url").repartition(origin("url")).mapInPandas(run, "url string, html string, final_url string, redirect string, error string")
+    return dealt(urls.select("url"), origin("url"), F.col("url"), delay_s).mapInPandas(run, "url string, html string, final_url string, redirect string, error string")

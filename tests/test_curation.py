@@ -385,3 +385,15 @@ def test_places_go_on_from_file_to_file(spark, tmp_path):
     assert jsonl.lines(spark, path).select("file").distinct().count() > 5
     assert [r["pos"] for r in got] == list(range(1, 161))
     assert [r["k"] for r in got] == [*range(99, -1, -1), *range(149, 99, -1), *range(159, 149, -1)]
+
+
+def test_urls_of_one_host_are_dealt_where_no_distance_is_kept(spark):
+    from pyspark.sql import functions as F
+
+    from marlstone.sources import fetch
+
+    urls = spark.range(600).select(F.concat(F.lit("http://h.org/"), "id").alias("url"))
+    tasks = lambda delay: fetch.fetch(urls, lambda u: {"body": u.encode(), "url": u}, delay).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks(0.0)) > 4 and sum(r["count"] for r in tasks(0.0)) == 600
+    assert [r["count"] for r in tasks(1e-9)] == [600]
+    assert [len(x) for x in fetch.portions(iter([{"a": "xx"}] * 5), ["a"], most=3)] == [3, 2] and [len(x) for x in fetch.portions(iter([{"a": "xx"}] * 5), ["a"], size=4)] == [2, 2, 1]
