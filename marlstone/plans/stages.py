@@ -11,7 +11,6 @@ import subprocess
 import sys
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,12 +66,15 @@ def polite_fetcher(spark: SparkSession, get: fetch.Getter = fetch.http_get, sett
                 rules[origin] = robots.rules_for("" if "error" in got else got["body"].decode("utf-8", "replace"))
             return robots.allows(rules[origin], robots_path(url)) or "disallowed by robots.txt"
 
-        for batch in batches:
-            for url in batch["url"]:
-                page = fetch.follow_redirects(url, allowed, lambda u: fetch.as_page(polite(u), settings.page_bytes), settings.max_redirects)
-                yield pd.DataFrame([{"url": url, "final_url": page.get("url") or page["chain"][-1], "html": page.get("html"), "error": page.get("error")}])
+        def page(url: str) -> dict:
+            got = fetch.follow_redirects(url, allowed, lambda u: fetch.as_page(polite(u), settings.page_bytes), settings.max_redirects)
+            return {"url": url, "final_url": got.get("url") or got["chain"][-1], "html": got.get("html"), "error": got.get("error")}
 
-    return lambda urls: urls.select("url").repartition(robots.origin(F.col("url"))).mapInPandas(run, "url string, final_url string, html string, error string")
+        yield from fetch.portions((page(url) for batch in batches for url in batch["url"]), ["url", "final_url", "html", "error"])
+
+    # Without a distance to keep, an origin goes to several tasks, each of which asks for its rules once.
+    origin = robots.origin(F.col("url"))
+    return lambda urls: fetch.dealt(urls.select("url"), origin, F.struct(origin, F.pmod(F.xxhash64("url"), F.lit(8))), settings.host_delay_s).mapInPandas(run, "url string, final_url string, html string, error string")
 
 
 def harvest(spark, seeds: str, pool_path: str, sector: str | None = None, retrieved: str | None = None, settings: Settings = Settings(), fetcher=None, dry_run: bool = False, say: Say = print) -> int:
