@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.columns import basename, filled, stem
 from marlstone.functions.media import MAX_BYTES, name_type
-from marlstone.sources.fetch import Getter, image_bytes, politely
+from marlstone.sources.fetch import Getter, dealt, image_bytes, politely, portions
 
 FOLDER = "pool/images"
 ARCHIVED = "id string, image_file string, image_sha256 string, content binary, error string, note string"
@@ -25,7 +25,7 @@ def archive(items: DataFrame, present: DataFrame, get: Getter, delay_s: float =
     """ARCHIVED rows for the items that need a copy; `present` is (name, sha256) of the archive's files.
 
     In order: the id must be usable; a copy that is there is adopted; inline graphics are their own bytes; else the
-    url is read. A failure is a row's own and stops no other. Urls of one host go to one task.
+    url is read. A failure is a row's own and stops no other. Where there is a distance to keep, urls of one host go to one task.
     """
     there = present.where(F.col("name").rlike(r"^fi-\d{4,}\.[a-z0-9]+$")).groupBy(stem(F.col("name")).alias("id")).agg(F.min_by(F.struct("name", "sha256"), "name").alias("copy"))
     todo = items.where(needs_archive()).join(there, "id", "left")
@@ -44,18 +44,20 @@ def archive(items: DataFrame, present: DataFrame, get: Getter, delay_s: float =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         polite = politely(get, delay_s)
-        for b in batches:
-            for id_, url in zip(b["id"], b["image_url"], strict=True):
-                data, kind, error = image_bytes(url, polite)
-                if error is None and len(data) > MAX_BYTES:
-                    error = f"{len(data)} bytes, more than {MAX_BYTES}"
-                ext = None
-                if error is None:
-                    ext, error = name_type(url, kind, data)
-                yield pd.DataFrame([{"id": id_, "name": ext and f"{FOLDER}/{id_}.{ext}", "content": data if error is None else None, "error": error}])
+
+        def copy(id_: str, url: str) -> dict:
+            data, kind, error = image_bytes(url, polite)
+            if error is None and len(data) > MAX_BYTES:
+                error = f"{len(data)} bytes, more than {MAX_BYTES}"
+            ext = None
+            if error is None:
+                ext, error = name_type(url, kind, data)
+            return {"id": id_, "name": ext and f"{FOLDER}/{id_}.{ext}", "content": data if error is None else None, "error": error}
+
+        yield from portions((copy(*r) for b in batches for r in zip(b["id"], b["image_url"], strict=True)), ["id", "name", "content", "error"])
 
     host = F.regexp_extract("image_url", r"^([A-Za-z]+:(?://[^/?#]*)?)", 1)
-    got = far.repartition(host).mapInPandas(run, "id string, name string, content binary, error string")
+    got = dealt(far, host, F.col("id"), delay_s).mapInPandas(run, "id string, name string, content binary, error string")
     fetched = row(got, F.col("name"), F.sha2("content", 256), F.col("content"), F.col("error"), F.when(F.col("error").isNull(), F.lit("fetched")))
     return bad.union(old).union(drawn).union(blank).union(fetched)
 

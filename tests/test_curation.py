@@ -397,3 +397,20 @@ def test_urls_of_one_host_are_dealt_where_no_distance_is_kept(spark):
     assert len(tasks(0.0)) > 4 and sum(r["count"] for r in tasks(0.0)) == 600
     assert [r["count"] for r in tasks(1e-9)] == [600]
     assert [len(x) for x in fetch.portions(iter([{"a": "xx"}] * 5), ["a"], most=3)] == [3, 2] and [len(x) for x in fetch.portions(iter([{"a": "xx"}] * 5), ["a"], size=4)] == [2, 2, 1]
+
+
+def test_polite_and_archived_urls_are_dealt(spark):
+    """Small urls had all come to one task."""
+    from pyspark.sql import functions as F
+
+    from marlstone.plans import stages
+    from marlstone.plans.schemas import Settings
+
+    answer = lambda u: {"body": b"\x89PNG\r\n\x1a\n", "content_type": "image/png", "url": u}
+    urls = spark.range(400).select("id", F.format_string("http://h%d.org/%d.png", F.col("id") % 2, "id").alias("url"))
+    tasks = lambda df: len(df.groupBy(F.spark_partition_id()).count().collect())
+    assert tasks(stages.polite_fetcher(spark, answer, Settings(host_delay_s=0.0))(urls)) > 2
+    items = urls.select(F.format_string("fi-%04d", "id").alias("id"), F.lit("unreviewed").alias("status"), F.lit(None).cast("string").alias("image_file"), F.lit("img").alias("implementation"), F.col("url").alias("image_url"), F.lit(None).cast("string").alias("image_svg"))
+    none = spark.createDataFrame([], "name string, sha256 string")
+    got = archive.archive(items, none, answer, 0.0)
+    assert got.where("note = 'fetched'").count() == 400 and tasks(got) > 4
