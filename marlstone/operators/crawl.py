@@ -17,6 +17,9 @@ from marlstone.operators.extract import outbound_links
 from marlstone.operators.pool import capped, firsts
 from marlstone.sources.scratch import keep
 
+#: Rows of a task that joins chains, and chains that end at one place from which on it is joined apart.
+ROWS, HOT = 250_000, 50_000
+
 
 def resolve(starts: DataFrame, hops: DataFrame, most: int = 5) -> DataFrame:
     """(url) and a table (url, redirect, error, refused) -> (url, final, chain, error).
@@ -24,29 +27,36 @@ def resolve(starts: DataFrame, hops: DataFrame, most: int = 5) -> DataFrame:
     `redirect` null is a page; a url that the table lacks fails. Chains double: every url of the table first knows one
     hop, then, by joining where its chain ends with the chain that begins there, two, four and so on. So 2**k hops take k
     joins for all urls at once, and a chain has at most twice `most` + 2 places. One that comes back to a place is cut
-    there: a loop. A place where very many chains end makes a skewed join, which Spark splits.
+    there: a loop. The number of tasks goes with the rows, since short urls by the million are few bytes, which Spark would
+    put into one task. Places where very many chains end are few: what is known of them is broadcast.
     """
+    n = max(int(starts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(hops.count() + starts.count()) // ROWS))
+    dealt = lambda df, key: df.repartition(n, key)
+    begun = lambda: dealt(starts.select("url"), "url").distinct()
     refused = F.coalesce("refused", F.lit(False))
     stop = F.when(refused, "disallowed by robots.txt").when(F.col("error").isNotNull(), F.col("error")).when(F.col("redirect") == F.col("url"), "redirect loop")
     ends = stop.isNotNull() | F.col("redirect").isNull()
-    known = hops.select("url", "redirect", "error", "refused").dropDuplicates(["url"])
+    known = dealt(hops.select("url", "redirect", "error", "refused"), "url").dropDuplicates(["url"])
     known = known.select("url", F.when(ends, F.array("url")).otherwise(F.array("url", "redirect")).alias("chain"), stop.alias("error"), ends.alias("done"))
-    table = starts.select("url").distinct().join(known, "url", "left_anti").select("url", F.array("url").alias("chain"), F.lit("HTTP 404").alias("error"), F.lit(True).alias("done"))
-    table, n = known.unionByName(table), 1
-    while n < most + 1:
-        table = _keep(_doubled(table))
-        n *= 2
+    table = begun().join(known, "url", "left_anti").select("url", F.array("url").alias("chain"), F.lit("HTTP 404").alias("error"), F.lit(True).alias("done"))
+    table, hop = _keep(known.unionByName(table)), 1
+    while hop < most + 1:
+        table = _keep(_doubled(table, dealt))
+        hop *= 2
     long = ~F.col("done") | (F.size("chain") > most + 1)
     error = F.when(long, F.lit(f"more than {most} redirects")).otherwise(F.col("error"))
     chain = F.slice("chain", 1, most + 2)
     found = table.select("url", chain.alias("chain"), error.alias("error"))
-    return starts.select("url").distinct().join(found, "url").select("url", F.when(F.col("error").isNull(), F.element_at("chain", -1)).alias("final"), "chain", "error")
+    return begun().join(dealt(found, "url"), "url").select("url", F.when(F.col("error").isNull(), F.element_at("chain", -1)).alias("final"), "chain", "error")
 
 
-def _doubled(table: DataFrame) -> DataFrame:
+def _doubled(table: DataFrame, dealt: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """(url, chain, error, done): chains that aren't done go on as the chains from their ends do."""
     next_ = table.select(F.col("url").alias("at"), F.col("chain").alias("more"), F.col("error").alias("then"), F.col("done").alias("over"))
-    going = table.where("not done").withColumn("at", F.element_at("chain", -1)).join(next_, "at", "left")
+    going = table.where("not done").withColumn("at", F.element_at("chain", -1)).drop("error", "done")
+    many = _keep(dealt(going.select("at"), "at").groupBy("at").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("at"))
+    hot = going.join(F.broadcast(many), "at", "left_semi").join(F.broadcast(next_.join(F.broadcast(many), "at", "left_semi")), "at", "left")
+    going = dealt(going.join(F.broadcast(many), "at", "left_anti"), "at").join(dealt(next_, "at"), "at", "left").unionByName(hot)
     both = F.concat("chain", F.slice("more", 2, F.size("more")))
     going = going.withColumn("both", F.coalesce(both, "chain"))
     # The first place that was there before ends the chain.

@@ -123,3 +123,21 @@ def test_streamed_pool_with_ids_of_five_digits_and_shared_urls(spark, many_pages
 
 def test_page_headings_with_other_entities(spark, many_pages):
     against_sql(spark, many_pages, "page_headings")
+
+
+def test_redirect_chains_are_dealt_by_rows_and_hot_places_apart(spark, monkeypatch):
+    """Few rows a task, and a place where half of all chains end: the same chains, by more tasks."""
+    from pyspark.sql import functions as F
+
+    from marlstone.operators import crawl
+
+    k = F.col("id")
+    to = F.when(k % 2 == 0, F.lit("u1")).when(k % 5 == 0, "gone").when(k % 7 != 1, F.concat(F.lit("u"), k - 2))
+    hops = spark.range(400).select(F.concat(F.lit("u"), k).alias("url"), to.alias("redirect"), F.when(k % 11 == 3, "HTTP 500").alias("error"), F.lit(None).cast("boolean").alias("refused"))
+    rows = lambda df: sorted(map(str, df.collect()))
+    want = rows(crawl.resolve(hops.select("url"), hops))
+    monkeypatch.setattr(crawl, "ROWS", 50)
+    monkeypatch.setattr(crawl, "HOT", 20)
+    got = crawl.resolve(hops.select("url"), hops)
+    assert rows(got) == want and len(want) == 400
+    assert len(got.groupBy(F.spark_partition_id()).count().collect()) > 8
