@@ -37,6 +37,8 @@ SKIPS = ("noControl", "noName", "noImage", "spriteMissing", "duplicateOnPage")
 SVG_NS, XLINK_NS = "http://www.w3.org/2000/svg", "http://www.w3.org/1999/xlink"
 #: UTF-16 units of the text around an image that are kept.
 AROUND = 240
+#: Images whose texts a task puts together.
+IMAGES = 20_000
 
 
 def _page(doc: str, tags: frozenset | None, texts: bool) -> list[tuple]:
@@ -83,8 +85,9 @@ def explode_nodes(pages: DataFrame, tags: list[str] | None = None, texts: bool =
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("url"), "html").mapInArrow(run, NODES)
 
 
-def nearest(nodes: DataFrame, asking: Column, around: Column, name: str, carried: list[str] | None = None) -> DataFrame:
-    """page_id, pos, start, tag and `carried` of the `asking` rows, and `name`: pos of the nearest element `around` each, or null.
+def nearest(nodes: DataFrame, asking: Column, around: Column, name: str, carried: list[str] | None = None, value: Column | None = None) -> DataFrame:
+    """page_id, pos, start, tag and `carried` of the `asking` rows, and `name`: pos (or another `value` that isn't null) of the
+    nearest element `around` each, or null.
 
     Intervals of a page lie inside each other or apart. A sweep over where they begin and end counts how many are open
     (the level); of those that opened at the level of a row, the last one is the nearest around it. Both steps are
@@ -95,11 +98,12 @@ def nearest(nodes: DataFrame, asking: Column, around: Column, name: str, carried
     # At one place, what ends there comes first; an element asks before it opens, a text after all that open there.
     events = F.array(at(around, F.col("end"), F.lit(0), -1), at(asking, F.col("start"), F.when(text, 3).otherwise(1), 0), at(around, F.col("start"), F.lit(2), 1))
     kept = [c for c in ("page_id", "pos", "start", "tag", *(carried or ()))]
-    rows = nodes.where(F.coalesce(asking, F.lit(False)) | F.coalesce(around, F.lit(False))).select(*kept, F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
+    given = F.col("pos") if value is None else value
+    rows = nodes.where(F.coalesce(asking, F.lit(False)) | F.coalesce(around, F.lit(False))).select(*kept, given.alias("_value"), F.explode(events).alias("e")).where("e is not null")
     sofar = Window.orderBy("e.at", "e.side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("level", F.sum("e.step").over(sofar.partitionBy("page_id"))).where("e.side > 0")
-    found = F.last(F.when(F.col("e.side") == 2, F.col("pos")), ignorenulls=True).over(sofar.partitionBy("page_id", "level"))
-    return rows.withColumn(name, F.when(F.col("level") > 0, found)).where("e.side != 2").drop("e", "level")
+    found = F.last(F.when(F.col("e.side") == 2, F.col("_value")), ignorenulls=True).over(sofar.partitionBy("page_id", "level"))
+    return rows.withColumn(name, F.when(F.col("level") > 0, found)).where("e.side != 2").drop("e", "level", "_value")
 
 
 def is_image() -> Column:
@@ -123,14 +127,27 @@ def is_hidden() -> Column:
     return F.col("tag").isin("script", "style", "title", "svg") | F.coalesce(F.col("attrs")["aria-hidden"] == "true", F.lit(False))
 
 
-def controls(nodes: DataFrame) -> DataFrame:
-    """(page_id, pos, control) of every image: the nearest control around it, unless a block of content is nearer; inputs and areas are their own."""
+def flagged(nodes: DataFrame) -> DataFrame:
+    """`nodes` with columns for what many steps ask of them: image, control, hidden, and id."""
+    if "image" in nodes.columns:
+        return nodes
+    return nodes.withColumns({"image": is_image(), "control": F.coalesce(is_control(), F.lit(False)), "hidden": is_hidden(), "id": F.col("attrs")["id"]})
+
+
+def _images(nodes: DataFrame, carried: list[str]) -> DataFrame:
+    """Every image of flagged nodes: page_id, pos, start, tag, `carried`, and the pos of its control or null."""
     own = F.col("tag").isin("input", "area")
     ends = F.col("tag").isin("main", "body")
-    images = nearest(nodes, is_image() & ~own, is_control() | ends, "found")
-    there = nodes.where(is_control()).select("page_id", F.col("pos").alias("control"))
-    images = images.join(there, (images["page_id"] == there["page_id"]) & (images["found"] == there["control"])).select(images["page_id"], "pos", "control")
-    return images.unionByName(nodes.where(is_image() & own).select("page_id", "pos", F.col("pos").alias("control")))
+    # What ends the search is a find of -1: no control.
+    rows = nearest(nodes, F.col("image") & ~own, F.col("control") | ends, "found", carried, F.when(F.col("control"), F.col("pos")).otherwise(-1))
+    rows = rows.withColumn("found", F.when(F.col("found") >= 0, F.col("found")))
+    rows = rows.unionByName(nodes.where(F.col("image") & own).select("page_id", "pos", "start", "tag", *carried, F.col("pos").alias("found")))
+    return rows.withColumnRenamed("found", "control_pos")
+
+
+def controls(nodes: DataFrame) -> DataFrame:
+    """(page_id, pos, control) of every image: the nearest control around it, unless a block of content is nearer; inputs and areas are their own."""
+    return _images(flagged(nodes), []).where("control_pos is not null").select("page_id", "pos", F.col("control_pos").alias("control"))
 
 
 def clip(text: Column, units: int = AROUND) -> Column:
@@ -145,15 +162,19 @@ def clip(text: Column, units: int = AROUND) -> Column:
     return F.when(few.rlike(r"[\x{10000}-\x{10FFFF}]"), F.aggregate(F.filter(F.split(few, ""), lambda c: c != ""), start, add, lambda s: s["out"])).otherwise(few)
 
 
-def heard(nodes: DataFrame, asked: DataFrame) -> DataFrame:
+def heard(nodes: DataFrame, asked: DataFrame, texts: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """`asked` (page_id, key, context, a, b, s, e) with `text`: the collapsed text from a to b, without that from s to e.
+    `texts` (page_id, context, start, end, text) are those of the nodes, where they are found already. Few bytes are much
+    work here, so the number of `tasks` can be given.
 
     Each text belongs to the nearest hidden element around it (its context, null outside of all), and is read by those
     who ask from there. Texts and questions of one context of a page meet in one row, so no text is copied for a question.
     """
-    texts = nearest(nodes, F.col("tag") == TEXT, is_hidden(), "context", ["text", "end"])
-    texts = texts.groupBy("page_id", F.coalesce("context", F.lit(-1)).alias("context")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("texts"))
-    asked = asked.withColumn("context", F.coalesce("context", F.lit(-1)))
+    if texts is None:
+        texts = nearest(nodes, F.col("tag") == TEXT, is_hidden(), "context", ["text", "end"])
+    dealt = lambda df: df.repartition(tasks, "page_id", "context") if tasks else df
+    texts = dealt(texts.withColumn("context", F.coalesce("context", F.lit(-1)))).groupBy("page_id", "context").agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("texts"))
+    asked = dealt(asked.withColumn("context", F.coalesce("context", F.lit(-1))))
     asked = asked.groupBy("page_id", "context").agg(F.collect_list(F.struct("key", "a", "b", "s", "e")).alias("asked"))
 
     def answer(q: Column) -> Column:
@@ -166,27 +187,40 @@ def heard(nodes: DataFrame, asked: DataFrame) -> DataFrame:
 
 def announced(nodes: DataFrame) -> DataFrame:
     """Every image that has a control: page_id, pos, what the control is, its name and where that comes from, alt text and text around."""
+    return described(flagged(nodes)).where("control is not null").select(*_DESCRIBED)
+
+
+#: What an image has by its control.
+_DESCRIBED = ("page_id", "pos", "control", "control_tag", "control_role", "control_href", "name", "name_source", "around", "alt", "control_html")
+#: What of an image's own later steps need.
+_OWN = ["page_url", "attrs", "svg", "end", "outer"]
+
+
+def described(nodes: DataFrame) -> DataFrame:
+    """Every image of flagged nodes with its own columns and those of `announced`, null where it has no control."""
     part = lambda c, *names: [F.col(n).alias(f"{c}_{n}") for n in names]
-    pairs = controls(nodes)
-    images = nodes.where(is_image()).select("page_id", "pos", "tag", "attrs", "start", "end")
-    # Contexts: an element that is hidden is one itself, for what is in it; its parent's is the nearest around it.
-    marked = nodes.where(F.col("attrs")["id"].isNotNull() | is_control() | F.col("tag").isin("input", "area"))
-    context = nearest(nodes, (F.col("tag") != TEXT) & (F.col("attrs")["id"].isNotNull() | is_control() | F.col("tag").isin("input", "area")), is_hidden(), "outer_context").select("page_id", "pos", "outer_context")
-    marked = marked.join(context, ["page_id", "pos"]).withColumn("context", F.when(is_hidden(), F.col("pos")).otherwise(F.col("outer_context")))
+    # Contexts, of texts and of what is asked from, in one sweep. An element that is hidden is one itself, for what is in
+    # it; its parent's is the nearest around it.
+    text, marks = F.col("tag") == TEXT, F.col("id").isNotNull() | F.col("control") | F.col("tag").isin("input", "area")
+    swept = keep(nearest(nodes, text | marks, F.col("hidden"), "outer_context", ["attrs", "end", "parent_start", "parent_end", "outer", "hidden", "id", "text"]), "contexts")
+    marked = swept.where(~text).withColumn("context", F.when(F.col("hidden"), F.col("pos")).otherwise(F.col("outer_context")))
     control = marked.select("page_id", *part("control", "pos", "tag", "attrs", "start", "end", "parent_start", "parent_end", "outer", "context", "outer_context"))
-    rows = images.join(pairs, ["page_id", "pos"]).withColumnRenamed("control", "control_pos").join(control, ["page_id", "control_pos"])
+    rows = _images(nodes, _OWN).join(control, ["page_id", "control_pos"], "left")
     title = nodes.where((F.col("tag") == "title") & F.col("svg").isNotNull()).select("page_id", F.col("pos").alias("parent"), "svg")
     title = nodes.where(F.col("tag") == TEXT).select("page_id", "parent", "start", "text").join(title, ["page_id", "parent"])
     title = title.groupBy("page_id", "svg", "parent").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("t")).groupBy("page_id", F.col("svg").alias("pos")).agg(F.min_by("t", "parent").alias("t"))
     rows = rows.join(title.withColumn("svg_title", collapse(F.array_join(F.transform("t", lambda x: x["text"]), ""))).drop("t"), ["page_id", "pos"], "left")
+    rows = keep(rows, "described")  # asked for several times
+    asking = rows.where("control_pos is not null")
     # What is asked of the page's texts: inside the control but for the image, around the control, and labels by id.
     ask = lambda kind, context, a, b, s, e, n=0: F.struct(F.struct("pos", F.lit(kind).alias("kind"), F.lit(n).alias("n")).alias("key"), F.col(context).alias("context"), F.col(a).alias("a"), F.col(b).alias("b"), F.col(s).alias("s"), F.col(e).alias("e"))
     asks = F.array(ask("in", "control_context", "control_start", "control_end", "start", "end"), ask("by", "control_outer_context", "control_parent_start", "control_parent_end", "control_start", "control_end"))
-    asked = rows.select("page_id", F.explode(asks).alias("q")).select("page_id", "q.*")
-    refs = rows.select("page_id", "pos", F.posexplode(F.split(collapse(F.col("control_attrs")["aria-labelledby"]), " ")).alias("n", "id")).where("id != ''")
-    named = marked.where(F.col("attrs")["id"].isNotNull()).groupBy("page_id", F.col("attrs")["id"].alias("id")).agg(F.min_by(F.struct("context", F.col("start").alias("a"), F.col("end").alias("b")), "pos").alias("to"))
+    asked = asking.select("page_id", F.explode(asks).alias("q")).select("page_id", "q.*")
+    refs = asking.select("page_id", "pos", F.posexplode(F.split(collapse(F.col("control_attrs")["aria-labelledby"]), " ")).alias("n", "id")).where("id != ''")
+    named = marked.where("id is not null").groupBy("page_id", "id").agg(F.min_by(F.struct("context", F.col("start").alias("a"), F.col("end").alias("b")), "pos").alias("to"))
     refs = refs.join(named, ["page_id", "id"]).select("page_id", F.struct("pos", F.lit("label").alias("kind"), "n").alias("key"), "to.*", F.lit(0).alias("s"), F.lit(0).alias("e"))
-    told = heard(nodes, asked.unionByName(refs)).groupBy("page_id", F.col("key.pos").alias("pos")).agg(
+    texts = swept.where(text).select("page_id", F.col("outer_context").alias("context"), "start", "end", "text")
+    told = heard(nodes, asked.unionByName(refs), texts, rows.count() // IMAGES + 1).groupBy("page_id", F.col("key.pos").alias("pos")).agg(
         F.max(F.when(F.col("key.kind") == "in", F.col("text"))).alias("inside"),
         F.max(F.when(F.col("key.kind") == "by", F.col("text"))).alias("beside"),
         F.array_sort(F.collect_list(F.when(F.col("key.kind") == "label", F.struct("key.n", "text")))).alias("labels"),
@@ -203,9 +237,10 @@ def announced(nodes: DataFrame) -> DataFrame:
     ways = [(label, F.lit("aria-labelledby")), (control_mark, F.lit("aria-label")), (inside, F.lit("control-text")), (mark, F.lit("aria-label")), (shown, F.when(svg, "svg-title").otherwise("alt")), (said(F.col("control_attrs")["title"]), F.lit("title")), (said(F.col("attrs")["title"]), F.lit("title"))]
     first = F.get(F.filter(F.array(*(F.struct(t.alias("name"), s.alias("source")) for t, s in ways)), lambda x: x["name"] != ""), F.lit(0))
     alt = F.when(svg, F.nullif(F.coalesce(F.nullif(mark, F.lit("")), drawn), F.lit(""))).when(F.map_contains_key("attrs", "alt"), said(F.col("attrs")["alt"]))
+    has = lambda c: F.when(F.col("control_pos").isNotNull(), c)
     return rows.select(
-        "page_id", "pos", F.col("control_pos").alias("control"), "control_tag", F.lower(F.trim(F.coalesce(F.col("control_attrs")["role"], F.lit("")))).alias("control_role"), F.col("control_attrs")["href"].alias("control_href"),
-        F.coalesce(first["name"], F.lit("")).alias("name"), F.coalesce(first["source"], F.lit("")).alias("name_source"), clip(F.when(inside != "", inside).otherwise(F.coalesce("beside", F.lit("")))).alias("around"), alt.alias("alt"), F.col("control_outer").alias("control_html"),
+        "page_id", "pos", "tag", *_OWN, F.col("control_pos").alias("control"), "control_tag", has(F.lower(F.trim(F.coalesce(F.col("control_attrs")["role"], F.lit(""))))).alias("control_role"), F.col("control_attrs")["href"].alias("control_href"),
+        has(F.coalesce(first["name"], F.lit(""))).alias("name"), has(F.coalesce(first["source"], F.lit(""))).alias("name_source"), has(clip(F.when(inside != "", inside).otherwise(F.coalesce("beside", F.lit(""))))).alias("around"), has(alt).alias("alt"), F.col("control_outer").alias("control_html"),
     )
 
 
@@ -278,9 +313,9 @@ def sprites(nodes: DataFrame) -> DataFrame:
 def judged(pages: DataFrame, sector: Column, retrieved: str) -> DataFrame:
     """Every image of the pages: the columns of an item, page_id, pos, and `skip_reason` (null for a candidate)."""
     # Parsed once: what images, controls, maps, sprites and names need is written out, texts included.
-    needed = is_image() | is_control() | is_hidden() | F.col("tag").isin("input", "main", "body", "map", "use", TEXT) | F.col("attrs")["usemap"].isNotNull() | F.col("attrs")["id"].isNotNull()
-    nodes = keep(explode_nodes(pages, texts=True).where(needed), "nodes")
-    images = nodes.where(is_image()).drop("text").join(announced(nodes), ["page_id", "pos"], "left")
+    needed = F.col("image") | F.col("control") | F.col("hidden") | F.col("tag").isin("input", "main", "body", "map", "use", TEXT) | F.col("attrs")["usemap"].isNotNull() | F.col("id").isNotNull()
+    nodes = keep(flagged(explode_nodes(pages, texts=True)).where(needed), "nodes")
+    images = described(nodes)
     in_map = nearest(nodes, F.col("tag") == "area", F.col("tag") == "map", "map_pos").select("page_id", "pos", "map_pos")
     maps = nodes.where("tag = 'map'").select("page_id", F.col("pos").alias("map_pos"), F.coalesce(F.col("attrs")["name"], F.col("attrs")["id"]).alias("map_name"))
     images = images.join(in_map, ["page_id", "pos"], "left").join(maps, ["page_id", "map_pos"], "left").join(map_owners(nodes), ["page_id", "map_name"], "left")

@@ -325,3 +325,24 @@ def test_seeds_and_logs(spark, tmp_path):
         (tmp_path / n).write_text("{}\n")
     found = text.batches(spark, str(tmp_path / "batch-*"))
     assert text.next_batch(found) == 4 and text.pending_batch(found) == 3
+
+
+def test_written_nodes_are_read_few_times(spark):
+    """What images, texts and controls are is found when the nodes are written, not by every step that reads them again."""
+    pages = spark.createDataFrame([(1, "https://x.org/p", "<a href='/q'><img src='i.png' alt='I'></a>")], "page_id long, url string, html string")
+    found = extract.candidates(pages)
+    assert found.count() == 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 12
+    assert plan.count("(?U)") <= 20
+
+
+def test_texts_are_put_together_by_as_many_tasks_as_images_ask_for(spark, monkeypatch):
+    docs = [f"<p>Lead {k}</p><a href='/q{k}'><img src='i.png' alt=''>Text {k}</a><svg><title>no</title></svg>" for k in range(40)]
+    pages = spark.createDataFrame([(k, f"https://x.org/{k}", d) for k, d in enumerate(docs)], "page_id long, url string, html string")
+    rows = lambda df: sorted((r["page_id"], r["accessible_name"], r["surrounding_text"]) for r in df.collect())
+    monkeypatch.setattr(extract, "IMAGES", 8)
+    tasks, given = [], extract.heard
+    monkeypatch.setattr(extract, "heard", lambda *a: tasks.append(a[-1]) or given(*a))
+    assert rows(extract.candidates(pages)) == [(k, f"Text {k}", f"Text {k}") for k in range(40)]
+    assert tasks == [11]

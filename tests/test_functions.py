@@ -77,3 +77,18 @@ def test_data_urls():
     assert M.decode_data_url("data:,a%20b+c") == (b"a b+c", None, None)
     assert M.decode_data_url("data:image/png;charset=x;base64,AAAA")[2] == "not a readable data URI"
     assert M.decode_data_url("data:image/png,")[2] and M.decode_data_url("data:,%zz")[2]
+
+
+def test_plain_addresses_are_as_the_full_resolution_has_them():
+    import random
+
+    rng = random.Random(3)
+    bits = ["/", "a", "B", "..", ".", "?", "#", "x=1", "&", "~", "-", "%20", "é", "http://", "https://", "h.org", "www.x.org", ":80", "@", ";", " ", "//", "c.png", "./", "../", "b/", "\\"]
+    bases = ["https://www.x.org", "https://x.org/a/b", "http://x.org/a/", "http://x.org/a//b", "http://x.org/a/../b", "http://x.org/a?b=1", "http://x.org/a?b/c", "http://x.org:8080/a", "http://x.org/a#f", "", "http://x.org/.a/b", "http://x.org/a?"]
+    plain = 0
+    for _ in range(20_000):
+        url, base = "".join(rng.choice(bits) for _ in range(rng.randint(0, 5))), rng.choice(bases)
+        got = U._plain(url, base)
+        plain += got is not None
+        assert got is None or got == U._absolute(url, base), (url, base)
+    assert plain > 500
