@@ -151,7 +151,7 @@ def archive_files(spark, sf_dir):
     name = F.concat("doc_id", F.lit(".txt")).alias("name")
     sinks.delete_files(d.where("doc_id % 5 = 1").select(name), path, dry_run=True)
     sinks.delete_files(d.where("doc_id % 5 = 0").select(name), path, dry_run=False)
-    return blobs.contents(spark, path).select("name", "size", "sha256")
+    return blobs.contents(spark, path, content=False)
 
 
 @query("SELECT n_nationkey || '.bin' AS name FROM nation")

@@ -137,7 +137,7 @@ def _take(items: DataFrame, outcome: DataFrame, path: str, dry_run: bool, say: S
 
 def archive(spark, items_path: str, folder: str, get: fetch.Getter = fetch.http_get, settings: Settings = Settings(), dry_run: bool = False, say: Say = print) -> int:
     items = _items(spark, items_path)
-    present = blobs.contents(spark, folder).select("name", "sha256") if jsonl.exists(spark, f"{folder}/*") else spark.createDataFrame([], "name string, sha256 string")
+    present = blobs.contents(spark, folder, content=False).select("name", "sha256") if jsonl.exists(spark, f"{folder}/*") else spark.createDataFrame([], "name string, sha256 string")
     got = keep(A.archive(items, present, get, settings.host_delay_s, dry_run), "archived")
     failed = got.where("error is not null")
     n_failed = _first(failed.orderBy("id").select("id", "error"), "{id}: {error}", MOST_PROBLEMS, say)
@@ -151,7 +151,7 @@ def archive(spark, items_path: str, folder: str, get: fetch.Getter = fetch.http_
 
 def verify(spark, items_path: str, folder: str, log_path: str, say: Say = print) -> int:
     log = text.read_removal_log(spark, log_path) if jsonl.exists(spark, log_path) else spark.createDataFrame([], "name string, reason string")
-    found = keep(A.verify(_items(spark, items_path), blobs.contents(spark, folder), log), "verified")
+    found = keep(A.verify(_items(spark, items_path), blobs.contents(spark, folder, content=False), log), "verified")
     _tally(found, "finding", say)
     wrong = found.where("finding in ('missing', 'noHash', 'hashDiffers')").orderBy("id")
     n = _first(wrong, "{id}: {name}: {finding}", MOST_PROBLEMS, say)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.sources.fetch import dealt
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -98,7 +100,7 @@ def write_files(rows: DataFrame, folder: str, dry_run: bool = False) -> DataFram
 
 def delete_files(gone: DataFrame, folder: str, dry_run: bool = True) -> DataFrame:
     """(name): deletes these files of `folder`, task by task; dry by default. Names that aren't there are passed over."""
-    names = gone.select("name").distinct()
+    names = dealt(gone.select("name"), F.col("name"), F.col("name"), 0).distinct()  # names are small, deleting takes time
     if not dry_run:
 
         def run(part) -> None:

@@ -414,3 +414,27 @@ def test_polite_and_archived_urls_are_dealt(spark):
     none = spark.createDataFrame([], "name string, sha256 string")
     got = archive.archive(items, none, answer, 0.0)
     assert got.where("note = 'fetched'").count() == 400 and tasks(got) > 4
+
+
+def test_many_files_are_read_by_a_given_number_of_tasks(spark, tmp_path, monkeypatch):
+    """What was there when it was listed, but for hidden files and folders; hashes by chunks are those of whole files."""
+    import hashlib
+
+    from marlstone.sources import blobs
+
+    monkeypatch.setattr(blobs, "CHUNK", 3)
+    for n in (400, 800):
+        for k in range(n):
+            (tmp_path / f"a {k}%.txt").write_bytes(b"x" * (k % 10))
+        (tmp_path / ".dot").write_bytes(b"x")
+        (tmp_path / "_under").write_bytes(b"x")
+        (tmp_path / "README.md").write_bytes(b"x")
+        (tmp_path / "sub").mkdir(exist_ok=True)
+        files = blobs.contents(spark, str(tmp_path))
+        assert files.rdd.getNumPartitions() == 16
+        rows = files.collect()
+        assert sorted((r["name"], r["size"], r["sha256"], bytes(r["content"])) for r in rows) == sorted((f"a {k}%.txt", k % 10, hashlib.sha256(b"x" * (k % 10)).hexdigest(), b"x" * (k % 10)) for k in range(n))
+    listed = blobs.names(spark, str(tmp_path))
+    assert sorted(map(tuple, blobs.contents(spark, str(tmp_path), content=False).collect())) == sorted((r["name"], r["size"], r["sha256"]) for r in rows)
+    (tmp_path / "a 1%.txt").unlink()
+    assert listed.count() == 800
