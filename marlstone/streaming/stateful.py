@@ -11,7 +11,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -115,6 +115,7 @@ def unseen(rows: DataFrame, key: str, order: list[str], have: DataFrame | None =
 
 SESSION = T.StructType([T.StructField("active", T.BooleanType()), T.StructField("cursor", T.IntegerType()), T.StructField("pending", T.StringType())])
 LOG = "session_id string, kind string, nth int, status string, reason string, at timestamp"
+TOLD = Row("session_id", "kind", "nth", "status", "reason", "at_us")
 
 
 class Session(StatefulProcessor):
@@ -131,12 +132,13 @@ class Session(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("session", SESSION)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         active, cursor, pending = self.state.get() if self.state.exists() else (None, 0, None)
-        log = []
-        got = pd.concat(list(rows)).sort_values(["at", "n"], kind="stable")
-        for action, status, reason, at in zip(got["action"], got["status"], got["reason"], got["at"], strict=True):
-            tell = lambda kind, s=None, r=None: log.append((key[0], kind, cursor, s, r, at))  # noqa: E731, B023
+        before, log = (active, cursor, pending), []
+        got = sorted(rows, key=lambda r: (r["at_us"] is None, r["at_us"] or 0, r["n"] is None, r["n"] or 0))
+        for r in got:
+            action, status = r["action"], r["status"]
+            tell = lambda kind, s=None, why=None: log.append(TOLD(key[0], kind, cursor, s, why, r["at_us"]))  # noqa: E731, B023
             if action == "start" and active is None:
                 active = True
                 tell("started")
@@ -148,24 +150,25 @@ class Session(StatefulProcessor):
                 pending = None
             elif action == "submit" and pending is not None:
                 cursor += 1
-                tell("decided", pending, (reason or "").strip() or None)
+                tell("decided", pending, (r["reason"] or "").strip() or None)
                 pending = None
             elif action == "end":
                 active, pending = False, None
                 tell("ended")
-        if active is not None:
+        if active is not None and (active, cursor, pending) != before:
             self.state.update((active, cursor, pending))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
+        # Only an active session has a timer: each call of the state store costs more than the rows do.
+        if before[0]:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
         if active:
-            self.handle.registerTimer(int(got["at"].max().timestamp() * 1000) + self.idle_ms)
-        yield pd.DataFrame(log, columns=["session_id", "kind", "nth", "status", "reason", "at"]).astype({"at": "datetime64[us]"})
+            self.handle.registerTimer(max(r["at_us"] for r in got if r["at_us"] is not None) // 1000 + self.idle_ms)
+        yield from log
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         _, cursor, _ = self.state.get()
         self.state.update((False, cursor, None))
-        at = pd.to_datetime(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
-        yield pd.DataFrame([(key[0], "expired", cursor, None, None, at)], columns=["session_id", "kind", "nth", "status", "reason", "at"]).astype({"at": "datetime64[us]"})
+        yield TOLD(key[0], "expired", cursor, None, None, expiredTimerInfo.getExpiryTimeInMs() * 1000)
 
     def close(self) -> None:
         pass
@@ -175,9 +178,11 @@ def reviewed(events: DataFrame, items: int, idle_ms: int = 30 * 60_000, late: st
     """A stream (session_id, n, action, status, reason, at) -> the log of what happened: LOG.
 
     Events of a batch are taken in order of time, then n. Those that are more than `late` behind the stream are too late.
+    Sessions are small and many, so they are rows, not frames; times are microseconds on the way.
     """
-    rows = events.select(F.col("session_id").cast("string").alias("session_id"), "n", "action", "status", "reason", "at").withWatermark("at", late)
-    return rows.groupBy("session_id").transformWithStateInPandas(Session(items, idle_ms), LOG, "Append", "EventTime")
+    rows = events.select(F.col("session_id").cast("string").alias("session_id"), "n", "action", "status", "reason", "at", F.unix_micros("at").alias("at_us")).withWatermark("at", late)
+    out = rows.groupBy("session_id").transformWithState(Session(items, idle_ms), LOG.replace("at timestamp", "at_us long"), "Append", "EventTime")
+    return out.select("session_id", "kind", "nth", "status", "reason", F.timestamp_micros("at_us").alias("at"))
 
 
 def sessions(log: DataFrame) -> DataFrame:

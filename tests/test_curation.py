@@ -438,3 +438,33 @@ def test_many_files_are_read_by_a_given_number_of_tasks(spark, tmp_path, monkeyp
     assert sorted(map(tuple, blobs.contents(spark, str(tmp_path), content=False).collect())) == sorted((r["name"], r["size"], r["sha256"]) for r in rows)
     (tmp_path / "a 1%.txt").unlink()
     assert listed.count() == 800
+
+
+def test_sessions_ask_the_state_store_no_more_than_they_must():
+    from pyspark.sql import Row
+
+    from marlstone.streaming import stateful
+
+    calls, kept = [], {}
+
+    class Value:
+        exists = lambda self: "v" in kept
+        get = lambda self: kept["v"]
+        update = lambda self, v: calls.append("update") or kept.update(v=v)
+
+    class Handle:
+        getValueState = lambda self, *a: Value()
+        listTimers = lambda self: calls.append("list") or [7]
+        deleteTimer = lambda self, t: calls.append("delete")
+        registerTimer = lambda self, t: calls.append(t)
+
+    s = stateful.Session(1, 1000)
+    s.init(Handle())
+    row = lambda n, action, status=None: Row(n=n, action=action, status=status, reason=" why ", at_us=n * 1_000_000)
+    go = lambda *rows: [tuple(r) for r in s.handleInputRows(("a",), iter(rows), None)]
+    assert go(row(1, "choose", "accepted"), row(2, "submit")) == [] and calls == []
+    assert go(row(5, "submit"), row(4, "choose", "accepted"), row(3, "start")) == [("a", "started", 0, None, None, 3_000_000), ("a", "decided", 1, "accepted", "why", 5_000_000)]
+    assert calls == ["update", 6000]
+    assert go(row(6, "cancel")) == [] and calls[2:] == ["list", "delete", 7000]
+    assert go(row(7, "end")) == [("a", "ended", 1, None, None, 7_000_000)] and calls[5:] == ["update", "list", "delete"]
+    assert go(row(8, "end")) == [] and len(calls) == 8
