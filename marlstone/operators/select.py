@@ -10,13 +10,16 @@ other rows are labelled by joins.
 
 from __future__ import annotations
 
-from collections import Counter, deque
-from collections.abc import Callable
+from array import array
+from collections import Counter
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from heapq import heappop, heappush
 from math import ceil
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +27,6 @@ from marlstone.functions.columns import filled
 from marlstone.sources.scratch import keep, ranked
 
 NARROW = ["id", "page_url", "domain", "sector", "subtype", "image_file", "image_sha256", "element_role"]
-OUTCOME = "id string, outcome string, chosen_seq int, pos long, sector string, subtype string"
 COUNTED = ("page_url", "domain", "subtype", "sector")
 DROPS = ("alreadySelected", "noImage", "duplicateImage", "pageCap", "domainCap")
 
@@ -54,41 +56,53 @@ def greedy(pool: list[dict], counts: dict[str, Counter], caps: Caps, done: int =
     were chosen before. A row with `cut` marks where the head of its queue ends: it comes out as cut when it is reached,
     and nothing more is chosen. Counts only grow, so a queue's place in the heap is put right when it comes up.
     """
-    queues: dict[tuple, deque] = {}
-    for k, row in enumerate(pool):
-        queues.setdefault((row["sector"], row["subtype"]), deque()).append(k)
-    place = lambda pair: (counts["sector"][pair[0]], counts["subtype"][pair[1]], queues[pair][0])
+    columns = {c: [r[c] for r in pool] for c in COUNTED}
+    columns["image"] = [(r["image_sha256"], r["element_role"]) for r in pool]
+    outcome, order = _greedy(columns, [bool(r.get("cut")) for r in pool], counts, caps, done)
+    return [{"id": r["id"], "outcome": OUTCOMES[o], "chosen_seq": order.get(k), "pos": r["pos"], "sector": r["sector"], "subtype": r["subtype"]} for k, (r, o) in enumerate(zip(pool, outcome, strict=True))]
+
+
+OUTCOMES = ("remaining", "cut", "duplicateImage", "pageCap", "domainCap", "chosen")
+
+
+def _greedy(columns: dict[str, Sequence], cut: Sequence, counts: dict[str, Counter], caps: Caps, done: int) -> tuple[bytearray, dict[int, int]]:
+    """`greedy` over columns (COUNTED and image), of values or of numbers for them: places in OUTCOMES, and the chosen rows' numbers."""
+    queues: dict[tuple, array] = {}
+    for k, pair in enumerate(zip(columns["sector"], columns["subtype"], strict=True)):
+        queues.setdefault(pair, array("q")).append(k)
+    went = dict.fromkeys(queues, 0)
+    place = lambda pair: (counts["sector"][pair[0]], counts["subtype"][pair[1]], queues[pair][went[pair]])
     heap: list[tuple] = []
-    for pair in queues:  # rows are in order, so the third of a place tells queues apart
-        heappush(heap, (place(pair), pair))
-    outcome = ["remaining"] * len(pool)
+    for n, pair in enumerate(queues):  # rows are in order, so the third of a place tells queues apart
+        heappush(heap, (place(pair), n, pair))
+    outcome = bytearray(len(cut))
     order: dict[int, int] = {}
     while done + len(order) < caps.add and heap:
-        at, pair = heappop(heap)
+        at, n, pair = heappop(heap)
         if at != (now := place(pair)):
-            heappush(heap, (now, pair))
+            heappush(heap, (now, n, pair))
             continue
-        k = queues[pair].popleft()
-        row = pool[k]
-        image = (row["image_sha256"], row["element_role"])
-        if row.get("cut"):
-            outcome[k] = "cut"
+        k = queues[pair][went[pair]]
+        went[pair] += 1
+        image = columns["image"][k]
+        if cut[k]:
+            outcome[k] = 1
             break
         if caps.require_image and counts["image"][image]:
-            outcome[k] = "duplicateImage"
-        elif counts["page_url"][row["page_url"]] >= caps.per_page:
-            outcome[k] = "pageCap"
-        elif counts["domain"][row["domain"]] >= caps.domain_cap:
-            outcome[k] = "domainCap"
+            outcome[k] = 2
+        elif counts["page_url"][columns["page_url"][k]] >= caps.per_page:
+            outcome[k] = 3
+        elif counts["domain"][columns["domain"][k]] >= caps.domain_cap:
+            outcome[k] = 4
         else:
-            outcome[k] = "chosen"
+            outcome[k] = 5
             order[k] = done + len(order)
             counts["image"][image] += 1
             for c in COUNTED:
-                counts[c][row[c]] += 1
-        if queues[pair]:
-            heappush(heap, (place(pair), pair))
-    return [{"id": r["id"], "outcome": o, "chosen_seq": order.get(k), "pos": r["pos"], "sector": r["sector"], "subtype": r["subtype"]} for k, (r, o) in enumerate(zip(pool, outcome, strict=True))]
+                counts[c][columns[c][k]] += 1
+        if went[pair] < len(queues[pair]):
+            heappush(heap, (place(pair), n, pair))
+    return outcome, order
 
 
 def _counts(taken: DataFrame, heads: DataFrame) -> DataFrame:
@@ -108,25 +122,45 @@ def _counts(taken: DataFrame, heads: DataFrame) -> DataFrame:
     return out
 
 
-def _choice(caps: Caps, done: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """What the choosing task does with the heads of all queues and the counts, `done` having been chosen before."""
+def _choice(caps: Caps, done: int) -> Callable[[pa.Table], pa.Table]:
+    """What the choosing task does with the heads of all queues and the counts, `done` having been chosen before.
+
+    Heads can hold the whole pool where caps are full, so rows stay in Arrow, and values are numbers in arrays.
+    """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        records = pdf.astype(object).where(pdf.notna(), None).to_dict("records")
+    def run(table: pa.Table) -> pa.Table:
+        facts = table.filter(pc.is_valid(table["field"])).select(["field", "key", "role", "n"])
+        table = table.filter(pc.is_null(table["field"])).select(["at", "pos", "cut", *COUNTED, "image_sha256", "element_role"])
+        by = pc.sort_indices(table, sort_keys=[("pos", "ascending"), ("at", "ascending")])
+        numbers, values = {}, {}
+        for c in (*COUNTED, "image_sha256", "element_role"):
+            coded = table[c].combine_chunks().dictionary_encode(null_encoding="encode")
+            values[c], numbers[c] = coded.dictionary, coded.indices.take(by).to_numpy().astype("int64")
+        at, cut = table["at"].combine_chunks().take(by), table["cut"].combine_chunks().take(by).to_numpy(zero_copy_only=False).astype("uint8").tobytes()
+        del table
+        roles = max(1, len(values["element_role"]))
+        numbers["image"] = numbers.pop("image_sha256") * roles + numbers.pop("element_role")
+        columns = {c: array("q", v.tobytes()) for c, v in numbers.items()}
         counts = {c: Counter() for c in (*COUNTED, "image")}
-        for r in records:
-            if r["field"] is not None:
-                counts[r["field"]][(r["key"], r["role"]) if r["field"] == "image" else r["key"]] += int(r["n"])
-        queue = sorted((r for r in records if r["field"] is None), key=lambda r: (r["pos"], r["at"]))
-        frame = pd.DataFrame(greedy(queue, counts, caps, done), columns=["id", "outcome", "chosen_seq", "pos", "sector", "subtype"])
-        frame["chosen_seq"] = frame["chosen_seq"].astype("Int32")
-        return frame
+        for c in counts:
+            mine = facts.filter(pc.equal(facts["field"], c))
+            place = lambda given, c, mine=mine: pc.index_in(mine[given].cast(values[c].type), value_set=values[c]).to_pylist()
+            keys = zip(place("key", "image_sha256"), place("role", "element_role"), strict=True) if c == "image" else zip(place("key", c), strict=True)
+            for key, n in zip(keys, mine["n"].to_pylist(), strict=True):
+                if None not in key:  # what no head has matters to none
+                    counts[c][key[0] * roles + key[1] if c == "image" else key[0]] += n
+        outcome, order = _greedy(columns, cut, counts, caps, done)
+        told = pa.DictionaryArray.from_arrays(pa.array(np.frombuffer(bytes(outcome), dtype="int8")), pa.array(OUTCOMES)).cast(pa.string())
+        chosen = np.full(len(outcome), -1, dtype="int32")
+        for k, n in order.items():
+            chosen[k] = n
+        return pa.table({"at": at, "outcome": told, "chosen_seq": pa.array(chosen, mask=chosen < 0)})
 
     return run
 
 
 def select(pool: DataFrame, taken: DataFrame, caps: Caps, head: int = 256) -> DataFrame:
-    """OUTCOME rows for the pool (columns NARROW and pos); `head` is how much of a queue is tried first."""
+    """(id, outcome, chosen_seq, pos) for the pool (columns NARROW and pos); `head` is how much of a queue is tried first."""
     narrow = [c for c in NARROW if c in pool.columns]
     missing = [F.lit(None).cast("string").alias(c) for c in NARROW if c not in narrow]
     side = lambda df: df.select(*narrow, *missing, F.col("pos").cast("long") if "pos" in df.columns else F.lit(0).cast("long").alias("pos"))
@@ -151,7 +185,9 @@ def select(pool: DataFrame, taken: DataFrame, caps: Caps, head: int = 256) -> Da
         given = heads.select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("field", "string"), ("key", "string"), ("role", "string"), ("n", "long"))))
         given = given.unionByName(facts, allowMissingColumns=True)
 
-        found = keep(given.groupBy(F.lit(0).alias("_all")).applyInPandas(_choice(caps, done), OUTCOME), "outcomes")
+        given = given.select("at", "pos", "cut", *COUNTED, "image_sha256", "element_role", "field", "key", "role", "n")
+        found = given.groupBy(F.lit(0).alias("_all")).applyInArrow(_choice(caps, done), "at long, outcome string, chosen_seq int")
+        found = keep(found.join(heads.select("at", "id", "pos", "sector", "subtype"), "at").select("id", "outcome", "chosen_seq", "pos", "sector", "subtype"), "outcomes")
         seen = found.where("outcome not in ('remaining', 'cut')")
         visited = seen if visited is None else visited.unionByName(seen)
         if found.where("outcome = 'cut'").isEmpty():

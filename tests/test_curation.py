@@ -468,3 +468,26 @@ def test_sessions_ask_the_state_store_no_more_than_they_must():
     assert go(row(6, "cancel")) == [] and calls[2:] == ["list", "delete", 7000]
     assert go(row(7, "end")) == [("a", "ended", 1, None, None, 7_000_000)] and calls[5:] == ["update", "list", "delete"]
     assert go(row(8, "end")) == [] and len(calls) == 8
+
+
+def test_the_choosing_task_keeps_rows_in_arrow():
+    """Where all pages are full, every row is visited: few bytes a row, numbers for values, nulls among them."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from marlstone.operators import select as S
+
+    n = 30_000
+    none = lambda t: pa.nulls(n, t)
+    rows = {"at": pa.array(range(n)), "pos": pa.array(range(n - 1, -1, -1)), "cut": pa.array([False] * n), "page_url": pa.array([None if k % 2 else "p" for k in range(n)]), "domain": pa.array(["d"] * n), "sector": pa.array([f"s{k % 3}" for k in range(n)]), "subtype": none(pa.string()), "image_sha256": pa.array([f"{k:064d}" for k in range(n)]), "element_role": none(pa.string()), "field": none(pa.string()), "key": none(pa.string()), "role": none(pa.string()), "n": none(pa.int64())}
+    facts = pa.table({c: pa.nulls(3, v.type) for c, v in rows.items()} | {"field": ["page_url", "page_url", "image"], "key": pa.array([None, "p", f"{7:064d}"]), "role": pa.nulls(3, pa.string()), "n": [1, 2, 1]})
+    table = pa.concat_tables([pa.table(rows), facts])
+    tracemalloc.start()
+    out = S._choice(S.Caps(add=40, goal=250), 0)(table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = out.to_pylist()
+    assert [r for r in got if r["outcome"] == "chosen"] == [{"at": n - 1, "outcome": "chosen", "chosen_seq": 0}]
+    assert next(r["outcome"] for r in got if r["at"] == 7) == "duplicateImage" and sum(r["outcome"] == "pageCap" for r in got) == n - 2
+    assert most < 200 * n
