@@ -71,11 +71,11 @@ def explode_nodes(pages: DataFrame, tags: list[str] | None = None, texts: bool =
                 return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
             for page_id, url, doc in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
-                found = _page(doc.as_py() or "", only, texts)
+                page, place, found = page_id.as_py(), url.as_py(), _page(doc.as_py() or "", only, texts)
                 for k in range(0, len(found), ROWS):
                     rows += found[k : k + ROWS]
-                    ids += [page_id.as_py()] * (len(rows) - len(ids))
-                    urls += [url.as_py()] * (len(rows) - len(urls))
+                    ids += [page] * (len(rows) - len(ids))
+                    urls += [place] * (len(rows) - len(urls))
                     if len(rows) >= ROWS:
                         yield packed()
                         ids, urls, rows = [], [], []
@@ -97,9 +97,11 @@ def nearest(nodes: DataFrame, asking: Column, around: Column, name: str, carried
     at = lambda when, place, side, step: F.when(when, F.struct(place.alias("at"), side.alias("side"), F.lit(step).alias("step")))
     # At one place, what ends there comes first; an element asks before it opens, a text after all that open there.
     events = F.array(at(around, F.col("end"), F.lit(0), -1), at(asking, F.col("start"), F.when(text, 3).otherwise(1), 0), at(around, F.col("start"), F.lit(2), 1))
-    kept = [c for c in ("page_id", "pos", "start", "tag", *(carried or ()))]
+    kept, carried = ["page_id", "pos", "start", "tag"], carried or []
     given = F.col("pos") if value is None else value
-    rows = nodes.where(F.coalesce(asking, F.lit(False)) | F.coalesce(around, F.lit(False))).select(*kept, given.alias("_value"), F.explode(events).alias("e")).where("e is not null")
+    rows = nodes.where(F.coalesce(asking, F.lit(False)) | F.coalesce(around, F.lit(False))).select(*kept, *carried, given.alias("_value"), F.explode(events).alias("e")).where("e is not null")
+    # Only rows that ask come out, so only they carry what is wide through the sorts.
+    rows = rows.withColumns({c: F.when(F.col("e.side").isin(1, 3), F.col(c)) for c in carried})
     sofar = Window.orderBy("e.at", "e.side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("level", F.sum("e.step").over(sofar.partitionBy("page_id"))).where("e.side > 0")
     found = F.last(F.when(F.col("e.side") == 2, F.col("_value")), ignorenulls=True).over(sofar.partitionBy("page_id", "level"))
@@ -173,7 +175,7 @@ def heard(nodes: DataFrame, asked: DataFrame, texts: DataFrame | None = None, ta
     if texts is None:
         texts = nearest(nodes, F.col("tag") == TEXT, is_hidden(), "context", ["text", "end"])
     dealt = lambda df: df.repartition(tasks, "page_id", "context") if tasks else df
-    texts = dealt(texts.withColumn("context", F.coalesce("context", F.lit(-1)))).groupBy("page_id", "context").agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("texts"))
+    texts = dealt(texts.withColumn("context", F.coalesce("context", F.lit(-1)))).groupBy("page_id", "context").agg(F.sort_array(F.collect_list(F.struct("start", "end", "text"))).alias("texts"))
     asked = dealt(asked.withColumn("context", F.coalesce("context", F.lit(-1))))
     asked = asked.groupBy("page_id", "context").agg(F.collect_list(F.struct("key", "a", "b", "s", "e")).alias("asked"))
 
@@ -196,26 +198,32 @@ _DESCRIBED = ("page_id", "pos", "control", "control_tag", "control_role", "contr
 _OWN = ["page_url", "attrs", "svg", "end", "outer"]
 
 
-def described(nodes: DataFrame) -> DataFrame:
-    """Every image of flagged nodes with its own columns and those of `announced`, null where it has no control."""
+def described(nodes: DataFrame, around: bool = True) -> DataFrame:
+    """Every image of flagged nodes with its own columns and those of `announced`, null where it has no control.
+
+    The text around a control costs more than all names: who doesn't read it leaves `around` out, and gets nulls there.
+    """
     part = lambda c, *names: [F.col(n).alias(f"{c}_{n}") for n in names]
     # Contexts, of texts and of what is asked from, in one sweep. An element that is hidden is one itself, for what is in
     # it; its parent's is the nearest around it.
     text, marks = F.col("tag") == TEXT, F.col("id").isNotNull() | F.col("control") | F.col("tag").isin("input", "area")
-    swept = keep(nearest(nodes, text | marks, F.col("hidden"), "outer_context", ["attrs", "end", "parent_start", "parent_end", "outer", "hidden", "id", "text"]), "contexts")
+    swept = keep(nearest(nodes, text | marks, F.col("hidden"), "outer_context", ["parent", "attrs", "end", "parent_start", "parent_end", "outer", "hidden", "id", "text"]), "contexts")
     marked = swept.where(~text).withColumn("context", F.when(F.col("hidden"), F.col("pos")).otherwise(F.col("outer_context")))
     control = marked.select("page_id", *part("control", "pos", "tag", "attrs", "start", "end", "parent_start", "parent_end", "outer", "context", "outer_context"))
     rows = _images(nodes, _OWN).join(control, ["page_id", "control_pos"], "left")
     title = nodes.where((F.col("tag") == "title") & F.col("svg").isNotNull()).select("page_id", F.col("pos").alias("parent"), "svg")
-    title = nodes.where(F.col("tag") == TEXT).select("page_id", "parent", "start", "text").join(title, ["page_id", "parent"])
+    # A title is hidden itself, so what stands right in it has it as its context.
+    title = swept.where(text & (F.col("parent") == F.col("outer_context"))).select("page_id", "parent", "start", "text").join(title, ["page_id", "parent"])
     title = title.groupBy("page_id", "svg", "parent").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("t")).groupBy("page_id", F.col("svg").alias("pos")).agg(F.min_by("t", "parent").alias("t"))
     rows = rows.join(title.withColumn("svg_title", collapse(F.array_join(F.transform("t", lambda x: x["text"]), ""))).drop("t"), ["page_id", "pos"], "left")
     rows = keep(rows, "described")  # asked for several times
     asking = rows.where("control_pos is not null")
     # What is asked of the page's texts: inside the control but for the image, around the control, and labels by id.
     ask = lambda kind, context, a, b, s, e, n=0: F.struct(F.struct("pos", F.lit(kind).alias("kind"), F.lit(n).alias("n")).alias("key"), F.col(context).alias("context"), F.col(a).alias("a"), F.col(b).alias("b"), F.col(s).alias("s"), F.col(e).alias("e"))
-    asks = F.array(ask("in", "control_context", "control_start", "control_end", "start", "end"), ask("by", "control_outer_context", "control_parent_start", "control_parent_end", "control_start", "control_end"))
-    asked = asking.select("page_id", F.explode(asks).alias("q")).select("page_id", "q.*")
+    asks = [F.when(F.col("pos") != F.col("control_pos"), ask("in", "control_context", "control_start", "control_end", "start", "end"))]
+    if around:
+        asks.append(ask("by", "control_outer_context", "control_parent_start", "control_parent_end", "control_start", "control_end"))
+    asked = asking.select("page_id", F.explode(F.array(*asks)).alias("q")).where("q is not null").select("page_id", "q.*")
     refs = asking.select("page_id", "pos", F.posexplode(F.split(collapse(F.col("control_attrs")["aria-labelledby"]), " ")).alias("n", "id")).where("id != ''")
     named = marked.where("id is not null").groupBy("page_id", "id").agg(F.min_by(F.struct("context", F.col("start").alias("a"), F.col("end").alias("b")), "pos").alias("to"))
     refs = refs.join(named, ["page_id", "id"]).select("page_id", F.struct("pos", F.lit("label").alias("kind"), "n").alias("key"), "to.*", F.lit(0).alias("s"), F.lit(0).alias("e"))
@@ -240,7 +248,7 @@ def described(nodes: DataFrame) -> DataFrame:
     has = lambda c: F.when(F.col("control_pos").isNotNull(), c)
     return rows.select(
         "page_id", "pos", "tag", *_OWN, F.col("control_pos").alias("control"), "control_tag", has(F.lower(F.trim(F.coalesce(F.col("control_attrs")["role"], F.lit(""))))).alias("control_role"), F.col("control_attrs")["href"].alias("control_href"),
-        has(F.coalesce(first["name"], F.lit(""))).alias("name"), has(F.coalesce(first["source"], F.lit(""))).alias("name_source"), has(clip(F.when(inside != "", inside).otherwise(F.coalesce("beside", F.lit(""))))).alias("around"), has(alt).alias("alt"), F.col("control_outer").alias("control_html"),
+        has(F.coalesce(first["name"], F.lit(""))).alias("name"), has(F.coalesce(first["source"], F.lit(""))).alias("name_source"), (has(clip(F.when(inside != "", inside).otherwise(F.coalesce("beside", F.lit(""))))) if around else F.lit(None).cast("string")).alias("around"), has(alt).alias("alt"), F.col("control_outer").alias("control_html"),
     )
 
 
@@ -310,12 +318,18 @@ def sprites(nodes: DataFrame) -> DataFrame:
     return j.select("page_id", "pos", F.when(whole & body.isNotNull(), F.concat(open_, add, body)).alias("standalone"))
 
 
-def judged(pages: DataFrame, sector: Column, retrieved: str) -> DataFrame:
-    """Every image of the pages: the columns of an item, page_id, pos, and `skip_reason` (null for a candidate)."""
+def judged(pages: DataFrame, sector: Column, retrieved: str, around: bool = True, tags: tuple[str, ...] | None = None) -> DataFrame:
+    """Every image of the pages, or every one of `tags`: the columns of an item, page_id, pos, and `skip_reason` (null for a candidate).
+
+    Without `around` there is no surrounding_text. An svg repeats svgs only, as it has no address: it is judged alike without the other tags.
+    """
     # Parsed once: what images, controls, maps, sprites and names need is written out, texts included.
     needed = F.col("image") | F.col("control") | F.col("hidden") | F.col("tag").isin("input", "main", "body", "map", "use", TEXT) | F.col("attrs")["usemap"].isNotNull() | F.col("id").isNotNull()
-    nodes = keep(flagged(explode_nodes(pages, texts=True)).where(needed), "nodes")
-    images = described(nodes)
+    # Pages are dealt first: a file of few row groups would be parsed by as few tasks.
+    dealt = pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
+    nodes = flagged(explode_nodes(dealt, texts=True))
+    nodes = keep((nodes.withColumn("image", F.col("image") & F.col("tag").isin(*tags)) if tags else nodes).where(needed), "nodes")
+    images = described(nodes, around)
     in_map = nearest(nodes, F.col("tag") == "area", F.col("tag") == "map", "map_pos").select("page_id", "pos", "map_pos")
     maps = nodes.where("tag = 'map'").select("page_id", F.col("pos").alias("map_pos"), F.coalesce(F.col("attrs")["name"], F.col("attrs")["id"]).alias("map_name"))
     images = images.join(in_map, ["page_id", "pos"], "left").join(maps, ["page_id", "map_pos"], "left").join(map_owners(nodes), ["page_id", "map_name"], "left")
@@ -340,16 +354,16 @@ def judged(pages: DataFrame, sector: Column, retrieved: str) -> DataFrame:
     made = {
         "id": none, "status": F.lit("unreviewed"), "page_url": F.col("page_url"), "domain": F.col("domain"), "sector": sector, "image_url": F.col("image_url"),
         "image_coord_space": F.when(F.col("tag") == "area", coord_space(F.col("owner"))), "image_svg": F.when(F.col("tag") == "svg", F.col("standalone")), "image_file": none, "image_sha256": none,
-        "implementation": kind[F.col("tag")], "element_role": F.col("role"), "element_html": F.col("control_html"), "surrounding_text": F.coalesce("around", F.lit("")), "observed_alt": F.col("alt"),
+        "implementation": kind[F.col("tag")], "element_role": F.col("role"), "element_html": F.col("control_html"), "surrounding_text": F.coalesce("around", F.lit("")) if around else none, "observed_alt": F.col("alt"),
         "accessible_name": F.col("name"), "accessible_name_source": F.col("name_source"), "category": c["category"], "subtype": c["subtype"], "retrieved": F.lit(retrieved),
         "review_verdict": none, "review_reason": none, "alt_quality": none,
     }
     return images.where("domain is not null").select("page_id", "pos", "skip_reason", *(made[f].alias(f) for f in FIELDS))
 
 
-def candidates(pages: DataFrame, sector: Column | None = None, retrieved: str = "1970-01-01") -> DataFrame:
-    """The items of the pages, by page_id and pos."""
-    return judged(pages, F.lit("webapp") if sector is None else sector, retrieved).where("skip_reason is null").drop("skip_reason")
+def candidates(pages: DataFrame, sector: Column | None = None, retrieved: str = "1970-01-01", around: bool = True, tags: tuple[str, ...] | None = None) -> DataFrame:
+    """The items of the pages, by page_id and pos; `around` and `tags` as in `judged`."""
+    return judged(pages, F.lit("webapp") if sector is None else sector, retrieved, around, tags).where("skip_reason is null").drop("skip_reason")
 
 
 def skips(images: DataFrame) -> DataFrame:

@@ -346,3 +346,23 @@ def test_texts_are_put_together_by_as_many_tasks_as_images_ask_for(spark, monkey
     monkeypatch.setattr(extract, "heard", lambda *a: tasks.append(a[-1]) or given(*a))
     assert rows(extract.candidates(pages)) == [(k, f"Text {k}", f"Text {k}") for k in range(40)]
     assert tasks == [11]
+
+
+def test_pages_of_one_file_are_parsed_by_many_tasks(spark, monkeypatch):
+    """A file of one row group is one task's; what parses its pages is dealt to as many as joins have."""
+    given, parts = extract.explode_nodes, []
+    monkeypatch.setattr(extract, "explode_nodes", lambda pages, *a, **k: parts.append(pages.rdd.getNumPartitions()) or given(pages, *a, **k))
+    pages = spark.range(0, 40, 1, 1).selectExpr("id AS page_id", "'https://x.org/' AS url", "'<a href=x><img src=i alt=I></a>' AS html")
+    assert extract.candidates(pages).count() == 40 and parts == [4]
+
+
+def test_some_tags_are_judged_as_among_all(spark):
+    docs = [PAGE, SAME, "<button>a<svg><title>T<b>no</b> U</title><path/></svg></button>" * 2, "<button><svg><path/></svg></button><svg><path/></svg><a href=x><img src=i alt=I></a>"]
+    pages = spark.createDataFrame([(k, "https://x.org/#top", d) for k, d in enumerate(docs)], "page_id long, url string, html string")
+    from pyspark.sql import functions as F
+
+    rows = lambda df: sorted(map(str, df.drop("surrounding_text").collect()))
+    every = extract.judged(pages, F.lit("docs"), "2024-05-06").persist()
+    assert rows(extract.judged(pages, F.lit("docs"), "2024-05-06", around=False, tags=("svg",))) == rows(every.where("implementation = 'inline-svg'"))
+    assert rows(extract.judged(pages, F.lit("docs"), "2024-05-06", around=False)) == rows(every)
+    assert every.where("implementation = 'inline-svg'").groupBy("skip_reason").count().count() == 5
