@@ -368,8 +368,7 @@ def candidates(pages: DataFrame, sector: Column | None = None, retrieved: str =
 
 def skips(images: DataFrame) -> DataFrame:
     """(skip_reason, n) of `judged` images, zero where a reason never came."""
-    spark = images.sparkSession
-    all_ = spark.createDataFrame([(s,) for s in SKIPS], "skip_reason string")
+    all_ = images.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, SKIPS))).alias("skip_reason"))
     return all_.join(images.where("skip_reason is not null").groupBy("skip_reason").count(), "skip_reason", "left").select("skip_reason", F.coalesce("count", F.lit(0)).alias("n"))
 
 

@@ -366,3 +366,13 @@ def test_some_tags_are_judged_as_among_all(spark):
     assert rows(extract.judged(pages, F.lit("docs"), "2024-05-06", around=False, tags=("svg",))) == rows(every.where("implementation = 'inline-svg'"))
     assert rows(extract.judged(pages, F.lit("docs"), "2024-05-06", around=False)) == rows(every)
     assert every.where("implementation = 'inline-svg'").groupBy("skip_reason").count().count() == 5
+
+
+@pytest.mark.parametrize("name", ["skip_reasons"])
+def test_what_is_around_is_asked_only_where_it_is_read(spark, monkeypatch, name):
+    from marlstone.plans import catalog
+
+    kinds, given = [], extract.heard
+    monkeypatch.setattr(extract, "heard", lambda nodes, asked, *a: kinds.extend(r[0] for r in asked.select("key.kind").distinct().collect()) or given(nodes, asked, *a))
+    assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count() == {"skip_reasons": 5, "control_markup": 150}[name]
+    assert sorted(kinds) == ["in", "label"]
