@@ -50,11 +50,15 @@ SALTS = 32
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt_by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Equi-join in which each key of `big` is dealt over `salts` partitions; `small` holds at most one row a key."""
+    """Equi-join in which each key of `big` is dealt over `salts` partitions; `small` holds at most one row a key.
+
+    It is a sort-merge join at every size: Spark's estimate of `small` leaves out its copies, so a broadcast would take
+    `salts` times the memory that its threshold allows, of the driver as well.
+    """
     (salt,) = unused(big, "_salt")
     left = big.withColumn(salt, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, salt], how).drop(salt)
+    return left.join(right.hint("merge"), [*keys, salt], how).drop(salt)
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

@@ -12,7 +12,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(a, b) undirected edges -> (node, component): the smallest node of its component. Null ends and loops are ignored.
 
     A node with very many neighbours is no burden on one task: minima are combined before the shuffle, and the join
-    back on the hot node is one that Spark splits.
+    back on the hot node is one that Spark splits: sort-merge at every size, so nothing of the graph is broadcast.
     """
     spark = edges.sparkSession
     old = None
@@ -28,10 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: every larger neighbour of u hangs on the smallest node around u.
-        large = both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours hang on the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v"))).distinct()
+        small = large.join(low.hint("merge"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(low.select("u", F.col("m").alias("v"))).distinct()
         old, (edges, path) = path, keep(small)
         drop_path(spark, old)
         # Settled when the edges are the same as a round ago: stars whose centres are minima.

@@ -323,7 +323,7 @@ def _grouped(docs: DataFrame, n_words: int, threshold: float, tolerance: float)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(verified.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
 
-    linked = classes.select("node", "k1", "k2", "copy_id", "copies", "member").join(links, "node", "left").join(group, "node", "left").where("copies > 1 or links is not null")
+    linked = classes.select("node", "k1", "k2", "copy_id", "copies", "member").join(links.hint("merge"), "node", "left").join(group.hint("merge"), "node", "left").where("copies > 1 or links is not null")
     linked = keep(linked.withColumn("component", F.coalesce("component", "node")), "linked")
     ids = linked.groupBy("component").agg(F.min("copy_id").alias("class_id"), F.min("member").alias("first"))
     linked = salted_join(linked, ids, ["component"], F.col("node")).select("k1", "k2", "class_id", "copy_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.struct(*(F.col(f"first.{k}") for k in _KEYS)).alias("first"))

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from marlstone.llm import common, decontaminate, jaccard, mixing, pii, quality, secrets, sharding, toxicity, url_filter, warc
@@ -804,3 +805,22 @@ def test_salted_join_and_folder(spark):
     assert common.salted_join(big, small, ["key"], F.col("id")).where("v = 1").count() == 100
     assert common.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert common.unused(big, "id", "ID", "x", "X") == ["_id", "__ID", "x", "_X"]
+
+
+def test_tables_that_grow_are_not_broadcast(spark, monkeypatch):
+    """Copies for the salts are not in Spark's estimates, so what seems small isn't: no salted join, nor the Jaccard join's rounds, send a table to the driver."""
+    big, small = spark.range(1000).select("id", (F.col("id") % 400).alias("key")), spark.range(400).select(F.col("id").alias("key"), F.lit(1).alias("v"))
+    plan = lambda df: (df.collect(), df._jdf.queryExecution().executedPlan().toString())[1]
+    joined = plan(common.salted_join(big, small, ["key"], F.col("id")))
+    assert "SortMergeJoin" in joined and "Broadcast" not in joined
+    seen, write = [], DataFrameWriter.parquet
+
+    def look(self, path, *a, **k):
+        seen.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", look)
+    rows = [(k, sentences(k // 2, 30)) for k in range(20)] + [(50 + k, "some words that are those of all rows but for one " + "x" * k) for k in range(9)]
+    got = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.where("class_id != doc_id").count() >= 10
+    assert sum("SortMergeJoin" in x for x in seen) > 3 and not any("Broadcast" in x for x in seen)
