@@ -14,8 +14,9 @@ are two or three words that stand together in a piece.
    hash; a pair that is in it by chance costs a row, which the count then drops.
 4. Scores are whole numbers: floor(10**6 * a**2 / (l * r)) in decimals of 38 digits, enough for counts up to 10**15.
 
-The dictionary is broadcast up to BROADCAST_WORDS words (some 60 bytes each). Beyond that words get their ids by a join, and
-go back to their pieces by sorting.
+Of the dictionary the BROADCAST_WORDS most frequent words at most are broadcast (some 60 bytes each). The rest is told by a
+table of fixed size by hash, and only phrases with such a word go through joins, with the hashes of the words to look up:
+they are few, as these words are the rarest. A word that is in the table by chance finds nothing in the join.
 
 Results: for each language the `most` best phrases by score, then a, both descending, then phrase in order of bytes: lang, rank, phrase, a (its
 count), l and r (counts of its two parts, where the score is lowest), n (all words of the language), score. A phrase
@@ -31,24 +32,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.sources.scratch import ranked
 
-from .common import salted_join, written
+from .common import written
 from .resample import lowered
 from .words import BASE, Texts, mix, powers, runs, slices, tidied
 
 LEAST, MOST, INSIDE = 10, 2000, 50
 BROADCAST_WORDS = 1_000_000
-#: Bits of the table of frequent pairs, and keys that a task sorts at a time.
+#: Bits of the tables of frequent pairs and of words that are not broadcast, and keys that a task sorts at a time.
 PAIR_BITS, KEYS = 1 << 26, 3 << 19
+#: Keys in a batch that a task sends: Spark holds a batch beside its own memory.
+SENT = 1 << 17
 #: Bytes of text whose words are counted together.
 COUNTED = 1 << 20
 BASE_2 = 0xC2B2AE3D27D4EB4F | 1
-#: A place in the dictionary of words that are not in it.
-NONE = 0
+#: A place in the dictionary of words that are not in it, and of those that a join has to look up.
+NONE, OPEN = 0, 0xFFFFFFFF
+#: An open phrase's key: three times id and hashes. Others have twelve bytes.
+SLOT = np.dtype([("id", ">u4"), ("h1", "<i8"), ("h2", "<i8")])
 
 
 def tables() -> tuple[np.ndarray, np.ndarray]:
@@ -106,17 +112,18 @@ def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def sorted_runs(first: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order that sorts by `first`, then `second`; where each run of equal pairs begins in it, and how long the runs are."""
-    order = np.argsort(first)
-    new = np.ones(len(first), bool)
-    new[1:] = first[order][1:] != first[order][:-1]
+    order, new = np.argsort(first), np.ones(len(first), bool)
+    there = first[order]
+    np.not_equal(there[1:], there[:-1], out=new[1:])
     if second is not None:
-        # The rank of `first` and (a rank of) `second` fit into one number: sorted once more.
-        rank = np.empty(len(first), np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64)
-        second = second if second.dtype == np.uint32 else np.unique(second, return_inverse=True)[1]
-        both = (rank << np.uint64(32)) | second.astype(np.uint64)
+        # The rank of `first` and (a rank of) `second` fit into one number: sorted once more. Portions are large, so it is made in place.
+        both = there if there.dtype == np.uint64 else np.empty(len(first), np.uint64)
+        both[order] = np.cumsum(new)
+        both <<= np.uint64(32)
+        both |= second if second.dtype == np.uint32 else np.unique(second, return_inverse=True)[1].astype(np.uint64)
         order = np.argsort(both)
-        new[1:] = both[order][1:] != both[order][:-1]
+        there = both[order]
+        np.not_equal(there[1:], there[:-1], out=new[1:])
     at = np.flatnonzero(new)
     return order, at, np.diff(np.append(at, len(first)))
 
@@ -152,6 +159,18 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return written(found.groupBy("lang", "word", "h1", "h2").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | F.col("word").isNull()), "words")
 
 
+def rarer(words: DataFrame, most: int) -> Column | None:
+    """Whether a word is rarer than the `most` most frequent ones at most; None if there are no more words than that."""
+    step = F.floor(F.log2("n") * 16)  # every count up to 22 is a step, then 16 steps for twice the count: some hundreds of them
+    total, first = 0, None
+    for s, n in sorted(words.where(F.col("word").isNotNull()).groupBy(step.alias("s")).count().collect(), reverse=True):
+        total += n
+        if total > most:
+            return F.lit(True) if first is None else step < first
+        first = s
+    return None
+
+
 def hash_table(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(h1, h2, id) by place: the last bits of h1, or the next free place behind it. Half of the places at least are free (id NONE)."""
     size = 1 << max(4, int(2 * len(ids) - 1).bit_length())
@@ -204,6 +223,14 @@ def pair_place(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (mix((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)) % np.uint64(PAIR_BITS)).astype(np.int64)
 
 
+def has(table: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def word_place(h2: np.ndarray) -> np.ndarray:
+    return (h2.astype(np.uint64) % np.uint64(PAIR_BITS)).astype(np.int64)
+
+
 def packed(ids: np.ndarray, follows: np.ndarray, pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The three ids of each phrase of two words; with a table of frequent `pairs`, of each one of three."""
     two = follows[:-1] & (ids[:-1] != NONE) & (ids[1:] != NONE) if len(ids) else np.zeros(0, bool)
@@ -213,82 +240,92 @@ def packed(ids: np.ndarray, follows: np.ndarray, pairs: np.ndarray | None) -> tu
     at = np.flatnonzero(two)
     place = pair_place(ids[at], ids[at + 1])
     frequent = np.zeros(len(ids), bool)
-    frequent[at] = (pairs[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+    frequent[at] = has(pairs, place)
     at = np.flatnonzero(frequent[:-1] & frequent[1:])
     return ids[at], ids[at + 1], ids[at + 2]
 
 
-def _keys(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ends: np.ndarray | None) -> pa.RecordBatch:
-    """Runs of equal keys and how long they are, in order; with `ends`, the range of each."""
+def opened(ids: np.ndarray, h1: np.ndarray, h2: np.ndarray, follows: np.ndarray, rest: np.ndarray, pairs: np.ndarray | None, parts: int) -> pa.RecordBatch:
+    """Phrases like those of `packed`, but with a word at least that `rest` may hold: one row each, dealt by hash."""
+    n = 2 if pairs is None else 3
+    ids, unknown = ids.copy(), np.flatnonzero(ids == NONE)
+    ids[unknown[has(rest, word_place(h2[unknown]))]] = OPEN
+    size = max(len(ids) - n + 1, 0)
+    span = lambda x, k: x[k : k + size]
+    some = np.logical_or.reduce([span(ids, k) == OPEN for k in range(n)])
+    at = np.flatnonzero(some & np.logical_and.reduce([span(ids, k) != NONE for k in range(n)] + [span(follows, k) for k in range(n - 1)]))
+    for k in range(n - 1 if n == 3 else 0):
+        a, b = ids[at + k], ids[at + k + 1]
+        at = at[(a == OPEN) | (b == OPEN) | has(pairs, pair_place(a, b))]
+    raw = np.zeros((len(at), 3), SLOT)
+    for k in range(n):
+        raw["id"][:, k] = ids[at + k]
+        look = ids[at + k] == OPEN
+        for name, h in (("h1", h1), ("h2", h2)):
+            raw[name][look, k] = h[at[look] + k].view(np.int64)
+    offsets = pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * raw.dtype.itemsize * 3)
+    key = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(raw.tobytes())])
+    part = (mix(h1[at] ^ h2[at + 1]) % np.uint64(parts)).astype(np.int32)
+    return pa.record_batch([key, pa.array(np.ones(len(at), np.int64)), pa.array(part)], ["key", "n", "part"])
+
+
+def _keys(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs of equal keys and how long they are, in order, and the range of each; what is in `found` goes, as it is large."""
     a, b, c = (np.concatenate(x) for x in zip(*found, strict=True))
-    high = (a.astype(np.uint64) << np.uint64(32)) | b
+    found.clear()
+    high = a.astype(np.uint64)
+    high <<= np.uint64(32)
+    high |= b
+    del a, b
     order, first, n = sorted_runs(high) if not c.any() else sorted_runs(high, c)
     at = order[first]
-    raw = np.stack([a[at], b[at], c[at]], 1).astype(">u4").tobytes()
-    offsets = pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * 12)
-    key = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(raw)])
-    part = np.zeros(len(at), np.int32) if ends is None else np.searchsorted(ends, high[at], side="right").astype(np.int32)
-    return pa.record_batch([key, pa.array(n, pa.int64()), pa.array(part)], ["key", "n", "part"])
-
-
-def _combined(packs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], ends: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    del order, first
+    for i in range(0, len(at), SENT):
+        here = at[i : i + SENT]
+        own = high[here]
+        raw = np.stack([own >> np.uint64(32), own & np.uint64(0xFFFFFFFF), c[here]], 1).astype(">u4")
+        offsets = pa.py_buffer(np.arange(len(here) + 1, dtype=np.int32) * 12)
+        key = pa.BinaryArray.from_buffers(pa.binary(), len(here), [None, offsets, pa.py_buffer(raw.tobytes())])
+        part = np.searchsorted(ends, own, side="right").astype(np.int32)
+        yield pa.record_batch([key, pa.array(n[i : i + SENT]), pa.array(part)], ["key", "n", "part"])
+
+
+def _combined(packs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray] | pa.RecordBatch], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for p in packs:
+        if isinstance(p, pa.RecordBatch):  # open phrases: as they are
+            yield p
+            continue
         held.append(p)
         size += len(p[0])
         if size >= KEYS:
-            yield _keys(held, ends)
-            held, size = [], 0
+            yield from _keys(held, ends)
+            size = 0
     if size:
-        yield _keys(held, ends)
+        yield from _keys(held, ends)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], dictionary, pairs) -> Iterator[pa.RecordBatch]:
-    (words, ends), table = dictionary.value, pairs.value if pairs else None
+def _encode(batches: Iterator[pa.RecordBatch], dictionary, pairs, parts: int) -> Iterator[pa.RecordBatch]:
+    (words, ends, rest), table = dictionary.value, pairs.value if pairs else None
 
     def packs():
         for t, langs in texts(batches, COUNTED):
             _, _, _, h1, h2, follows, _ = words_of(t, langs)
-            yield packed(look_up(words, h1, h2), follows, table)
+            ids = look_up(words, h1, h2)
+            yield packed(ids, follows, table)
+            if rest is not None:
+                yield opened(ids, h1, h2, follows, rest, table, parts)
 
     return _combined(packs(), ends)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        langs, row = b.column("lang").to_pylist(), b.column("row").to_numpy()
-        for t in slices(b.column("text"), COUNTED):
-            _, _, doc, h1, h2, follows, _ = words_of(t, langs[t.first : t.first + len(t)])
-            place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-            yield pa.record_batch([pa.array(row[t.first + doc]), pa.array(place), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(follows)], ["row", "place", "h1", "h2", "follows"])
+#: Columns of what a slot has to look up.
+_LOOK = [f"{c}{k}" for k in (1, 2, 3) for c in ("x", "y")]
 
 
-def _regrouped(batches: Iterator[pa.RecordBatch], pairs) -> Iterator[pa.RecordBatch]:
-    table = pairs.value if pairs else None
-
-    def packs():
-        ids, follows = np.zeros(0, np.uint32), np.zeros(0, bool)
-        for b in batches:
-            ids = np.concatenate([ids, b.column("id").to_numpy().astype(np.uint32)])
-            follows = np.concatenate([follows, b.column("follows").to_numpy(zero_copy_only=False)])
-            # The last two words are the next portion's too; a phrase belongs to the portion that its first word leaves with.
-            keep = max(len(ids) - 2, 0)
-            a, z, c = packed(ids, follows, table)
-            if table is None and keep:  # a pair of the last two words comes with the next portion
-                last = int(follows[-2] and ids[-1] != NONE and ids[-2] != NONE)
-                a, z, c = (x[: len(x) - last] for x in (a, z, c))
-            elif table is None:
-                continue
-            yield a, z, c
-            ids, follows = ids[keep:], follows[keep:]
-        if table is None:
-            yield packed(ids, follows, table)
-
-    return _combined(packs())
-
-
-def counted(keys: DataFrame, least: int = LEAST, parts: int | None = None) -> DataFrame:
-    """(w1, w2, w3, a): keys with `least` occurrences. Ranges of keys (in `parts`, or found by sampling) are sorted, and runs summed as they stream past."""
+def counted(keys: DataFrame, parts: int, least: int = LEAST) -> DataFrame:
+    """(w1, w2, w3, a): keys with `least` occurrences, sorted range by range, and runs summed as they stream past. Open phrases
+    pass as they are: a null for each word to look up, and its hashes."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, n = None, 0
@@ -296,9 +333,17 @@ def counted(keys: DataFrame, least: int = LEAST, parts: int | None = None) -> Da
         def out(k: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
             enough = a >= least
             k = k[enough].astype(np.int64)
-            return pa.record_batch([pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(k[:, 2]), pa.array(a[enough])], ["w1", "w2", "w3", "a"])
+            none = pa.nulls(len(k), pa.int64())
+            return pa.record_batch([pa.array(k[:, 0]), pa.array(k[:, 1]), pa.array(k[:, 2]), pa.array(a[enough]), *[none] * 6], ["w1", "w2", "w3", "a", *_LOOK])
 
         for b in batches:
+            short = pc.equal(pc.binary_length(b.column("key")), 12)
+            long, b = b.filter(pc.invert(short)), b.filter(short)
+            if long.num_rows:
+                raw = np.frombuffer(b"".join(long.column("key").to_pylist()), SLOT).reshape(-1, 3)
+                w, no = raw["id"].astype(np.int64), raw["id"] != OPEN
+                look = [pa.array(raw[h][:, k], mask=no[:, k]) for k in range(3) for h in ("h1", "h2")]
+                yield pa.record_batch([*(pa.array(w[:, k], mask=~no[:, k]) for k in range(3)), long.column("n"), *look], ["w1", "w2", "w3", "a", *_LOOK])
             if not b.num_rows:
                 continue
             k = np.frombuffer(b"".join(b.column("key").to_pylist()), ">u4").reshape(-1, 3)
@@ -317,24 +362,39 @@ def counted(keys: DataFrame, least: int = LEAST, parts: int | None = None) -> Da
         if last is not None:
             yield out(last[None], np.array([n]))
 
-    dealt = keys.repartitionById(parts, F.col("part")) if parts else keys.repartitionByRange("key")
-    return dealt.select("key", "n").sortWithinPartitions("key").mapInArrow(lambda it: tidied(sums(it)), "w1 long, w2 long, w3 long, a long")
+    dealt = keys.repartitionById(parts, F.col("part"))
+    return dealt.select("key", "n").sortWithinPartitions("key").mapInArrow(lambda it: tidied(sums(it)), ", ".join(f"{c} long" for c in ("w1", "w2", "w3", "a", *_LOOK)))
 
 
-def pair_table(pairs: DataFrame) -> np.ndarray:
-    """PAIR_BITS bits, of which those of frequent pairs are set."""
+def looked_up(phrases: DataFrame, rest: DataFrame, least: int) -> DataFrame:
+    """(w1, w2, w3, a) of open phrases by the dictionary's `rest` (h1, h2, id); those with a word that is not in it are none."""
+    for k in (1, 2, 3):
+        x, y = f"x{k}", f"y{k}"
+        # A slot with nothing to look up has a null in its key, which finds nothing, and a hash, so that such rows spread.
+        phrases = phrases.withColumn(x, F.coalesce(x, F.xxhash64(*(c for c in phrases.columns if c != x))))
+        phrases = phrases.join(rest.select(F.col("h1").alias(x), F.col("h2").alias(y), "id").hint("merge"), [x, y], "left")
+        phrases = phrases.where(F.col(y).isNull() | F.col("id").isNotNull()).withColumn(f"w{k}", F.coalesce(f"w{k}", "id")).drop("id", x, y)
+    return phrases.groupBy("w1", "w2", "w3").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+
+
+def bit_table(rows: DataFrame, place) -> np.ndarray:
+    """PAIR_BITS bits, of which those at place(batch) are set."""
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            place = pair_place(b.column("w1").to_numpy(), b.column("w2").to_numpy())
-            yield pa.record_batch([pa.array(place >> 6), pa.array((np.uint64(1) << (place & 63).astype(np.uint64)).view(np.int64))], ["at", "bits"])
+            at = place(b)
+            yield pa.record_batch([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], ["at", "bits"])
 
     out = np.zeros(PAIR_BITS >> 6, np.uint64)
-    found = pairs.mapInArrow(bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = rows.mapInArrow(bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
 
 
+def pair_table(pairs: DataFrame) -> np.ndarray:
+    return bit_table(pairs, lambda b: pair_place(b.column("w1").to_numpy(), b.column("w2").to_numpy()))
+
+
 def score(a: Column, left: Column, right: Column) -> Column:
     """floor(10**6 * a * a / (left * right)), exactly."""
     whole = lambda c: c.cast("decimal(15,0)")
@@ -348,31 +408,27 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, inside:
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     words = word_counts(docs, least)
     totals = words.where(F.col("word").isNull()).select("lang", F.col("n").alias("total"))
-    dictionary = written(ranked(words.where(F.col("word").isNotNull()), ["lang", "word"], "id").withColumn("id", F.col("id") + 1), "dictionary")
-    size = dictionary.count()
-    if size >= 1 << 32:
-        raise ValueError("more frequent words than ids of four bytes")
-    shared = occurrences = parts = None
-    if size <= broadcast_words:
-        have = dictionary.orderBy("id").select("h1", "h2", "id", "n", "lang").toArrow()
-        h1, h2, ids, n = (have.column(c).to_numpy() for c in ("h1", "h2", "id", "n"))
-        parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        ends = range_ends(n, have.column("lang").to_numpy().astype(str), parts)
-        shared = sc.broadcast((hash_table(h1.view(np.uint64), h2.view(np.uint64), ids.astype(np.uint32)), ends))
-    else:
-        found = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(lambda it: tidied(_occurrences(it)), "row long, place long, h1 long, h2 long, follows boolean")
-        found = salted_join(found, dictionary.select("h1", "h2", "id"), ["h1", "h2"], F.col("row")).select("row", "place", F.coalesce("id", F.lit(NONE)).alias("id"), "follows")
-        occurrences = written(found.repartition("row").sortWithinPartitions("row", "place"), "occurrences")
-
-    def phrases(pairs) -> DataFrame:
-        if shared:
-            keys = docs.mapInArrow(lambda it: tidied(_encode(it, shared, pairs)), "key binary, n long, part int")
-        else:
-            keys = occurrences.repartition("row").sortWithinPartitions("row", "place").mapInArrow(lambda it: tidied(_regrouped(it, pairs)), "key binary, n long, part int")
-        return written(counted(keys, least, parts), "phrases")
-
-    two = phrases(None)
-    three = phrases(sc.broadcast(pair_table(two)))
+    frequent, rare = words.where(F.col("word").isNotNull()), rarer(words, min(broadcast_words, OPEN - 1))
+    dictionary = frequent.withColumn("rest", F.lit(False) if rare is None else rare)
+    dictionary = written(ranked(dictionary, ["rest", "lang", "word"], "id").withColumn("id", F.col("id") + 1), "dictionary")
+    have = dictionary.where("not rest").orderBy("id").select("h1", "h2", "id", "n", "lang").toArrow()
+    h1, h2, ids, n = (have.column(c).to_numpy() for c in ("h1", "h2", "id", "n"))
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ends = range_ends(n, have.column("lang").to_numpy().astype(str), parts)
+    rest = None if rare is None else dictionary.where("rest").select("h1", "h2", "id")
+    bits = None if rare is None else bit_table(rest, lambda b: word_place(b.column("h2").to_numpy().view(np.uint64)))
+    shared = sc.broadcast((hash_table(h1.view(np.uint64), h2.view(np.uint64), ids.astype(np.uint32)), ends, bits))
+    closed = F.col("w1").isNotNull() & F.col("w2").isNotNull() & F.col("w3").isNotNull()
+
+    def phrases(pairs) -> tuple[DataFrame, DataFrame]:
+        """Those of broadcast words, and all."""
+        keys = docs.mapInArrow(lambda it: tidied(_encode(it, shared, pairs, parts)), "key binary, n long, part int")
+        found = written(counted(keys, parts, least), "phrases")
+        own = found.where(closed).drop(*_LOOK)
+        return own, own if rest is None else own.unionAll(written(looked_up(found.where(~closed), rest, least), "looked-up"))
+
+    own, two = phrases(None)
+    _, three = phrases(sc.broadcast(pair_table(own)))
     return best(two, three, dictionary, totals, most, inside)
 
 

@@ -44,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 ... base**n modulo 2**64; kept up to a few slices' length."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        size = max(2 * n, 1 << 16)
+        size = max(n + n // 4, 1 << 16)
         have = np.empty(size + 1, np.uint64)
         have[0] = 1
         have[1:] = base & (2**64 - 1)

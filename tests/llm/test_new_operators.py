@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import time
@@ -61,6 +62,24 @@ def test_phrases_against_dictionaries(spark, broadcast_words):
     assert phrases.collocations(docs.limit(0), broadcast_words=broadcast_words).count() == 0
 
 
+def test_words_that_are_not_broadcast(spark):
+    """A dictionary of which a part is broadcast: the same phrases, and only those with a word of the rest are written to be looked up."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(12)] * 400 + [f"rare{k}" for k in range(60)] + [f"once{k}" for k in range(200)]
+    rows = [("en", " ".join(rng.choice(words) for _ in range(60)) + rng.choice([" rare1 rare2 rare3", " w1 rare4 w2.", ""])) for _ in range(300)] + [("fr", "rare1 rare2 w1 " * 5)] * 3
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    want = mined(rows, 4, 10_000, 50)
+    assert any("rare" in r[2] for r in want)
+    for broadcast_words in (20, 40):
+        folder = common.shared_dir(spark).removeprefix("file://") + "/marlstone"
+        os.makedirs(folder, exist_ok=True)
+        before = set(os.listdir(folder))
+        assert sorted(tuple(r) for r in phrases.collocations(docs, 4, 10_000, 50, broadcast_words).collect()) == want
+        made = {d for d in set(os.listdir(folder)) - before if d[:5] not in ("words", "dicti", "local")}
+        rows_made = sum(spark.read.parquet(f"{folder}/{d}").count() for d in made)
+        assert rows_made < 0.6 * sum(len(t.split()) for _, t in rows)  # not a row for each word
+
+
 def test_scores_are_exact(spark):
     rows = [(10**14 + k, 3 * 10**14 + 7 * k, 10**14 + 1 + k) for k in range(50)] + [(7, 7, 7), (1, 10**9, 10**9)]
     got = spark.createDataFrame(rows, "a long, l long, r long").select("a", "l", "r", phrases.score(F.col("a"), F.col("l"), F.col("r")).alias("s")).collect()
