@@ -38,25 +38,36 @@ def take_in(spark: SparkSession, landed: str, pool_path: str, checkpoint: str) -
     """Appends what has landed and the pool lacks, with the next ids.
 
     Keys that were seen are state, so a batch costs what is in it; the pool is read once, when the query starts for the
-    first time. Each batch notes its last number for the next one, and owns its files, so one that runs again adds
-    nothing twice.
+    first time: its keys come as a stream beside what has landed. The state tells new keys and where they landed first; the
+    rows are then read from there. Each batch notes its last number for the next one, and owns its files, so one that runs
+    again adds nothing twice.
     """
-    first = not jsonl.exists(spark, f"{checkpoint}/offsets")
-    have = jsonl.read(spark, pool_path, ITEM)[0] if first and jsonl.exists(spark, pool_path) else None
+    first, have = not jsonl.exists(spark, f"{checkpoint}/offsets"), None
+    if first and jsonl.exists(spark, pool_path):
+        have = jsonl.read(spark, pool_path, ITEM)[0]
     last = pool.last_number(have) if have is not None else 0
-    known = keep(pool.keyed(have).select(key().alias("key")), "known") if have is not None else None
-    rows = spark.readStream.schema(LANDED).parquet(landed)
+    if first:
+        keys = pool.keyed(have).select(key().alias("key")).distinct() if have is not None else spark.createDataFrame([], "key string")
+        keys.write.mode("overwrite").parquet(f"{checkpoint}/known")
+    schema = T.StructType([*LANDED.fields, T.StructField("batch", T.IntegerType())])
+    place = [*ORDER, "batch"]
+    rows = spark.readStream.schema(schema).parquet(landed).select("key", F.lit(True).alias("fresh"), *place)
+    known = spark.readStream.schema("key string").parquet(f"{checkpoint}/known").select("key", F.lit(False).alias("fresh"), *(F.lit(None).cast(schema[c].dataType).alias(c) for c in place))
     note = T.StructType([T.StructField("last", T.LongType())])
 
     def batch(df: DataFrame, n: int) -> None:
         session = df.sparkSession
         before = session.read.schema(note).json(f"{checkpoint}/numbers/{n - 1}").first()["last"] if n else last
-        new = pool.number(keep(df, "fresh"), before, ORDER)  # written first: what holds state runs once
-        count = sinks.append_batch(new.select(*ITEM.fieldNames()), pool_path, n)
+        new = keep(df.where("first.fresh").select("key", "first.batch"), "fresh")  # written first: what holds state runs once
+        folders, count = [r["batch"] for r in new.select("batch").distinct().collect()], 0
+        if folders:
+            found = session.read.schema(schema).option("basePath", landed).parquet(*(f"{landed}/batch={k}" for k in sorted(folders))).join(new, ["key", "batch"])
+            count = sinks.append_batch(pool.number(found, before, ORDER).select(*ITEM.fieldNames()), pool_path, n)
         session.range(1).select(F.lit(before + count).alias("last")).write.mode("overwrite").json(f"{checkpoint}/numbers/{n}")
 
     with stateful.state_store(spark):
-        return stateful.unseen(rows, "key", ORDER, known).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        told = stateful.unseen(rows.unionByName(known), "key", ["fresh", *place])
+        return told.writeStream.foreachBatch(batch).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def append_new(pages: DataFrame, pool_path: str, checkpoint: str, sector: str = "webapp", retrieved: str = "1970-01-01") -> StreamingQuery:

@@ -81,36 +81,15 @@ def spaced(requests: DataFrame, key: str, ts: str, tie: str, delay_s: float = 1.
     return out.select(*columns, F.timestamp_micros("released_us").alias("release"))
 
 
-class Unseen(StatefulProcessor):
-    """The first row of a key, once: that it was seen is the state."""
+def unseen(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Of a stream's rows, each `key` that no earlier batch had, with `first`: its smallest struct of `order`. For mode "update".
 
-    def __init__(self, order: list[str]):
-        self.order = order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]))
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.seen.update((True,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        known = self.seen.exists()
-        for part in rows:  # a portion's first row is kept, no more
-            if not known:
-                first = pd.concat([x for x in (first, part) if x is not None]).sort_values(self.order).head(1)
-        if first is not None:
-            self.seen.update((True,))
-            yield first
-
-    def close(self) -> None:
-        pass
-
-
-def unseen(rows: DataFrame, key: str, order: list[str], have: DataFrame | None = None) -> DataFrame:
-    """Rows of a stream whose `key` no earlier one had, nor `have` (a table with `key`, read when the query starts for the first time)."""
-    known = have.select(key).distinct().groupBy(key) if have is not None else None
-    return rows.groupBy(key).transformWithStateInPandas(Unseen(order), rows.schema, "Append", "None", initialState=known)
+    It is an aggregation of Spark's own, so no key costs a call of Python. Its state is narrow: a key's `first`, and the
+    times of the first and the last batch that had it, which are the same where it is new. A batch that runs again has the
+    time it had.
+    """
+    at = rows.withColumn("at", F.current_timestamp()).groupBy(key)
+    return at.agg(F.min(F.struct(*order)).alias("first"), F.min("at").alias("since"), F.max("at").alias("last")).where("since = last").select(key, "first")
 
 
 SESSION = T.StructType([T.StructField("active", T.BooleanType()), T.StructField("cursor", T.IntegerType()), T.StructField("pending", T.StringType())])

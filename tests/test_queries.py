@@ -86,6 +86,26 @@ def test_stream_knows_a_pool_that_was_there(spark, tmp_path):
     assert sorted((r["id"], r["accessible_name"]) for r in spark.read.json(str(tmp_path / "pool")).collect()) == [("fi-0007", "B"), ("fi-0008", "A")]
 
 
+def test_stream_tells_new_keys_without_python(spark, tmp_path):
+    """A key that comes in several batches, before and after a restart: its first page counts, and no key goes to a Python task."""
+    from marlstone.streaming import pool_stream
+
+    def run(pages):
+        for page, url, near in pages:
+            html = f'<div>{near}<a href="/x"><img src="i.png" alt="A"></a></div>'
+            spark.createDataFrame([(page, f"https://x.org/{url}", html)], "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("page_id long, url string, html string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = pool_stream.append_new(stream, str(tmp_path / "pool"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        return query._jsq.explainInternal(False)
+
+    plan = run([(5, "p", "five"), (2, "p", "two"), (7, "q", "seven"), (9, "p", "nine")])
+    assert "StateStoreSave" in plan and "Python" not in plan and "Pandas" not in plan
+    run([(1, "p", "one"), (3, "r", "three"), (4, "r", "four"), (8, "q", "eight")])
+    rows = spark.read.json(str(tmp_path / "pool")).orderBy("id").collect()
+    assert [(r["id"], r["page_url"][-1], r["surrounding_text"]) for r in rows] == [("fi-0001", "p", "two"), ("fi-0002", "q", "seven"), ("fi-0003", "r", "three")]
+
+
 def test_batch_that_runs_again_adds_nothing_twice(spark, tmp_path):
     from marlstone.sources import sinks
 
